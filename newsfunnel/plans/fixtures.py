@@ -192,10 +192,39 @@ def refs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles_v(spark, sf_dir).drop("full_text")
 
 
-def sql_with(body: str, *fixtures: str, articles: bool = False) -> str:
-    """Prefix an oracle query with the fixture CTEs it uses."""
-    ctes = []
+def sql_with(body: str, *fixtures: str, articles: bool = False, ctes_after: str = "",
+             ctes_before: list[str] | None = None) -> str:
+    """Prefix an oracle query with the fixture CTEs it uses (plus extra CTEs)."""
+    ctes = list(ctes_before or [])
     if articles:
         ctes.append(f"articles_v AS ({ARTICLES_V_SQL})")
     ctes.extend(fx_sql(f) for f in fixtures)
+    if ctes_after:
+        ctes.append(ctes_after)
     return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
+
+
+# ---------------------------------------------------------------- regions
+def regions_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions from the driver ``region`` table plus fixture type/languages."""
+    r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    attrs = spark.createDataFrame(
+        [(k, t, ",".join(ls)) for k, (t, ls) in REGION_ATTRS.items()],
+        "r_regionkey int, type string, langs string",
+    )
+    return r.join(F.broadcast(attrs), "r_regionkey").select(
+        F.col("r_regionkey").alias("region_ord"),
+        F.col("r_name").alias("name"),
+        F.replace(F.lower(F.col("r_name")), F.lit(" "), F.lit("-")).alias("slug"),
+        "type",
+        F.split(F.col("langs"), ",").alias("languages"),
+    )
+
+
+REGIONS_FX_SQL = (
+    "regions_fx AS (SELECT r.r_regionkey AS region_ord, r.r_name AS name, "
+    "replace(lower(r.r_name), ' ', '-') AS slug, a.type, string_split(a.langs, ',') AS languages "
+    "FROM region r JOIN (VALUES "
+    + ", ".join(f"({k}, '{t}', '{','.join(ls)}')" for k, (t, ls) in REGION_ATTRS.items())
+    + ") a(r_regionkey, type, langs) ON a.r_regionkey = r.r_regionkey)"
+)
