@@ -228,3 +228,32 @@ REGIONS_FX_SQL = (
     + ", ".join(f"({k}, '{t}', '{','.join(ls)}')" for k, (t, ls) in REGION_ATTRS.items())
     + ") a(r_regionkey, type, langs) ON a.r_regionkey = r.r_regionkey)"
 )
+
+
+# ---------------------------------------------------------------- cleaning input
+def cleaning_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents text decorated by doc_id with the leakage the cleaner removes."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    k, t, s, nl = F.col("doc_id"), F.col("text"), F.col("source"), F.lit("\n")
+    m = k % 7
+    first = F.split_part(t, nl, F.lit(1))
+    raw = (
+        F.when(m == 0, F.concat(F.lit("- Home\n- News\n - "), s, nl, t))
+        .when(m == 1, F.concat(t, F.lit("\nAlso Read: "), s, F.lit("\n\nREAD ALSO - more\n"), first))
+        .when(m == 2, F.concat(F.lit("ये भी पढ़ें: "), s, nl, t, F.lit("\nDownload the app for more\n  Get the App now")))
+        .when(m == 3, F.concat(t, F.lit("\n\n\nRelated News\none\ntwo\n")))
+        .when(m == 4, F.concat(t, F.lit("\n© 2024 "), s, F.lit(" media\nrest")))
+        .when(m == 5, F.concat(F.replace(t, nl, F.lit("\n\n")), F.lit("\n\n  "), F.lower(first), F.lit("\n\n\n\n")))
+        .otherwise(F.concat(t, F.lit("\nall rights reserved")))
+    )
+    return d.select(k.alias("doc_id"), raw.alias("raw"))
+
+
+CLEANING_V_SQL = """cleaning_v AS (SELECT doc_id, CASE doc_id % 7
+  WHEN 0 THEN '- Home' || chr(10) || '- News' || chr(10) || ' - ' || source || chr(10) || text
+  WHEN 1 THEN text || chr(10) || 'Also Read: ' || source || chr(10) || chr(10) || 'READ ALSO - more' || chr(10) || split_part(text, chr(10), 1)
+  WHEN 2 THEN 'ये भी पढ़ें: ' || source || chr(10) || text || chr(10) || 'Download the app for more' || chr(10) || '  Get the App now'
+  WHEN 3 THEN text || chr(10) || chr(10) || chr(10) || 'Related News' || chr(10) || 'one' || chr(10) || 'two' || chr(10)
+  WHEN 4 THEN text || chr(10) || '© 2024 ' || source || ' media' || chr(10) || 'rest'
+  WHEN 5 THEN replace(text, chr(10), chr(10) || chr(10)) || chr(10) || chr(10) || '  ' || lower(split_part(text, chr(10), 1)) || chr(10) || chr(10) || chr(10) || chr(10)
+  ELSE text || chr(10) || 'all rights reserved' END AS raw FROM documents)"""
