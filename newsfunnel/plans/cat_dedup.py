@@ -36,3 +36,32 @@ SELECT first_ord AS ord, {_cols} FROM (
   FROM ({d_norm_url('articles_v')}) ) WHERE rn = 1""", articles=True))
 def q_url_dedup(spark, sf):
     return dedup_by_url(articles_v(spark, sf))
+
+
+from newsfunnel.operators.titledup import dedup_by_title, representatives, similar_pairs, strip_source_suffix  # noqa: E402
+from newsfunnel.plans.fixtures import fx_df  # noqa: E402
+from newsfunnel.plans.pipeline import dedup_and_filter  # noqa: E402
+
+
+@register("title_strip_suffix", sql_with("""
+SELECT ord, CASE WHEN strpos(title, ' - ') > 0
+                  AND length(title) - (length(title) - strpos(reverse(title), reverse(' - ')) - 2) - 3 <= 40
+            THEN substr(title, 1, length(title) - strpos(reverse(title), reverse(' - ')) - 2) ELSE title END AS stripped
+FROM articles_v""", articles=True))
+def q_title_strip_suffix(spark, sf):
+    return articles_v(spark, sf).select("ord", strip_source_suffix("title").alias("stripped"))
+
+
+@register("title_similar_pairs")
+def q_title_similar_pairs(spark, sf):
+    return similar_pairs(representatives(articles_v(spark, sf)))
+
+
+@register("title_dedup")
+def q_title_dedup(spark, sf):
+    return dedup_by_title(articles_v(spark, sf))
+
+
+@register("dedup_and_filter")
+def q_dedup_and_filter(spark, sf):
+    return dedup_and_filter(articles_v(spark, sf), fx_df(spark, "terms_fx"), fx_df(spark, "patterns_fx"))
