@@ -142,7 +142,7 @@ def _d_oor(places: list[str]) -> str:
     for p in places:
         lit = _re.sub(r"([.^$*+?(){}\[\]|\\])", r"\\\1", p)
         w = "[\\p{L}\\p{N}_]"
-        left = f"(^|{D_NOT_WORD})" if _re.match(r"\w", p[0]) else f"(^|{w})" if False else f"(^|{D_NOT_WORD})" if _re.match(r"\w", p[0]) else f"({w})"
+        left = f"(^|{D_NOT_WORD})" if _re.match(r"\w", p[0]) else f"({w})"
         right = f"({D_NOT_WORD}|$)" if _re.match(r"\w", p[-1]) else f"({w})"
         alts.append(left + lit + right)
     return "(?i)(" + "|".join(alts) + ")"

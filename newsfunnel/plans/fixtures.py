@@ -257,3 +257,45 @@ CLEANING_V_SQL = """cleaning_v AS (SELECT doc_id, CASE doc_id % 7
   WHEN 4 THEN text || chr(10) || '© 2024 ' || source || ' media' || chr(10) || 'rest'
   WHEN 5 THEN replace(text, chr(10), chr(10) || chr(10)) || chr(10) || chr(10) || '  ' || lower(split_part(text, chr(10), 1)) || chr(10) || chr(10) || chr(10) || chr(10)
   ELSE text || chr(10) || 'all rights reserved' END AS raw FROM documents)"""
+
+
+# ---------------------------------------------------------------- votes / answers
+# response by (ord*7 + voter_idx*3) % 6; a vote is missing when (ord + voter_idx) % 5 = 0
+VOTE_RESPONSES = ["Yes", " yes, relevant", "No", None, "NO.", "maybe"]
+ANSWERS = ["None", ' "Ering" ', "'edti'", "", "xyz", "nation", "ther", "Port Hant district", "  none  "]
+
+
+def votes_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = articles_v(spark, sf_dir).select("ord")
+    voters = F.array(*[F.struct(F.lit(v).alias("voter"), F.lit(i).alias("vi")) for i, (v, _) in enumerate(VOTERS)])
+    x = a.select("ord", F.explode(voters).alias("v")).select(F.col("ord").alias("ref_id"), "v.voter", "v.vi")
+    m = (F.col("ref_id") * 7 + F.col("vi") * 3) % 6
+    resp = F.lit(None).cast("string")
+    for i in reversed(range(len(VOTE_RESPONSES))):
+        resp = F.when(m == i, F.lit(VOTE_RESPONSES[i]).cast("string")).otherwise(resp)
+    return x.where((F.col("ref_id") + F.col("vi")) % 5 != 0).select("ref_id", "voter", resp.alias("response"))
+
+
+def _sql_case(expr: str, values: list) -> str:
+    return "CASE " + expr + " " + " ".join(f"WHEN {i} THEN {_sql_lit(v)}" for i, v in enumerate(values)) + " END"
+
+
+VOTES_V_SQL = ("votes_v AS (SELECT a.ord AS ref_id, v.voter, "
+               + _sql_case("(a.ord * 7 + v.vi * 3) % 6", VOTE_RESPONSES) + " AS response "
+               "FROM articles_v a JOIN (VALUES " + ", ".join(f"('{v}', {i})" for i, (v, _) in enumerate(VOTERS))
+               + ") v(voter, vi) ON (a.ord + v.vi) % 5 <> 0)")
+
+
+def answers_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = articles_v(spark, sf_dir).select("ord").where(F.col("ord") % 4 != 3)
+    m = F.col("ord") % len(ANSWERS)
+    ans = F.lit(None).cast("string")
+    for i in reversed(range(len(ANSWERS))):
+        ans = F.when(m == i, F.lit(ANSWERS[i])).otherwise(ans)
+    return a.select(F.col("ord").alias("ref_id"), ans.alias("answer"))
+
+
+ANSWERS_V_SQL = ("answers_v AS (SELECT ord AS ref_id, " + _sql_case(f"ord % {len(ANSWERS)}", ANSWERS)
+                 + " AS answer FROM articles_v WHERE ord % 4 <> 3)")
+
+GZ_LISTS_SQL = "g AS (SELECT state, list(district ORDER BY district_ord) AS ds FROM gazetteer_fx GROUP BY state)"
