@@ -299,3 +299,68 @@ ANSWERS_V_SQL = ("answers_v AS (SELECT ord AS ref_id, " + _sql_case(f"ord % {len
                  + " AS answer FROM articles_v WHERE ord % 4 <> 3)")
 
 GZ_LISTS_SQL = "g AS (SELECT state, list(district ORDER BY district_ord) AS ds FROM gazetteer_fx GROUP BY state)"
+
+
+# ---------------------------------------------------------------- landed feeds
+FEED_LANG = {"en": "en", "fr": "hi", "de": "ta"}  # anything else -> 'xx' (fails validation)
+
+
+def _feed_ctx() -> list:
+    lang = F.col("language")
+    mapped = F.lit("xx")
+    for k, v in FEED_LANG.items():
+        mapped = F.when(lang == k, F.lit(v)).otherwise(mapped)
+    return [F.col("ord"), mapped.alias("language"), F.col("state"), F.col("search_term")]
+
+
+def _xml_escape(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def rss_feed_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One RSS ``<item>`` per article row; fields blanked by ``ord``."""
+    a = articles_v(spark, sf_dir)
+    k = F.col("ord")
+    src = F.when(k % 19 == 0, F.lit("FOX Weather")).when(k % 19 == 1, F.lit("fox weather")).otherwise(F.col("source"))
+    title = F.when(k % 9 == 3, F.lit("")).otherwise(_xml_escape(F.col("title")))
+    pub = F.when(k % 9 == 2, F.lit("")).otherwise(
+        F.concat(F.lit("<pubDate>"), F.date_format("date", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate>")))
+    src_el = F.when(k % 9 == 1, F.lit("")).otherwise(
+        F.concat(F.lit('<source url="https://pub.example">'), _xml_escape(src), F.lit("</source>")))
+    payload = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>"), _xml_escape(F.col("url")),
+                       F.lit("</link>"), pub, src_el, F.lit("</item>"))
+    return a.select(*_feed_ctx(), payload.alias("payload"))
+
+
+def newsdata_feed_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NewsData payloads with two results each; status 'error' when ord % 17 = 0."""
+    a = articles_v(spark, sf_dir)
+    k = F.col("ord")
+    pub = F.when(k % 13 == 5, F.lit("bad date")).otherwise(F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    item1 = F.struct(
+        F.concat(F.lit(" "), F.col("title"), F.lit(" ")).alias("title"), F.col("url").alias("link"), pub.alias("pubDate"),
+        F.when(k % 5 == 1, F.lit(None)).when(k % 5 == 2, F.lit("")).otherwise(F.col("source")).alias("source_name"),
+        F.when(k % 5 == 2, F.lit(None)).otherwise(F.concat(F.lit("id-"), F.col("source"))).alias("source_id"))
+    item2 = F.struct(
+        F.when(k % 2 == 0, F.lit("  ")).otherwise(F.concat(F.col("title"), F.lit(" (b)"))).alias("title"),
+        F.concat(F.col("url"), F.lit("&p=2")).alias("link"), pub.alias("pubDate"),
+        F.lit(None).cast("string").alias("source_name"), F.lit("").alias("source_id"))
+    payload = F.to_json(F.struct(F.when(k % 17 == 0, F.lit("error")).otherwise(F.lit("success")).alias("status"),
+                                 F.array(item1, item2).alias("results")))
+    return a.select(*_feed_ctx(), payload.alias("payload"))
+
+
+def gnews_feed_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GNews payloads with one article each; source/name/date blanked by ord."""
+    a = articles_v(spark, sf_dir)
+    k = F.col("ord")
+    pub = F.when(k % 11 == 3, F.lit(None).cast("string")).otherwise(F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    srcs = F.when(k % 11 == 1, F.lit(None)).otherwise(
+        F.struct(F.when(k % 11 == 2, F.lit("")).otherwise(F.col("source")).alias("name")))
+    art = F.struct(F.col("title").alias("title"), F.col("url").alias("url"), pub.alias("publishedAt"),
+                   srcs.alias("source"))
+    return a.select(*_feed_ctx(), F.to_json(F.struct(F.array(art).alias("articles"))).alias("payload"))
+
+
+FEED_LANG_SQL = ("CASE language " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FEED_LANG.items())
+                 + " ELSE 'xx' END")
