@@ -94,15 +94,44 @@ def exclusion_regex(patterns: DataFrame | list[str], col: str = "pattern") -> st
     return "(?iu)" + "|".join(f"(?:{py_regex_to_java(p)})" for p in pats)
 
 
+# Smallest non-zero score: one term in one category, no title hit.
+MIN_MATCH_SCORE = (1 / 3.0) * 0.5 + (1 / 2.0) * 0.3
+
+
 def filter_excluded(df: DataFrame, terms: DataFrame, patterns: DataFrame | list[str],
                     score: str = "relevance_score", threshold: float = 0.05) -> DataFrame:
-    """Score, then drop only rows with score < threshold AND an exclusion hit."""
-    scored = score_relevance(df, terms, out=score)
+    """Score, then drop only rows with score < threshold AND an exclusion hit.
+
+    For thresholds up to the smallest non-zero score (0.3166...), "score <
+    threshold" is exactly "no term matched".  The predicate then uses a
+    short-circuiting ``exists`` instead of the score column: Catalyst pushes
+    filters below projections by inlining aliases, which would otherwise
+    re-evaluate the whole score expression inside the predicate.
+    """
     rx = exclusion_regex(patterns)
     if rx is None:
-        return scored
-    hit = combined_text().rlike(rx)
-    return scored.where(~((F.col(score) < threshold) & hit))
+        return score_relevance(df, terms, out=score)
+    if threshold > MIN_MATCH_SCORE:
+        scored = score_relevance(df, terms, out=score)
+        return scored.where(~((F.col(score) < threshold) & combined_text().rlike(rx)))
+    matched_any = _any_term_matches(df, terms)
+    kept = matched_any.where(F.col("_any") | ~combined_text().rlike(rx)).drop("_any")
+    return score_relevance(kept, terms, out=score)
+
+
+def _any_term_matches(df: DataFrame, terms: DataFrame, title: str = "title", text: str = "full_text",
+                      language: str = "language") -> DataFrame:
+    term_map = dictionary_map(_term_arrays(terms), "lang", "terms")
+    empty = F.array().cast(_ARR)
+    lang = F.col(language)
+    tm = F.col("_tm")
+    en_terms = F.coalesce(F.element_at(tm, F.lit("en")), empty)
+    cand = F.when(lang.isNull() | (lang == "") | (lang == "en"), en_terms).otherwise(
+        F.concat(F.coalesce(F.try_element_at(tm, lang), empty), en_terms))
+    return (df.withColumn("_tm", term_map).withColumn("_cand", cand).withColumn("_txt", combined_text(title, text))
+            .withColumn("_any", F.exists(F.col("_cand"), lambda t: (F.instr(F.col("_txt"), t["lt"]) > 0)
+                                         & F.regexp_like(F.col("_txt"), t["pat"])))
+            .drop("_tm", "_cand", "_txt"))
 
 
 __all__ = ["combined_text", "score_relevance", "exclusion_regex", "filter_excluded", "PY_SPACE",
