@@ -15,7 +15,9 @@ Distributed plan (exact):
    against the length band ``min/max >= t/(2-t)`` (lossless: 2M/T <= 2 min/T),
    then the character-multiset bound ``2*overlap/T >= t`` computed natively
    (lossless: matched characters are a sub-multiset of both titles);
-3. exact ratios in both directions for survivors only (Arrow UDF, difflib);
+3. exact ratios in both directions for survivors only (Arrow UDF): a
+   bit-parallel LCS bound first (lossless: matching blocks are a common
+   subsequence), difflib only for pairs that pass it;
 4. connected components of the ``ratio >= t`` graph by min-label propagation,
    lineage cut by ``checkpoint()`` each round;
 5. a greedy decision only involves pairs inside one component, so components
@@ -31,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsfunnel.functions.lineage import materialize
 from newsfunnel.functions.text import pystrip
 from newsfunnel.operators.urldedup import quality_score
 
@@ -47,30 +50,58 @@ def title_key(col: Column | str) -> Column:
     return F.lower(pystrip(strip_source_suffix(col)))
 
 
-def _ratios(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    """Exact Ratcliff/Obershelp ratio in both argument orders (it is asymmetric)."""
-    from difflib import SequenceMatcher
-
-    ab, ba = [], []
-    for x, y in zip(a, b):
-        ab.append(SequenceMatcher(None, x, y).ratio())
-        ba.append(SequenceMatcher(None, y, x).ratio())
-    return pd.DataFrame({"r_ab": ab, "r_ba": ba})
-
-
-def _pair_ratios(a: Column | str, b: Column | str) -> Column:
-    return F.pandas_udf(_ratios, "struct<r_ab:double,r_ba:double>")(a, b)
+def lcs_length(a: str, b: str) -> int:
+    """Longest common subsequence length, bit-parallel over ``b`` (Hyyro 2004)."""
+    if not a or not b:
+        return 0
+    pm: dict[str, int] = {}
+    for j, ch in enumerate(b):
+        pm[ch] = pm.get(ch, 0) | (1 << j)
+    mask = (1 << len(b)) - 1
+    v = mask
+    for ch in a:
+        u = v & pm.get(ch, 0)
+        v = ((v + u) | (v - u)) & mask
+    return len(b) - v.bit_count()
+
+
+def _make_ratios(threshold: float):
+    def ratios(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        """Exact Ratcliff/Obershelp ratio in both argument orders (it is asymmetric).
+
+        Matching blocks form a common subsequence, so 2*LCS/T bounds both
+        ratios; pairs below the threshold on that bound skip difflib (their
+        ratios are reported as the bound, which is < threshold)."""
+        from difflib import SequenceMatcher
+
+        ab, ba = [], []
+        for x, y in zip(a, b):
+            total = len(x) + len(y)
+            bound = 2.0 * lcs_length(x, y) / total if total else 1.0
+            if bound < threshold:
+                ab.append(bound)
+                ba.append(bound)
+                continue
+            ab.append(SequenceMatcher(None, x, y).ratio())
+            ba.append(SequenceMatcher(None, y, x).ratio())
+        return pd.DataFrame({"r_ab": ab, "r_ba": ba})
+
+    return ratios
+
+
+def _pair_ratios(a: Column | str, b: Column | str, threshold: float = THRESHOLD) -> Column:
+    # Non-deterministic on purpose: it stops Catalyst from inlining the UDF into
+    # the edge filter below the repartition (which would run it twice, the
+    # first time on the skewed join partitions).
+    return F.pandas_udf(_make_ratios(threshold), "struct<r_ab:double,r_ba:double>").asNondeterministic()(a, b)
 
 
 def _char_tags(c: Column) -> Column:
-    """Characters tagged with their occurrence number: multiset -> set."""
-    chars = F.filter(F.split(c, ""), lambda x: x != "")
-    sorted_chars = F.array_sort(chars)
-    return F.transform(
-        sorted_chars,
-        lambda x, i: F.concat(x, F.lit("\u0000"),
-                              (i - F.array_position(sorted_chars, x) + 1).cast("string")),
-    )
+    """Code points tagged with their occurrence number (multiset -> set of longs):
+    ``codepoint * 2^20 + k`` for the k-th occurrence, so ``array_intersect``
+    counts the multiset overlap on primitive longs."""
+    cps = F.array_sort(F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.ascii(x).cast("long")))
+    return F.transform(cps, lambda x, i: x * F.lit(1 << 20) + (i - F.array_position(cps, x) + 1))
 
 
 def representatives(df: DataFrame, lang: str = "language", title: str = "title", order: str = "ord") -> DataFrame:
@@ -79,30 +110,45 @@ def representatives(df: DataFrame, lang: str = "language", title: str = "title",
     return keyed.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id"))
 
 
-def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD, salts: int = 8) -> DataFrame:
     """Pairs (a < b by rep_id) of distinct titles in a language with
-    ``max(ratio(a,b), ratio(b,a)) >= threshold`` and both directed ratios."""
+    ``max(ratio(a,b), ratio(b,a)) >= threshold`` and both directed ratios.
+
+    The candidate join is keyed on (language, partner length, salt): the probe
+    side carries one salt per title, the home side is replicated over all
+    salts, so each pair meets exactly once while a hot (language, length) key
+    is spread over ``salts`` tasks.  Both sides are repartitioned by number —
+    the join is CPU-heavy but small in bytes, and AQE must not coalesce it
+    into a handful of tasks.
+    """
+    spark = reps.sparkSession
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism * 4)
     band = threshold / (2.0 - threshold)
     r = reps.select("lang", "tkey", "rep_id", F.length("tkey").alias("n"), _char_tags(F.col("tkey")).alias("tags"))
     # probe side: every partner length m with n*band <= m <= n (partner no longer than self)
     probe = r.select(
         "lang", "tkey", "rep_id", "n", "tags",
         F.explode(F.sequence(F.ceil(F.col("n") * F.lit(band)).cast("int"), F.col("n"))).alias("m"),
-    )
+        F.pmod(F.xxhash64("rep_id"), F.lit(salts)).cast("int").alias("salt"),
+    ).repartition(n_parts, "lang", "m", "salt")
     home = r.select(F.col("lang").alias("lang2"), F.col("tkey").alias("tkey2"), F.col("rep_id").alias("rep2"),
-                    F.col("n").alias("m2"), F.col("tags").alias("tags2"))
-    cand = probe.join(home, (probe.lang == home.lang2) & (probe.m == home.m2)).where(
+                    F.col("n").alias("m2"), F.col("tags").alias("tags2"),
+                    F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt2"),
+                    ).repartition(n_parts, "lang2", "m2", "salt2")
+    cand = probe.join(home, (probe.lang == home.lang2) & (probe.m == home.m2) & (probe.salt == home.salt2)).where(
         (F.col("m2") < F.col("n")) | (F.col("rep2") < F.col("rep_id"))
     )
     overlap = F.size(F.array_intersect(F.col("tags"), F.col("tags2")))
     cand = cand.where(F.lit(2.0) * overlap >= F.lit(threshold) * (F.col("n") + F.col("m2")))
+    # exact ratios are CPU-bound Python work on small rows: spread them over a
+    # fixed number of partitions (a by-number repartition is not coalesced by AQE)
     scored = cand.select(
         "lang",
         F.least("rep_id", "rep2").alias("a"),
         F.greatest("rep_id", "rep2").alias("b"),
         F.when(F.col("rep_id") < F.col("rep2"), F.col("tkey")).otherwise(F.col("tkey2")).alias("ta"),
         F.when(F.col("rep_id") < F.col("rep2"), F.col("tkey2")).otherwise(F.col("tkey")).alias("tb"),
-    ).withColumn("r", _pair_ratios("ta", "tb"))
+    ).repartition(n_parts).withColumn("r", _pair_ratios("ta", "tb", threshold))
     return scored.select(
         "lang", "a", "b", F.col("r.r_ab").alias("r_ab"), F.col("r.r_ba").alias("r_ba")
     ).where((F.col("r_ab") >= threshold) | (F.col("r_ba") >= threshold))
@@ -111,25 +157,27 @@ def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def components(edges: DataFrame, nodes: DataFrame, max_iter: int = 100) -> DataFrame:
     """Connected components by min-label propagation: (rep_id, comp).
 
-    Each round is one join + aggregate over the edge list; the lineage is cut
-    with a reliable ``checkpoint()`` (written to spark.checkpoint.dir) so a
-    lost executor recomputes one round, not the whole history.
+    Each round is one join + aggregate over the edge list; every round's labels
+    are written to the shared checkpoint folder (``materialize``) so a lost
+    executor recomputes one round, not the whole history.  Only nodes that
+    have edges take part; the others are their own component.
     """
-    und = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
+    und = materialize(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
         edges.select(F.col("b").alias("src"), F.col("a").alias("dst"))
-    )
-    und = und.checkpoint()
-    labels = nodes.select("rep_id", F.col("rep_id").alias("comp")).checkpoint()
+    ), "edges-undirected")
+    labels = materialize(und.select(F.col("src").alias("rep_id")).distinct()
+                         .select("rep_id", F.col("rep_id").alias("comp")), "labels")
     for _ in range(max_iter):
         nbr = und.join(labels, und.src == labels.rep_id).groupBy("dst").agg(F.min("comp").alias("nc"))
-        new = (
+        new = materialize(
             labels.join(nbr, labels.rep_id == nbr.dst, "left")
-            .select("rep_id", F.least("comp", F.coalesce("nc", "comp")).alias("comp"), F.col("comp").alias("old"))
-        ).checkpoint()
+            .select("rep_id", F.least("comp", F.coalesce("nc", "comp")).alias("comp"), F.col("comp").alias("old")),
+            "labels")
         changed = new.where(F.col("comp") != F.col("old")).limit(1).count()
         labels = new.select("rep_id", "comp")
         if changed == 0:
-            return labels
+            return nodes.select("rep_id").join(labels, "rep_id", "left").select(
+                "rep_id", F.coalesce("comp", "rep_id").alias("comp"))
     raise RuntimeError("component labelling did not converge")
 
 
@@ -171,13 +219,13 @@ def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "lan
                    order: str = "ord") -> DataFrame:
     """Exact near-duplicate title dedup; survivors keep their columns and take
     the slot position (the founder's ``order``)."""
-    base = df.select(
+    base = materialize(df.select(
         F.col(order).alias("ord"), F.col(lang).alias("lang"), title_key(title).alias("tkey"),
         quality_score().alias("quality"),
-    )
-    reps = base.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id")).checkpoint()
-    edges = similar_pairs(reps, threshold).checkpoint()
-    comp = components(edges, reps)
+    ), "title-base")
+    reps = materialize(base.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id")), "title-reps")
+    edges = materialize(similar_pairs(reps, threshold), "title-edges")
+    comp = materialize(components(edges, reps), "title-components")
     arts = base.join(reps, ["lang", "tkey"]).join(comp, "rep_id")
     multi = comp.groupBy("comp").count().where(F.col("count") > 1).select("comp")
     # single-title components: identical titles only -> best quality, earliest on ties
