@@ -23,10 +23,15 @@ WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
 
 
+# The same set as explicit characters (every code point with str.isspace()).
+PY_SPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+                  "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def pystrip(col: Column | str) -> Column:
-    """``str.strip()`` — strip leading/trailing Unicode whitespace."""
+    """``str.strip()`` — strip leading/trailing Unicode whitespace (native btrim)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, rf"^{PY_SPACE}+|{PY_SPACE}+\z", "")
+    return F.btrim(c, F.lit(PY_SPACE_CHARS))
 
 
 def java_regex_literal(s: str) -> str:

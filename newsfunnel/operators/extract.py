@@ -169,12 +169,19 @@ def paragraph_dedup(c: Column | str) -> Column:
     lower-cased), keep first occurrences in order.
 
     Sort-based (O(k log k) per row in the paragraph count k): sort by (key,
-    position), keep the first of each key run, restore position order.
+    position), keep an element when its key differs from its predecessor's,
+    restore position order.  No lambda refers to an outer array (Spark would
+    re-evaluate that array for every element).
     """
     paras = F.split(_c(c), "\n\n")
-    z = F.transform(paras, lambda p, i: F.struct(F.lower(pystrip(p)).alias("k"), i.alias("i"), p.alias("p")))
-    s = F.array_sort(z)
-    kept = F.filter(s, lambda x, j: (x["k"] != "") & ((j == 0) | (F.element_at(s, j)["k"] != x["k"])))
+    s = F.array_sort(F.transform(paras, lambda p, i: F.struct(F.lower(pystrip(p)).alias("k"), i.alias("i"),
+                                                              p.alias("p"))))
+    prev = F.concat(F.array(F.lit(None).cast("string")),
+                    F.transform(F.slice(s, 1, F.size(s) - 1), lambda x: x["k"]))
+    marked = F.zip_with(s, prev, lambda x, pk: F.struct(
+        x["i"].alias("i"), x["p"].alias("p"),
+        ((x["k"] != "") & (pk.isNull() | (pk != x["k"]))).alias("keep")))
+    kept = F.filter(marked, lambda x: x["keep"])
     ordered = F.array_sort(F.transform(kept, lambda x: F.struct(x["i"].alias("i"), x["p"].alias("p"))))
     return F.array_join(F.transform(ordered, lambda x: x["p"]), "\n\n")
 

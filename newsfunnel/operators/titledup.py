@@ -96,11 +96,15 @@ def _pair_ratios(a: Column | str, b: Column | str, threshold: float = THRESHOLD)
     return F.pandas_udf(_make_ratios(threshold), "struct<r_ab:double,r_ba:double>").asNondeterministic()(a, b)
 
 
-def _char_tags(c: Column) -> Column:
-    """Code points tagged with their occurrence number (multiset -> set of longs):
-    ``codepoint * 2^20 + k`` for the k-th occurrence, so ``array_intersect``
-    counts the multiset overlap on primitive longs."""
-    cps = F.array_sort(F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.ascii(x).cast("long")))
+def _code_points(c: Column) -> Column:
+    return F.array_sort(F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.ascii(x).cast("long")))
+
+
+def _char_tags(cps: Column) -> Column:
+    """Sorted code points tagged with their occurrence number (multiset -> set
+    of longs): ``codepoint * 2^20 + k`` for the k-th occurrence, so
+    ``array_intersect`` counts the multiset overlap on primitive longs.
+    ``cps`` must be a column reference (it is used inside the lambda)."""
     return F.transform(cps, lambda x, i: x * F.lit(1 << 20) + (i - F.array_position(cps, x) + 1))
 
 
@@ -124,7 +128,8 @@ def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD, salts: int = 8)
     spark = reps.sparkSession
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism * 4)
     band = threshold / (2.0 - threshold)
-    r = reps.select("lang", "tkey", "rep_id", F.length("tkey").alias("n"), _char_tags(F.col("tkey")).alias("tags"))
+    r = (reps.select("lang", "tkey", "rep_id", F.length("tkey").alias("n"), _code_points(F.col("tkey")).alias("cps"))
+         .select("lang", "tkey", "rep_id", "n", _char_tags(F.col("cps")).alias("tags")))
     # probe side: every partner length m with n*band <= m <= n (partner no longer than self)
     probe = r.select(
         "lang", "tkey", "rep_id", "n", "tags",

@@ -25,7 +25,7 @@ CASES = [
     ("https://example.com/a?REF=z&Source=q", "https://example.com/a"),
     ("https://example.com/a?q=b&q=a", "https://example.com/a?q=a&q=b"),
     ("https://example.com/a?q=hello+world&t=%7E*", "https://example.com/a?q=hello+world&t=~%2A"),
-    ("example.com/x", "https:///example.com/x"),
+    ("example.com/x", "https:example.com/x"),
     ("not-a-url", "https:not-a-url"),
 ]
 
