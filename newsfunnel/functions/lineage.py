@@ -22,3 +22,18 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def with_columns_once(df: DataFrame, cols: dict) -> DataFrame:
+    """Add columns that are evaluated exactly once per row.
+
+    Catalyst inlines a projected alias into every expression (and every pushed-
+    down filter) that references it; for an expensive value — a parsed XML
+    document, a matched-terms array — that means several evaluations per row.
+    Generator outputs are attributes that cannot be inlined or filtered below,
+    so the values are produced by a one-row ``inline(array(struct(...)))``.
+    """
+    from pyspark.sql import functions as F
+
+    st = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select("*", F.inline(F.array(st)))

@@ -88,21 +88,21 @@ def _drop_blocks(h: Column, tags: str) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Named entities from the fixed table, then decimal/hex numeric ones."""
-    parts = F.split(c, "&#")
-    rest = F.slice(parts, 2, 1 << 30)
+    """Decimal/hex numeric entities, then the named ones from the fixed table.
 
-    def dec(p: Column) -> Column:
+    The input is referenced once (one split, an indexed transform), so an
+    upstream expression chain is never duplicated in the plan."""
+
+    def dec(p: Column, i: Column) -> Column:
         dnum = F.regexp_extract(p, r"^([0-9]{1,7});", 1)
         hnum = F.regexp_extract(p, r"^[xX]([0-9A-Fa-f]{1,6});", 1)
         cp = F.when(dnum != "", dnum.cast("long")).when(hnum != "", F.conv(hnum, 16, 10).cast("long"))
         ok = cp.isNotNull() & (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
         ch = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
         tail = F.regexp_replace(p, r"^(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});", "")
-        return F.when(ok, F.concat(ch, tail)).otherwise(F.concat(F.lit("&#"), p))
+        return F.when(i == 0, p).when(ok, F.concat(ch, tail)).otherwise(F.concat(F.lit("&#"), p))
 
-    out = F.concat(F.element_at(parts, 1), F.array_join(F.transform(rest, dec), ""))
-    out = F.when(F.instr(c, "&#") > 0, out).otherwise(c)
+    out = F.array_join(F.transform(F.split(c, "&#"), dec), "")
     for ent, ch in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
@@ -116,8 +116,8 @@ def html_to_text(h: Column) -> Column:
     t = F.regexp_replace(t, r"[ \t\x{0b}\f\r\x{1c}-\x{1f}\x{85}\p{Z}]+", " ")
     t = F.regexp_replace(t, r"(?m) *\n *", "\n")
     t = F.regexp_replace(t, r"\n{2,}", "\n")
-    t = F.regexp_replace(t, r"^[ \n]+|[ \n]+\z", "")
-    return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
+    t = F.btrim(t, F.lit(" \n"))
+    return F.nullif(t, F.lit(""))
 
 
 def _strip_noise(html: Column) -> Column:
@@ -130,15 +130,15 @@ def precision_text(html: Column | str) -> Column:
     h = _strip_noise(_c(html))
     art = F.regexp_extract(h, r"(?is)<article\b[^>]*>(.*?)</article\s*>", 1)
     main = F.regexp_extract(h, r"(?is)<main\b[^>]*>(.*?)</main\s*>", 1)
-    box = F.when(art != "", art).otherwise(main)
+    box = F.coalesce(F.nullif(art, F.lit("")), main)
     box = _drop_blocks(box, "table|nav|aside|header|footer|form")
     return html_to_text(box)
 
 
 def recall_text(html: Column | str) -> Column:
     h = _strip_noise(_c(html))
-    body = F.regexp_extract(h, r"(?is)<body\b[^>]*>(.*)</body\s*>", 1)
-    body = F.when(body != "", body).otherwise(h)
+    # the body, or the whole document when there is no <body> element
+    body = F.regexp_replace(h, r"(?is)^.*?<body\b[^>]*>(.*)</body\s*>.*$", "$1")
     body = _drop_blocks(body, "nav|aside|header|footer|form")
     return html_to_text(body)
 
@@ -151,7 +151,7 @@ def main_text(html: Column | str) -> Column:
 def page_title(html: Column | str) -> Column:
     t = F.regexp_extract(_c(html), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
     t = pystrip(F.regexp_replace(decode_entities(F.regexp_replace(t, r"(?s)<[^>]*>", "")), rf"{S}+", " "))
-    return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
+    return F.nullif(t, F.lit(""))
 
 
 # --------------------------------------------------------------- cleaning
@@ -236,14 +236,15 @@ def extract_pages(df: DataFrame, html: str = "html", url: str = "url", title: st
     """E1 -> E2..E7 -> E8 -> E9 -> E10 on rows carrying raw HTML.
 
     Rows on skip-listed domains or without HTML get NULL text; one output row
-    per input row (never fails the batch).
+    per input row (never fails the batch).  Each stage's text is computed once
+    (``with_columns_once``) because the next stage reads it several times.
     """
+    from newsfunnel.functions.lineage import with_columns_once
     from newsfunnel.operators.filters import skip_domain
 
-    raw = main_text(html)
-    cleaned = clean_text(raw)
-    kept = short_text_discard(cleaned)
-    kept = F.when(~is_boilerplate(kept), kept)
-    text = F.when(skip_domain(url) | F.col(html).isNull(), F.lit(None).cast("string")).otherwise(kept)
-    df = df.withColumn(out, text)
-    return df.withColumn(out, F.when(~is_out_of_region(title, out, places), F.col(out)))
+    x = with_columns_once(df, {"_raw": F.when(~skip_domain(url), main_text(html))})
+    x = with_columns_once(x, {"_clean": clean_text("_raw")})
+    kept = F.when((F.length(pystrip("_clean")) >= 100) & ~is_boilerplate("_clean"), F.col("_clean"))
+    x = with_columns_once(x, {"_kept": kept})
+    text = F.when(~is_out_of_region(title, "_kept", places), F.col("_kept"))
+    return x.withColumn(out, text).drop("_raw", "_clean", "_kept")

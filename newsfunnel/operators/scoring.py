@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.bounded import bounded_collect, dictionary_map
+from newsfunnel.functions.lineage import with_columns_once
 from newsfunnel.functions.text import PY_SPACE, WORD, java_regex_literal, py_regex_to_java
 
 _ARR = "array<struct<lt:string,cat:string,pat:string>>"
@@ -77,13 +78,8 @@ def score_relevance(df: DataFrame, terms: DataFrame, out: str = "relevance_score
     )
     raw = F.when(F.col(text).isNull() & title_hit, F.greatest(raw, F.lit(0.3))).otherwise(raw)
     score = F.when(n == 0, F.lit(0.0)).otherwise(F.least(raw, F.lit(1.0)))
-    return (
-        j.withColumn("_cand", cand)
-        .withColumn("_txt", txt)
-        .withColumn("_m", matched)
-        .withColumn(out, score)
-        .drop("_tm", "_cand", "_txt", "_m")
-    )
+    j = j.withColumn("_cand", cand).withColumn("_txt", txt)
+    return with_columns_once(j, {"_m": matched}).withColumn(out, score).drop("_tm", "_cand", "_txt", "_m")
 
 
 def exclusion_regex(patterns: DataFrame | list[str], col: str = "pattern") -> str | None:
@@ -102,36 +98,14 @@ def filter_excluded(df: DataFrame, terms: DataFrame, patterns: DataFrame | list[
                     score: str = "relevance_score", threshold: float = 0.05) -> DataFrame:
     """Score, then drop only rows with score < threshold AND an exclusion hit.
 
-    For thresholds up to the smallest non-zero score (0.3166...), "score <
-    threshold" is exactly "no term matched".  The predicate then uses a
-    short-circuiting ``exists`` instead of the score column: Catalyst pushes
-    filters below projections by inlining aliases, which would otherwise
-    re-evaluate the whole score expression inside the predicate.
-    """
+    The matched-terms array is computed once per row (``with_columns_once``),
+    so the filter only re-derives cheap arithmetic from it, and the exclusion
+    regex runs only for rows under the threshold (short-circuit AND)."""
+    scored = score_relevance(df, terms, out=score)
     rx = exclusion_regex(patterns)
     if rx is None:
-        return score_relevance(df, terms, out=score)
-    if threshold > MIN_MATCH_SCORE:
-        scored = score_relevance(df, terms, out=score)
-        return scored.where(~((F.col(score) < threshold) & combined_text().rlike(rx)))
-    matched_any = _any_term_matches(df, terms)
-    kept = matched_any.where(F.col("_any") | ~combined_text().rlike(rx)).drop("_any")
-    return score_relevance(kept, terms, out=score)
-
-
-def _any_term_matches(df: DataFrame, terms: DataFrame, title: str = "title", text: str = "full_text",
-                      language: str = "language") -> DataFrame:
-    term_map = dictionary_map(_term_arrays(terms), "lang", "terms")
-    empty = F.array().cast(_ARR)
-    lang = F.col(language)
-    tm = F.col("_tm")
-    en_terms = F.coalesce(F.element_at(tm, F.lit("en")), empty)
-    cand = F.when(lang.isNull() | (lang == "") | (lang == "en"), en_terms).otherwise(
-        F.concat(F.coalesce(F.try_element_at(tm, lang), empty), en_terms))
-    return (df.withColumn("_tm", term_map).withColumn("_cand", cand).withColumn("_txt", combined_text(title, text))
-            .withColumn("_any", F.exists(F.col("_cand"), lambda t: (F.instr(F.col("_txt"), t["lt"]) > 0)
-                                         & F.regexp_like(F.col("_txt"), t["pat"])))
-            .drop("_tm", "_cand", "_txt"))
+        return scored
+    return scored.where(~((F.col(score) < threshold) & combined_text().rlike(rx)))
 
 
 __all__ = ["combined_text", "score_relevance", "exclusion_regex", "filter_excluded", "PY_SPACE",

@@ -164,3 +164,29 @@ def q_out_of_region(spark, sf):
 def q_out_of_region_default(spark, sf):
     a = articles_v(spark, sf)
     return a.select("ord", X.is_out_of_region("title", "full_text").alias("out_of_region"))
+
+
+
+
+
+def _page_extract_sql() -> str:
+    from newsfunnel.plans.catalog import ORACLES
+
+    oor = _sq(_d_oor(X.OUT_OF_REGION_PLACES))
+    return f"""
+SELECT page_id, CASE WHEN kept IS NULL OR NOT regexp_matches(title || ' ' || substr(kept, 1, 1500), {oor})
+                     THEN kept END AS full_text
+FROM (
+  SELECT page_id, title, CASE WHEN length({d_strip('cl')}) >= 100 AND NOT (length({d_strip('cl')}) < 500 AND ({_BP.replace('raw', 'cl')}))
+                         THEN cl END AS kept
+  FROM (
+    SELECT m.page_id, coalesce(t.title, '') AS title, {d_clean('m.main_text')} AS cl
+    FROM ({_PAGES_TEXT}) m JOIN ({ORACLES['page_title']}) t ON t.page_id = m.page_id))"""
+
+
+@register("page_extract", _page_extract_sql())
+def q_page_extract(spark, sf):
+    """The whole extract stage (E1 -> E10) over the pages, titled by their <title>."""
+    p = read_table(spark, sf, "pages", "page_id", "url", "html")
+    p = p.withColumn("title", F.coalesce(X.page_title("html"), F.lit("")))
+    return X.extract_pages(p).select("page_id", "full_text")

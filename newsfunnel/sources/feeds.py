@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsfunnel.functions.lineage import with_columns_once
 from newsfunnel.functions.text import pystrip
 from newsfunnel.operators.querygen import ARTICLE_LANGUAGES, SOURCE_RANK
 
@@ -61,7 +62,7 @@ def normalize_rss(feed: DataFrame, payload: str = "payload") -> DataFrame:
     """One ``<item>`` per row.  Needs title, link and pubDate; source =
     ``<source>`` text, else the text after the last ' - ' of the title
     (stripped), else 'Unknown'."""
-    x = feed.withColumn("_i", F.from_xml(F.col(payload), RSS_SCHEMA))
+    x = with_columns_once(feed, {"_i": F.from_xml(F.col(payload), RSS_SCHEMA)})
     # element text is whitespace-stripped, as feed parsers do
     title, link = pystrip(F.coalesce(F.col("_i.title"), F.lit(""))), pystrip(F.coalesce(F.col("_i.link"), F.lit("")))
     from_title = F.when(F.instr(title, " - ") > 0, pystrip(F.regexp_extract(title, r"(?s)^.* - (.*)$", 1)))
