@@ -161,6 +161,9 @@ ALSO_READ_RE = (rf"(?dmiu)^{S}*(?:Also{S}+Read|Read{S}+Also|ये{S}+भी{S}+
 APP_PROMO_RE = rf"(?dmiu)^{S}*(?:Download{S}+(?:the{S}+)?app|Get{S}+the{S}+app|ऐप{S}+डाउनलोड{S}+करें).*$"
 RECOMMENDED_RE = (rf"(?dmiu)(?:^.*(?:recommended|related{S}+(?:news|articles|stories)"
                   rf"|संबंधित{S}+खबरें|સંબંધિત{S}+સમાચાર).*\n)(?:.+\n?){{2,}}$")
+# Every RECOMMENDED_RE match contains one of these words (same flags), so texts
+# without them skip the backtracking-heavy pattern; exact, not a heuristic.
+RECOMMENDED_TRIGGER = r"(?iu)recommended|related|संबंधित|સંબંધિત"
 COPYRIGHT_RE = rf"(?dsiu)\n{S}*(?:©{S}*\p{{Nd}}{{4}}|copyright{S}*©|[a-z]+ name,? logo).*$"
 
 
@@ -188,15 +191,25 @@ def paragraph_dedup(c: Column | str) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Breadcrumbs, 'also read', app promos, related blocks, copyright
-    tail, newline collapse, paragraph dedup, final strip."""
-    t = _c(c)
-    t = F.regexp_replace(t, BREADCRUMB_RE, "")
-    t = F.regexp_replace(t, ALSO_READ_RE, "")
-    t = F.regexp_replace(t, APP_PROMO_RE, "")
-    t = F.regexp_replace(t, RECOMMENDED_RE, "")
-    t = F.regexp_replace(t, COPYRIGHT_RE, "")
-    t = F.regexp_replace(t, r"\n{3,}", "\n\n")
-    return pystrip(paragraph_dedup(t))
+    tail, newline collapse, paragraph dedup, final strip.
+
+    The related-block pattern backtracks over every long line; it can only
+    match where a trigger word occurs, and the earlier removals only delete
+    whole line spans (they never create a word), so texts without a trigger
+    take the branch without that pattern.  Only one branch runs per row."""
+    t0 = _c(c)
+
+    def chain(t: Column, related: bool) -> Column:
+        t = F.regexp_replace(t, BREADCRUMB_RE, "")
+        t = F.regexp_replace(t, ALSO_READ_RE, "")
+        t = F.regexp_replace(t, APP_PROMO_RE, "")
+        if related:
+            t = F.regexp_replace(t, RECOMMENDED_RE, "")
+        t = F.regexp_replace(t, COPYRIGHT_RE, "")
+        t = F.regexp_replace(t, r"\n{3,}", "\n\n")
+        return pystrip(paragraph_dedup(t))
+
+    return F.when(t0.rlike(RECOMMENDED_TRIGGER), chain(t0, True)).otherwise(chain(t0, False))
 
 
 def short_text_discard(c: Column | str, min_chars: int = 100) -> Column:
