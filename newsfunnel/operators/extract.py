@@ -171,22 +171,24 @@ def paragraph_dedup(c: Column | str) -> Column:
     """Split on blank lines, drop empty and repeated paragraphs (key = stripped,
     lower-cased), keep first occurrences in order.
 
-    Sort-based (O(k log k) per row in the paragraph count k): sort by (key,
-    position), keep an element when its key differs from its predecessor's,
-    restore position order.  No lambda refers to an outer array (Spark would
-    re-evaluate that array for every element).
+    Sort by (key, position); one ``aggregate`` pass keeps an element when its
+    key differs from the previous one; restore position order.  The input is
+    referenced exactly once (Spark would otherwise re-evaluate an upstream
+    cleaning chain per reference), and no lambda refers to an outer array.
     """
-    paras = F.split(_c(c), "\n\n")
-    s = F.array_sort(F.transform(paras, lambda p, i: F.struct(F.lower(pystrip(p)).alias("k"), i.alias("i"),
-                                                              p.alias("p"))))
-    prev = F.concat(F.array(F.lit(None).cast("string")),
-                    F.transform(F.slice(s, 1, F.size(s) - 1), lambda x: x["k"]))
-    marked = F.zip_with(s, prev, lambda x, pk: F.struct(
-        x["i"].alias("i"), x["p"].alias("p"),
-        ((x["k"] != "") & (pk.isNull() | (pk != x["k"]))).alias("keep")))
-    kept = F.filter(marked, lambda x: x["keep"])
-    ordered = F.array_sort(F.transform(kept, lambda x: F.struct(x["i"].alias("i"), x["p"].alias("p"))))
-    return F.array_join(F.transform(ordered, lambda x: x["p"]), "\n\n")
+    s = F.array_sort(F.transform(F.split(_c(c), "\n\n"), lambda p, i: F.struct(
+        F.lower(pystrip(p)).alias("k"), i.alias("i"), p.alias("p"))))
+    init = F.struct(F.lit(None).cast("string").alias("pk"),
+                    F.array().cast("array<struct<i:int,p:string>>").alias("out"))
+
+    def step(acc, x):
+        keep = (x["k"] != "") & (acc["pk"].isNull() | (acc["pk"] != x["k"]))
+        out = F.when(keep, F.concat(acc["out"], F.array(F.struct(x["i"].alias("i"), x["p"].alias("p"))))).otherwise(
+            acc["out"])
+        return F.struct(x["k"].alias("pk"), out.alias("out"))
+
+    kept = F.aggregate(s, init, step, lambda acc: acc["out"])
+    return F.array_join(F.transform(F.array_sort(kept), lambda x: x["p"]), "\n\n")
 
 
 def clean_text(c: Column | str) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.bounded import checked_broadcast
+from newsfunnel.functions.lineage import with_columns_once
 from newsfunnel.functions.text import pystrip
 
 
@@ -54,10 +55,13 @@ def tag_from_text(df: DataFrame, gazetteer: DataFrame, title: str = "title", tex
     plain substring of lower(title) [+ ' ' + lower(text) when text is non-empty]."""
     j = with_state_districts(df, gazetteer, state, "_sd")
     t = F.col(text)
-    search = F.when(t.isNotNull() & (t != ""), F.concat(F.lower(F.col(title)), F.lit(" "), F.lower(t))).otherwise(
-        F.lower(F.col(title)))
-    hit = first_contained(F.coalesce(F.col("_sd"), F.array().cast("array<string>")), search)
-    return j.withColumn(district, F.when(F.col(district).isNull(), hit).otherwise(F.col(district))).drop("_sd")
+    search = F.when(F.col(district).isNull() & F.col("_sd").isNotNull(), F.when(
+        t.isNotNull() & (t != ""), F.concat(F.lower(F.col(title)), F.lit(" "), F.lower(t))).otherwise(F.lower(F.col(title))))
+    # the lowered text is read once per district inside the lambda: compute it once per row
+    j = with_columns_once(j, {"_search": search})
+    hit = first_contained(F.coalesce(F.col("_sd"), F.array().cast("array<string>")), F.col("_search"))
+    return j.withColumn(district, F.when(F.col(district).isNull(), hit).otherwise(F.col(district))).drop(
+        "_sd", "_search")
 
 
 def resolve_answer(answer: Column, districts: Column) -> Column:
