@@ -55,6 +55,33 @@ def literal_alternation(words: Iterable[str]) -> str:
     return "|".join(java_regex_literal(w) for w in words)
 
 
+def trie_alternation(words: Iterable[str]) -> str:
+    """The same alternation factored into a prefix trie.
+
+    ``java.util.regex`` tries alternatives one by one at every position; a
+    trie shares prefixes (``new (?:hampshire|jersey|...)``), so each position
+    costs one branch per character instead of one per word.  Backtracking
+    still explores every branch, so whether a match exists — all the
+    callers ask — is unchanged.
+    """
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def build(node: dict) -> str:
+        end = "" in node
+        alts = [java_regex_literal(ch) + build(node[ch]) for ch in sorted(k for k in node if k != "")]
+        if not alts:
+            return ""
+        body = alts[0] if len(alts) == 1 and not end else "(?:" + "|".join(alts) + ")"
+        return f"(?:{body})?" if end else body
+
+    return build(trie)
+
+
 _PY_B = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 _PY_NB = rf"(?:(?<={WORD})(?={WORD})|(?<!{WORD})(?!{WORD}))"
 

@@ -231,10 +231,27 @@ def is_boilerplate(c: Column | str, phrases: list[str] | None = None, max_chars:
 
 
 def out_of_region_regex(places: list[str] | None = None) -> str:
-    from newsfunnel.functions.text import py_regex_to_java
-
-    alt = "|".join(java_regex_literal(p) for p in (places or OUT_OF_REGION_PLACES))
-    return "(?iu)" + py_regex_to_java(r"\b(?:") + alt + py_regex_to_java(r")\b")
+    """``\b(?:p1|p2|...)\b`` (Python, IGNORECASE) in Java syntax.
+
+    For a literal list the meaning of ``\b`` at each edge is fixed by the
+    word's own edge character (a word character needs a non-word neighbour,
+    and vice versa), so words are grouped by edge kinds and each group is one
+    prefix trie between one lookbehind and one lookahead."""
+    from newsfunnel.functions.text import NOT_WORD, WORD, trie_alternation
+
+    def is_word(ch: str) -> bool:
+        return ch.isalnum() or ch == "_"
+
+    groups: dict[tuple[bool, bool], list[str]] = {}
+    for p in places or OUT_OF_REGION_PLACES:
+        if p:
+            groups.setdefault((is_word(p[0]), is_word(p[-1])), []).append(p)
+    parts = []
+    for (lw, rw), ws in groups.items():
+        left = f"(?<!{WORD})" if lw else f"(?<={WORD})"
+        right = f"(?!{WORD})" if rw else f"(?={WORD})"
+        parts.append(f"{left}(?:{trie_alternation(ws)}){right}")
+    return "(?iu)" + "|".join(parts) if parts else "(?!)"
 
 
 def is_out_of_region(title: Column | str, text: Column | str, places: list[str] | None = None,

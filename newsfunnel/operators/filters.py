@@ -97,7 +97,9 @@ def filter_districts(df: DataFrame, slugs: list[str], col: str = "district") ->
 
 
 def title_signal_regex(words: list[str] | None = None) -> str:
-    return "(?iu)" + "|".join(java_regex_literal(w) for w in (words or HEAT_SIGNALS))
+    from newsfunnel.functions.text import trie_alternation
+
+    return "(?iu)" + trie_alternation(words or HEAT_SIGNALS)
 
 
 def filter_title_signal(df: DataFrame, words: list[str] | None = None, col: str = "title") -> DataFrame:
