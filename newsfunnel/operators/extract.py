@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsfunnel.functions.text import PY_SPACE, bounded_term_regex, java_regex_literal, pystrip
+from newsfunnel.functions.text import PY_SPACE, pystrip
 
 _BLOCK = ("p|div|br|h[1-6]|li|ul|ol|tr|td|th|table|thead|tbody|section|article|main|blockquote|pre|"
           "header|footer|nav|aside|figure|figcaption|dd|dt|dl|hr|form|title")
@@ -237,7 +237,7 @@ def out_of_region_regex(places: list[str] | None = None) -> str:
     word's own edge character (a word character needs a non-word neighbour,
     and vice versa), so words are grouped by edge kinds and each group is one
     prefix trie between one lookbehind and one lookahead."""
-    from newsfunnel.functions.text import NOT_WORD, WORD, trie_alternation
+    from newsfunnel.functions.text import WORD, trie_alternation
 
     def is_word(ch: str) -> bool:
         return ch.isalnum() or ch == "_"

@@ -31,7 +31,6 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from newsfunnel.functions.lineage import materialize
 from newsfunnel.functions.text import pystrip

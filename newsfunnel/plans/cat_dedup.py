@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from newsfunnel.operators.urldedup import dedup_by_url, quality_score, with_normalized_url
 from newsfunnel.plans.catalog import register
 from newsfunnel.plans.fixtures import ARTICLE_COLS, articles_v, sql_with

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from newsfunnel.operators.querygen import ARTICLE_LANGUAGES
 from newsfunnel.plans.catalog import register
 from newsfunnel.plans.fixtures import (
-    FEED_LANG_SQL, REGIONS_FX_SQL, articles_v, fx_df, fx_sql, gnews_feed_v, newsdata_feed_v, regions_fx,
+    FEED_LANG_SQL, REGIONS_FX_SQL, articles_v, fx_df, gnews_feed_v, newsdata_feed_v, regions_fx,
     rss_feed_v, sql_with,
 )
 from newsfunnel.plans.oracle_sql import d_strip

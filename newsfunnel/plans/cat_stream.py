@@ -5,8 +5,6 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import functions as F
-
 from newsfunnel.plans.catalog import register
 from newsfunnel.plans.fixtures import articles_v, sql_with
 from newsfunnel.plans.oracle_sql import d_norm_url

@@ -3,8 +3,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from helpers import greedy_title_dedup, strip_suffix
 from newsfunnel.operators.titledup import dedup_by_title, strip_source_suffix
 from newsfunnel.operators.urldedup import dedup_by_url

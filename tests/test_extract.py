@@ -1,8 +1,6 @@
 """HTML extraction, cleaning rules, length/boilerplate/geo checks."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from newsfunnel.operators import extract as X
 
 

@@ -3,8 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from helpers import py_normalize_url
 from newsfunnel.functions.urls import normalize_url
 from newsfunnel.operators.filters import skip_domain
