@@ -36,8 +36,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder
-    and is used as is.  Only when it is unset (local tests) do we create a
-    scratch folder of our own.
+    and is used as is (an unset value is an error there).  Only a local-mode
+    session without the setting (tests) gets a scratch folder of our own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -45,6 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        # never a machine-local folder on a cluster: lineage cuts must survive executor loss
+        raise ValueError("spark.checkpoint.dir is unset; point it at a shared folder (HDFS/S3/...)")
     path = tempfile.mkdtemp(prefix="newsfunnel-ckpt-", dir=os.environ.get("NEWSFUNNEL_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
