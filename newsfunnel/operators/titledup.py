@@ -21,8 +21,10 @@ Distributed plan (exact):
 4. connected components of the ``ratio >= t`` graph by min-label propagation,
    lineage cut by ``checkpoint()`` each round;
 5. a greedy decision only involves pairs inside one component, so components
-   replay the loop independently: single-title components natively (max_by),
-   multi-title components with ``applyInPandas`` on (ord, title id, quality);
+   replay the loop independently: single-title components natively (max_by);
+   multi-title components stream, range-partitioned and sorted by (component,
+   edges first, ord), through a ``mapInPandas`` replay whose state is the
+   component's slots and edges only (bounded memory however many rows);
 6. survivors join back to the full rows.
 """
 
@@ -188,35 +190,53 @@ def components(edges: DataFrame, nodes: DataFrame, max_iter: int = 100) -> DataF
 _REPLAY_SCHEMA = "comp long, ord long, keep_ord long"
 
 
-def _make_replay(threshold: float):
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _replay(pdf, threshold)
-
-    return replay
-
-
-def _replay(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Greedy loop over one component (rows: ord, rep_id, quality, edges)."""
-    arts = pdf[pdf["kind"] == 0].sort_values("ord")
-    ed = pdf[pdf["kind"] == 1]
-    match = set()
-    for a, b, r_ab, r_ba in zip(ed["a"], ed["b"], ed["r_ab"], ed["r_ba"]):
-        if r_ab >= threshold:
-            match.add((int(a), int(b)))
-        if r_ba >= threshold:
-            match.add((int(b), int(a)))
-    slots: list[list] = []  # [founder_ord, rep, quality, ord]
-    for o, rep, q in zip(arts["ord"], arts["rep_id"], arts["quality"]):
-        o, rep, q = int(o), int(rep), int(q)
-        for s in slots:
-            if s[1] == rep or (rep, s[1]) in match:
-                if q > s[2]:
-                    s[1], s[2], s[3] = rep, q, o
-                break
-        else:
-            slots.append([o, rep, q, o])
-    comp = int(pdf["comp"].iloc[0])
-    return pd.DataFrame({"comp": [comp] * len(slots), "ord": [s[0] for s in slots], "keep_ord": [s[3] for s in slots]})
+def _make_stream_replay(threshold: float):
+    """Greedy loop over components arriving sorted by (comp, kind, ord).
+
+    Within a component the edge rows (kind 0) come first and fill the directed
+    match set; article rows (kind 1) then replay the loop in ``ord`` order.
+    State is one component's slots and edges — never its article list — so a
+    component with very many duplicates streams through in bounded memory.
+    """
+
+    def run(batches):
+        cur = None
+        match: set = set()
+        slots: list[list] = []  # [founder_ord, rep, quality, ord]
+
+        def emit(comp, sl):
+            return pd.DataFrame({"comp": [comp] * len(sl), "ord": [x[0] for x in sl],
+                                 "keep_ord": [x[3] for x in sl]}, columns=["comp", "ord", "keep_ord"])
+
+        for pdf in batches:
+            done = []
+            for comp, kind, o, rep, q, a, b, r_ab, r_ba in pdf[
+                    ["comp", "kind", "ord", "rep_id", "quality", "a", "b", "r_ab", "r_ba"]].itertuples(index=False):
+                comp = int(comp)
+                if comp != cur:
+                    if cur is not None:
+                        done.append(emit(cur, slots))
+                    cur, match, slots = comp, set(), []
+                if kind == 0:
+                    if r_ab >= threshold:
+                        match.add((int(a), int(b)))
+                    if r_ba >= threshold:
+                        match.add((int(b), int(a)))
+                    continue
+                o, rep, q = int(o), int(rep), int(q)
+                for sl in slots:
+                    if sl[1] == rep or (rep, sl[1]) in match:
+                        if q > sl[2]:
+                            sl[1], sl[2], sl[3] = rep, q, o
+                        break
+                else:
+                    slots.append([o, rep, q, o])
+            if done:
+                yield pd.concat(done, ignore_index=True)
+        if cur is not None:
+            yield emit(cur, slots)
+
+    return run
 
 
 def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "language", title: str = "title",
@@ -241,15 +261,21 @@ def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "lan
         .select("comp", "ord", "keep_ord")
     )
     a_rows = arts.join(multi, "comp").select(
-        "comp", F.lit(0).alias("kind"), "ord", "rep_id", "quality",
+        "comp", F.lit(1).alias("kind"), "ord", "rep_id", "quality",
         F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"),
         F.lit(None).cast("double").alias("r_ab"), F.lit(None).cast("double").alias("r_ba"),
     )
     e_rows = edges.join(comp.withColumnRenamed("rep_id", "a"), "a").select(
-        "comp", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("ord"), F.lit(None).cast("long").alias("rep_id"),
+        "comp", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("ord"), F.lit(None).cast("long").alias("rep_id"),
         F.lit(None).cast("long").alias("quality"), "a", "b", "r_ab", "r_ba",
     )
-    replayed = a_rows.unionByName(e_rows).groupBy("comp").applyInPandas(_make_replay(threshold), _REPLAY_SCHEMA)
+    # components stay whole inside one range partition; rows stream in
+    # (comp, edges first, ord) order through a bounded-state replay
+    n_parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    replayed = (a_rows.unionByName(e_rows)
+                .repartitionByRange(n_parts, "comp")
+                .sortWithinPartitions("comp", "kind", "ord")
+                .mapInPandas(_make_stream_replay(threshold), _REPLAY_SCHEMA))
     winners = single.unionByName(replayed).select(F.col("ord").alias("_slot"), F.col("keep_ord").alias("_keep"))
     out = df.join(winners, df[order] == winners["_keep"]).drop("_keep")
     return out.withColumn(order, F.col("_slot")).drop("_slot")
