@@ -279,3 +279,20 @@ def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "lan
     winners = single.unionByName(replayed).select(F.col("ord").alias("_slot"), F.col("keep_ord").alias("_keep"))
     out = df.join(winners, df[order] == winners["_keep"]).drop("_keep")
     return out.withColumn(order, F.col("_slot")).drop("_slot")
+
+
+def _ship_by_value() -> None:
+    """Pickle this module's functions by value: the Arrow UDF and the replay
+    closures then carry their helpers to the Python workers, which need not
+    have this package installed (no --py-files required)."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - older cloudpickle: fall back to by-reference
+        pass
+
+
+_ship_by_value()
