@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfunnel.llm import bpe
+from newsfunnel.llm import bitsliced, bpe, secrets, toxicity
 from newsfunnel.llm.common import documents, sha256_ints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,33 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     counted = bpe.token_counts(documents(spark, sf_dir, "doc_id", "text"), vocab, TOKEN_LIMIT)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
+
+
+@_register("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(documents(spark, sf_dir, "doc_id", "text")))
+
+
+@_register("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@_register("op8_topk_search", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS a FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.a, c.a) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet").select("vec_id", "embedding")
+    return bitsliced.top_k(vecs, vecs.where(F.col("vec_id") % 100 == 0), 10)
