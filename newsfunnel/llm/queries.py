@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfunnel.llm import bitsliced, bpe, secrets, toxicity
+from newsfunnel.llm import bitsliced, bpe, licenses, linedup, secrets, toxicity
 from newsfunnel.llm.common import documents, sha256_ints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,13 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet").select("vec_id", "embedding")
     return bitsliced.top_k(vecs, vecs.where(F.col("vec_id") % 100 == 0), 10)
+
+
+@_register("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(documents(spark, sf_dir, "doc_id", "text")))
+
+
+@_register("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "removed_lines", "text")
