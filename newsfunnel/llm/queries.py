@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfunnel.llm import bitsliced, bpe, licenses, linedup, secrets, toxicity
+from newsfunnel.llm import bitsliced, bpe, decontam, licenses, linedup, secrets, toxicity
 from newsfunnel.llm.common import documents, sha256_ints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op10_line_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "removed_lines", "text")
+
+
+@_register("op4_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontam.contaminated(documents(spark, sf_dir, "doc_id", "text"), items)

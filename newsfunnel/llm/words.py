@@ -97,18 +97,22 @@ _ORDER = [_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
           _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB), _U(0x8EBC6AF09C88C6E3), _U(0x589965CC75374CC3)]
 
 
+def ngrams(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` word hashes, row borders ignored."""
+    full = np.zeros(max(len(h) - k + 1, 0), np.uint64)
+    for j in range(k):
+        full += h[j:len(h) - k + 1 + j] * _ORDER[j]
+    return mix(full)
+
+
 def shingles(words: Words, k: int, hashes: np.ndarray | None = None, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``k`` words of each row and how many each row has.
 
     With ``short`` a row of 1 to k - 1 words has its whole sequence as its one shingle.
     """
     h = words.hashes() if hashes is None else hashes
-    n = len(h)
     run = np.maximum(words.count - k + 1, 0)
-    full = np.zeros(max(n - k + 1, 0), np.uint64)
-    for j in range(k):
-        full += h[j:n - k + 1 + j] * _ORDER[j]
-    full = mix(full)
+    full = ngrams(h, k)
     keep = np.zeros(len(full), bool)
     if len(full):
         keep = words.row[:len(full)] == words.row[k - 1:]
