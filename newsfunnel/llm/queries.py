@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfunnel.llm import bitsliced, bpe, decontam, licenses, linedup, secrets, toxicity
+from newsfunnel.llm import bitsliced, bpe, decontam, licenses, linedup, ngram_join, secrets, toxicity
 from newsfunnel.llm.common import documents, sha256_ints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return decontam.contaminated(documents(spark, sf_dir, "doc_id", "text"), items)
+
+
+@_register("op1_ngram_join", r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 3 THEN [array_to_string(a, ' ')]
+        ELSE list_transform(range(1, len(a) - 1), lambda i: a[i] || ' ' || a[i + 1] || ' ' || a[i + 2]) END) AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM s),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.t = y.t AND x.doc_id < y.doc_id
+      GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, (SELECT min(b) FROM r WHERE r.a = s.doc_id) AS component_id FROM s
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_documents(documents(spark, sf_dir, "doc_id", "text"))
