@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfunnel.llm import bitsliced, bpe, decontam, licenses, linedup, ngram_join, secrets, toxicity
+from newsfunnel.llm import bitsliced, bpe, decontam, licenses, linedup, ngram_join, pii, secrets, toxicity
 from newsfunnel.llm.common import documents, sha256_ints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 TOKEN_LIMIT = 1024
+PII_KEY = "corpus-v1"  # the key is a parameter; a real one comes from the caller
 
 
 def _register(name: str, oracle: str | None = None):
@@ -104,3 +105,8 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, (SELECT min(b) FROM r WHE
 """)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@_register("op7_pii_surrogates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(documents(spark, sf_dir, "doc_id", "text"), PII_KEY).select("doc_id", "n_entities", "text")
