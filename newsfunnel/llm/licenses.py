@@ -112,7 +112,7 @@ def scan(df: DataFrame, templates=BASE + NOTICES, k: int = K, drift: int = DRIFT
             # the first place keeps a document without hits in the result
             .where(F.col("template").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0)))
     votes = (hits.groupBy(row, "doc_id", "n_words", "template", (F.col("pos") - F.col("t_pos")).alias("diagonal"))
-             .agg(F.count("template").alias("votes"), F.min("pos").alias("start"), (F.max("pos") + k).alias("end")))
+             .agg(F.collect_set("t_pos").alias("held"), F.min("pos").alias("start"), (F.max("pos") + k).alias("end")))
     fact = template_facts(templates, k)[F.col("template")]
     votes = votes.withColumn("fact", fact)
     along = Window.partitionBy(row, "template").orderBy("diagonal")
@@ -120,9 +120,10 @@ def scan(df: DataFrame, templates=BASE + NOTICES, k: int = K, drift: int = DRIFT
     joined = votes.withColumn("new", F.when(F.col("fact.exact") | apart.isNull() | (apart > drift), 1).otherwise(0))
     joined = joined.withColumn("group", F.sum("new").over(along))
     merged = (joined.groupBy(row, "doc_id", "n_words", "template", "group")
-              .agg(F.sum("votes").alias("votes"), F.min("start").alias("start"), F.max("end").alias("end"), F.first("fact").alias("fact")))
-    share = F.least(F.lit(1.0), F.col("votes") / F.col("fact.full"))
-    good = F.when(F.col("fact.exact"), F.col("votes") == F.col("fact.full")).otherwise(share >= cover)
+              .agg(F.array_distinct(F.flatten(F.collect_list("held"))).alias("held"), F.min("start").alias("start"), F.max("end").alias("end"), F.first("fact").alias("fact")))
+    # a place of the template counts once, however often its words stand near
+    share = F.size("held") / F.col("fact.full")
+    good = F.when(F.col("fact.exact"), F.size("held") == F.col("fact.full")).otherwise(share >= cover)
     span = F.when(F.col("template").isNotNull() & good, F.struct(
         F.col("fact.label").alias("label"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"),
         share.alias("cover"), F.col("fact.exact").alias("exact")))
