@@ -100,3 +100,22 @@ def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 6 << 20) -> Iterato
         end = max(at + 1, int(np.searchsorted(offs, offs[at] + max_bytes, "right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+
+
+def bit_marks(bits: DataFrame, size: int) -> np.ndarray:
+    """Bitmap (bytes, low bit first) of ``size`` bits with those of column ``bit`` set.
+
+    Folded on the executors; size / 64 numbers reach the driver at most, however
+    many rows there are.
+    """
+    words = (bits.select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    out = np.zeros(size // 64, np.uint64)
+    if words.num_rows:
+        out[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
+    return out.view(np.uint8)
+
+
+def marked(marks: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which bits are set."""
+    return (marks[bits >> 3] >> (bits & 7) & 1).astype(bool)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.llm.common import int_lists, map_batches, ship, slices, text_arrays
+from newsfunnel.llm.common import bit_marks, int_lists, map_batches, ship, slices, text_arrays
 from newsfunnel.llm.words import Words, ngrams
 
 N = 5  # words of a seed
@@ -78,21 +78,16 @@ def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def seed_bitmap(seeds: DataFrame) -> np.ndarray:
-    """Marks of all seeds, folded on the executors; at most BITMAP_BITS / 64 words reach the driver."""
+    """Marks of all seeds, two bits each."""
     mask = F.lit(BITMAP_BITS - 1)
-    at = seeds.select(F.explode(F.array(F.col("seed").bitwiseAND(mask), F.shiftrightunsigned("seed", 32).bitwiseAND(mask))).alias("bit"))
-    words = (at.select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
-    out = np.zeros(BITMAP_BITS // 64, np.uint64)
-    if words.num_rows:
-        out[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+    return bit_marks(seeds.select(F.explode(F.array(F.col("seed").bitwiseAND(mask), F.shiftrightunsigned("seed", 32).bitwiseAND(mask))).alias("bit")),
+                     BITMAP_BITS)
 
 
 def passages(docs: DataFrame, bitmap, sizes: list[int], longest: int) -> DataFrame:
     """(doc_id, first, words, seeds): cut-outs around the marked n-grams.  Places closer
     than the longest item share a passage, which reaches that far beyond them."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batch):
         if "marks" not in _WORKER or _WORKER["marks"][0] is not shared.value:

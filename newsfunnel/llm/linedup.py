@@ -8,8 +8,9 @@ its own.  Chunks of several lines (or one such long line) that occur more than
 once anywhere are compared byte by byte; every occurrence but the first (by
 doc_id, then place) is removed from its text.
 
-Two shuffles carry text, each once: the chunks whose hash repeats, and the
-documents that lose a chunk.
+Hashes that repeat are marked in a bitmap of fixed size, which picks the chunks
+whose text is compared before any text is shuffled.  Shuffled are the texts of
+repeated chunks and, once, the documents.
 
 Defined results: a null text has no chunks and stays null; '' stays ''; rows
 equal in doc_id and text count as one document and get the same result; null
@@ -27,13 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.llm.common import free_name, map_batches
+from newsfunnel.llm.common import bit_marks, free_name, map_batches, marked
 from newsfunnel.llm.words import mix
 
 WINDOW = 2  # lines that a boundary depends on
 DIVISOR = 2  # a line in so many ends a chunk, on average
 LONG_LINE = 50  # words from which a line is a chunk of its own
 MOST_LINES = 64  # a chunk is closed here at the latest
+MARK_BITS = 1 << 25  # 4 MB, whatever the input; more repeated chunks only let more single ones be looked at
 
 
 def line_hashes(lines: list[str]) -> np.ndarray:
@@ -55,7 +57,9 @@ def boundaries(lines: list[str], hashes: np.ndarray) -> list[int]:
         if long[i] or i + 1 < n and long[i + 1] or closes[i] and size >= WINDOW or size >= MOST_LINES:
             out.append(i + 1)
             size = 0
-    if size:
+    if size == 1 and out and not long[n - 1] and not long[out[-1] - 1]:
+        out[-1] = n  # a single last line joins the chunk before it
+    elif size:
         out.append(n)
     return out
 
@@ -73,38 +77,41 @@ def chunks(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def _explode_chunks(df: DataFrame, with_text: bool) -> DataFrame:
-    """(id, th, at, n, h[, body]) of every chunk; ``df`` has id, th and text."""
-    schema = "id long, th long, at int, n int, h long" + (", body string" if with_text else "")
+def _bit(h: np.ndarray) -> np.ndarray:
+    return h & (MARK_BITS - 1)
+
+
+def _explode_chunks(df: DataFrame, repeated=None) -> DataFrame:
+    """Hash h of every chunk; with ``repeated``, the marks of repeated hashes, (id, th, at,
+    n, h, body) of the marked chunks.  ``df`` has id, th and text."""
+    if repeated is None:
+        def hashes(batch):
+            hs = [xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for t in batch.column("text").to_pylist() if t for _, _, body in chunks(t)]
+            return pa.RecordBatch.from_arrays([pa.array(hs, pa.int64())], names=["h"])
+
+        return map_batches(df.select("text"), hashes, "h long")
+    shared = df.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batch):
-        ids, ths, ats, ns, hs, bodies = [], [], [], [], [], []
+        rows = []
         for i, th, text in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "text"))):
             for at, n, body in chunks(text) if text else ():
-                ids.append(i)
-                ths.append(th)
-                ats.append(at)
-                ns.append(n)
-                hs.append(xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63))
-                if with_text:
-                    bodies.append(body)
-        arrays = [pa.array(ids, pa.int64()), pa.array(ths, pa.int64()), pa.array(ats, pa.int32()), pa.array(ns, pa.int32()), pa.array(hs, pa.int64())]
-        names = ["id", "th", "at", "n", "h"]
-        if with_text:
-            arrays.append(pa.array(bodies, pa.string()))
-            names.append("body")
-        return pa.RecordBatch.from_arrays(arrays, names=names)
-
-    return map_batches(df, run, schema)
+                rows.append((i, th, at, n, xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63), body))
+        kept = np.flatnonzero(marked(shared.value, _bit(np.array([r[4] for r in rows], np.int64)))).tolist()
+        cols = list(zip(*(rows[k] for k in kept))) or [()] * 6
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "th", "at", "n", "h", "body"])
+
+    return map_batches(df, run, "id long, th long, at int, n int, h long, body string")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(id, th, at, n, first): occurrences of the chunks that repeat, byte for byte;
     ``docs`` has id (long), th (hash of the text) and text."""
-    # both small tables are written, so that the joins deal plain rows and Spark can split a hot chunk
-    counts = materialize(_explode_chunks(docs, False).groupBy("h").agg(F.count("*").alias("c"))
-                         .where(F.col("c") > 1).select("h"), "line-hashes")
-    found = materialize(_explode_chunks(docs, True).join(counts, "h", "left_semi"), "line-chunks")
+    counts = _explode_chunks(docs).groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > 1)
+    marks = bit_marks(counts.select(F.col("h").bitwiseAND(F.lit(MARK_BITS - 1)).alias("bit")), MARK_BITS)
+    # both tables are written, so that the join deals plain rows and Spark can split a hot chunk
+    found = materialize(_explode_chunks(docs, marks), "line-chunks")
     # equal bytes, not equal hashes, make a repetition; partial aggregation folds hot chunks before the shuffle
     place = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("th").alias("t"), F.col("at").alias("a"))
     firsts = materialize(found.groupBy(F.col("h").alias("fh"), F.col("body").alias("fbody"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.llm.common import int_lists, map_batches, ship, slices, text_arrays
+from newsfunnel.llm.common import bit_marks, int_lists, map_batches, marked, ship, slices, text_arrays
 from newsfunnel.llm.components import components
 from newsfunnel.llm.sigtree import build, signature, spanning_links
 from newsfunnel.llm.words import Words, mix, shingles
@@ -179,33 +179,23 @@ def possible_links(sets: DataFrame, percent: int) -> DataFrame:
     return _links(_dealt(rows.join(sets.select("node", "n", "sig"), "node"), "token", "c", "node"), "token", percent, False)
 
 
-def _marks(ids: DataFrame) -> np.ndarray:
-    """Bitmap of fixed size with a bit for each ``id``; folded on the executors."""
-    at = F.pmod(F.xxhash64("id"), F.lit(MARK_BITS))
-    words = (ids.select(at.alias("bit")).select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
-    out = np.zeros(MARK_BITS // 64, np.uint64)
-    if words.num_rows:
-        out[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
-    return out.view(np.uint8)
-
-
 def member_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """(node, tokens) of the members (node, low): made again from their documents.  A
     bitmap of their ids picks the rows before any text is split or shipped."""
-    shared = docs.sparkSession.sparkContext.broadcast(_marks(members.select(F.col("low").alias("id"))))
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(MARK_BITS))
+    def bit(c):
+        return F.pmod(F.xxhash64(c), F.lit(MARK_BITS)).alias("bit")
+
+    shared = docs.sparkSession.sparkContext.broadcast(bit_marks(members.select(bit("low")), MARK_BITS))
 
     def run(batch):
-        bits = batch.column("bit").to_numpy()
-        batch = batch.filter(pa.array((shared.value[bits >> 3] >> (bits & 7) & 1).astype(bool)))
+        batch = batch.filter(pa.array(marked(shared.value, batch.column("bit").to_numpy())))
         for part in slices(batch, "text"):
             sets = token_sets(part.column("text"), k)
             nodes = [int(mix(mix(s ^ np.uint64(len(s))).sum(keepdims=True))[0].view(np.int64)) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                                              names=["id", "node", "tokens"])
 
-    made = map_batches(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", bit.alias("bit")), run, "id long, node long, tokens binary")
+    made = map_batches(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", bit("doc_id")), run, "id long, node long, tokens binary")
     kept = made.join(members, (made.node == members.node) & (made.id == members.low), "left_semi")
     return kept.dropDuplicates(["node"]).select("node", "tokens")
 
