@@ -178,7 +178,7 @@ def written(kind: Column, piece: Column, made: Column) -> Column:
 
 def replace_entities(df: DataFrame, key: str, text_col: str = "text", count_col: str = "n_entities") -> DataFrame:
     """Texts with all entities replaced; ``count_col`` counts the mentions."""
-    row, found = free_name(df, "_row"), free_name(df, "_found")
+    row, found, outs = (free_name(df, n) for n in ("_row", "_found", "_outs"))
     has = F.coalesce(F.col(text_col).rlike(ANY), F.lit(False))
     held = materialize(df.where(has).withColumn(row, F.monotonically_increasing_id())
                        .withColumn(found, F.regexp_extract_all(text_col, F.lit(ANY), 0)), "pii-documents")
@@ -189,10 +189,10 @@ def replace_entities(df: DataFrame, key: str, text_col: str = "text", count_col:
     done = (parts.join(table, ["type", "core"])
             .select("row", "i", F.struct("j", F.concat("before", written(F.col("type"), F.col("piece"), F.col("made"))).alias("out")).alias("s"))
             .groupBy("row", "i").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["out"]), "").alias("out"))
-            .groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "out"))), lambda s: s["out"]).alias("outs")))
-    joined = held.join(done, held[row] == done["row"])
+            .groupBy(F.col("row").alias(row)).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "out"))), lambda s: s["out"]).alias(outs)))
+    joined = held.join(done, row)
     gaps = F.split(F.col(text_col), ANY, -1)  # one more than there are mentions
-    text = F.array_join(F.zip_with(gaps, "outs", lambda g, o: F.concat(g, F.coalesce(o, F.lit("")))), "")
+    text = F.array_join(F.zip_with(gaps, outs, lambda g, o: F.concat(g, F.coalesce(o, F.lit("")))), "")
     changed = joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in df.columns), F.size(found).cast("long").alias(count_col))
     same = df.where(~has).select(*df.columns, F.lit(0).cast("long").alias(count_col))
     return same.unionByName(changed)
