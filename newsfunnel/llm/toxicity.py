@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsfunnel.functions.lineage import materialize
 from newsfunnel.llm.common import int_lists, map_batches, ship, slices, text_arrays
 from newsfunnel.llm.words import Words, mix
 
@@ -43,7 +44,7 @@ class Bounds:
     toxic_rows: int = 8_000  # labelled rows to learn from, at most
     other_rows: int = 16_000
     buckets: int = 1 << 18
-    terms: int = 2_048  # buckets that the model keeps: those that tell the kinds apart best
+    terms: int = 1_024  # buckets that the model keeps: those that tell the kinds apart best
     least_rows: int = 3  # rows of the sample that must hold a kept bucket
     least_chi: float = 11.0  # chi-square of bucket against label that a kept bucket must reach
     factors: int = 6
@@ -112,31 +113,47 @@ def fit(docs: DataFrame, labels: DataFrame, bounds: Bounds = Bounds()) -> Model:
     ship(docs.sparkSession)
     # bounded: at most toxic_rows + other_rows pairs of numbers
     sample = F.broadcast(sample_labels(labels, bounds))
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("toxic", "text")
-    got = terms(rows, bounds.buckets).toArrow()
-    y = got.column("toxic").to_numpy().astype(float)
+    rows = materialize(terms(docs.select("doc_id", "text").join(sample, "doc_id").select("toxic", "text"), bounds.buckets), "toxicity-terms")
+    total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     slot = np.full(bounds.buckets, -1, np.int32)
-    share = float(y.mean()) if len(y) else 0.0
-    if share in (0.0, 1.0):
-        return Model(bounds, slot, np.inf if share else -np.inf)
-    lists = got.column("terms").combine_chunks()
-    bucket = lists.flatten().to_numpy()
-    row = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy())
-    n = np.bincount(bucket, minlength=bounds.buckets)
-    pos = np.bincount(bucket, weights=y[row], minlength=bounds.buckets)
-    # chi-square of bucket against label
-    total, toxic = len(y), y.sum()
-    expect = n * (toxic / total)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = np.where(n >= bounds.least_rows, (pos - expect) ** 2 / expect / (1 - toxic / total) / (1 - n / (total + 1)), 0)
-    best = np.argsort(-chi, kind="stable")[:bounds.terms]
-    best = best[chi[best] >= bounds.least_chi]
+    if toxic in (0, total):
+        return Model(bounds, slot, np.inf if toxic else -np.inf)
+    best = telling_buckets(rows, total, toxic, bounds)
     slot[best] = np.arange(len(best))
-    hit = slot[bucket] >= 0
-    bias, w, v = train(row[hit], slot[bucket[hit]], y, len(best), bounds)
+    got = kept_slots(rows, slot).toArrow()  # bounded: a few slots of each row of the sample
+    lists = got.column("slots").combine_chunks()
+    row = np.repeat(np.arange(total), lists.value_lengths().to_numpy())
+    bias, w, v = train(row, lists.flatten().to_numpy(), got.column("toxic").to_numpy().astype(float), len(best), bounds)
     return Model(bounds, slot, bias, w, v)
 
 
+def telling_buckets(rows: DataFrame, total: int, toxic: int, bounds: Bounds) -> np.ndarray:
+    """The buckets that tell the kinds apart best, by chi-square against the label."""
+    counts = (rows.select("toxic", F.explode("terms").alias("bucket")).groupBy("bucket")
+              .agg(F.count("*").alias("n"), F.sum("toxic").alias("pos")).where(F.col("n") >= bounds.least_rows))
+    share = toxic / total
+    expect = F.col("n") * share
+    chi = F.pow(F.col("pos") - expect, F.lit(2)) / expect / (1 - share) / (1 - F.col("n") / (total + 1))
+    best = (counts.withColumn("chi", chi).where(F.col("chi") >= bounds.least_chi)
+            .orderBy(F.col("chi").desc(), "bucket").limit(bounds.terms).select("bucket"))
+    return best.toArrow().column("bucket").to_numpy()
+
+
+def kept_slots(rows: DataFrame, slot: np.ndarray) -> DataFrame:
+    """(toxic, slots): the kept terms of each row of the sample."""
+    shared = rows.sparkSession.sparkContext.broadcast(slot)
+
+    def run(batch):
+        lists = batch.column("terms")
+        row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+        got = shared.value[lists.flatten().to_numpy()]
+        hit = got >= 0
+        return pa.RecordBatch.from_arrays([batch.column("toxic"), int_lists(got[hit], np.bincount(row[hit], minlength=batch.num_rows))],
+                                          names=["toxic", "slots"])
+
+    return map_batches(rows, run, "toxic int, slots array<int>")
+
+
 def train(row: np.ndarray, feat: np.ndarray, y: np.ndarray, size: int, bounds: Bounds) -> tuple[float, np.ndarray, np.ndarray]:
     """Logistic loss by Adam over the whole sample; fixed start, so equal data give an equal model.
 
