@@ -3,8 +3,8 @@
 Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their sets
 of word k-grams.  The way to the linked groups:
 
-1. A frequency sketch of fixed size over all texts puts frequent k-grams last
-   in the order of k-grams; it steers cost only.
+1. A frequency sketch of fixed size over all texts puts rare k-grams first in
+   the order of k-grams; it steers cost only.
 2. One pass writes for each document its set's size, fingerprint and
    signature, and its prefix: the n - ceil(percent% n) + 1 first k-grams in
    that order.  Linked sets share a k-gram of their prefixes.
@@ -42,7 +42,6 @@ from newsfunnel.llm.sigtree import build, signature, spanning_links
 from newsfunnel.llm.words import Words, mix, shingles
 
 SKETCH = 1 << 18  # counters of the frequency sketch
-SKETCH_PART = 1 << 12
 MARK_BITS = 1 << 24
 BLOCK = 1024  # members of a block or cluster that one task takes
 
@@ -56,31 +55,30 @@ def token_sets(col, k: int) -> list[np.ndarray]:
 
 
 def frequency_sketch(docs: DataFrame, k: int) -> np.ndarray:
-    """How much more often than the common run each hash counter was hit (0: not)."""
+    """How many texts hit each of SKETCH hash counters: a bound of how many hold a k-gram."""
+    ship(docs.sparkSession)
 
-    def run(batch):
+    def run(batches):
         total = np.zeros(SKETCH, np.int64)
-        for part in slices(batch, "text"):
-            for s in token_sets(part.column("text"), k):
-                total += np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) if len(s) > SKETCH else 0
-                if len(s) <= SKETCH:
-                    np.add.at(total, (s & np.uint64(SKETCH - 1)).astype(np.int64), 1)
-        at = np.arange(0, SKETCH, SKETCH_PART)
-        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), int_lists(total, np.full(len(at), SKETCH_PART))], names=["part", "counts"])
-
-    folded = (map_batches(docs.select("text"), run, "part long, counts array<long>")
-              .select("part", F.posexplode("counts").alias("i", "c")).where("c > 0")
-              .groupBy((F.col("part") + F.col("i")).alias("at")).agg(F.sum("c").alias("c")).toArrow())  # SKETCH rows at most
+        for batch in batches:
+            for part in slices(batch, "text"):
+                tokens = np.concatenate(token_sets(part.column("text"), k))
+                total += np.bincount((tokens & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+        at = np.flatnonzero(total)
+        for a in range(0, len(at), 1 << 16):
+            some = at[a:a + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["at", "c"])
+
+    folded = docs.select("text").mapInArrow(run, "at int, c long").groupBy("at").agg(F.sum("c").alias("c")).toArrow()  # SKETCH rows at most
     counts = np.zeros(SKETCH, np.int64)
     if folded.num_rows:
         counts[folded.column("at").to_numpy()] = folded.column("c").to_numpy()
-    usual = np.median(counts)
-    return np.where(counts > usual + 6 * np.sqrt(usual) + 16, counts, 0)
+    return counts
 
 
-def features(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataFrame:
+def features(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
     """(doc_id, n, node, prefix, sig) of every document; node is the set's fingerprint."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batch):
         often = shared.value
@@ -97,7 +95,7 @@ def features(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> Dat
                 nodes.append(int(mix(mix(s ^ np.uint64(n)).sum(keepdims=True))[0].view(np.int64)))
                 rank = often[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
                 length = n - -(-percent * n // 100) + 1
-                prefixes.append(s[np.argsort(rank, kind="stable")[:length]] if rank.any() else s[:length])
+                prefixes.append(s[np.argsort(rank, kind="stable")[:length]])
                 sigs.append(signature(s))
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -173,8 +171,11 @@ def _links(dealt: DataFrame, key: str, percent: int, exact: bool) -> DataFrame:
 
 def possible_links(sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): possible links that connect all possibly linked sets of each block."""
-    held = materialize(sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
-                       .where("c > 1"), "ngram-blocks")
+    # two sets whose sizes are too far apart make no block
+    near = (F.col("c") > 2) | (F.col("high") * percent <= F.col("low") * 100)
+    held = materialize(sets.select("n", F.explode("prefix").alias("token")).groupBy("token")
+                       .agg(F.count("*").alias("c"), F.min("n").alias("low"), F.max("n").alias("high"))
+                       .where((F.col("c") > 1) & near).select("token", "c"), "ngram-blocks")
     rows = materialize(sets.select("node", F.explode("prefix").alias("token")).join(held, "token"), "ngram-postings")
     return _links(_dealt(rows.join(sets.select("node", "n", "sig"), "node"), "token", "c", "node"), "token", percent, False)
 
