@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from newsfunnel.llm.common import int_lists, map_batches, ship, slices
 from newsfunnel.llm.prefix_bpe import CACHE_ENTRIES, PrefixBPE, PrefixCounts, read_ranks
 
+SLICE = 3 << 20  # bytes of text that are encoded together
 _WORKER: dict = {}  # per worker process: tables by vocabulary
 _ODD_SPACE = re.compile(r" \s|[ ]\Z")
 
@@ -117,7 +118,7 @@ def encode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str
 
     def run(batch):
         bpe, cache, _ = _tables(vocab)
-        for part in slices(batch, text_col):
+        for part in slices(batch, text_col, SLICE):
             flats, counts, tabs = [], [], []
             texts = [t or "" for t in part.column(text_col).to_pylist()]
             split = [_chunks(bpe, t) for t in texts]
@@ -222,7 +223,7 @@ def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "t
 
     def run(batch):
         bpe, _, cache = _tables(vocab)
-        for part in slices(batch, text_col):
+        for part in slices(batch, text_col, SLICE):
             size, total, fit = [], [], []
             texts = [t or "" for t in part.column(text_col).to_pylist()]
             split = [_chunks(bpe, t) for t in texts]

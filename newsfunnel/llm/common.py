@@ -89,7 +89,7 @@ def sha256_ints(ids) -> F.Column:
     return F.sha2(F.concat_ws(" ", ids.cast("array<string>")).cast("binary"), 256)
 
 
-def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Row slices of a batch whose text takes about ``max_bytes`` at most (a longer text is alone)."""
     n = batch.num_rows
     if not n:
