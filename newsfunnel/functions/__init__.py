@@ -3,10 +3,7 @@
 from newsfunnel.functions.text import (  # noqa: F401
     PY_SPACE,
     WORD,
-    bounded_term_regex,
     java_regex_literal,
-    literal_alternation,
-    py_regex_to_java,
     pystrip,
     slugify,
 )

@@ -45,16 +45,6 @@ def java_regex_literal(s: str) -> str:
     return "".join(out)
 
 
-def bounded_term_regex(term: str) -> str:
-    """Python ``(?<!\\w)TERM(?!\\w)`` in Java syntax (Unicode word class)."""
-    return rf"(?<!{WORD}){java_regex_literal(term)}(?!{WORD})"
-
-
-def literal_alternation(words: Iterable[str]) -> str:
-    """One alternation of literal words, as Python builds with re.escape + '|'."""
-    return "|".join(java_regex_literal(w) for w in words)
-
-
 def trie_alternation(words: Iterable[str]) -> str:
     """The same alternation factored into a prefix trie.
 
@@ -82,52 +72,6 @@ def trie_alternation(words: Iterable[str]) -> str:
     return build(trie)
 
 
-_PY_B = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
-_PY_NB = rf"(?:(?<={WORD})(?={WORD})|(?<!{WORD})(?!{WORD}))"
-
-
-def py_regex_to_java(pattern: str) -> str:
-    """Translate the Python-only pieces of a regex to Java.
-
-    ``\\b``/``\\B``/``\\w``/``\\W``/``\\s``/``\\S``/``\\d`` get their Unicode
-    (Python) meaning; ``\\Z`` becomes ``\\z``.  Everything else in the common
-    subset of the two dialects is passed through.
-    """
-    repl = {
-        "b": _PY_B,
-        "B": _PY_NB,
-        "w": WORD,
-        "W": NOT_WORD,
-        "s": PY_SPACE,
-        "S": PY_SPACE.replace("[", "[^", 1),
-        "d": r"\p{Nd}",
-        "D": r"\P{Nd}",
-        "Z": r"\z",
-    }
-    out = []
-    i = 0
-    in_class = False
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == "\\" and i + 1 < len(pattern):
-            nxt = pattern[i + 1]
-            if nxt in repl and not in_class:
-                out.append(repl[nxt])
-            elif nxt in repl and in_class and nxt in "wsd":
-                out.append(repl[nxt][1:-1])
-            else:
-                out.append(ch + nxt)
-            i += 2
-            continue
-        if ch == "[" and not in_class:
-            in_class = True
-        elif ch == "]" and in_class:
-            in_class = False
-        out.append(ch)
-        i += 1
-    return "".join(out)
-
-
 def slugify(col: Column | str) -> Column:
     """Output-folder slug: lower case, space -> '-', '&' -> 'and'."""
     c = F.col(col) if isinstance(col, str) else col

@@ -60,8 +60,8 @@ def quote_plus(col: Column) -> Column:
 
 
 def _unquote_plus(col: Column) -> Column:
-    # Python never fails on a bad '%'; keep the raw text (plus -> space) then.
-    return F.coalesce(F.try_url_decode(col), F.replace(col, F.lit("+"), F.lit(" ")))
+    # Python leaves a '%' without two hex digits as it is and decodes the rest
+    return F.url_decode(F.regexp_replace(col, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def split_url(col: Column | str) -> dict[str, Column]:

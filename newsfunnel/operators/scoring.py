@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from newsfunnel.functions.bounded import bounded_collect, dictionary_map
 from newsfunnel.functions.lineage import with_columns_once
-from newsfunnel.functions.text import PY_SPACE, WORD, java_regex_literal, py_regex_to_java
+from newsfunnel.functions.pyregex import alternation
+from newsfunnel.functions.text import WORD
 
 _ARR = "array<struct<lt:string,cat:string,pat:string>>"
 
@@ -87,11 +88,7 @@ def exclusion_regex(patterns: DataFrame | list[str], col: str = "pattern") -> st
     pats = patterns if isinstance(patterns, list) else [r[col] for r in bounded_collect(patterns.select(col))]
     if not pats:
         return None
-    return "(?iu)" + "|".join(f"(?:{py_regex_to_java(p)})" for p in pats)
-
-
-# Smallest non-zero score: one term in one category, no title hit.
-MIN_MATCH_SCORE = (1 / 3.0) * 0.5 + (1 / 2.0) * 0.3
+    return alternation(pats)
 
 
 def filter_excluded(df: DataFrame, terms: DataFrame, patterns: DataFrame | list[str],
@@ -107,6 +104,3 @@ def filter_excluded(df: DataFrame, terms: DataFrame, patterns: DataFrame | list[
         return scored
     return scored.where(~((F.col(score) < threshold) & combined_text().rlike(rx)))
 
-
-__all__ = ["combined_text", "score_relevance", "exclusion_regex", "filter_excluded", "PY_SPACE",
-           "java_regex_literal"]

@@ -46,7 +46,7 @@ def test_random_urls_match_python(spark):
     for _ in range(400):
         host = rnd.choice(["www.Ex.com", "ex.com", "WWW.www.x.org", "a.b:81", ""])
         path = "".join(rnd.choice(parts[:8] + ["/", ";p"]) for _ in range(rnd.randint(0, 5)))
-        q = "&".join(rnd.choice(["a", "b", "utm_source", "REF", "k", "é", "sp ace"]) + rnd.choice(["=", "=1", "=v+w", "", "=%41"])
+        q = "&".join(rnd.choice(["a", "b", "utm_source", "REF", "k", "é", "sp ace"]) + rnd.choice(["=", "=1", "=v+w", "", "=%41", "=a%20b%zz", "=%", "=%4", "=%C3%A9%", "=%25zz"])
                      for _ in range(rnd.randint(0, 4)))
         scheme = rnd.choice(["https://", "HTTP://", "", "ftp://"])
         urls.append(f"{scheme}{host}/{path}" + (f"?{q}" if q else "") + rnd.choice(["", "#frag"]))
