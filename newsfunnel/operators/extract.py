@@ -52,7 +52,6 @@ BOILERPLATE_PHRASES = [
 
 # Places outside the covered country (word-boundary match).
 OUT_OF_REGION_PLACES = [
-    # US states
     "alabama", "alaska", "arizona", "arkansas", "california", "colorado",
     "connecticut", "delaware", "florida", "georgia", "hawaii", "idaho",
     "illinois", "iowa", "kansas", "kentucky", "louisiana",
@@ -63,11 +62,9 @@ OUT_OF_REGION_PLACES = [
     "pennsylvania", "rhode island", "south carolina", "south dakota",
     "tennessee", "texas", "utah", "vermont", "virginia", "washington",
     "west virginia", "wisconsin", "wyoming",
-    # US cities commonly in weather news
     "phoenix", "denver", "las vegas", "houston", "dallas", "chicago",
     "los angeles", "san francisco", "miami", "seattle", "boston",
     "atlanta", "portland", "san antonio", "tucson", "sacramento",
-    # Country/region markers
     "united states", "usa", "u.s.a", "u.s.",
     "united kingdom", "australia", "pakistan", "saudi arabia",
     "middle east", "europe", "european",
@@ -155,12 +152,16 @@ def page_title(html: Column | str) -> Column:
 
 
 # --------------------------------------------------------------- cleaning
-BREADCRUMB_RE = rf"(?dm)^(?:{S}*-{S}+.{{1,50}}\n){{2,}}"
+# Unbounded group repetitions are possessive: java.util.regex then loops instead of
+# recursing once a line.  The first two breadcrumbs stay open to backtracking, which
+# decides only whether there are two.
+_CRUMB = rf"(?:{S}*-{S}+.{{1,50}}\n)"
+BREADCRUMB_RE = rf"(?dm)^{_CRUMB}{_CRUMB}{_CRUMB}*+"
 ALSO_READ_RE = (rf"(?dmiu)^{S}*(?:Also{S}+Read|Read{S}+Also|ये{S}+भी{S}+पढ़ें|यह{S}+भी{S}+पढ़ें)"
                 rf"{S}*[:|\-]?{S}*.*$")
 APP_PROMO_RE = rf"(?dmiu)^{S}*(?:Download{S}+(?:the{S}+)?app|Get{S}+the{S}+app|ऐप{S}+डाउनलोड{S}+करें).*$"
 RECOMMENDED_RE = (rf"(?dmiu)(?:^.*(?:recommended|related{S}+(?:news|articles|stories)"
-                  rf"|संबंधित{S}+खबरें|સંબંધિત{S}+સમાચાર).*\n)(?:.+\n?){{2,}}$")
+                  rf"|संबंधित{S}+खबरें|સંબંધિત{S}+સમાચાર).*\n)(?:(?:.+\n?){{2,}}+|..+\n?+)$")  # two lines, or one that could be split in two
 # Every RECOMMENDED_RE match contains one of these words (same flags), so texts
 # without them skip the backtracking-heavy pattern; exact, not a heuristic.
 RECOMMENDED_TRIGGER = r"(?iu)recommended|related|संबंधित|સંબંધિત"
