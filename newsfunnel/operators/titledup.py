@@ -18,27 +18,31 @@ Distributed plan (exact):
 3. exact ratios in both directions for survivors only (Arrow UDF): a
    bit-parallel LCS bound first (lossless: matching blocks are a common
    subsequence), difflib only for pairs that pass it;
-4. connected components of the ``ratio >= t`` graph by min-label propagation,
-   lineage cut by ``checkpoint()`` each round;
+4. connected components of the ``ratio >= t`` graph (smallest label and pointer
+   jumping, until nothing changes; each round is a written table);
 5. a greedy decision only involves pairs inside one component, so components
    replay the loop independently: single-title components natively (max_by);
    multi-title components stream, range-partitioned and sorted by (component,
-   edges first, ord), through a ``mapInPandas`` replay whose state is the
-   component's slots and edges only (bounded memory however many rows);
+   ord), through a ``mapInPandas`` replay whose state is the component's slots
+   only (bounded memory however many rows);
 6. survivors join back to the full rows.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsfunnel.functions.components import components
 from newsfunnel.functions.lineage import materialize
 from newsfunnel.functions.text import pystrip
 from newsfunnel.operators.urldedup import quality_score
 
 THRESHOLD = 0.85
+SALT_TITLES = 512  # titles of one (language, length) key that one task takes
 
 
 def strip_source_suffix(col: Column | str) -> Column:
@@ -115,37 +119,48 @@ def representatives(df: DataFrame, lang: str = "language", title: str = "title",
     return keyed.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id"))
 
 
-def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD, salts: int = 8) -> DataFrame:
+def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs (a < b by rep_id) of distinct titles in a language with
     ``max(ratio(a,b), ratio(b,a)) >= threshold`` and both directed ratios.
 
     The candidate join is keyed on (language, partner length, salt): the probe
     side carries one salt per title, the home side is replicated over all
-    salts, so each pair meets exactly once while a hot (language, length) key
-    is spread over ``salts`` tasks.  Both sides are repartitioned by number —
+    salts of its key, so each pair meets exactly once while a hot (language,
+    length) key is spread over tasks of SALT_TITLES titles.  Both sides are repartitioned by number —
     the join is CPU-heavy but small in bytes, and AQE must not coalesce it
     into a handful of tasks.
     """
     spark = reps.sparkSession
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism * 4)
-    band = threshold / (2.0 - threshold)
+
+    def reaches(matched: Column, other: Column) -> Column:
+        """difflib's own comparison with ``matched`` of the characters matched (same double arithmetic)."""
+        return F.coalesce(F.try_divide(F.lit(2.0) * matched, F.col("n") + other) >= F.lit(threshold), F.lit(False))
+
     r = (reps.select("lang", "tkey", "rep_id", F.length("tkey").alias("n"), _code_points(F.col("tkey")).alias("cps"))
          .select("lang", "tkey", "rep_id", "n", _char_tags(F.col("cps")).alias("tags")))
     # probe side: every partner length m with n*band <= m <= n (partner no longer than self)
     probe = r.select(
         "lang", "tkey", "rep_id", "n", "tags",
-        F.explode(F.sequence(F.ceil(F.col("n") * F.lit(band)).cast("int"), F.col("n"))).alias("m"),
-        F.pmod(F.xxhash64("rep_id"), F.lit(salts)).cast("int").alias("salt"),
+        # the arithmetic bound may round either way: one length more, then the exact comparison
+        F.explode(F.sequence(F.greatest(F.lit(0), F.floor(F.col("n") * F.lit(threshold / (2.0 - threshold))).cast("int") - 1), F.col("n"))).alias("m"),
+    ).where(reaches(F.col("m"), F.col("m")) | ((F.col("n") == 0) & (F.col("m") == 0)))
+    # a (language, length) key is dealt over as many salts as its size asks for
+    sizes = materialize(r.groupBy(F.col("lang").alias("lang0"), F.col("n").alias("n0")).agg(
+        F.ceil(F.count("*") / F.lit(SALT_TITLES)).cast("int").alias("salts")), "title-lengths")
+    probe = probe.join(sizes, (probe.lang == sizes.lang0) & (probe.m == sizes.n0)).select(
+        "lang", "tkey", "rep_id", "n", "tags", "m", F.pmod(F.xxhash64("rep_id"), F.col("salts")).cast("int").alias("salt"),
     ).repartition(n_parts, "lang", "m", "salt")
-    home = r.select(F.col("lang").alias("lang2"), F.col("tkey").alias("tkey2"), F.col("rep_id").alias("rep2"),
-                    F.col("n").alias("m2"), F.col("tags").alias("tags2"),
-                    F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt2"),
-                    ).repartition(n_parts, "lang2", "m2", "salt2")
+    home = r.join(sizes, (r.lang == sizes.lang0) & (r.n == sizes.n0)).select(
+        F.col("lang").alias("lang2"), F.col("tkey").alias("tkey2"), F.col("rep_id").alias("rep2"),
+        F.col("n").alias("m2"), F.col("tags").alias("tags2"),
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt2"),
+    ).repartition(n_parts, "lang2", "m2", "salt2")
     cand = probe.join(home, (probe.lang == home.lang2) & (probe.m == home.m2) & (probe.salt == home.salt2)).where(
         (F.col("m2") < F.col("n")) | (F.col("rep2") < F.col("rep_id"))
     )
     overlap = F.size(F.array_intersect(F.col("tags"), F.col("tags2")))
-    cand = cand.where(F.lit(2.0) * overlap >= F.lit(threshold) * (F.col("n") + F.col("m2")))
+    cand = cand.where(reaches(overlap, F.col("m2")) | (F.col("n") + F.col("m2") == 0))
     # exact ratios are CPU-bound Python work on small rows: spread them over a
     # fixed number of partitions (a by-number repartition is not coalesced by AQE)
     scored = cand.select(
@@ -160,83 +175,43 @@ def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD, salts: int = 8)
     ).where((F.col("r_ab") >= threshold) | (F.col("r_ba") >= threshold))
 
 
-def components(edges: DataFrame, nodes: DataFrame, max_iter: int = 100) -> DataFrame:
-    """Connected components by min-label propagation: (rep_id, comp).
-
-    Each round is one join + aggregate over the edge list; every round's labels
-    are written to the shared checkpoint folder (``materialize``) so a lost
-    executor recomputes one round, not the whole history.  Only nodes that
-    have edges take part; the others are their own component.
-    """
-    und = materialize(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
-        edges.select(F.col("b").alias("src"), F.col("a").alias("dst"))
-    ), "edges-undirected")
-    labels = materialize(und.select(F.col("src").alias("rep_id")).distinct()
-                         .select("rep_id", F.col("rep_id").alias("comp")), "labels")
-    for _ in range(max_iter):
-        nbr = und.join(labels, und.src == labels.rep_id).groupBy("dst").agg(F.min("comp").alias("nc"))
-        new = materialize(
-            labels.join(nbr, labels.rep_id == nbr.dst, "left")
-            .select("rep_id", F.least("comp", F.coalesce("nc", "comp")).alias("comp"), F.col("comp").alias("old")),
-            "labels")
-        changed = new.where(F.col("comp") != F.col("old")).limit(1).count()
-        labels = new.select("rep_id", "comp")
-        if changed == 0:
-            return nodes.select("rep_id").join(labels, "rep_id", "left").select(
-                "rep_id", F.coalesce("comp", "rep_id").alias("comp"))
-    raise RuntimeError("component labelling did not converge")
-
-
 _REPLAY_SCHEMA = "comp long, ord long, keep_ord long"
 
 
-def _make_stream_replay(threshold: float):
-    """Greedy loop over components arriving sorted by (comp, kind, ord).
+def replay(batches):
+    """Greedy loop over components arriving sorted by (comp, ord).
 
-    Within a component the edge rows (kind 0) come first and fill the directed
-    match set; article rows (kind 1) then replay the loop in ``ord`` order.
-    State is one component's slots and edges — never its article list — so a
-    component with very many duplicates streams through in bounded memory.
+    Each row carries the titles that it would match (``near``, its own among
+    them).  State is the current slots and, for each title that holds slots,
+    their places: a row costs its own neighbours, never a scan of all slots.
     """
-
-    def run(batches):
-        cur = None
-        match: set = set()
-        slots: list[list] = []  # [founder_ord, rep, quality, ord]
-
-        def emit(comp, sl):
-            return pd.DataFrame({"comp": [comp] * len(sl), "ord": [x[0] for x in sl],
-                                 "keep_ord": [x[3] for x in sl]}, columns=["comp", "ord", "keep_ord"])
-
-        for pdf in batches:
-            done = []
-            for comp, kind, o, rep, q, a, b, r_ab, r_ba in pdf[
-                    ["comp", "kind", "ord", "rep_id", "quality", "a", "b", "r_ab", "r_ba"]].itertuples(index=False):
-                comp = int(comp)
-                if comp != cur:
-                    if cur is not None:
-                        done.append(emit(cur, slots))
-                    cur, match, slots = comp, set(), []
-                if kind == 0:
-                    if r_ab >= threshold:
-                        match.add((int(a), int(b)))
-                    if r_ba >= threshold:
-                        match.add((int(b), int(a)))
-                    continue
-                o, rep, q = int(o), int(rep), int(q)
-                for sl in slots:
-                    if sl[1] == rep or (rep, sl[1]) in match:
-                        if q > sl[2]:
-                            sl[1], sl[2], sl[3] = rep, q, o
-                        break
-                else:
-                    slots.append([o, rep, q, o])
-            if done:
-                yield pd.concat(done, ignore_index=True)
-        if cur is not None:
-            yield emit(cur, slots)
-
-    return run
+    cur, slots, holds = None, [], {}  # slots: [founder ord, title, quality, ord]
+
+    def emit(comp, sl):
+        return pd.DataFrame({"comp": [comp] * len(sl), "ord": [x[0] for x in sl], "keep_ord": [x[3] for x in sl]})
+
+    for pdf in batches:
+        done = []
+        for comp, o, rep, q, near in pdf[["comp", "ord", "rep_id", "quality", "near"]].itertuples(index=False):
+            if comp != cur:
+                if cur is not None:
+                    done.append(emit(cur, slots))
+                cur, slots, holds = comp, [], {}
+            places = [holds[x][0] for x in near if holds.get(x)]
+            if not places:
+                heapq.heappush(holds.setdefault(rep, []), len(slots))
+                slots.append([o, rep, q, o])
+                continue
+            slot = slots[min(places)]
+            if q > slot[2]:
+                if slot[1] != rep:
+                    heapq.heappop(holds[slot[1]])  # the lowest slot of its title: it was the match
+                    heapq.heappush(holds.setdefault(rep, []), min(places))
+                slot[1], slot[2], slot[3] = rep, q, o
+        if done:
+            yield pd.concat(done, ignore_index=True)
+    if cur is not None:
+        yield emit(cur, slots)
 
 
 def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "language", title: str = "title",
@@ -249,7 +224,9 @@ def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "lan
     ), "title-base")
     reps = materialize(base.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id")), "title-reps")
     edges = materialize(similar_pairs(reps, threshold), "title-edges")
-    comp = materialize(components(edges, reps), "title-components")
+    linked = components(edges.select("a", "b")).select(F.col("node").alias("rep_id"), "comp")
+    comp = materialize(reps.select("rep_id").join(linked, "rep_id", "left").select(
+        "rep_id", F.coalesce("comp", "rep_id").alias("comp")), "title-components")
     arts = base.join(reps, ["lang", "tkey"]).join(comp, "rep_id")
     multi = comp.groupBy("comp").count().where(F.col("count") > 1).select("comp")
     # single-title components: identical titles only -> best quality, earliest on ties
@@ -260,22 +237,16 @@ def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "lan
              F.max_by(F.col("ord"), F.struct(F.col("quality"), -F.col("ord"))).alias("keep_ord"))
         .select("comp", "ord", "keep_ord")
     )
-    a_rows = arts.join(multi, "comp").select(
-        "comp", F.lit(1).alias("kind"), "ord", "rep_id", "quality",
-        F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"),
-        F.lit(None).cast("double").alias("r_ab"), F.lit(None).cast("double").alias("r_ba"),
-    )
-    e_rows = edges.join(comp.withColumnRenamed("rep_id", "a"), "a").select(
-        "comp", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("ord"), F.lit(None).cast("long").alias("rep_id"),
-        F.lit(None).cast("long").alias("quality"), "a", "b", "r_ab", "r_ba",
-    )
-    # components stay whole inside one range partition; rows stream in
-    # (comp, edges first, ord) order through a bounded-state replay
+    # what each title matches: edges whose ratio reaches the threshold in that direction, and itself
+    near = (edges.where(F.col("r_ab") >= threshold).select(F.col("a").alias("rep_id"), F.col("b").alias("x"))
+            .unionByName(edges.where(F.col("r_ba") >= threshold).select(F.col("b").alias("rep_id"), F.col("a").alias("x")))
+            .groupBy("rep_id").agg(F.collect_set("x").alias("near")))
+    rows = (arts.join(multi, "comp").join(near, "rep_id", "left")
+            .select("comp", "ord", "rep_id", "quality",
+                    F.concat(F.array("rep_id"), F.coalesce("near", F.array().cast("array<bigint>"))).alias("near")))
+    # components stay whole inside one range partition; rows stream in (comp, ord) order
     n_parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    replayed = (a_rows.unionByName(e_rows)
-                .repartitionByRange(n_parts, "comp")
-                .sortWithinPartitions("comp", "kind", "ord")
-                .mapInPandas(_make_stream_replay(threshold), _REPLAY_SCHEMA))
+    replayed = rows.repartitionByRange(n_parts, "comp").sortWithinPartitions("comp", "ord").mapInPandas(replay, _REPLAY_SCHEMA)
     winners = single.unionByName(replayed).select(F.col("ord").alias("_slot"), F.col("keep_ord").alias("_keep"))
     out = df.join(winners, df[order] == winners["_keep"]).drop("_keep")
     return out.withColumn(order, F.col("_slot")).drop("_slot")

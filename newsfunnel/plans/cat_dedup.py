@@ -5,7 +5,7 @@ from __future__ import annotations
 from newsfunnel.operators.urldedup import dedup_by_url, quality_score, with_normalized_url
 from newsfunnel.plans.catalog import register
 from newsfunnel.plans.fixtures import ARTICLE_COLS, articles_v, sql_with
-from newsfunnel.plans.oracle_sql import d_norm_url, d_quality
+from newsfunnel.plans.oracle_sql import d_norm_url, d_quality, d_strip
 from newsfunnel.sources.tables import read_table
 
 
@@ -50,6 +50,24 @@ def q_title_strip_suffix(spark, sf):
     return articles_v(spark, sf).select("ord", strip_source_suffix("title").alias("stripped"))
 
 
+_STRIPPED = """CASE WHEN strpos(title, ' - ') > 0
+                  AND length(title) - (length(title) - strpos(reverse(title), reverse(' - ')) - 2) - 3 <= 40
+            THEN substr(title, 1, length(title) - strpos(reverse(title), reverse(' - ')) - 2) ELSE title END"""
+
+
+def _exact_title_sql(src: str) -> str:
+    """Threshold 1: equal titles of a language; the best quality takes the first one's place."""
+    return f"""SELECT first_ord AS ord, {_cols} FROM (
+  SELECT *, row_number() OVER (PARTITION BY language, tkey ORDER BY {d_quality()} DESC, ord) AS rn,
+         min(ord) OVER (PARTITION BY language, tkey) AS first_ord
+  FROM (SELECT *, lower({d_strip(_STRIPPED)}) AS tkey FROM {src})) WHERE rn = 1"""
+
+
+@register("title_dedup_exact", sql_with(_exact_title_sql("articles_v"), articles=True))
+def q_title_dedup_exact(spark, sf):
+    return dedup_by_title(articles_v(spark, sf), threshold=1.0)
+
+
 @register("title_similar_pairs")
 def q_title_similar_pairs(spark, sf):
     return similar_pairs(representatives(articles_v(spark, sf)))

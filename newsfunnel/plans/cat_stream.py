@@ -15,7 +15,7 @@ _LANGS = "['en', 'hi', 'ta', 'te', 'bn', 'mr', 'gu', 'kn', 'ml', 'or', 'pa', 'as
 
 
 @register("stream_url_dedup", sql_with(
-    f"SELECT DISTINCT norm_url FROM ({d_norm_url('(SELECT * FROM articles_v WHERE list_contains(' + _LANGS + ', language))')})",
+    f"SELECT DISTINCT norm_url FROM ({d_norm_url('(SELECT * FROM articles_v WHERE list_contains(' + _LANGS + ', language) AND length(title) BETWEEN 1 AND 500)')})",
     articles=True))
 def q_stream_url_dedup(spark, sf):
     """Land the refs as files, run the dedup stream once (availableNow), read the sink."""

@@ -130,7 +130,7 @@ def fx_sql(name: str) -> str:
 # ---------------------------------------------------------------- article views
 ARTICLES_V_SQL = """
 SELECT d.doc_id AS ord,
-  substr(split_part(d.text,'.',1),1,120) || CASE WHEN d.doc_id%4=0 THEN ' - ' || d.source ELSE '' END AS title,
+  split_part(d.text,'.',1) || CASE WHEN d.doc_id%4=0 THEN ' - ' || d.source ELSE '' END AS title,
   CASE d.doc_id%3 WHEN 0 THEN 'https://www.' WHEN 1 THEN 'HTTPS://' ELSE 'https://' END || 'News.example.com/a/'
     || CAST(CAST(floor(d.doc_id/3) AS BIGINT) AS STRING)
     || CASE d.doc_id%3 WHEN 0 THEN '/?utm_source=feed&b=2&a=1' WHEN 1 THEN '?a=1&b=2#top' ELSE '?b=2&a=1&REF=z' END AS url,
@@ -156,7 +156,7 @@ def articles_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
     m3 = k % 3
     title = F.concat(
-        F.substring(F.split_part(F.col("text"), F.lit("."), F.lit(1)), 1, 120),
+        F.split_part(F.col("text"), F.lit("."), F.lit(1)),
         F.when(k % 4 == 0, F.concat(F.lit(" - "), F.col("source"))).otherwise(F.lit("")),
     )
     url = F.concat(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from newsfunnel.functions.lineage import materialize
 from newsfunnel.operators.filters import drop_empty_text
 from newsfunnel.operators.scoring import filter_excluded
 from newsfunnel.operators.titledup import dedup_by_title
@@ -20,6 +21,7 @@ def dedup_and_filter(articles: DataFrame, terms: DataFrame, patterns, threshold:
     return (
         articles.transform(drop_empty_text)
         .transform(dedup_by_url)
+        .transform(lambda df: materialize(df, "url-dedup"))  # the title stage reads its input twice
         .transform(lambda df: dedup_by_title(df, threshold))
         .transform(lambda df: filter_excluded(df, terms, patterns))
     )

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 from helpers import greedy_title_dedup, strip_suffix
-from newsfunnel.operators.titledup import dedup_by_title, strip_source_suffix
+from newsfunnel.operators.titledup import dedup_by_title, similar_pairs, strip_source_suffix
 from newsfunnel.operators.urldedup import dedup_by_url
 
 SCHEMA = ("ord long, title string, url string, source string, date timestamp_ntz, language string, state string, "
@@ -70,3 +70,30 @@ def test_title_dedup_matches_brute_force(spark):
     cols = ["ord", "title", "url", "source", "date", "language", "state", "district", "search_term", "full_text"]
     expect = greedy_title_dedup([dict(zip(cols, r)) for r in rows])
     assert got == expect
+
+
+def test_pairs_on_the_length_bound(spark):
+    """For every length the shortest partner that can still reach 0.85, and the next shorter one."""
+    from difflib import SequenceMatcher
+
+    rnd = random.Random(4)
+    rows, want = [], set()
+    for n in range(12, 500):
+        a = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz 0123456789") for _ in range(n))
+        m = min(m for m in range(1, n + 1) if 2.0 * m / (n + m) >= 0.85)
+        rows += [(str(n), a, 10 * n), (str(n), a[:m], 10 * n + 1), (str(n), a[:m - 1], 10 * n + 2)]
+        for x, y, i, j in ((a, a[:m], 0, 1), (a, a[:m - 1], 0, 2), (a[:m], a[:m - 1], 1, 2)):
+            if max(SequenceMatcher(None, x, y).ratio(), SequenceMatcher(None, y, x).ratio()) >= 0.85:
+                want.add((10 * n + i, 10 * n + j))
+    got = similar_pairs(spark.createDataFrame(rows, "lang string, tkey string, rep_id long"))
+    assert {(r.a, r.b) for r in got.collect()} == want and (690, 691) in want
+
+
+def test_title_chain_longer_than_a_hundred(spark):
+    """Each title is like its neighbours only; the loop is replayed over one long component."""
+    rnd = random.Random(8)
+    text = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(700))
+    rows = [art(o, text[3 * o:3 * o + 30], f"u{o}", "t" * (o % 7)) for o in range(150)]
+    got = sorted((r.ord, int(r.url[1:])) for r in dedup_by_title(spark.createDataFrame(rows, SCHEMA)).collect())
+    cols = ["ord", "title", "url", "source", "date", "language", "state", "district", "search_term", "full_text"]
+    assert got == greedy_title_dedup([dict(zip(cols, r)) for r in rows])
