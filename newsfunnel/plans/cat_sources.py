@@ -24,7 +24,7 @@ _IST = "INTERVAL 330 MINUTE"
 
 _RSS = f"""
 SELECT {_OUT} FROM (
-  SELECT ord * 256 AS ord, title2 AS title, url,
+  SELECT ord * 65536 AS ord, title2 AS title, url,
     CASE WHEN ord % 9 = 1 THEN coalesce(nullif(CASE WHEN contains(title2, ' - ')
            THEN {d_strip("regexp_extract(title2, '(?s)^.* - (.*)$', 1)")} END, ''), 'Unknown')
          ELSE coalesce(nullif(src, ''), 'Unknown') END AS source,
@@ -43,14 +43,14 @@ def q_rss(spark, sf):
 
 _ND = f"""
 SELECT {_OUT} FROM (
-  SELECT ord * 256 AS ord, {d_strip("' ' || title || ' '")} AS title, url,
+  SELECT ord * 65536 AS ord, {d_strip("' ' || title || ' '")} AS title, url,
     coalesce(nullif(CASE WHEN ord % 5 = 1 THEN NULL WHEN ord % 5 = 2 THEN '' ELSE source END, ''),
              nullif(CASE WHEN ord % 5 = 2 THEN NULL ELSE 'id-' || source END, ''), 'Unknown') AS source,
     CASE WHEN ord % 13 = 5 THEN NULL ELSE date_trunc('second', date) + {_IST} END AS date,
     {FEED_LANG_SQL} AS language, state, CAST(NULL AS VARCHAR) AS district, search_term
   FROM articles_v WHERE ord % 17 <> 0
   UNION ALL
-  SELECT ord * 256 + 1, title || ' (b)', url || '&p=2', 'Unknown',
+  SELECT ord * 65536 + 1, title || ' (b)', url || '&p=2', 'Unknown',
     CASE WHEN ord % 13 = 5 THEN NULL ELSE date_trunc('second', date) + {_IST} END,
     {FEED_LANG_SQL}, state, CAST(NULL AS VARCHAR), search_term
   FROM articles_v WHERE ord % 17 <> 0 AND ord % 2 = 1)
@@ -64,7 +64,7 @@ def q_newsdata(spark, sf):
 
 _GN = f"""
 SELECT {_OUT} FROM (
-  SELECT ord * 256 AS ord, {d_strip('title')} AS title, {d_strip('url')} AS url,
+  SELECT ord * 65536 AS ord, {d_strip('title')} AS title, {d_strip('url')} AS url,
     CASE WHEN ord % 11 = 1 THEN 'Unknown' WHEN ord % 11 = 2 THEN '' ELSE source END AS source,
     CASE WHEN ord % 11 = 3 THEN NULL ELSE date_trunc('second', date) + {_IST} END AS date,
     {FEED_LANG_SQL} AS language, state, CAST(NULL AS VARCHAR) AS district, search_term

@@ -34,24 +34,79 @@ NEWSDATA_SCHEMA = ("status string, results array<struct<title: string, link: str
 GNEWS_SCHEMA = "articles array<struct<title: string, url: string, publishedAt: string, source: struct<name: string>>>"
 
 
-def epoch_micros_to_ist(micros: Column) -> Column:
-    """Instant (epoch micros) -> IST wall clock TIMESTAMP_NTZ (IST has no DST)."""
-    secs = (micros + F.lit(IST_OFFSET_SECONDS * 1_000_000)).cast("decimal(20,0)") / F.lit(1_000_000)
+def epoch_micros_to_ntz(micros: Column, offset_seconds: int = 0) -> Column:
+    """Instant (epoch micros) -> wall clock of a fixed offset as TIMESTAMP_NTZ, whatever the session zone."""
+    secs = (micros + F.lit(offset_seconds * 1_000_000)).cast("decimal(20,0)") / F.lit(1_000_000)
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
 
 
+def epoch_micros_to_ist(micros: Column) -> Column:
+    """Instant (epoch micros) -> IST wall clock TIMESTAMP_NTZ (IST has no DST)."""
+    return epoch_micros_to_ntz(micros, IST_OFFSET_SECONDS)
+
+
 def naive_utc_to_ist(ts_ntz: Column) -> Column:
     """A naive timestamp taken as UTC -> IST wall clock."""
     return ts_ntz + F.expr(f"INTERVAL {IST_OFFSET_SECONDS} SECONDS")
 
 
+_ISO_RE = (r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?)?(Z|[+-]\d{2}:?\d{2})?)?$")
+# Zone names of RFC 822 dates.
+_ZONES = {"GMT": 0, "UT": 0, "UTC": 0, "Z": 0, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
+_RFC_RE = (r"^(?:[A-Za-z]{3,9},?\s+)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\.?\s+(\d{4}|\d{2})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?"
+           r"(?:\s*([A-Za-z]{1,3}|[+-]\d{2}:?\d{2}))?$")
+
+
+def iso_instant(col: Column) -> tuple[Column, Column]:
+    """(micros, aware) of an ISO 8601 date, with or without time, fraction and offset.
+    A naive time counts from 1970 as if it were UTC; micros is NULL where nothing parses."""
+    s = pystrip(col)
+    part = [F.regexp_extract(s, _ISO_RE, g) for g in range(1, 7)]
+    date, hour, minute, second, frac, zone = part
+
+    def or_zero(c):
+        return F.when(c == "", F.lit("00")).otherwise(c)
+
+    offset = F.when(zone.isin("", "Z"), F.lit("+00:00")).otherwise(F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, -2, 2)))
+    text = F.concat(date, F.lit(" "), or_zero(hour), F.lit(":"), or_zero(minute), F.lit(":"), or_zero(second), F.lit("."),
+                    F.rpad(F.substring(frac, 1, 6), 6, "0"), offset)
+    at = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSSxxx"))
+    return F.when(date != "", F.unix_micros(at)), zone != ""
+
+
+def rfc_instant(col: Column) -> Column:
+    """Micros of an RFC 822 date: weekday, seconds and zone are optional, years may have
+    two digits (from 90 on they mean 19xx), no zone means UTC; NULL where nothing parses."""
+    s = pystrip(col)
+    day, month, year, hour, minute, second, zone = (F.regexp_extract(s, _RFC_RE, g) for g in range(1, 8))
+    full_year = F.when(F.length(year) == 4, year).when(year >= "90", F.concat(F.lit("19"), year)).otherwise(F.concat(F.lit("20"), year))
+    names = F.lit(None).cast("string")
+    for name, hours in _ZONES.items():
+        names = F.when(F.upper(zone) == name, F.lit(f"{hours:+03d}:00")).otherwise(names)
+    offset = F.when(zone == "", F.lit("+00:00")).when(
+        zone.rlike("^[+-]"), F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, -2, 2))).otherwise(names)
+    text = F.concat_ws(" ", day, F.initcap(month), full_year, F.concat(
+        F.lpad(hour, 2, "0"), F.lit(":"), minute, F.lit(":"), F.when(second == "", F.lit("00")).otherwise(second)))
+    at = F.try_to_timestamp(F.concat(text, offset), F.lit("d MMM yyyy HH:mm:ssxxx"))
+    return F.when(day != "", F.unix_micros(at))
+
+
 def rss_date_to_ist(pub: Column) -> Column:
-    """'Tue, 10 Feb 2026 08:30:00 GMT' (weekday optional, zone name or offset)."""
-    s = F.regexp_replace(pystrip(pub), r"^[A-Za-z]{3},\s*", "")
-    ltz = F.coalesce(F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm:ss z")),
-                     F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm:ss Z")))
-    return F.when(ltz.isNotNull(), epoch_micros_to_ist(F.unix_micros(ltz)))
+    """RFC 822 or ISO 8601; a date without zone is UTC."""
+    return epoch_micros_to_ist(F.coalesce(rfc_instant(pub), iso_instant(pub)[0]))
+
+
+# Item positions get 16 bits of ``ord``; a payload with more items would need wider keys.
+ITEMS = 1 << 16
+
+
+def item_ord(ord_: Column, pos: Column | None = None) -> Column:
+    """Order key of an item: payload, then position.  What does not fit the width stops
+    the job instead of mixing up keys."""
+    pos = F.lit(0) if pos is None else pos
+    fits = (pos < ITEMS) & ord_.between(0, (1 << 40) - 1)
+    return F.when(fits, ord_ * ITEMS + pos).otherwise(F.raise_error(F.lit("payload ord or item position beyond the order key")).cast("long"))
 
 
 def _ctx(df: DataFrame) -> list[Column]:
@@ -70,7 +125,7 @@ def normalize_rss(feed: DataFrame, payload: str = "payload") -> DataFrame:
                      F.lit("Unknown"))
     date = rss_date_to_ist(F.col("_i.pubDate"))
     out = x.where((title != "") & (link != "") & date.isNotNull()).select(
-        (F.col("ord") * 256).alias("ord"), title.alias("title"), link.alias("url"), src.alias("source"),
+        item_ord(F.col("ord")).alias("ord"), title.alias("title"), link.alias("url"), src.alias("source"),
         date.alias("date"), *_ctx(x), F.lit(None).cast("string").alias("district"))
     return validate_refs(exclude_publishers(out))
 
@@ -86,13 +141,9 @@ def normalize_newsdata(feed: DataFrame, payload: str = "payload") -> DataFrame:
     src = F.coalesce(F.nullif(F.col("_r.source_name"), F.lit("")), F.nullif(F.col("_r.source_id"), F.lit("")),
                      F.lit("Unknown"))
     pub = F.col("_r.pubDate")
-    naive = F.try_to_timestamp(pub, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
-    iso_naive = F.try_to_timestamp(pub, F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp_ntz")
-    aware = F.try_to_timestamp(pub, F.lit("yyyy-MM-dd[ ]['T']HH:mm:ssXXX"))
-    date = F.when(aware.isNotNull(), epoch_micros_to_ist(F.unix_micros(aware))).otherwise(
-        naive_utc_to_ist(F.coalesce(naive, iso_naive)))
+    date = epoch_micros_to_ist(iso_instant(pub)[0])  # a naive time is UTC
     return validate_refs(x.where((title != "") & (link != "") & pub.isNotNull() & date.isNotNull()).select(
-        (F.col("ord") * 256 + F.col("_pos")).alias("ord"), title.alias("title"), link.alias("url"), src.alias("source"),
+        item_ord(F.col("ord"), F.col("_pos")).alias("ord"), title.alias("title"), link.alias("url"), src.alias("source"),
         date.alias("date"), *_ctx(x), F.lit(None).cast("string").alias("district")))
 
 
@@ -105,11 +156,10 @@ def normalize_gnews(feed: DataFrame, payload: str = "payload") -> DataFrame:
     title, link = pystrip(F.coalesce(F.col("_r.title"), F.lit(""))), pystrip(F.coalesce(F.col("_r.url"), F.lit("")))
     src = F.coalesce(F.col("_r.source.name"), F.lit("Unknown"))
     pub = F.col("_r.publishedAt")
-    aware = F.try_to_timestamp(pub, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"))
-    naive = F.try_to_timestamp(pub, F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp_ntz")
-    date = F.when(aware.isNotNull(), epoch_micros_to_ist(F.unix_micros(aware))).otherwise(naive)
+    micros, aware = iso_instant(pub)
+    date = F.when(aware, epoch_micros_to_ist(micros)).otherwise(epoch_micros_to_ntz(micros))
     return validate_refs(x.where((title != "") & (link != "") & pub.isNotNull() & date.isNotNull()).select(
-        (F.col("ord") * 256 + F.col("_pos")).alias("ord"), title.alias("title"), link.alias("url"), src.alias("source"),
+        item_ord(F.col("ord"), F.col("_pos")).alias("ord"), title.alias("title"), link.alias("url"), src.alias("source"),
         date.alias("date"), *_ctx(x), F.lit(None).cast("string").alias("district")))
 
 

@@ -5,15 +5,18 @@ written by one partitioned write (each task writes its own rows; no group is
 ever collected into one task or the driver).  A group's envelope header
 (first member's labels and the count) is an aggregate, written next to the
 article lines.  CSV rows follow Python ``csv`` minimal quoting with CRLF line
-ends; files are salted per group so a hot group is spread over several files,
-each with its own header.
+ends (``csv_line``); a large group is dealt over several files by its row
+count, each with the CSV writer's own header.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsfunnel.functions.lineage import materialize
 from newsfunnel.functions.text import slugify
 
 ARTICLE_FIELDS = ["title", "url", "source", "date", "language", "state", "district", "search_term",
@@ -53,9 +56,7 @@ def output_groups(df: DataFrame, order: str = "ord") -> DataFrame:
 
 def article_json(df: DataFrame) -> Column:
     """One article as JSON in model field order (nulls kept)."""
-    fields = [F.col(c) for c in ARTICLE_FIELDS if c != "date"]
     st = F.struct(*[F.col(c) if c != "date" else iso_ist("date").alias("date") for c in ARTICLE_FIELDS])
-    del fields
     return F.to_json(st, {"ignoreNullFields": "false"})
 
 
@@ -70,33 +71,33 @@ def csv_line(df: DataFrame) -> Column:
     return F.concat(F.concat_ws(",", *[csv_field(c) for c in cols]), F.lit("\r"))
 
 
-CSV_HEADER = ",".join(ARTICLE_FIELDS) + "\r"
+# Python csv's minimal quoting: '"' doubled inside quotes, blanks kept, nothing for NULL and ''.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def write_output(df: DataFrame, root: str, metadata: DataFrame | None = None, files_per_group: int = 4,
+def write_output(df: DataFrame, root: str, metadata: DataFrame | None = None, rows_per_file: int = 100_000,
                  order: str = "ord") -> None:
     """One partitioned JSON-lines write, one partitioned CSV write, the group
-    headers and the run metadata.  Re-running overwrites only the groups it
+    headers and the run metadata.
+
+    The input is evaluated once (a written table).  A group is dealt over as
+    many tasks as its row count asks for, by a hash of ``order``; every CSV file
+    has the writer's own header.  Re-running overwrites only the groups it
     writes (dynamic partition overwrite), so a retried job is idempotent."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    keyed = with_output_keys(df)
     parts = ["state_slug", "out_date", "district_slug"]
-    (keyed.select(*parts, F.col(order), article_json(keyed).alias("value"))
-     .repartition(*parts, (F.col(order) % files_per_group))
-     .sortWithinPartitions(*parts, order)
-     .drop(order)
-     .write.mode("overwrite").partitionBy(*parts).text(f"{root}/articles_json"))
-    salt = (F.col(order) % files_per_group).alias("_salt")
-    data = keyed.select(*parts, salt, F.lit(1).alias("_k"), F.col(order), csv_line(keyed).alias("value"))
-    headers = data.select(*parts, "_salt").distinct().select(
-        *parts, "_salt", F.lit(0).alias("_k"), F.lit(-1).cast("long").alias(order), F.lit(CSV_HEADER).alias("value"))
-    (data.unionByName(headers)
-     .repartition(*parts, "_salt")
-     .sortWithinPartitions(*parts, "_salt", "_k", order)
-     .select(*parts, "value")
-     .write.mode("overwrite").option("lineSep", "\n").partitionBy(*parts).text(f"{root}/articles_csv"))
-    output_groups(df, order).write.mode("overwrite").partitionBy(*parts).json(f"{root}/groups")
+    keyed = materialize(with_output_keys(df), "output")
+    sizes = materialize(keyed.groupBy(*[F.col(p).alias(f"_{p}") for p in parts]).agg(
+        F.ceil(F.count("*") / F.lit(rows_per_file)).alias("_files")), "output-groups")
+    same = reduce(lambda a, b: a & b, (F.col(p).eqNullSafe(F.col(f"_{p}")) for p in parts))
+    dealt = (keyed.join(sizes, same).withColumn("_salt", F.pmod(F.xxhash64(order), F.col("_files")))
+             .repartition(*parts, "_salt").sortWithinPartitions(*parts, order))
+    options = {"partitionOverwriteMode": "dynamic", "maxRecordsPerFile": str(rows_per_file)}
+    (dealt.select(*parts, article_json(dealt).alias("value"))
+     .write.mode("overwrite").options(**options).partitionBy(*parts).text(f"{root}/articles_json"))
+    (dealt.select(*parts, *[(iso_ist("date") if c == "date" else F.col(c)).alias(c) for c in ARTICLE_FIELDS])
+     .write.mode("overwrite").options(**options, **CSV_OPTIONS).partitionBy(*parts).csv(f"{root}/articles_csv"))
+    output_groups(keyed, order).write.mode("overwrite").options(**options).partitionBy(*parts).json(f"{root}/groups")
     if metadata is not None:
         metadata.coalesce(1).write.mode("overwrite").json(f"{root}/_metadata")
 

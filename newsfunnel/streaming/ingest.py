@@ -10,7 +10,8 @@ daily batch-style runs).
 ``dropDuplicatesWithinWatermark`` keeps the *first* row per URL; the batch
 rule keeps the best quality.  ``start_best_quality_ingest`` reproduces the
 batch rule across micro-batches with ``foreachBatch``: each batch is deduped
-with the batch operator and merged into the date partitions it touches.
+with the batch operator and merged into the date partitions it touches and
+those that hold copies of its URLs.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from newsfunnel.functions.lineage import materialize
 from newsfunnel.functions.urls import normalize_url
 from newsfunnel.session import ensure_checkpoint_dir
 from newsfunnel.sources.feeds import validate_refs
@@ -66,31 +68,53 @@ def start_best_quality_ingest(spark: SparkSession, src_dir: str, table_dir: str,
                               checkpoint: str | None = None) -> StreamingQuery:
     """L3 with the batch rule (best quality wins) kept across micro-batches.
 
-    Each micro-batch: dedup it, union with the rows already stored for the
-    same output dates, dedup again, overwrite only those date partitions
-    (dynamic partition overwrite).  Work per batch is bounded by the dates it
-    touches, not by the table.
+    The table keeps each row's normalised URL.  A micro-batch looks its URLs up
+    in that column, so it finds copies on other dates too; then it reads the
+    partitions that it touches or that hold such a copy (a literal date list, so
+    the scan prunes the others), dedups them together with the batch, rewrites
+    them and removes those that are left without rows.  A batch that is run
+    again after a failure finds its own rows and changes nothing.
     """
     from newsfunnel.operators.urldedup import dedup_by_url
 
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-
     def merge(batch: DataFrame, batch_id: int) -> None:
-        b = validate_refs(batch).withColumn("out_date", F.date_format("date", "yyyy-MM-dd"))
+        b = materialize(validate_refs(batch).withColumns({"norm_url": normalize_url("url"), "out_date": F.date_format("date", "yyyy-MM-dd")}), "stream-batch")
         if b.isEmpty():
             return
-        dates = b.select("out_date").distinct()
-        try:
-            existing = batch.sparkSession.read.parquet(table_dir).join(dates, "out_date", "left_semi")
-            merged = b.unionByName(existing.select(*b.columns))
-        except Exception:  # noqa: BLE001 - first batch: table does not exist yet
-            merged = b
-        # reading and overwriting the same partitions: materialise the merge
-        # first (reliable checkpoint in the shared checkpoint dir)
-        best = dedup_by_url(merged).checkpoint()
-        best.write.mode("overwrite").partitionBy("out_date").parquet(table_dir)
+        touched = b.select("out_date")
+        if path_exists(spark, table_dir):
+            table = spark.read.schema(b.schema).parquet(table_dir)
+            touched = touched.union(table.join(b.select("norm_url"), "norm_url", "left_semi").select("out_date"))
+        dates = [r[0] for r in touched.distinct().collect()]  # as many as there are days
+        merged = b.unionByName(table_dates(spark, table_dir, dates, b.schema).select(*b.columns)) if path_exists(spark, table_dir) else b
+        # the partitions that are read are rewritten: the result is written elsewhere first
+        best = materialize(dedup_by_url(merged), "stream-merge")
+        best.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("out_date").parquet(table_dir)
+        left = {r[0] for r in best.select("out_date").distinct().collect()}
+        for d in set(dates) - left:
+            remove_path(spark, f"{table_dir}/out_date={d}")
 
     s = ref_stream(spark, src_dir, fmt).writeStream.foreachBatch(merge).option(
         "checkpointLocation", checkpoint or checkpoint_location(spark, name))
     s = s.trigger(availableNow=True) if available_now else s.trigger(processingTime="1 minute")
     return s.start()
+
+
+def table_dates(spark: SparkSession, table_dir: str, dates: list[str], schema) -> DataFrame:
+    """The partitions of these dates."""
+    return spark.read.schema(schema).parquet(table_dir).where(F.col("out_date").isin(dates))
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)

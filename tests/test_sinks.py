@@ -21,13 +21,13 @@ def test_write_output_roundtrip(spark, tmpdir_path):
          "heat", None, 1.0),
     ]
     df = spark.createDataFrame(rows, SCHEMA)
-    W.write_output(df, tmpdir_path, files_per_group=2)
-    csvs = glob.glob(os.path.join(tmpdir_path, "articles_csv", "state_slug=tamil-nadu", "out_date=2026-07-05", "*", "*.txt"))
+    W.write_output(df, tmpdir_path)
+    csvs = glob.glob(os.path.join(tmpdir_path, "articles_csv", "state_slug=tamil-nadu", "out_date=2026-07-05", "*", "*.csv"))
     assert csvs
     recs = []
     for f in csvs:
         raw = open(f, "rb").read().decode()
-        assert raw.startswith(",".join(W.ARTICLE_FIELDS) + "\r\n")
+        assert raw.startswith(",".join(W.ARTICLE_FIELDS) + "\n")
         recs.extend(csv.DictReader(io.StringIO(raw, newline="")))
     by_title = {r["title"]: r for r in recs}
     assert by_title['He said "hot", very']["full_text"] == "line1\nline2"
@@ -43,3 +43,22 @@ def test_write_output_roundtrip(spark, tmpdir_path):
     assert [k for k in lines[0]] == W.ARTICLE_FIELDS
     groups = spark.read.json(os.path.join(tmpdir_path, "groups")).collect()
     assert sorted(g.article_count for g in groups) == [1, 1]
+
+
+def test_one_header_a_file_in_a_large_group(spark, tmpdir_path):
+    """1,000 rows of one group, with order keys as feeds build them, dealt over several files."""
+    texts = ["plain", 'with "quotes"', " blanks ", "two\nlines", "cr\rlf\r\n", "", None, "a,b", "'", "\\", "#x"]
+    rows = [(n * 65536, f"t{n}", f"https://a/{n}", "s", dt.datetime(2026, 7, 5), "en", "Bihar", "Gaya", "heat", texts[n % len(texts)], 0.5)
+            for n in range(1000)]
+    W.write_output(spark.createDataFrame(rows, SCHEMA), tmpdir_path, rows_per_file=100)
+    files = glob.glob(os.path.join(tmpdir_path, "articles_csv", "state_slug=bihar", "*", "*", "*.csv"))
+    recs = []
+    for f in files:
+        raw = open(f, newline="", encoding="utf-8").read()
+        assert raw.startswith(",".join(W.ARTICLE_FIELDS) + "\n") and raw.count("title,url,source") == 1
+        recs += list(csv.DictReader(io.StringIO(raw, newline="")))
+    assert len(files) > 1 and len(recs) == 1000
+    assert {r["title"]: r["full_text"] for r in recs} == {r[1]: r[9] or "" for r in rows}
+    W.write_output(spark.createDataFrame(rows, SCHEMA), tmpdir_path, rows_per_file=100)  # a retry changes nothing
+    again = glob.glob(os.path.join(tmpdir_path, "articles_csv", "state_slug=bihar", "*", "*", "*.csv"))
+    assert sum(len(list(csv.DictReader(open(f, newline="", encoding="utf-8")))) for f in again) == 1000

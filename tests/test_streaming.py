@@ -46,3 +46,30 @@ def test_best_quality_stream(spark, tmpdir_path):
     a = [r for r in got.values() if "a.com" in r.url][0]
     assert a.full_text == "longer text wins" and a.ord == 1
     assert spark.read.parquet(table).where(F.col("url").contains("b.com")).count() == 1
+
+
+def test_best_quality_over_dates_and_restarts(spark, tmpdir_path):
+    """A better copy on another date takes the row over, and the emptied day goes."""
+    src, table, ck = (os.path.join(tmpdir_path, x) for x in ("in", "tbl", "ck"))
+
+    def batch(*rows):
+        _refs(spark, list(rows)).coalesce(1).write.mode("append").parquet(src)
+        start_best_quality_ingest(spark, src, table, checkpoint=ck).awaitTermination(120)
+        return sorted((r.ord, r.url, r.full_text, str(r.out_date)) for r in spark.read.parquet(table).collect())
+
+    assert batch(_row(1, "https://a.com/x", "t", 1), _row(2, "https://b.com/y", "keep", 3)) == [
+        (1, "https://a.com/x", "t", "2026-02-01"), (2, "https://b.com/y", "keep", "2026-02-03")]
+    assert batch(_row(3, "https://www.a.com/x/", "longer text", 2)) == [
+        (1, "https://www.a.com/x/", "longer text", "2026-02-02"), (2, "https://b.com/y", "keep", "2026-02-03")]
+    assert not os.path.exists(os.path.join(table, "out_date=2026-02-01"))
+    assert batch(_row(4, "https://a.com/x?ref=q", "worse", 5)) == [
+        (1, "https://www.a.com/x/", "longer text", "2026-02-02"), (2, "https://b.com/y", "keep", "2026-02-03")]
+
+
+def test_merge_reads_only_the_partitions_it_needs(spark, tmpdir_path):
+    from newsfunnel.streaming.ingest import table_dates
+
+    df = spark.range(30).selectExpr("id", "concat('2026-02-', lpad(id % 9 + 1, 2, '0')) AS out_date")
+    df.write.partitionBy("out_date").parquet(os.path.join(tmpdir_path, "t"))
+    plan = table_dates(spark, os.path.join(tmpdir_path, "t"), ["2026-02-03"], df.schema)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2026-02-03" in plan.split("PartitionFilters: [")[1].split("]")[0]
