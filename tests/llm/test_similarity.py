@@ -3,7 +3,8 @@ import random
 import numpy as np
 from llm_helpers import AWKWARD, brute_components, docs_frame, edited, prose, word_set
 
-from newsfunnel.llm import bitsliced, components, ngram_join, sigtree
+from newsfunnel.functions import components
+from newsfunnel.llm import bitsliced, ngram_join, sigtree
 
 
 def groups(rnd):
