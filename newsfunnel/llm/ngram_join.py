@@ -18,8 +18,10 @@ of word k-grams.  The way to the linked groups:
    the links found connect everything that is linked.
 6. Components of the links, and with them every document's component.
 
-Blocks and clusters beyond ``BLOCK`` members are dealt into parts and every
-two parts meet in a task of their own, so no group has to fit one task.
+Blocks and clusters are dealt into parts of ``BLOCK`` members, so no group has
+to fit one task: a block's parts meet as summary nodes, one a connected group,
+a cluster's by one member of each group and then by the members outside its
+largest group.
 
 Defined results: a null text counts as ''; a text without words has the empty
 set, links with nothing and is its own component; repeated rows link with each
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from newsfunnel.functions.components import components
 from newsfunnel.functions.lineage import materialize
 from newsfunnel.llm.common import bit_marks, int_lists, map_batches, marked, ship, slices, text_arrays
-from newsfunnel.llm.sigtree import build, signature, spanning_links
+from newsfunnel.llm.sigtree import Groups, Node, build, signature, spanning_links, summaries
 from newsfunnel.llm.words import Words, mix, shingles
 
 SKETCH = 1 << 18  # counters of the frequency sketch
@@ -106,17 +108,17 @@ def features(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
     return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n long, node long, prefix array<long>, sig binary")
 
 
-def _dealt(df: DataFrame, key: str, count: str, member: str) -> DataFrame:
-    """Rows of a group of ``count`` members, dealt into parts of BLOCK; every two parts meet:
-    a row goes to each meeting (``one``, ``two``) of its part."""
+def _dealt(df: DataFrame, key: str, count: str, member: str, everywhere: str | None = None) -> DataFrame:
+    """Rows of each group, dealt into parts of BLOCK members by column ``part``; rows
+    with ``everywhere`` go to all parts of their group."""
     n = F.ceil(F.col(count) / BLOCK)
     own = F.pmod(F.xxhash64(member), n)
+    if everywhere:
+        df = df.withColumn("part", F.explode(F.when(F.col(everywhere), F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array(own))))
+    else:
+        df = df.withColumn("part", own)
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    met = (df.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("other"))
-           # parts meet once, and a part meets itself only where it is the only one
-           .where((F.col("own") != F.col("other")) | (n == 1))
-           .withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other")).drop("own", "other"))
-    return met.repartition(parts, key, "one", "two").sortWithinPartitions(key, "one", "two")
+    return df.repartition(parts, key, "part").sortWithinPartitions(key, "part")
 
 
 def _groups(batches, keys: list[str]):
@@ -138,46 +140,122 @@ def _groups(batches, keys: list[str]):
         yield rest
 
 
-def _links(dealt: DataFrame, key: str, percent: int, exact: bool) -> DataFrame:
-    """(a, b): links between nodes that connect what is (possibly, or exactly) linked in each group."""
-    ship(dealt.sparkSession)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def run(batches):
-        out_a, out_b = [], []
-        for g in _groups(batches, [key, "one", "two"]):
-            if g.num_rows < 2:
-                continue
-            nodes, sizes, sigs = g.column("node").to_pylist(), g.column("n").to_pylist(), g.column("sig").to_pylist()
-            if exact:
-                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in g.column("tokens")]
-
-                def linked(i, j):
-                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    return 100 * common >= percent * (sizes[i] + sizes[j] - common)
-            else:
-                def linked(i, j):
-                    return True
-            for i, j in spanning_links(build(sizes, sigs), len(nodes), percent, linked):
-                out_a.append(nodes[i])
-                out_b.append(nodes[j])
-            if len(out_a) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], schema=schema)
-                out_a, out_b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], schema=schema)
-
-    return dealt.mapInArrow(run, "a long, b long")
+
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.int64())], schema=_PAIR)
 
 
 def possible_links(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): possible links that connect all possibly linked sets of each block."""
+    """(a, b): possible links that connect all possibly linked sets of each block.
+
+    A block is taken in parts, each by its own tree.  What a part connects becomes
+    one summary node; the tree over a block's summaries, one level up, connects
+    the parts.  A block of one part is done by its first tree.
+    """
     # two sets whose sizes are too far apart make no block
     near = (F.col("c") > 2) | (F.col("high") * percent <= F.col("low") * 100)
     held = materialize(sets.select("n", F.explode("prefix").alias("token")).groupBy("token")
                        .agg(F.count("*").alias("c"), F.min("n").alias("low"), F.max("n").alias("high"))
                        .where((F.col("c") > 1) & near).select("token", "c"), "ngram-blocks")
     rows = materialize(sets.select("node", F.explode("prefix").alias("token")).join(held, "token"), "ngram-postings")
-    return _links(_dealt(rows.join(sets.select("node", "n", "sig"), "node"), "token", "c", "node"), "token", percent, False)
+
+    def parts(batches):
+        """Links of each part (token null), and the summaries of parts of larger blocks."""
+        out = []
+        for g in _groups(batches, ["token", "part"]):
+            nodes, sizes, sigs = (g.column(c).to_pylist() for c in ("node", "n", "sig"))
+            leaves = [Node(i, n, s) for i, (n, s) in enumerate(zip(sizes, sigs))]
+            groups = Groups(len(leaves))
+            if len(leaves) > 1:
+                out += [(None, nodes[i], nodes[j], None, None, None, None)
+                        for i, j in spanning_links(build(leaves), len(leaves), percent, lambda i, j: True, groups)]
+            if g.column("c")[0].as_py() > BLOCK:
+                token = g.column("token")[0].as_py()
+                out += [(token, nodes[i], None, low, high, sig, shared) for i, low, high, sig, shared in summaries(leaves, groups)]
+            if len(out) > 10_000:
+                yield from _rows(out, schema)
+                out = []
+        yield from _rows(out, schema)
+
+    schema = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64()), ("high", pa.int64()),
+                        ("sig", pa.binary()), ("shared", pa.int64())])
+    dealt = _dealt(rows.join(sets.select("node", "n", "sig"), "node"), "token", "c", "node")
+    found = materialize(dealt.mapInArrow(parts, "token long, a long, b long, low long, high long, sig binary, shared long"), "ngram-parts")
+
+    def across(batches):
+        """Links between the summaries of a block."""
+        for g in _groups(batches, ["token", "part"]):
+            nodes = g.column("a").to_pylist()
+            leaves = [Node.summary(i, *x) for i, x in enumerate(zip(*(g.column(c).to_pylist() for c in ("low", "high", "sig", "shared"))))]
+            if len(leaves) > 1:
+                yield _pairs([(nodes[i], nodes[j]) for i, j in spanning_links(build(leaves), len(leaves), percent, lambda i, j: True)])
+
+    ups = found.where(F.col("token").isNotNull()).withColumn("part", F.lit(0))
+    n = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    links = ups.repartition(n, "token").sortWithinPartitions("token").mapInArrow(across, "a long, b long")
+    return found.where(F.col("token").isNull()).select("a", "b").unionByName(links)
+
+
+def _rows(rows: list[tuple], schema: pa.Schema):
+    cols = list(zip(*rows)) or [()] * len(schema)
+    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+def exact_links(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links found in each part of a cluster, by exact comparison; ``rows`` are
+    dealt and hold ``group``, what was connected before (its pairs are not compared)."""
+
+    def run(batches):
+        for g in _groups(batches, ["comp", "part"]):
+            if g.num_rows < 2:
+                continue
+            nodes, sizes, sigs, known = (g.column(c).to_pylist() for c in ("node", "n", "sig", "group"))
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in g.column("tokens")]
+            groups, first = Groups(len(nodes)), {}
+            for i, k in enumerate(known):
+                groups.join(first.setdefault(k, i), i)
+
+            def linked(i, j):
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                return 100 * common >= percent * (sizes[i] + sizes[j] - common)
+
+            tree = build([Node(i, n, s) for i, (n, s) in enumerate(zip(sizes, sigs))])
+            yield _pairs([(nodes[i], nodes[j]) for i, j in spanning_links(tree, len(nodes), percent, linked, groups)])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def cluster_links(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect everything linked in each cluster; ``rows`` are its
+    members (comp, c, node, n, sig, tokens).
+
+    A cluster is taken in parts.  For clusters of several parts, one member of
+    each group found so far is compared with those of the other parts, which
+    joins the parts of a large group of copies; then every member outside a
+    cluster's largest group meets all parts, and the largest group is shipped
+    once.  A cluster of one part is done by the first step.
+    """
+    one = materialize(exact_links(_dealt(rows.withColumn("group", F.col("node")), "comp", "c", "node"), percent), "ngram-links")
+    large = materialize(rows.where(F.col("c") > BLOCK), "ngram-large")
+
+    def grouped(links: DataFrame) -> DataFrame:
+        known = components(links).select("node", F.col("comp").alias("known"))
+        return large.join(known, "node", "left").withColumn("group", F.coalesce("known", "node")).drop("known")
+
+    now = grouped(one)
+    heads = now.where(F.col("node") == F.col("group"))
+    count = materialize(heads.groupBy(F.col("comp").alias("h_comp")).agg(F.count("*").alias("heads")), "ngram-heads")
+    heads = heads.join(count, F.col("comp") == F.col("h_comp")).drop("h_comp")
+    two = materialize(exact_links(_dealt(heads, "comp", "heads", "node"), percent), "ngram-links")
+    now = materialize(grouped(one.union(two)), "ngram-large")
+    sizes = now.groupBy("comp", "group").agg(F.count("*").alias("size"))
+    main = materialize(sizes.groupBy(F.col("comp").alias("m_comp")).agg(F.max_by("group", F.struct("size", "group")).alias("main"), F.count("*").alias("left")),
+                       "ngram-main")
+    open_ = now.join(main, F.col("comp") == F.col("m_comp")).where("left > 1").withColumn("outside", F.col("group") != F.col("main"))
+    three = materialize(exact_links(_dealt(open_, "comp", "c", "node", "outside"), percent), "ngram-links")
+    return one.union(two).union(three)
 
 
 def member_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
@@ -214,7 +292,7 @@ def linked_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFram
     sizes = materialize(members.groupBy(F.col("comp").alias("c_comp")).agg(F.count("*").alias("c")), "ngram-clusters")
     tokens = materialize(member_sets(docs, members.select("node", "low"), k), "ngram-tokens")
     rows = members.join(sizes, F.col("comp") == F.col("c_comp")).drop("c_comp").join(tokens, "node")
-    comps = components(_links(_dealt(rows, "comp", "c", "node"), "comp", percent, True))
+    comps = components(cluster_links(rows, percent))
     # the smallest document of each component, and that of each set
     low = sets.select("node", "low")
     least = materialize(comps.join(low, "node").groupBy("comp").agg(F.min("low").alias("least")), "ngram-least")

@@ -41,6 +41,14 @@ class Node:
         bits = int.from_bytes(sig, "little")
         self.forms = {self.width: (bits, size - bits.bit_count())}
 
+    @classmethod
+    def summary(cls, item: int, low: int, high: int, sig: bytes, shared: int) -> Node:
+        """Stands for several sets whose OR is ``sig``; a leaf of the tree that is built over such."""
+        self = cls(item, high, sig)
+        self.low = low
+        self.forms = {self.width: (self.forms[self.width][0], shared)}
+        return self
+
     @classmethod
     def over(cls, kids: list[Node]) -> Node:
         self = cls.__new__(cls)
@@ -65,7 +73,8 @@ class Node:
                 while w > width:
                     w >>= 1
                     bits = bits & ((1 << w) - 1) | bits >> w
-                shared = self.low - bits.bit_count()
+                # a set's tokens that share a bit; for a summary all of them may, once it is folded
+                shared = self.low - bits.bit_count() if self.low == self.high else self.high
             form = self.forms[width] = bits, shared
         return form
 
@@ -76,14 +85,27 @@ class Node:
             yield from k.items()
 
 
-def build(sizes: list[int], sigs: list[bytes]) -> Node:
-    """Tree over sets in the order of their size."""
-    level = [Node(i, sizes[i], sigs[i]) for i in sorted(range(len(sizes)), key=sizes.__getitem__)]
+def build(leaves: list[Node]) -> Node:
+    """Tree over leaves in the order of their size."""
+    level = sorted(leaves, key=lambda x: x.low)
     while len(level) > 1:
         level = [Node.over(level[i:i + FANOUT]) for i in range(0, len(level), FANOUT)]
     return level[0]
 
 
+def summaries(leaves: list[Node], groups: Groups) -> list[tuple[int, int, int, bytes, int]]:
+    """(first leaf, low, high, OR bitmap, most shared tokens) of each group of leaves."""
+    by: dict[int, list[Node]] = {}
+    for x in leaves:
+        by.setdefault(groups.find(x.item), []).append(x)
+    out = []
+    for first, some in by.items():
+        node = Node.over(some)
+        bits, shared = node.at(node.width)
+        out.append((first, node.low, node.high, bits.to_bytes(node.width // 8, "little"), shared))
+    return out
+
+
 def possible(a: Node, b: Node, percent: int) -> bool:
     """Can a set below ``a`` and one below ``b`` have that Jaccard similarity?"""
     if 100 * a.high < percent * b.low or 100 * b.high < percent * a.low:
@@ -125,14 +147,15 @@ class Groups:
         return got
 
 
-def spanning_links(root: Node, n: int, percent: int, linked) -> list[tuple[int, int]]:
-    """Links that connect all sets which ``linked(i, j)`` pairs connect.
+def spanning_links(root: Node, n: int, percent: int, linked, groups: Groups | None = None) -> list[tuple[int, int]]:
+    """Links that connect all sets which ``linked(i, j)`` pairs connect, beyond those
+    that ``groups`` holds already.
 
     Dual traversal from (root, root).  Node pairs that cannot hold a link are
     pruned, and so are those whose sets are in one group already: a further
     link between them would connect nothing.
     """
-    groups = Groups(n)
+    groups = groups or Groups(n)
     out: list[tuple[int, int]] = []
     stack = [(root, root)]
     while stack:

@@ -45,6 +45,26 @@ def test_groups_larger_than_a_block(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == brute_components(rows, 3, 90)
 
 
+def test_summary_bound_never_prunes_a_link():
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        base = rng.integers(0, 2 ** 63, rng.integers(4, 200)).astype(np.uint64)
+        sets = [np.unique(np.concatenate([base[rng.random(len(base)) > rng.random() * 0.15], rng.integers(0, 2 ** 63, rng.integers(0, 6)).astype(np.uint64)]))
+                for _ in range(8)]
+        sets = [s for s in sets if len(s)]
+        leaves = [sigtree.Node(i, len(s), sigtree.signature(s)) for i, s in enumerate(sets)]
+        half = len(leaves) // 2
+        ups = []
+        for part in (leaves[:half], leaves[half:]):
+            g = sigtree.Groups(len(leaves))
+            for x in part[1:]:
+                g.join(part[0].item, x.item)
+            ups += [sigtree.Node.summary(k, *x[1:]) for k, x in enumerate(sigtree.summaries(part, g))]
+        linked = any(100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for a in sets[:half] for b in sets[half:])
+        if len(ups) == 2 and linked:
+            assert sigtree.possible(*ups, 80)
+
+
 def test_tree_bound_never_prunes_a_link():
     rng = np.random.default_rng(3)
     for _ in range(300):
@@ -53,7 +73,7 @@ def test_tree_bound_never_prunes_a_link():
                 for _ in range(9)]
         sets = [s for s in sets if len(s)]
         for percent in (50, 80, 90, 100):
-            tree = sigtree.build([len(s) for s in sets], [sigtree.signature(s) for s in sets])
+            tree = sigtree.build([sigtree.Node(i, len(s), sigtree.signature(s)) for i, s in enumerate(sets)])
 
             def linked(i, j):
                 c = len(np.intersect1d(sets[i], sets[j]))
