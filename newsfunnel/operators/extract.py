@@ -5,7 +5,7 @@ processed independently, so the work scales linearly with partitions.
 
 E1 contract (a documented, deterministic stand-in for a main-content
 extractor): comments, scripts, styles and the head are removed; the
-*precision* pass takes the first ``<article>`` (else ``<main>``) container
+*precision* pass takes all ``<article>`` containers (else ``<main>``)
 without tables, navigation, asides, headers, footers and forms; if that yields
 no text the *recall* pass takes the body minus navigation, asides, headers,
 footers and forms (tables kept).  Block tags become line breaks, other tags
@@ -15,6 +15,9 @@ lines are removed.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,18 +94,35 @@ def decode_entities(c: Column) -> Column:
     upstream expression chain is never duplicated in the plan."""
 
     def dec(p: Column, i: Column) -> Column:
-        dnum = F.regexp_extract(p, r"^([0-9]{1,7});", 1)
-        hnum = F.regexp_extract(p, r"^[xX]([0-9A-Fa-f]{1,6});", 1)
-        cp = F.when(dnum != "", dnum.cast("long")).when(hnum != "", F.conv(hnum, 16, 10).cast("long"))
+        # any number of digits; leading zeros do not count
+        dnum = F.regexp_extract(p, r"^0*([0-9]+);", 1)
+        hnum = F.regexp_extract(p, r"^[xX]0*([0-9A-Fa-f]+);", 1)
+        cp = F.when((dnum != "") & (F.length(dnum) <= 7), dnum.cast("long")).when(
+            (hnum != "") & (F.length(hnum) <= 6), F.conv(hnum, 16, 10).cast("long"))
         ok = cp.isNotNull() & (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
         ch = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-        tail = F.regexp_replace(p, r"^(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});", "")
+        tail = F.regexp_replace(p, r"^(?:[0-9]+|[xX][0-9A-Fa-f]+);", "")
         return F.when(i == 0, p).when(ok, F.concat(ch, tail)).otherwise(F.concat(F.lit("&#"), p))
 
     out = F.array_join(F.transform(F.split(c, "&#"), dec), "")
-    for ent, ch in ENTITIES:
+    for ent, ch in ENTITIES[:-1]:
         out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    return F.replace(_decode_rare(out), F.lit("&amp;"), F.lit("&"))
+
+
+def _decode_rare(c: Column) -> Column:
+    """The other named entities of HTML, looked up in Python's own table."""
+    table = {k[:-1]: v for k, v in html5.items() if k.endswith(";") and f"&{k}" not in dict(ENTITIES)}
+    names = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+    def dec(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1)
+        ch = F.when(name.isin("", "amp"), F.lit(None)).otherwise(F.try_element_at(names, name))
+        return F.when((i == 0) | ch.isNull(), F.when(i == 0, p).otherwise(F.concat(F.lit("&"), p))).otherwise(
+            F.concat(ch, F.substr(p, F.length(name) + 2)))
+
+    # texts without such an entity skip the lookup
+    return F.when(c.rlike("&[A-Za-z][A-Za-z0-9]{1,31};"), F.array_join(F.transform(F.split(c, "&"), dec), "")).otherwise(c)
 
 
 def html_to_text(h: Column) -> Column:
@@ -123,12 +143,33 @@ def _strip_noise(html: Column) -> Column:
     return h
 
 
+_OPEN, _CLOSE = "\x01", "\x02"
+
+
+def _articles(h: Column) -> Column:
+    """Contents of all outermost ``<article>`` elements, one after the other; NULL if there are none.
+
+    Article tags become single marks; one pass over the pieces between them
+    keeps the nesting depth, so inner articles belong to their outer one and an
+    article that is never closed reaches to the end."""
+    marked = F.translate(h, _OPEN + _CLOSE, "")
+    marked = F.regexp_replace(F.regexp_replace(marked, r"(?i)<article\b[^>]*>", _OPEN), r"(?i)</article\s*>", _CLOSE)
+
+    def step(acc, piece):
+        opens, closes = piece.startswith(_OPEN), piece.startswith(_CLOSE)
+        depth = F.when(opens, acc["depth"] + 1).when(closes, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"])
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(acc["kept"], F.array(F.substr(piece, F.lit(2)))))
+                        .otherwise(acc["kept"]).alias("kept"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+    kept = F.aggregate(F.split(marked, f"(?=[{_OPEN}{_CLOSE}])"), start, step, lambda acc: F.array_join(acc["kept"], "\n"))
+    return F.nullif(kept, F.lit(""))
+
+
 def precision_text(html: Column | str) -> Column:
     h = _strip_noise(_c(html))
-    art = F.regexp_extract(h, r"(?is)<article\b[^>]*>(.*?)</article\s*>", 1)
     main = F.regexp_extract(h, r"(?is)<main\b[^>]*>(.*?)</main\s*>", 1)
-    box = F.coalesce(F.nullif(art, F.lit("")), main)
-    box = _drop_blocks(box, "table|nav|aside|header|footer|form")
+    box = _drop_blocks(F.coalesce(_articles(h), main), "table|nav|aside|header|footer|form")
     return html_to_text(box)
 
 

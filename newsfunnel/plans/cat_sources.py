@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from newsfunnel.operators.querygen import ARTICLE_LANGUAGES
 from newsfunnel.plans.catalog import register
 from newsfunnel.plans.fixtures import (
-    FEED_LANG_SQL, REGIONS_FX_SQL, articles_v, fx_df, gnews_feed_v, newsdata_feed_v, regions_fx,
-    rss_feed_v, sql_with,
+    FEED_LANG_SQL, REGIONS_FX_SQL, TERMS_V_SQL, articles_v, gnews_feed_v, newsdata_feed_v, regions_fx,
+    rss_feed_v, sql_with, terms_v,
 )
 from newsfunnel.plans.oracle_sql import d_strip
 from newsfunnel.sources import dims as DM
@@ -175,8 +175,9 @@ def q_geo_regions(spark, sf):
     return regions
 
 
-def _terms_doc(spark):
-    t = fx_df(spark, "terms_fx")
+def _terms_doc(spark, sf):
+    """The nested term document built from the words of the documents (one JSON text)."""
+    t = terms_v(spark, sf)
     per_cat = t.groupBy("lang", "category", "cat_ord").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("term_ord", "term"))), lambda x: x["term"]).alias("ts"))
     per_lang = per_cat.groupBy("lang").agg(F.map_from_entries(F.transform(
@@ -187,16 +188,19 @@ def _terms_doc(spark):
     return doc.select(F.to_json(F.struct(F.lit("fx-1").alias("version"), "languages")).alias("doc"))
 
 
-@register("terms_explode", sql_with("SELECT lang, upper(lang) AS language_name, category, cat_ord, term, term_ord "
-                                    "FROM terms_fx", "terms_fx"))
+def _with_terms(body: str) -> str:
+    return f"WITH {TERMS_V_SQL}\n{body}"
+
+
+@register("terms_explode", _with_terms("SELECT lang, upper(lang) AS language_name, category, cat_ord, term, term_ord FROM terms_v"))
 def q_terms_explode(spark, sf):
-    return DM.explode_terms(_terms_doc(spark), "doc")
+    return DM.explode_terms(_terms_doc(spark, sf), "doc")
 
 
-@register("terms_validate", sql_with("SELECT lang, count(DISTINCT category) AS n_categories, "
-                                     "count(DISTINCT category) = 10 AS complete FROM terms_fx GROUP BY lang", "terms_fx"))
+@register("terms_validate", _with_terms("SELECT lang, count(DISTINCT category) AS n_categories, "
+                                        "count(DISTINCT category) = 10 AS complete FROM terms_v GROUP BY lang"))
 def q_terms_validate(spark, sf):
-    return DM.validate_terms(DM.explode_terms(_terms_doc(spark), "doc"))
+    return DM.validate_terms(DM.explode_terms(_terms_doc(spark, sf), "doc"))
 
 
 _REQ = [(0, "asia"), (1, "atlantis"), (2, "europe")]
@@ -214,8 +218,8 @@ def q_region_lookup(spark, sf):
     return DM.region_lookup(regions.drop("valid"), districts, req)
 
 
-@register("terms_by_category", sql_with("""
-SELECT lang, category, list(term ORDER BY term_ord) AS terms FROM terms_fx GROUP BY lang, category
-UNION ALL SELECT lang, NULL, list(term ORDER BY cat_ord, term_ord) FROM terms_fx GROUP BY lang""", "terms_fx"))
+@register("terms_by_category", _with_terms("""
+SELECT lang, category, list(term ORDER BY term_ord) AS terms FROM terms_v GROUP BY lang, category
+UNION ALL SELECT lang, NULL, list(term ORDER BY cat_ord, term_ord) FROM terms_v GROUP BY lang"""))
 def q_terms_by_category(spark, sf):
-    return DM.terms_by_category(fx_df(spark, "terms_fx"))
+    return DM.terms_by_category(terms_v(spark, sf))

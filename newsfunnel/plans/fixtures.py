@@ -9,15 +9,12 @@ themselves always come from the driver tables, so the work grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsfunnel.sources.dims import CATEGORIES
 from newsfunnel.sources.tables import read_table
 
-# The ten term categories, in dictionary order.
-CATEGORIES = ["weather", "health", "water", "power", "agriculture", "labor",
-              "governance", "urban_infra", "education", "temperature"]
-
 # Term dictionary fixture: (language, category, terms in priority order).
 # Tokens are frequent in the driver prose; 'when' sits in two categories and
 # 'the of' is a multi-word term.
@@ -187,6 +184,30 @@ def articles_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- term dictionary from the documents
+TOP_TERMS = 40  # terms a language's dictionary has: four in each category
+TERMS_V_SQL = f"""terms_v AS (
+  SELECT lang, {'list_value(' + ", ".join(f"'{c}'" for c in CATEGORIES) + ')'}[k % 10 + 1] AS category, CAST(k % 10 AS INTEGER) AS cat_ord,
+         term, CAST(k // 10 AS INTEGER) AS term_ord
+  FROM (SELECT lang, term, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, term) - 1 AS k
+        FROM (SELECT lang, unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) AS term FROM documents)
+        WHERE length(term) >= 3 GROUP BY lang, term)
+  WHERE k < {TOP_TERMS} AND (lang <> 'es' OR k % 10 < 7))"""
+
+
+def terms_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent words of each language, dealt over the categories by rank; the
+    Spanish dictionary lacks the last three."""
+    d = read_table(spark, sf_dir, "documents", "lang", "text")
+    words = d.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("term")).where(F.length("term") >= 3)
+    w = Window.partitionBy("lang").orderBy(F.col("n").desc(), "term")
+    ranked = (words.groupBy("lang", "term").agg(F.count("*").alias("n")).withColumn("k", F.row_number().over(w) - 1)
+              .where(F.col("k") < TOP_TERMS))
+    return ranked.where((F.col("lang") != "es") | (F.col("k") % 10 < 7)).select(
+        "lang", F.element_at(F.array(*map(F.lit, CATEGORIES)), F.col("k") % 10 + 1).alias("category"),
+        (F.col("k") % 10).cast("int").alias("cat_ord"), "term", F.floor(F.col("k") / 10).cast("int").alias("term_ord"))
+
+
 def refs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles_v(spark, sf_dir).drop("full_text")
 

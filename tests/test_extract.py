@@ -60,3 +60,18 @@ def test_html_precision_and_recall(spark):
     no_article = "<html><body><nav>menu</nav><div>Body text</div><table><tr><td>cell</td></tr></table></body></html>"
     assert one(spark, X.main_text("h"), h=no_article) == "Body text\ncell"
     assert one(spark, X.main_text("h"), h="<html><body><nav>only nav</nav></body></html>") is None
+
+
+def test_all_articles_nested_ones_and_entities(spark):
+    from newsfunnel.operators.extract import main_text
+
+    pages = {
+        "<body><article><p>one</p></article><p>between</p><article>two</article></body>": "one\ntwo",
+        "<article>outer <article>inner</article> tail</article> rest": "outer\ninner\ntail",
+        "<article>a</article></article><p>b</p><article>c": "a\nc",
+        "<main>m</main>": "m",
+        "<article>caf&eacute; &euro;5 &#00000039;q&#x000027; &amp;lt; &notanentity; &ngE; &#9999999999;</article>": "café €5 'q' &lt; &notanentity; ≧̸ &#9999999999;",
+    }
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    got = {r.i: r.t for r in df.select("i", main_text("h").alias("t")).collect()}
+    assert [got[i] for i in range(len(pages))] == list(pages.values())
