@@ -75,10 +75,11 @@ def resolve_answer(answer: Column, districts: Column) -> Column:
 
 def tag_from_answers(df: DataFrame, gazetteer: DataFrame, answers: DataFrame, key: str = "ord",
                      district: str = "district", state: str = "state") -> DataFrame:
-    """T3 applied to untagged rows of known states; answers = (ref_id, answer)."""
+    """T3 applied to untagged rows of known states; answers = (ref_id, answer).  Of
+    several answers to a ref the first in byte order counts (a missing one last)."""
     j = with_state_districts(df, gazetteer, state, "_sd")
-    j = j.join(answers.select(F.col("ref_id").alias("_rid"), F.col("answer").alias("_ans")),
-               F.col(key) == F.col("_rid"), "left")
+    one = answers.groupBy(F.col("ref_id").alias("_rid")).agg(F.min("answer").alias("_ans"))
+    j = j.join(one, F.col(key) == F.col("_rid"), "left")
     eligible = F.col(district).isNull() & F.col("_sd").isNotNull() & (F.size(F.col("_sd")) > 0)
     res = resolve_answer(F.col("_ans"), F.col("_sd"))
     return j.withColumn(district, F.when(eligible, res).otherwise(F.col(district))).drop("_sd", "_rid", "_ans")

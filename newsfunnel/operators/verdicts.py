@@ -72,8 +72,9 @@ def parse_verdict(response: Column | str) -> Column:
 
 
 def filter_by_verdict(refs: DataFrame, verdicts: DataFrame, key: str = "ord") -> DataFrame:
-    """Refs left-joined to (ref_id, response); keep verdict True, order kept."""
-    v = verdicts.select(F.col("ref_id").alias("_rid"), F.col("response").alias("_resp"))
+    """Refs left-joined to (ref_id, response); keep verdict True, order kept.
+    Of several responses to a ref the first in byte order counts (a missing one last)."""
+    v = verdicts.groupBy(F.col("ref_id").alias("_rid")).agg(F.min("response").alias("_resp"))
     j = refs.join(v, refs[key] == v["_rid"], "left")
     return j.where(parse_verdict("_resp")).drop("_rid", "_resp")
 

@@ -9,11 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from pyspark.sql import functions as F
+
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.operators.filters import drop_empty_text
+from newsfunnel.operators.extract import extract_pages
+from newsfunnel.operators.filters import cap, date_range, drop_empty_text, filter_districts
 from newsfunnel.operators.scoring import filter_excluded
+from newsfunnel.operators.tagging import tag_from_answers, tag_from_text
 from newsfunnel.operators.titledup import dedup_by_title
 from newsfunnel.operators.urldedup import dedup_by_url
+from newsfunnel.operators.verdicts import filter_by_verdict
+from newsfunnel.sources.sinks import write_output
 
 
 def dedup_and_filter(articles: DataFrame, terms: DataFrame, patterns, threshold: float = 0.85) -> DataFrame:
@@ -25,3 +31,39 @@ def dedup_and_filter(articles: DataFrame, terms: DataFrame, patterns, threshold:
         .transform(lambda df: dedup_by_title(df, threshold))
         .transform(lambda df: filter_excluded(df, terms, patterns))
     )
+
+
+def article_funnel(refs: DataFrame, pages: DataFrame, terms: DataFrame, patterns, gazetteer: DataFrame,
+                   start: str | None = None, end: str | None = None, district_slugs: list[str] | None = None,
+                   verdicts: DataFrame | None = None, answers: DataFrame | None = None, max_articles: int | None = 5000,
+                   places: list[str] | None = None, threshold: float = 0.85, out: str | None = None) -> DataFrame:
+    """The whole batch chain, stage by stage:
+
+    date range -> districts -> relevance verdicts -> cap -> extraction, cleaning and
+    geo check of the landed pages (``pages``: url, html) -> district tags from the
+    text, then from answers -> URL and title dedup -> score and exclusion ->
+    optional write to ``out``.
+
+    A ref without a page has no text and goes at the dedup stage; of several
+    pages of a URL the first in byte order counts.
+    """
+    df = refs
+    if start:
+        df = date_range(df, start, end)
+    if district_slugs:
+        df = filter_districts(df, district_slugs)
+    if verdicts is not None:
+        df = filter_by_verdict(df, verdicts)
+    if max_articles is not None:
+        df = cap(df, max_articles)
+    html = pages.groupBy(F.col("url").alias("_page_url")).agg(F.min("html").alias("_html"))
+    df = df.join(html, F.col("url") == F.col("_page_url"), "left").drop("_page_url")
+    df = extract_pages(df, html="_html", places=places).drop("_html")
+    df = tag_from_text(df, gazetteer)
+    if answers is not None:
+        df = tag_from_answers(df, gazetteer, answers)
+    done = dedup_and_filter(materialize(df, "funnel-texts"), terms, patterns, threshold)
+    if out:
+        done = materialize(done, "funnel-articles")
+        write_output(done, out)
+    return done
