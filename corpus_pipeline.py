@@ -63,7 +63,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     sha = free_name(docs, "_sha")
     named = docs.select("doc_id", "lang", "source", "n_chars", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias(sha))
-    back = bpe.decode(bpe.encode(named, vocab).drop("text"), vocab)
+    back = bpe.encode_decode(named, vocab)
     return back.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        (F.sha2("decoded", 256) == F.col(sha)).alias("round_trip"))
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from newsfunnel.llm.common import int_lists, map_batches, ship, slices
 from newsfunnel.llm.prefix_bpe import CACHE_ENTRIES, PrefixBPE, PrefixCounts, read_ranks
 
-SLICE = 3 << 20  # bytes of text that are encoded together
+SLICE = 2 << 20  # bytes of text that are encoded together
 _WORKER: dict = {}  # per worker process: tables by vocabulary
 _ODD_SPACE = re.compile(r" \s|[ ]\Z")
 
@@ -105,16 +105,8 @@ def _with(batch: pa.RecordBatch, *arrays: pa.Array) -> list[pa.Array]:
     return [*batch.columns, *arrays]
 
 
-def encode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str = "ids",
-           table_col: str | None = None) -> DataFrame:
-    """Add the token ids of each whole text; with ``table_col`` also the last
-    token (merge rank) of every byte prefix, for ``reencode`` (texts without
-    special strings)."""
-    cols = [(ids_col, T.ArrayType(T.IntegerType(), False))]
-    if table_col:
-        cols.append((table_col, T.ArrayType(T.IntegerType(), False)))
-    schema = _added(df, *cols)
-    names = schema.names
+def _encoder(vocab: Broadcast, text_col: str, table: bool, names: list[str], keep: list[str]):
+    """Batch function: the columns ``keep`` with the ids (and the table) of ``text_col``."""
 
     def run(batch):
         bpe, cache, _ = _tables(vocab)
@@ -130,47 +122,86 @@ def encode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str
                     raw = cache.of(chunks[0]) + b"".join(map(cache.__getitem__, chunks[1:]))
                 flats.append(raw)
                 counts.append(len(raw) // 4)
-                if table_col:
+                if table:
                     tabs.append(bpe.text_table(text))
             out = [int_lists(np.frombuffer(b"".join(flats), np.int32), np.array(counts))]
-            if table_col:
+            if table:
                 out.append(pa.array(tabs, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(_with(part, *out), names=names)
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *out], names=names)
 
-    return map_batches(df, run, schema)
+    return run
 
 
-def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """Add the bytes that each id list stands for; a null list gives no bytes.
-    An id outside the vocabulary raises ``ValueError``."""
-    schema = _added(df, (bytes_col, T.BinaryType()))
-    names = schema.names
+def _byte_table(vocab: Broadcast) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all ids in a row, start, length) by id."""
+    path, _, tokens, ids, special = vocab.value
+    key = ("bytes", path, len(tokens))
+    if key not in _WORKER:
+        by_id = dict(zip(ids, tokens)) | {i: s.encode() for s, i in special.items()}
+        top = max(by_id) + 1
+        size = np.array([len(by_id.get(i, b"")) for i in range(top)], np.int64)
+        _WORKER[key] = (np.frombuffer(b"".join(by_id.get(i, b"") for i in range(top)), np.uint8),
+                        np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+    return _WORKER[key]
+
+
+def _decoder(vocab: Broadcast, ids_col: str, names: list[str]):
+    """Batch function: all columns with the bytes of ``ids_col``."""
 
     def run(batch):
-        bpe, _, _ = _tables(vocab)
-        if "blob" not in bpe.__dict__:
-            by_id = dict(zip(bpe.ids, bpe.tokens)) | {i: s.encode() for s, i in bpe.special.items()}
-            top = max(by_id) + 1
-            bpe.size = np.array([len(by_id.get(i, b"")) for i in range(top)], np.int64)
-            bpe.at = np.concatenate([[0], np.cumsum(bpe.size)[:-1]])
-            bpe.blob = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(top)), np.uint8)
-        step = max(1, min(batch.num_rows, 512))
+        blob, at, length = _byte_table(vocab)
+        step = 256
         for k in range(0, batch.num_rows, step):
             part = batch.slice(k, step)
             lists = part.column(ids_col)
             lens = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             ids = lists.flatten().to_numpy(zero_copy_only=False)
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(bpe.size) or not bpe.size[ids].all()):
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(length) or not length[ids].all()):
                 raise ValueError("an id is not in the vocabulary")
-            size = bpe.size[ids]
+            size = length[ids]
             ends = np.cumsum(size)
             total = int(ends[-1]) if len(ends) else 0
-            data = bpe.blob[np.arange(total) + np.repeat(bpe.at[ids] - (ends - size), size)]
+            data = blob[np.arange(total) + np.repeat(at[ids] - (ends - size), size)]
             byte_ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lens)])]
             arr = pa.Array.from_buffers(pa.binary(), len(lens), [None, pa.py_buffer(byte_ends.astype(np.int32).tobytes()),
                                                                  pa.py_buffer(data.tobytes())])
             yield pa.RecordBatch.from_arrays(_with(part, arr), names=names)
 
+    return run
+
+
+_INTS = T.ArrayType(T.IntegerType(), False)
+
+
+def encode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str = "ids",
+           table_col: str | None = None) -> DataFrame:
+    """Add the token ids of each whole text; with ``table_col`` also the last
+    token (merge rank) of every byte prefix, for ``reencode`` (texts without
+    special strings)."""
+    schema = _added(df, (ids_col, _INTS), *([(table_col, _INTS)] if table_col else []))
+    return map_batches(df, _encoder(vocab, text_col, bool(table_col), schema.names, df.columns), schema)
+
+
+def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+    """Add the bytes that each id list stands for; a null list gives no bytes.
+    An id outside the vocabulary raises ``ValueError``."""
+    schema = _added(df, (bytes_col, T.BinaryType()))
+    return map_batches(df, _decoder(vocab, ids_col, schema.names), schema)
+
+
+def encode_decode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str = "ids",
+                  bytes_col: str = "decoded") -> DataFrame:
+    """Replace the text by its token ids and the bytes that these decode to, in one pass."""
+    _added(df, (ids_col, _INTS), (bytes_col, T.BinaryType()))
+    fields = [f for f in df.schema.fields if f.name != text_col]
+    keep = [f.name for f in fields]
+    schema = T.StructType([*fields, T.StructField(ids_col, _INTS), T.StructField(bytes_col, T.BinaryType())])
+    code, back = _encoder(vocab, text_col, False, [*keep, ids_col], keep), _decoder(vocab, ids_col, schema.names)
+
+    def run(batch):
+        for coded in code(batch):
+            yield from back(coded)
+
     return map_batches(df, run, schema)
 
 

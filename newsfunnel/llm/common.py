@@ -46,6 +46,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | I
                 yield out
             else:
                 yield from out
+        pa.default_memory_pool().release_unused()  # reused workers give back what a task has needed
 
     return df.mapInArrow(run, schema)
 

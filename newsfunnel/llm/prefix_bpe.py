@@ -18,7 +18,7 @@ from bisect import bisect_right
 
 import regex
 
-CACHE_ENTRIES = 250_000  # bound of each memo table
+CACHE_ENTRIES = 150_000  # bound of each memo table
 
 
 def read_ranks(path: str) -> tuple[list[bytes], list[int], dict[str, int]]:

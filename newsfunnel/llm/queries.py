@@ -31,8 +31,7 @@ def _register(name: str, oracle: str | None = None):
 @_register("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = bpe.encode(documents(spark, sf_dir, "doc_id", "text"), vocab).drop("text")
-    back = bpe.decode(coded, vocab)
+    back = bpe.encode_decode(documents(spark, sf_dir, "doc_id", "text"), vocab)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_ints(F.col("ids")).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
