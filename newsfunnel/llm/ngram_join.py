@@ -239,6 +239,8 @@ def cluster_links(rows: DataFrame, percent: int) -> DataFrame:
     """
     one = materialize(exact_links(_dealt(rows.withColumn("group", F.col("node")), "comp", "c", "node"), percent), "ngram-links")
     large = materialize(rows.where(F.col("c") > BLOCK), "ngram-large")
+    if large.isEmpty():
+        return one
 
     def grouped(links: DataFrame) -> DataFrame:
         known = components(links).select("node", F.col("comp").alias("known"))
