@@ -11,13 +11,14 @@ MAX_BROADCAST_ROWS = 200_000
 MAX_COLLECT_ROWS = 10_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, payload: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.  Where its rows hold
+    arrays gathered from ``payload``, the rows of that are counted.
 
     Beyond the bound the plain DataFrame is returned and Spark plans a shuffle
     join instead (AQE may still convert it once it sees runtime sizes).
     """
-    n = df.limit(max_rows + 1).count()
+    n = (df if payload is None else payload).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -29,13 +30,13 @@ def bounded_collect(df: DataFrame, max_rows: int = MAX_COLLECT_ROWS) -> list:
     return rows
 
 
-def dictionary_map(df: DataFrame, key: str, value: str, max_rows: int = MAX_BROADCAST_ROWS):
+def dictionary_map(df: DataFrame, key: str, value: str, max_rows: int = MAX_BROADCAST_ROWS, payload: DataFrame | None = None):
     """A bounded dimension table as one ``map<key, value>`` scalar-subquery column.
 
     The subquery runs once per query and its single value is shipped to the
     tasks like a broadcast; the size check is the bound that makes this safe.
     """
-    n = df.limit(max_rows + 1).count()
+    n = (df if payload is None else payload).limit(max_rows + 1).count()
     if n > max_rows:
         raise ValueError(f"dimension table exceeds {max_rows} rows; pass it as a join input instead")
     return df.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value))))).scalar()

@@ -7,9 +7,11 @@ notion of Python's urlsplit rules.  We split with the RFC 3986 grammar the way
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsfunnel.functions.lineage import with_columns_once
+
 # Tracking parameters dropped from query strings (matched on the
 # lower-cased key; the mixed-case entry therefore never matches).
 TRACKING_PARAMS = [
@@ -64,19 +66,33 @@ def _unquote_plus(col: Column) -> Column:
     return F.url_decode(F.regexp_replace(col, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
+def _cleaned(u: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(u, r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
+
+
+def _scheme_rest(u: Column) -> tuple[Column, Column]:
+    has = u.rlike(_SCHEME_RE)
+    return (F.when(has, F.lower(F.regexp_extract(u, _SCHEME_RE, 1))).otherwise(F.lit("")),
+            F.when(has, F.regexp_replace(u, _SCHEME_RE, "")).otherwise(u))
+
+
+def _net_rest(rest: Column) -> tuple[Column, Column]:
+    """netloc, and what follows it without the fragment."""
+    has = rest.startswith("//")
+    after = F.when(has, F.regexp_replace(rest, r"^//[^/?#]*", "")).otherwise(rest)
+    return F.when(has, F.regexp_extract(rest, r"^//([^/?#]*)", 1)).otherwise(F.lit("")), F.regexp_extract(after, r"^([^#]*)", 1)
+
+
+def _path_query(nofrag: Column) -> tuple[Column, Column]:
+    query = F.when(F.instr(nofrag, "?") > 0, F.regexp_extract(nofrag, r"^[^?]*\?(.*)$", 1)).otherwise(F.lit(""))
+    return F.regexp_extract(nofrag, r"^([^?]*)", 1), query
+
+
 def split_url(col: Column | str) -> dict[str, Column]:
     """urlsplit: scheme (lower-cased, '' if none), netloc, path, query."""
-    u = F.regexp_replace(_c(col), r"[\t\r\n]", "")
-    u = F.regexp_replace(u, r"^[\x00-\x20]+", "")
-    has_scheme = u.rlike(_SCHEME_RE)
-    scheme = F.when(has_scheme, F.lower(F.regexp_extract(u, _SCHEME_RE, 1))).otherwise(F.lit(""))
-    rest = F.when(has_scheme, F.regexp_replace(u, _SCHEME_RE, "")).otherwise(u)
-    has_net = rest.startswith("//")
-    netloc = F.when(has_net, F.regexp_extract(rest, r"^//([^/?#]*)", 1)).otherwise(F.lit(""))
-    rest = F.when(has_net, F.regexp_replace(rest, r"^//[^/?#]*", "")).otherwise(rest)
-    nofrag = F.regexp_extract(rest, r"^([^#]*)", 1)
-    query = F.when(F.instr(nofrag, "?") > 0, F.regexp_extract(nofrag, r"^[^?]*\?(.*)$", 1)).otherwise(F.lit(""))
-    path = F.regexp_extract(nofrag, r"^([^?]*)", 1)
+    scheme, rest = _scheme_rest(_cleaned(_c(col)))
+    netloc, nofrag = _net_rest(rest)
+    path, query = _path_query(nofrag)
     return {"scheme": scheme, "netloc": netloc, "path": path, "query": query}
 
 
@@ -103,6 +119,25 @@ def _clean_query(query: Column) -> Column:
     return F.array_join(F.transform(kv, lambda x: F.concat(quote_plus(x["k"]), F.lit("="), quote_plus(x["v"]))), "&")
 
 
+def _clean_parts(scheme0: Column, netloc: Column, path: Column) -> tuple[Column, Column, Column]:
+    path = F.when(scheme0.isin(USES_PARAMS), F.regexp_replace(path, r";[^/]*$", "")).otherwise(path)
+    path = F.regexp_replace(path, r"/+$", "")
+    net = F.lower(netloc)
+    return (F.when(scheme0 == "", F.lit("https")).otherwise(scheme0),
+            F.when(net.startswith("www."), F.substring(net, 5, 1 << 30)).otherwise(net),
+            F.when(path == "", F.lit("/")).otherwise(path))
+
+
+def _assembled(scheme: Column, net: Column, path: Column, query: Column) -> Column:
+    body = (
+        F.when(net != "", F.concat(F.lit("//"), net, F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))))
+        .when(path.startswith("//"), F.concat(F.lit("//"), path))
+        .when(scheme.isin(USES_NETLOC) & path.startswith("/"), F.concat(F.lit("//"), path))
+        .otherwise(path)
+    )
+    return F.concat(scheme, F.lit(":"), body, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+
+
 def normalize_url(col: Column | str) -> Column:
     """Canonical URL used as the dedup key.
 
@@ -112,18 +147,21 @@ def normalize_url(col: Column | str) -> Column:
     parameters sorted by key then value and re-encoded like ``quote_plus``.
     """
     p = split_url(col)
-    scheme0 = p["scheme"]
-    path = F.when(scheme0.isin(USES_PARAMS), F.regexp_replace(p["path"], r";[^/]*$", "")).otherwise(p["path"])
-    scheme = F.when(scheme0 == "", F.lit("https")).otherwise(scheme0)
-    net = F.lower(p["netloc"])
-    net = F.when(net.startswith("www."), F.substring(net, 5, 1 << 30)).otherwise(net)
-    path = F.regexp_replace(path, r"/+$", "")
-    path = F.when(path == "", F.lit("/")).otherwise(path)
-    body = (
-        F.when(net != "", F.concat(F.lit("//"), net, F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))))
-        .when(path.startswith("//"), F.concat(F.lit("//"), path))
-        .when(scheme.isin(USES_NETLOC) & path.startswith("/"), F.concat(F.lit("//"), path))
-        .otherwise(path)
-    )
-    q = _clean_query(p["query"])
-    return F.concat(scheme, F.lit(":"), body, F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")))
+    return _assembled(*_clean_parts(p["scheme"], p["netloc"], p["path"]), _clean_query(p["query"]))
+
+
+def with_normalized_url(df: DataFrame, url: str = "url", out: str = "norm_url") -> DataFrame:
+    """Add the canonical URL, each intermediate part computed once a row (a nested
+    expression would repeat its regexes with every reference)."""
+    def staged(x: DataFrame, names: str, values) -> DataFrame:
+        return with_columns_once(x, {f"__{out}_{n}": v for n, v in zip(names.split(), values)})
+
+    def c(name: str) -> Column:
+        return F.col(f"__{out}_{name}")
+
+    x = staged(df, "u", [_cleaned(_c(url))])
+    x = staged(x, "s r", _scheme_rest(c("u")))
+    x = staged(x, "n f", _net_rest(c("r")))
+    x = staged(x, "p q", _path_query(c("f")))
+    x = staged(x, "scheme net path query", (*_clean_parts(c("s"), c("n"), c("p")), _clean_query(c("q"))))
+    return x.select(*df.columns, _assembled(c("scheme"), c("net"), c("path"), c("query")).alias(out))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsfunnel.functions.urls import normalize_url
+from newsfunnel.functions.urls import with_normalized_url
 
 
 def quality_score(text: str = "full_text", district: str = "district", source: str = "source") -> Column:
@@ -21,10 +21,6 @@ def quality_score(text: str = "full_text", district: str = "district", source: s
     ).cast("long")
 
 
-def with_normalized_url(df: DataFrame, url: str = "url", out: str = "norm_url") -> DataFrame:
-    return df.withColumn(out, normalize_url(url))
-
-
 def dedup_by_url(df: DataFrame, url: str = "url", order: str = "ord") -> DataFrame:
     """Keep one row per normalised URL.
 
@@ -40,7 +36,7 @@ def dedup_by_url(df: DataFrame, url: str = "url", order: str = "ord") -> DataFra
     cols = [c for c in df.columns if c != order]
     key = F.struct(quality_score().alias("q"), (-F.col(order)).alias("neg_ord"))
     return (
-        df.withColumn("_norm", normalize_url(url))
+        with_normalized_url(df, url, "_norm")
         .groupBy("_norm")
         .agg(
             F.max_by(F.struct(*[F.col(c) for c in cols]), key).alias("_w"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from newsfunnel.operators.urldedup import dedup_by_url, quality_score, with_normalized_url
+from newsfunnel.functions.urls import with_normalized_url
+from newsfunnel.operators.urldedup import dedup_by_url, quality_score
 from newsfunnel.plans.catalog import register
 from newsfunnel.plans.fixtures import ARTICLE_COLS, articles_v, sql_with
 from newsfunnel.plans.oracle_sql import d_norm_url, d_quality, d_strip

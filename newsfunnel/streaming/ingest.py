@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.functions.urls import normalize_url
+from newsfunnel.functions.urls import with_normalized_url
 from newsfunnel.session import ensure_checkpoint_dir
 from newsfunnel.sources.feeds import validate_refs
 from newsfunnel.sources.sinks import with_output_keys
@@ -47,7 +47,7 @@ def ref_stream(spark: SparkSession, src_dir: str, fmt: str = "parquet", schema:
 
 def dedup_stream(refs: DataFrame, delay: str = "24 hours") -> DataFrame:
     """Validated refs, first row per normalised URL within the watermark."""
-    v = validate_refs(refs).withColumn("norm_url", normalize_url("url"))
+    v = with_normalized_url(validate_refs(refs))
     v = v.withColumn("event_time", F.col("date").cast("timestamp"))
     return v.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["norm_url"])
 
@@ -78,7 +78,7 @@ def start_best_quality_ingest(spark: SparkSession, src_dir: str, table_dir: str,
     from newsfunnel.operators.urldedup import dedup_by_url
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        b = materialize(validate_refs(batch).withColumns({"norm_url": normalize_url("url"), "out_date": F.date_format("date", "yyyy-MM-dd")}), "stream-batch")
+        b = materialize(with_normalized_url(validate_refs(batch)).withColumn("out_date", F.date_format("date", "yyyy-MM-dd")), "stream-batch")
         if b.isEmpty():
             return
         touched = b.select("out_date")

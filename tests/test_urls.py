@@ -4,7 +4,7 @@ import random
 
 import pytest
 from helpers import py_normalize_url
-from newsfunnel.functions.urls import normalize_url
+from newsfunnel.functions.urls import normalize_url, with_normalized_url
 from newsfunnel.operators.filters import skip_domain
 
 CASES = [
@@ -30,7 +30,15 @@ CASES = [
 
 def _norm(spark, urls):
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, url string")
-    return [r.n for r in df.select(normalize_url("url").alias("n")).orderBy("i").collect()]
+    rows = with_normalized_url(df.withColumn("n", normalize_url("url")), "url", "m").orderBy("i").collect()
+    assert all(r.n == r.m for r in rows)  # nested and staged forms agree
+    return [r.n for r in rows]
+
+
+def test_staged_plan_has_each_regex_once(spark):
+    df = spark.createDataFrame([(1, "https://a/b")], "i int, url string")
+    plan = with_normalized_url(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("^([A-Za-z][A-Za-z0-9+.") <= 4
 
 
 def test_reference_cases(spark):
