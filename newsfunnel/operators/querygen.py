@@ -63,7 +63,7 @@ def term_lists(terms: DataFrame) -> DataFrame:
 
 
 def _attach_terms(q: DataFrame, terms: DataFrame, lang: Column) -> DataFrame:
-    tl = checked_broadcast(term_lists(terms))
+    tl = checked_broadcast(term_lists(terms), payload=terms)
     return q.join(tl, lang == tl["tl_lang"], "left").drop("tl_lang")
 
 
@@ -174,7 +174,7 @@ def district_queries(regions: DataFrame, terms: DataFrame, gazetteer: DataFrame,
     q = query_languages(regions)
     if source == "gnews":
         q = q.where(F.col("lang").isin(GNEWS_LANGUAGES))
-    gz = checked_broadcast(district_arrays(gazetteer))
+    gz = checked_broadcast(district_arrays(gazetteer), payload=gazetteer)
     q = q.join(gz, q["name"] == gz["_gz_state"]).drop("_gz_state").where(F.size("districts") > 0)
     q = _attach_terms(q, terms, F.col("lang"))
     heat = F.coalesce(F.get(F.col("t_weather"), 0), F.get(F.col("all_terms"), 0), F.lit(DEFAULT_HEAT_TERM))
@@ -195,10 +195,19 @@ def with_query_key(df: DataFrame) -> DataFrame:
 
 
 def with_query_order(df: DataFrame) -> DataFrame:
-    """Deterministic ``ord``: phase, source rank, region, language, kind."""
+    """Deterministic ``ord``: phase, source rank, region, language, kind.
+
+    Numbered within each (phase, source), then shifted by the sizes of the
+    groups before it; only those few sizes meet in one task."""
     rank = F.create_map(*[x for k, v in SOURCE_RANK.items() for x in (F.lit(k), F.lit(v))])[F.col("source_hint")]
-    w = Window.orderBy("phase", rank, "region_ord", "lang_ord", "kind_ord", "query_string")
-    return df.withColumn("ord", F.row_number().over(w))
+    ranked = df.withColumn("_rank", rank)
+    within = Window.partitionBy("phase", "_rank").orderBy("region_ord", "lang_ord", "kind_ord", "query_string")
+    before = Window.orderBy("_p", "_r").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranked.groupBy(F.col("phase").alias("_p"), F.col("_rank").alias("_r")).agg(F.count("*").alias("_n"))
+    offsets = sizes.select("_p", "_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = F.col("phase").eqNullSafe(F.col("_p")) & F.col("_rank").eqNullSafe(F.col("_r"))
+    return (ranked.join(offsets, same).withColumn("ord", (F.col("_before") + F.row_number().over(within)).cast("int"))
+            .drop("_rank", "_p", "_r", "_before"))
 
 
 def pending_queries(queries: DataFrame, ledger: DataFrame) -> DataFrame:

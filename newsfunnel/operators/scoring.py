@@ -57,7 +57,7 @@ def score_relevance(df: DataFrame, terms: DataFrame, out: str = "relevance_score
     + 0.2 if a matched term is a plain substring of the lower title; with NULL
     text and a title hit the score is at least 0.3; capped at 1.
     """
-    term_map = dictionary_map(_term_arrays(terms), "lang", "terms")
+    term_map = dictionary_map(_term_arrays(terms), "lang", "terms", payload=terms)
     empty = F.array().cast(_ARR)
     lang = F.col(language)
     tm = F.col("_tm")

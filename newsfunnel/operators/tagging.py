@@ -26,7 +26,7 @@ def district_arrays(gazetteer: DataFrame, state: str = "state", district: str =
 
 
 def with_state_districts(df: DataFrame, gazetteer: DataFrame, state: str = "state", out: str = "state_districts") -> DataFrame:
-    arr = checked_broadcast(district_arrays(gazetteer).withColumnRenamed("districts", "_gz_ds"))
+    arr = checked_broadcast(district_arrays(gazetteer).withColumnRenamed("districts", "_gz_ds"), payload=gazetteer)
     return df.join(arr, df[state] == arr["_gz_state"], "left").drop("_gz_state").withColumnRenamed("_gz_ds", out)
 
 
