@@ -7,9 +7,8 @@ prefix table of ``prefix_bpe``.
 
 Defined results: a null text counts as ''; '' has no tokens; a null doc_id or
 other null columns pass through; repeated rows are encoded each on its own;
-an empty table gives an empty table; added columns that clash with existing
-names must be renamed by the caller through the ``*_col`` parameters (a clash
-raises ``ValueError``).
+an empty table gives an empty table; an existing column of an added column's
+name is replaced (the ``*_col`` parameters choose other names).
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from newsfunnel.llm.common import int_lists, map_batches, ship, slices
+from newsfunnel.llm.common import int_lists, map_batches, ship, slices, without
 from newsfunnel.llm.prefix_bpe import CACHE_ENTRIES, PrefixBPE, PrefixCounts, read_ranks
 
 SLICE = 2 << 20  # bytes of text that are encoded together
@@ -94,10 +93,6 @@ def _chunks(bpe: PrefixBPE, text: str) -> list[str] | None:
 
 
 def _added(df: DataFrame, *cols: tuple[str, T.DataType]) -> T.StructType:
-    have = {c.lower() for c in df.columns}
-    for name, _ in cols:
-        if name.lower() in have:
-            raise ValueError(f"column {name} exists already; choose another name")
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in cols)])
 
 
@@ -178,6 +173,7 @@ def encode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str
     """Add the token ids of each whole text; with ``table_col`` also the last
     token (merge rank) of every byte prefix, for ``reencode`` (texts without
     special strings)."""
+    df = without(df, ids_col, table_col)
     schema = _added(df, (ids_col, _INTS), *([(table_col, _INTS)] if table_col else []))
     return map_batches(df, _encoder(vocab, text_col, bool(table_col), schema.names, df.columns), schema)
 
@@ -185,6 +181,7 @@ def encode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str
 def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """Add the bytes that each id list stands for; a null list gives no bytes.
     An id outside the vocabulary raises ``ValueError``."""
+    df = without(df, bytes_col)
     schema = _added(df, (bytes_col, T.BinaryType()))
     return map_batches(df, _decoder(vocab, ids_col, schema.names), schema)
 
@@ -192,7 +189,7 @@ def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str
 def encode_decode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str = "ids",
                   bytes_col: str = "decoded") -> DataFrame:
     """Replace the text by its token ids and the bytes that these decode to, in one pass."""
-    _added(df, (ids_col, _INTS), (bytes_col, T.BinaryType()))
+    df = without(df, ids_col, bytes_col)
     fields = [f for f in df.schema.fields if f.name != text_col]
     keep = [f.name for f in fields]
     schema = T.StructType([*fields, T.StructField(ids_col, _INTS), T.StructField(bytes_col, T.BinaryType())])
@@ -210,6 +207,7 @@ def reencode(df: DataFrame, vocab: Broadcast, text_col: str, table_col: str, sta
     """Replace ``text[start:stop]`` (code points) by ``new`` and bring ids and table
     up to date from the stored prefix table; an append has start = stop = length.
     Null positions mean the end of the text, a null replacement means ''."""
+    df = without(df, out_text, out_ids, out_table)
     schema = _added(df, (out_text, T.StringType()), (out_ids, T.ArrayType(T.IntegerType(), False)),
                     (out_table, T.ArrayType(T.IntegerType(), False)))
     names = schema.names
@@ -249,6 +247,7 @@ def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "t
                  tokens_col: str = "n_tokens", over_col: str = "over_limit", fit_col: str = "fit_chars") -> DataFrame:
     """Add the UTF-8 length, the token count, whether it is over ``limit``, and the
     length in code points of the longest prefix within the limit."""
+    df = without(df, bytes_col, tokens_col, over_col, fit_col)
     schema = _added(df, (bytes_col, T.LongType()), (tokens_col, T.LongType()), (over_col, T.BooleanType()), (fit_col, T.LongType()))
     names = schema.names
 
@@ -278,6 +277,7 @@ def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "t
 def prefix_counts(df: DataFrame, vocab: Broadcast, ends_col: str, text_col: str = "text", counts_col: str = "counts") -> DataFrame:
     """Token counts of the prefixes that end at the listed positions (code points);
     a null list gives an empty one, positions beyond the text mean its end."""
+    df = without(df, counts_col)
     schema = _added(df, (counts_col, T.ArrayType(T.LongType(), False)))
     names = schema.names
 

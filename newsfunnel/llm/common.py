@@ -61,6 +61,14 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns that an operator is about to add (case is ignored):
+    its result replaces them, as ``withColumn`` would."""
+    drop = {n.lower() for n in names if n}
+    clash = [c for c in df.columns if c.lower() in drop]
+    return df.drop(*clash) if clash else df
+
+
 def text_arrays(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets (from 0) of a string column; a null counts as ''."""
     if isinstance(col, pa.ChunkedArray):

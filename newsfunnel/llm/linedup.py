@@ -15,7 +15,7 @@ repeated chunks and, once, the documents.
 Defined results: a null text has no chunks and stays null; '' stays ''; rows
 equal in doc_id and text count as one document and get the same result; null
 ids come last in the order; an empty table gives an empty table; other columns
-pass through.
+pass through, one named like the count is replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.llm.common import bit_marks, free_name, map_batches, marked
+from newsfunnel.llm.common import bit_marks, free_name, map_batches, marked, without
 from newsfunnel.llm.words import mix
 
 WINDOW = 2  # lines that a boundary depends on
@@ -132,6 +132,7 @@ def without_lines(text: str, cuts: list[tuple[int, int]]) -> str:
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "removed_lines") -> DataFrame:
     """Texts without repeated chunks; ``removed_col`` counts the lines that went."""
+    df = without(df, removed_col)
     th, cid, cth, cuts = (free_name(df, x) for x in ("_th", "_cut_id", "_cut_th", "_cuts"))
     keyed = df.withColumn(th, F.xxhash64(text_col))
     docs = keyed.select(F.col(id_col).cast("long").alias("id"), F.col(th).alias("th"), F.col(text_col).alias("text"))

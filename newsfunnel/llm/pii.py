@@ -16,7 +16,8 @@ Shuffled are the mentions, the entity table and the documents that have
 entities; all others pass by.
 
 Defined results: a null text stays null and '' stays ''; repeated rows are
-replaced alike; other columns pass through; an empty table gives an empty table.
+replaced alike; other columns pass through, one named like the count is
+replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.lineage import materialize, with_columns_once
-from newsfunnel.llm.common import free_name
+from newsfunnel.llm.common import free_name, without
 
 # Titles by gender, as written before names.
 TITLES = {
@@ -178,6 +179,7 @@ def written(kind: Column, piece: Column, made: Column) -> Column:
 
 def replace_entities(df: DataFrame, key: str, text_col: str = "text", count_col: str = "n_entities") -> DataFrame:
     """Texts with all entities replaced; ``count_col`` counts the mentions."""
+    df = without(df, count_col)
     row, found, outs = (free_name(df, n) for n in ("_row", "_found", "_outs"))
     has = F.coalesce(F.col(text_col).rlike(ANY), F.lit(False))
     held = materialize(df.where(has).withColumn(row, F.monotonically_increasing_id())

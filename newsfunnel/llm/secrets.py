@@ -8,7 +8,8 @@ mandatory trigram (long hex runs) scan every row.  Segments are independent:
 the scan is narrow, and a lost executor costs only its own segments.
 
 Defined results: a null text counts as ''; repeated rows are scanned each on
-its own; an empty table gives an empty table; other columns pass through.
+its own; an empty table gives an empty table; other columns pass through, one named
+like the result is replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsfunnel.llm.common import map_batches, slices, text_arrays
+from newsfunnel.llm.common import map_batches, slices, text_arrays, without
 from newsfunnel.llm.trigrams import Postings, trigram_query, trigrams_of
 
 
@@ -60,8 +61,7 @@ FINDINGS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.St
 def scan(df: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", out_col: str = "findings") -> DataFrame:
     """Add ``findings``: array of (kind, start, end) in code points, end exclusive,
     by start and then by the order of ``rules``."""
-    if out_col.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"column {out_col} exists already; choose another name")
+    df = without(df, out_col)
     schema = T.StructType([*df.schema.fields, T.StructField(out_col, FINDINGS)])
     names = schema.names
     queries = [trigram_query(r.pattern, r.flags) for r in rules]

@@ -14,7 +14,8 @@ narrow pass over all rows with the model (bounded by its buckets) broadcast.
 Defined results: a null or empty text has no terms and scores the bias alone;
 repeated label rows count once, as toxic if any of them is; null labels and
 null ids are not learned from; without labels of both kinds every score is
-the share of toxic labels (0 if there are none); other columns pass through.
+the share of toxic labels (0 if there are none); other columns pass through, one
+named like the score is replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.llm.common import int_lists, map_batches, ship, slices, text_arrays
+from newsfunnel.llm.common import int_lists, map_batches, ship, slices, text_arrays, without
 from newsfunnel.llm.words import Words, mix
 
 THRESHOLD = 0.7
@@ -207,8 +208,7 @@ def logits(model: Model, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """Add the score (0 to 1) of each whole text."""
-    if score_col.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"column {score_col} exists already; choose another name")
+    df = without(df, score_col)
     schema = T.StructType([*df.schema.fields, T.StructField(score_col, T.DoubleType())])
     shared = df.sparkSession.sparkContext.broadcast(model)
 

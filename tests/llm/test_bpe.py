@@ -57,14 +57,21 @@ def test_encode_decode_rows(spark):
     assert bpe.encode(docs_frame(spark, []), vocab).count() == 0
 
 
-def test_clashing_name_is_refused(spark):
+def test_columns_of_the_same_name_are_replaced(spark):
+    from newsfunnel.llm import linedup, pii, secrets, toxicity
+
+    _, enc, _, _ = models()
     vocab = bpe.vocabulary(spark, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
-    try:
-        bpe.encode(docs_frame(spark, [(1, "a")], IDS=1), vocab)
-        raise AssertionError("clash not seen")
-    except ValueError:
-        pass
-    assert "IDS" in bpe.encode(docs_frame(spark, [(1, "a")], IDS=1), vocab, ids_col="tokens").columns
+    df = docs_frame(spark, [(1, "a b c")], IDS="x", decoded=1, n_tokens="y", Findings=2, score="z", removed_lines="q", N_ENTITIES="e", ids_1=3)
+    coded = bpe.decode(bpe.encode(df, vocab), vocab)
+    row = coded.first()
+    assert list(row.ids) == enc.encode_ordinary("a b c") and bytes(row.decoded) == b"a b c" and row.ids_1 == 3
+    assert "ids" in bpe.encode_decode(df, vocab).columns and "IDS" in bpe.encode(df, vocab, ids_col="tokens").columns
+    assert bpe.token_counts(df, vocab, 1).first().n_tokens == 3
+    assert secrets.scan(df).first().findings == [] and linedup.dedup_lines(df).first().removed_lines == 0
+    assert pii.replace_entities(df, "k").first().n_entities == 0
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert 0 <= toxicity.score(df, toxicity.fit(df, labels)).first().score <= 1
 
 
 def test_append_and_edit_rows(spark):
