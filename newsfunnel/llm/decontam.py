@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.llm.common import bit_marks, int_lists, map_batches, ship, slices, text_arrays
+from newsfunnel.llm.common import bit_marks, int_lists, map_batches, marked, ship, slices, text_arrays
 from newsfunnel.llm.words import Words, ngrams
 
 N = 5  # words of a seed
@@ -33,7 +33,6 @@ BITMAP_BITS = 1 << 24  # 2 MB, whatever the size of the benchmark
 MATCH, MISMATCH, GAP = 2, -1, -1
 # ASCII other than letters and digits separates words
 _SEP = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
-_WORKER: dict = {}  # per worker process: the unpacked bitmap
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -90,9 +89,7 @@ def passages(docs: DataFrame, bitmap, sizes: list[int], longest: int) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batch):
-        if "marks" not in _WORKER or _WORKER["marks"][0] is not shared.value:
-            _WORKER["marks"] = shared.value, np.unpackbits(shared.value, bitorder="little").astype(bool)
-        marks = _WORKER["marks"][1]
+        marks = shared.value
         for part in slices(batch, "text"):
             w = Words(*text_arrays(part.column("text")), _SEP)
             h = w.hashes()
@@ -100,8 +97,8 @@ def passages(docs: DataFrame, bitmap, sizes: list[int], longest: int) -> DataFra
             for k in sizes:
                 grams = ngrams(h, k)
                 one, two = _bits(grams)
-                hit = np.flatnonzero(marks[one])
-                hit = hit[marks[two[hit]]]
+                hit = np.flatnonzero(marked(marks, one))
+                hit = hit[marked(marks, two[hit])]
                 hit = hit[w.row[hit] == w.row[hit + k - 1]]
                 rows.append(w.row[hit])
                 ats.append(hit)

@@ -18,7 +18,8 @@ from bisect import bisect_right
 
 import regex
 
-CACHE_ENTRIES = 150_000  # bound of each memo table
+CACHE_ENTRIES = 250_000  # bound of the table of known chunks
+BORDER_ENTRIES = 150_000  # bound of the table of known token borders
 
 
 def read_ranks(path: str) -> tuple[list[bytes], list[int], dict[str, int]]:
@@ -120,7 +121,7 @@ class PrefixBPE:
                     key = last[start - 1] << 32 | t
                     ok = known.get(key)
                     if ok is None:
-                        if len(known) >= CACHE_ENTRIES:
+                        if len(known) >= BORDER_ENTRIES:
                             known.clear()
                         ok = known[key] = self._stable(last[start - 1], t)
                     if not ok:
