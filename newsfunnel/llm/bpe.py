@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from newsfunnel.llm.common import int_lists, map_batches, ship, slices, without
-from newsfunnel.llm.prefix_bpe import CACHE_ENTRIES, PrefixBPE, PrefixCounts, read_ranks
+from newsfunnel.llm.prefix_bpe import BORDER_ENTRIES, PrefixBPE, PrefixCounts, read_ranks
 
 SLICE = 3 << 20  # bytes of text that are encoded together
+MEMO = 150_000  # default bound of the chunks that a worker remembers, about 200 bytes each
 _WORKER: dict = {}  # per worker process: tables by vocabulary
 _ODD_SPACE = re.compile(r" \s|[ ]\Z")
 
@@ -41,7 +42,7 @@ class _Ids(dict):
     """Space-led chunk -> its ids as int32 bytes; bounded, filled slice by slice."""
 
     def __init__(self, bpe: PrefixBPE):
-        self.bpe = bpe
+        self.bpe, self.entries = bpe, MEMO
 
     def value(self, ids: list[int]):
         return array("i", ids).tobytes()
@@ -49,17 +50,19 @@ class _Ids(dict):
     def of(self, text: str):
         return self.value(self.bpe.encode(text))
 
-    def prepare(self, texts: list[list[str] | None]) -> None:
+    def prepare(self, texts: list[list[str] | None], entries: int) -> None:
         """Encode all new chunks of a slice together, in byte order of their pre-tokens."""
         findall, seen = self.bpe.pattern.findall, set()
+        self.entries, self.bpe.border_entries = entries, max(BORDER_ENTRIES, entries // 2)
         for chunks in texts:
             if chunks:
                 seen.update(chunks[1:])
-        if len(self) + len(seen) > CACHE_ENTRIES:  # keep what this slice uses again
+        if len(self) + len(seen) > self.entries:  # keep what this slice uses again
             kept = {c: self[c] for c in seen if c in self}
             self.clear()
             self.update(kept)
-        split = [(c, findall(" " + c)) for c in seen if c not in self]
+        # plain letters are one pre-token; the pattern splits the rest
+        split = [(c, [" " + c] if c.isascii() and c.isalpha() else findall(" " + c)) for c in seen if c not in self]
         ids = self.bpe.encode_pieces({p for _, ps in split for p in ps})
         for c, ps in split:
             self[c] = self.value(ids[ps[0]] if len(ps) == 1 else [i for p in ps for i in ids[p]])
@@ -100,7 +103,7 @@ def _with(batch: pa.RecordBatch, *arrays: pa.Array) -> list[pa.Array]:
     return [*batch.columns, *arrays]
 
 
-def _encoder(vocab: Broadcast, text_col: str, table: bool, names: list[str], keep: list[str]):
+def _encoder(vocab: Broadcast, text_col: str, table: bool, names: list[str], keep: list[str], memo: int):
     """Batch function: the columns ``keep`` with the ids (and the table) of ``text_col``."""
 
     def run(batch):
@@ -109,7 +112,7 @@ def _encoder(vocab: Broadcast, text_col: str, table: bool, names: list[str], kee
             flats, counts, tabs = [], [], []
             texts = [t or "" for t in part.column(text_col).to_pylist()]
             split = [_chunks(bpe, t) for t in texts]
-            cache.prepare(split)
+            cache.prepare(split, memo)
             for text, chunks in zip(texts, split):
                 if chunks is None:
                     raw = cache.of(text)
@@ -169,13 +172,13 @@ _INTS = T.ArrayType(T.IntegerType(), False)
 
 
 def encode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str = "ids",
-           table_col: str | None = None) -> DataFrame:
+           table_col: str | None = None, memo: int = MEMO) -> DataFrame:
     """Add the token ids of each whole text; with ``table_col`` also the last
     token (merge rank) of every byte prefix, for ``reencode`` (texts without
     special strings)."""
     df = without(df, ids_col, table_col)
     schema = _added(df, (ids_col, _INTS), *([(table_col, _INTS)] if table_col else []))
-    return map_batches(df, _encoder(vocab, text_col, bool(table_col), schema.names, df.columns), schema)
+    return map_batches(df, _encoder(vocab, text_col, bool(table_col), schema.names, df.columns, memo), schema)
 
 
 def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -187,13 +190,13 @@ def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str
 
 
 def encode_decode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str = "ids",
-                  bytes_col: str = "decoded") -> DataFrame:
+                  bytes_col: str = "decoded", memo: int = MEMO) -> DataFrame:
     """Replace the text by its token ids and the bytes that these decode to, in one pass."""
     df = without(df, ids_col, bytes_col)
     fields = [f for f in df.schema.fields if f.name != text_col]
     keep = [f.name for f in fields]
     schema = T.StructType([*fields, T.StructField(ids_col, _INTS), T.StructField(bytes_col, T.BinaryType())])
-    code, back = _encoder(vocab, text_col, False, [*keep, ids_col], keep), _decoder(vocab, ids_col, schema.names)
+    code, back = _encoder(vocab, text_col, False, [*keep, ids_col], keep, memo), _decoder(vocab, ids_col, schema.names)
 
     def run(batch):
         for coded in code(batch):
@@ -244,7 +247,8 @@ def _fit(bpe: PrefixBPE, text: str, chunks: list[str] | None, counts: list[int],
 
 
 def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "text", bytes_col: str = "n_bytes",
-                 tokens_col: str = "n_tokens", over_col: str = "over_limit", fit_col: str = "fit_chars") -> DataFrame:
+                 tokens_col: str = "n_tokens", over_col: str = "over_limit", fit_col: str = "fit_chars",
+                 memo: int = MEMO) -> DataFrame:
     """Add the UTF-8 length, the token count, whether it is over ``limit``, and the
     length in code points of the longest prefix within the limit."""
     df = without(df, bytes_col, tokens_col, over_col, fit_col)
@@ -257,7 +261,7 @@ def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "t
             size, total, fit = [], [], []
             texts = [t or "" for t in part.column(text_col).to_pylist()]
             split = [_chunks(bpe, t) for t in texts]
-            cache.prepare(split)
+            cache.prepare(split, memo)
             for text, chunks in zip(texts, split):
                 if chunks is None:
                     counts = [cache.of(text)]

@@ -18,8 +18,7 @@ from bisect import bisect_right
 
 import regex
 
-CACHE_ENTRIES = 250_000  # bound of the table of known chunks
-BORDER_ENTRIES = 150_000  # bound of the table of known token borders
+BORDER_ENTRIES = 150_000  # default bound of the table of known token borders
 
 
 def read_ranks(path: str) -> tuple[list[bytes], list[int], dict[str, int]]:
@@ -63,6 +62,7 @@ class PrefixBPE:
         self.special_re = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.atoms = sum(1 for t in tokens if len(t) == 1)
         self._ok: dict[int, bool] = {}
+        self.border_entries = BORDER_ENTRIES
         self.parts: list[tuple[int, int]] = []
         self.join: dict[int, int] = {}
         for r, t in enumerate(tokens):
@@ -121,7 +121,7 @@ class PrefixBPE:
                     key = last[start - 1] << 32 | t
                     ok = known.get(key)
                     if ok is None:
-                        if len(known) >= BORDER_ENTRIES:
+                        if len(known) >= self.border_entries:
                             known.clear()
                         ok = known[key] = self._stable(last[start - 1], t)
                     if not ok:

@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 TOKEN_LIMIT = 1024
+TOKEN_MEMO = 900_000  # chunks that a worker remembers where no other stage needs its memory
 PII_KEY = "corpus-v1"  # the key is a parameter; a real one comes from the caller
 
 
@@ -31,7 +32,7 @@ def _register(name: str, oracle: str | None = None):
 @_register("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    back = bpe.encode_decode(documents(spark, sf_dir, "doc_id", "text"), vocab)
+    back = bpe.encode_decode(documents(spark, sf_dir, "doc_id", "text"), vocab, memo=TOKEN_MEMO)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_ints(F.col("ids")).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -39,7 +40,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
-    counted = bpe.token_counts(documents(spark, sf_dir, "doc_id", "text"), vocab, TOKEN_LIMIT)
+    counted = bpe.token_counts(documents(spark, sf_dir, "doc_id", "text"), vocab, TOKEN_LIMIT, memo=TOKEN_MEMO)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
 
 
