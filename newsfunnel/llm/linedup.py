@@ -8,9 +8,17 @@ its own.  Chunks of several lines (or one such long line) that occur more than
 once anywhere are compared byte by byte; every occurrence but the first (by
 doc_id, then place) is removed from its text.
 
+Boundaries lie where the hashes put them, so a short passage between foreign
+lines may share no chunk with its copies.  So runs are joined besides: from each
+line the fewest lines forward, and the fewest backward, that reach
+``LONG_LINE`` words, keyed by their own lines only.  Together they cover every
+line of every repeated passage of so many words, to its true ends, and nothing
+else.  Runs are equal if the SHA-256 of their bytes are.  An occurrence that
+overlaps the first one stays.
+
 Hashes that repeat are marked in a bitmap of fixed size, which picks the chunks
 whose text is compared before any text is shuffled.  Shuffled are the texts of
-repeated chunks and, once, the documents.
+repeated chunks, the digests of repeated runs and, once, the documents.
 
 Defined results: a null text has no chunks and stays null; '' stays ''; rows
 equal in doc_id and text count as one document and get the same result; null
@@ -20,6 +28,8 @@ pass through, one named like the count is replaced.
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,8 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.llm.common import bit_marks, free_name, map_batches, marked, without
-from newsfunnel.llm.words import mix
+from newsfunnel.llm.common import bit_marks, free_name, map_batches, marked, slices, without
+from newsfunnel.llm.words import mix, powers
 
 WINDOW = 2  # lines that a boundary depends on
 DIVISOR = 2  # a line in so many ends a chunk, on average
@@ -77,37 +87,103 @@ def chunks(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line, line after the last one, and hash of the shortest runs of ``LONG_LINE``
+    words: one from each line forward, one from each line backward."""
+    counts = np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
+    upto = np.concatenate([[0], np.cumsum(counts)])
+    n = len(lines)
+    if upto[-1] < LONG_LINE:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.searchsorted(upto, upto[:n] + LONG_LINE)
+    starts = np.searchsorted(upto, upto[1:] - LONG_LINE, "right") - 1
+    fore, back = np.flatnonzero(ends <= n), np.flatnonzero(starts >= 0)
+    both = np.unique(np.concatenate([fore * (n + 1) + ends[fore], starts[back] * (n + 1) + back + 1]))
+    at, end = both // (n + 1), both % (n + 1)
+    power, inverse = powers(n)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(line_hashes(lines)) * power)])
+    h = mix((sums[end] - sums[at]) * inverse[at] + mix((end - at).astype(np.uint64)))
+    return at, end, h.view(np.int64)
+
+
+def run_digests(lines: list[str], spans: list[tuple[int, int]]) -> dict[tuple[int, int], bytes]:
+    """SHA-256 of runs (first line, line after the last one).  Lines without words at a
+    run's end are added one by one to the digest of the others: many of them would
+    else be read once for each run."""
+    raw = [x.encode() for x in lines]
+    done: dict[tuple[int, int], bytes] = {}
+    for at, end in sorted(spans, key=lambda s: (-s[0], s[1])):
+        outer = []
+        while (at, end) not in done:
+            if not lines[at].strip():
+                outer.append((at, end, b"<" + raw[at]))
+                at += 1
+            elif not lines[end - 1].strip():
+                outer.append((at, end, b">" + raw[end - 1]))
+                end -= 1
+            else:
+                done[at, end] = sha256(b"\n".join(raw[at:end])).digest()
+        d = done[at, end]
+        for at, end, line in reversed(outer):
+            d = done[at, end] = sha256(d + line).digest()
+    return done
+
+
+def piece_hashes(text: str) -> np.ndarray:
+    """Hashes of what may be removed, chunks and runs."""
+    own = [xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for _, _, body in chunks(text)]
+    return np.concatenate([np.array(own, np.int64), runs(text.split("\n"))[2]])
+
+
+def pieces(text: str, wanted) -> list[tuple[int, int, int, bytes]]:
+    """(place of the first line, number of lines, hash, identity) of the chunks and runs whose
+    hashes are ``wanted``; the identity is a chunk's bytes or the digest of a run's."""
+    out = []
+    cut = chunks(text)
+    own = np.array([xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for _, _, body in cut], np.int64)
+    for k in np.flatnonzero(wanted(own)).tolist():
+        at, n, body = cut[k]
+        out.append((at, n, int(own[k]), b"=" + body.encode()))
+    lines = text.split("\n")
+    at, end, hashes = runs(lines)
+    chosen = np.flatnonzero(wanted(hashes))
+    if len(chosen):
+        spans = list(zip(at[chosen].tolist(), end[chosen].tolist()))
+        digests = run_digests(lines, spans)
+        out += [(a, e - a, h, b"#" + digests[a, e]) for (a, e), h in zip(spans, hashes[chosen].tolist())]
+    return out
+
+
 def _bit(h: np.ndarray) -> np.ndarray:
     return h & (MARK_BITS - 1)
 
 
 def _explode_chunks(df: DataFrame, repeated=None) -> DataFrame:
-    """Hash h of every chunk; with ``repeated``, the marks of repeated hashes, (id, th, at,
-    n, h, body) of the marked chunks.  ``df`` has id, th and text."""
+    """Hash h of every chunk and run; with ``repeated``, the marks of repeated hashes, (id, th,
+    at, n, h, body) of the marked ones.  ``df`` has id, th and text."""
     if repeated is None:
         def hashes(batch):
-            hs = [xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for t in batch.column("text").to_pylist() if t for _, _, body in chunks(t)]
-            return pa.RecordBatch.from_arrays([pa.array(hs, pa.int64())], names=["h"])
+            hs = [piece_hashes(t) for t in batch.column("text").to_pylist() if t]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *hs]))], names=["h"])
 
         return map_batches(df.select("text"), hashes, "h long")
     shared = df.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batch):
-        rows = []
-        for i, th, text in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "text"))):
-            for at, n, body in chunks(text) if text else ():
-                rows.append((i, th, at, n, xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63), body))
-        kept = np.flatnonzero(marked(shared.value, _bit(np.array([r[4] for r in rows], np.int64)))).tolist()
-        cols = list(zip(*(rows[k] for k in kept))) or [()] * 6
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "th", "at", "n", "h", "body"])
+        marks = shared.value
+        for part in slices(batch, "text"):
+            rows = [(i, th, *piece) for i, th, text in zip(*(part.column(c).to_pylist() for c in ("id", "th", "text"))) if text
+                    for piece in pieces(text, lambda h: marked(marks, _bit(h)))]
+            cols = list(zip(*rows)) or [()] * 6
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "th", "at", "n", "h", "body"])
 
-    return map_batches(df, run, "id long, th long, at int, n int, h long, body string")
+    return map_batches(df, run, "id long, th long, at int, n int, h long, body binary")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(id, th, at, n, first): occurrences of the chunks that repeat, byte for byte;
-    ``docs`` has id (long), th (hash of the text) and text."""
+    """(id, th, at, n, first): occurrences of the chunks and runs that repeat, byte for byte,
+    ``first`` also where one overlaps the first; ``docs`` has id (long), th (hash of the text) and text."""
     counts = _explode_chunks(docs).groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > 1)
     marks = bit_marks(counts.select(F.col("h").bitwiseAND(F.lit(MARK_BITS - 1)).alias("bit")), MARK_BITS)
     # both tables are written, so that the join deals plain rows and Spark can split a hot chunk
@@ -118,7 +194,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                          .agg(F.min(place).alias("f"), F.count("*").alias("c")).where(F.col("c") > 1), "line-firsts")
     return found.join(firsts, (F.col("h") == F.col("fh")) & (F.col("body") == F.col("fbody"))).select(
         "id", "th", "at", "n",
-        (F.col("id").eqNullSafe(F.col("f.i")) & (F.col("th") == F.col("f.t")) & (F.col("at") == F.col("f.a"))).alias("first"))
+        (F.col("id").eqNullSafe(F.col("f.i")) & (F.col("th") == F.col("f.t")) & (F.col("at") < F.col("f.a") + F.col("n"))).alias("first"))
 
 
 def without_lines(text: str, cuts: list[tuple[int, int]]) -> str:
@@ -126,12 +202,21 @@ def without_lines(text: str, cuts: list[tuple[int, int]]) -> str:
     keep, at = [], 0
     for start, n in sorted(cuts):
         keep += lines[at:start]
-        at = start + n
+        at = max(at, start + n)
     return "\n".join(keep + lines[at:])
 
 
+def lines_cut(cuts: list[tuple[int, int]]) -> int:
+    """Number of lines that cuts, which may overlap, take away."""
+    total, at = 0, 0
+    for start, n in sorted(cuts):
+        total += max(0, start + n - max(at, start))
+        at = max(at, start + n)
+    return total
+
+
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "removed_lines") -> DataFrame:
-    """Texts without repeated chunks; ``removed_col`` counts the lines that went."""
+    """Texts without repeated chunks and runs; ``removed_col`` counts the lines that went."""
     df = without(df, removed_col)
     th, cid, cth, cuts = (free_name(df, x) for x in ("_th", "_cut_id", "_cut_th", "_cuts"))
     keyed = df.withColumn(th, F.xxhash64(text_col))
@@ -144,15 +229,15 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     width, at, names = len(df.columns), df.columns.index(text_col), schema.names
 
     def run(batch):
-        cut = batch.column(cuts).to_pylist()
+        cut = [[(x["at"], x["n"]) for x in c or ()] for c in batch.column(cuts).to_pylist()]
         out = [batch.column(i) for i in range(width)]
         if any(cut):
             texts = out[at].to_pylist()
             for i, c in enumerate(cut):
                 if c:
-                    texts[i] = without_lines(texts[i], [(x["at"], x["n"]) for x in c])
+                    texts[i] = without_lines(texts[i], c)
             out[at] = pa.array(texts, out[at].type)
-        out.append(pa.array([sum(x["n"] for x in c) if c else 0 for c in cut], pa.int64()))
+        out.append(pa.array([lines_cut(c) for c in cut], pa.int64()))
         return pa.RecordBatch.from_arrays(out, names=names)
 
     return map_batches(joined.select(*df.columns, cuts), run, schema)

@@ -38,6 +38,44 @@ def test_line_dedup_against_a_loop(spark):
     assert linedup.dedup_lines(docs_frame(spark, [])).count() == 0
 
 
+def test_short_passages_go_against_all_repeated_runs(spark):
+    rnd = random.Random(21)
+    passages = [[prose(rnd, w) for w in ws] for ws in ((30, 30), (25, 25), (20, 20, 20), (30, 60, 5), (17,) * 4, (49, 1), (24, 25))]
+    passages.append([passages[0][0], "", "  ", passages[0][1], ""])
+    loop = prose(rnd, 30)
+    rows = [(500, "\n".join([loop] * 5)), (501, "\n".join(["", ""] * 40 + passages[1])), (502, "\n".join(["", ""] * 40 + passages[1]))]
+    for n in range(80):
+        lines = [prose(rnd, rnd.choice((0, 6, 12, 30))) for _ in range(rnd.randint(0, 9))]
+        for p in rnd.sample(passages, 2):
+            at = rnd.randint(0, len(lines))
+            lines[at:at] = p
+        rows.append((n, "\n".join(lines)))
+    got = {r.doc_id: (r.text, r.removed_lines) for r in linedup.dedup_lines(docs_frame(spark, rows)).collect()}
+    seen, again = {}, {}
+    for i, t in sorted(rows):
+        lines = t.split("\n")
+        gone = again[i] = set()
+        for at, n, body in linedup.chunks(t):
+            if seen.setdefault(body, (i, at)) != (i, at):
+                gone.update(range(at, at + n))
+        for a in range(len(lines)):
+            for e in range(a + 1, len(lines) + 1):
+                body = "\n".join(lines[a:e])
+                if len(body.split()) >= linedup.LONG_LINE:
+                    j, b = seen.setdefault(("run", body), (i, a))
+                    if j != i or b + e - a <= a:
+                        gone.update(range(a, e))
+    for i, t in rows:
+        assert got[i] == ("\n".join(x for k, x in enumerate(t.split("\n")) if k not in again[i]), len(again[i])), i
+    assert got[500] == ("\n".join([loop] * 2), 3)
+
+
+def test_many_blank_lines_take_linear_time():
+    lines = [""] * 20000 + ["w " * 60] + [" "] * 20000
+    spans = list(zip(*(x.tolist() for x in linedup.runs(lines)[:2])))
+    assert len(spans) == 40001 and len(set(linedup.run_digests(lines, spans).values())) == 40001
+
+
 def test_chunk_borders_shift_with_the_lines():
     rnd = random.Random(9)
     body = [prose(rnd, 5) for _ in range(60)]
