@@ -95,4 +95,4 @@ def q_article_funnel(spark, sf):
                                      F.lit("</article></body></html>")).alias("html")).where(F.col("html").isNotNull())
     one = votes_v(spark, sf).where(F.col("voter") == "v1")
     return article_funnel(a.drop("full_text"), pages, fx_df(spark, "terms_fx"), fx_df(spark, "patterns_fx"), fx_df(spark, "gazetteer_fx"),
-                          verdicts=one, answers=answers_v(spark, sf))
+                          verdicts=one, answers=answers_v(spark, sf), max_articles=None)

@@ -35,11 +35,11 @@ def dedup_and_filter(articles: DataFrame, terms: DataFrame, patterns, threshold:
 
 def article_funnel(refs: DataFrame, pages: DataFrame, terms: DataFrame, patterns, gazetteer: DataFrame,
                    start: str | None = None, end: str | None = None, district_slugs: list[str] | None = None,
-                   verdicts: DataFrame | None = None, answers: DataFrame | None = None, max_articles: int | None = 5000,
+                   verdicts: DataFrame | None = None, answers: DataFrame | None = None, max_articles: int | None = None,
                    places: list[str] | None = None, threshold: float = 0.85, out: str | None = None) -> DataFrame:
     """The whole batch chain, stage by stage:
 
-    date range -> districts -> relevance verdicts -> cap -> extraction, cleaning and
+    date range -> districts -> relevance verdicts -> cap (only with ``max_articles``) -> extraction, cleaning and
     geo check of the landed pages (``pages``: url, html) -> district tags from the
     text, then from answers -> URL and title dedup -> score and exclusion ->
     optional write to ``out``.

@@ -3,6 +3,9 @@
 import datetime as dt
 import glob
 import os
+import random
+
+from helpers import greedy_title_dedup, py_normalize_url, quality
 
 from newsfunnel.plans.pipeline import article_funnel
 
@@ -38,3 +41,43 @@ def test_article_funnel(spark, tmpdir_path):
     rows = sorted((r.ord, r.url, r.district) for r in got.collect())
     assert rows == [(1, "https://a/3", "Gaya"), (9, "https://a/9", "Patna")]
     assert len(glob.glob(os.path.join(tmpdir_path, "articles_csv", "state_slug=bihar", "*", "*", "*.csv"))) == 2
+
+
+def test_more_refs_than_the_cap_take_every_step(spark):
+    rnd = random.Random(4)
+    when = dt.datetime(2026, 7, 5, 10)
+    refs, text = [], {}
+    for o in range(7000):
+        lang = f"l{o % 500}"  # few titles a language, so that the brute force stays quick
+        title = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=24)) + (" cricket" if o % 11 == 0 else "")
+        url = f"https://a/{o}"
+        if o >= 500 and o % 13 == 0:
+            title = refs[o - 500][1] + "!"  # near the one before it in its language
+        if o % 17 == 0 and o:
+            url = f"https://www.a/{o - 1}/"
+        refs.append((o, title, url, "src", when, lang, "Bihar", None, "heat"))
+        text[url] = ("Nothing but cricket all night. " if o % 11 == 0 else "The heatwave keeps people indoors. ") * rnd.randint(5, 9) + rnd.choice(("In Gaya.", "In town."))
+    pages = [(u, f"<body><article><p>{t}</p></article></body>") for u, t in text.items()]
+    terms = [("en", "weather", 0, "heatwave", 0)]
+    got = article_funnel(
+        spark.createDataFrame(refs, REFS), spark.createDataFrame(pages, "url string, html string"),
+        spark.createDataFrame(terms, "lang string, category string, cat_ord int, term string, term_ord int"), [r"\bcricket\b"],
+        spark.createDataFrame([("Bihar", "Patna", 0), ("Bihar", "Gaya", 1)], "state string, district string, district_ord int"),
+        verdicts=spark.createDataFrame([(o, "No") for o in range(0, 7000, 10)], "ref_id long, response string"))
+    by_url = {}
+    for o, title, url, source, _, lang, *_ in refs:
+        if o % 10:
+            row = {"ord": o, "language": lang, "title": title, "full_text": text[url], "url": url, "source": source,
+                   "district": "Gaya" if "Gaya" in text[url] else None}
+            by_url.setdefault(py_normalize_url(url), []).append(row)
+    kept = {}
+    for rows in by_url.values():
+        best = max(rows, key=lambda r: (quality(r["full_text"], r["district"], r["source"]), -r["ord"]))
+        kept[rows[0]["ord"]] = best | {"ord": rows[0]["ord"]}
+    want = []
+    for place, o in greedy_title_dedup(list(kept.values())):
+        r = kept[o]
+        if "heatwave" in r["full_text"] or "cricket" not in r["title"] + r["full_text"]:
+            want.append((place, r["url"], r["title"], r["district"]))
+    assert len(want) > 5000
+    assert sorted(tuple(r) for r in got.select("ord", "url", "title", "district").collect()) == sorted(want)
