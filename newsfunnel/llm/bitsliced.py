@@ -13,8 +13,12 @@ their id, every row block meets every query block through an equi-join on the
 block numbers, each meeting returns k rows per query, and a window with a
 per-group limit keeps the best k.  No block grows with the data.
 
-Defined results: vectors that are null, hold a null or non-finite component, a
-component of 2**21 / scale or more in size, or have a null id take no part; a
+Blocks whose sums could pass 64 bits are compared by double products with an
+error bound, and the rows that can be among the best again in Python's integers.
+
+Defined results: vectors that are null, hold a null or non-finite component, or
+have a null id take no part; a score beyond 64 bits among the results is an
+error, as in SQL; a
 shorter vector counts as padded with zeros; rows equal in id and vector count
 once; a query is not compared with rows of its own id; equal scores are
 ordered by the smaller id; fewer candidates than k give fewer rows; an empty
@@ -37,21 +41,24 @@ ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def quantised(df: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v): the rows that take part, as integer vectors."""
-    bound = float(1 << 21)
+    """(vec_id, v): the rows that take part, as vectors of whole numbers."""
+    def whole(x):
+        y = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(y) < float(1 << 52), F.floor(y).cast("double")).otherwise(y)  # larger doubles are whole
+
     ok = F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & F.forall(
-        vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < bound))
+        vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return df.where(F.coalesce(ok, F.lit(False))).select(
         F.col(id_col).cast("long").alias("vec_id"),
-        F.transform(vec_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("int")).alias("v"))
+        F.transform(vec_col, whole).alias("v"))
 
 
 def _matrix(col: pa.ChunkedArray, dims: int) -> np.ndarray:
-    """Lists of ints as a matrix, zero-padded to ``dims`` columns."""
+    """Lists of whole numbers as a matrix, zero-padded to ``dims`` columns."""
     arr = col.combine_chunks()
     lens = arr.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat = arr.flatten().to_numpy(zero_copy_only=False)
-    out = np.zeros((len(lens), dims), np.int64)
+    out = np.zeros((len(lens), dims))
     row = np.repeat(np.arange(len(lens)), lens)
     out[row, np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)] = flat
     return out
@@ -174,6 +181,40 @@ def top_of_block(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, x: np.ndarray,
     return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_s)
 
 
+def fits(q: np.ndarray, x: np.ndarray) -> bool:
+    """Whether no sum of ``top_of_block`` can pass 64 bits."""
+    most = [max(least, float(np.abs(m).max(initial=0))) for m, least in ((q, 1.0), (x, float(1 << BITS)))]
+    return x.shape[1] * most[0] * most[1] < float(1 << 60)
+
+
+def top_of_wide_block(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, x: np.ndarray, k: int):
+    """``top_of_block`` for doubles of any size that are whole numbers; scores are Python integers."""
+    def unit(m: np.ndarray) -> np.ndarray:  # a power of two keeps the digits
+        return np.ldexp(m, -int(np.frexp(np.abs(m).max(initial=0))[1]))
+
+    sx, sq = unit(x), unit(q)
+    near = sq @ sx.T
+    error = (x.shape[1] + 2) * 2.0 ** -51 * (np.abs(sq) @ np.abs(sx).T) + 2.0 ** -1000
+    own = qid[:, None] == rid[None, :]
+    least = np.where(own, -np.inf, near - error)
+    edge = np.partition(least, -k, axis=1)[:, [-k]] if len(rid) > k else np.full((len(qid), 1), -np.inf)
+    out_q, out_r, out_s = [], [], []
+    exact: dict[int, list[int]] = {}
+    for i in range(len(qid)):
+        weights = [int(v) for v in q[i]]
+        found = []
+        for j in np.flatnonzero((near[i] + error[i] >= edge[i]) & ~own[i]).tolist():
+            row = exact.get(j)
+            if row is None:
+                row = exact[j] = [int(v) for v in x[j]]
+            found.append((-sum(a * b for a, b in zip(weights, row)), int(rid[j])))
+        for s, r in sorted(found)[:k]:
+            out_q.append(int(qid[i]))
+            out_r.append(r)
+            out_s.append(-s)
+    return out_q, out_r, out_s
+
+
 def _unique(t: pa.Table) -> pa.Table:
     """Rows equal in id and vector once."""
     first, keep = set(), []
@@ -200,20 +241,26 @@ def top_k(df: DataFrame, queries: DataFrame, k: int, scale: int = 1024, id_col:
                         ).repartition(parts, "rb", "qb")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("beyond", pa.int32())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         left, right = _unique(left), _unique(right)
         dims = max(max(map(len, t.column("v").to_pylist())) for t in (left, right))
         if not dims:
-            x, q = np.zeros((left.num_rows, 1), np.int64), np.zeros((right.num_rows, 1), np.int64)
+            x, q = np.zeros((left.num_rows, 1)), np.zeros((right.num_rows, 1))
         else:
             x, q = _matrix(left.column("v"), dims), _matrix(right.column("v"), dims)
-        got = top_of_block(right.column("vec_id").to_numpy(), q, left.column("vec_id").to_numpy(), x, k)
-        return pa.table([pa.array(a) for a in got], schema=schema)
+        qid, rid = right.column("vec_id").to_numpy(), left.column("vec_id").to_numpy()
+        if fits(q, x):
+            got = top_of_block(qid, q.astype(np.int64), rid, x.astype(np.int64), k)
+            return pa.table([*(pa.array(a) for a in got), pa.array(np.zeros(len(got[0]), np.int32))], schema=schema)
+        qids, rids, scores = top_of_wide_block(qid, q, rid, x, k)
+        beyond = [(s >= 1 << 63) - (s < -(1 << 63)) for s in scores]
+        return pa.table([qids, rids, [0 if b else s for s, b in zip(scores, beyond)], beyond], schema=schema)
 
     best = (dealt(rows, "rb", n_rb, "qb", n_qb).groupBy("rb", "qb")
             .cogroup(dealt(qs, "qb", n_qb, "rb", n_rb).groupBy("rb", "qb"))
-            .applyInArrow(meet, "query_id long, vec_id long, score long"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            .applyInArrow(meet, "query_id long, vec_id long, score long, beyond int"))
+    w = Window.partitionBy("query_id").orderBy(F.col("beyond").desc(), F.col("score").desc(), F.col("vec_id"))
+    score = F.when(F.col("beyond") == 0, F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit into 64 bits")).cast("long"))
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))

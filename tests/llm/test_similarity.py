@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from llm_helpers import AWKWARD, brute_components, docs_frame, edited, prose, word_set
 
 from newsfunnel.functions import components
@@ -133,6 +134,28 @@ def test_top_k_against_brute_force(spark):
     assert bitsliced.top_k(few, few.where("vec_id = 0"), 10).count() == 2
 
 
+def test_finite_vectors_of_any_size_take_part(spark):
+    rng = np.random.default_rng(18)
+    rows = [(int(i), [float(np.float32(x)) for x in rng.normal(0, 10.0 ** (i % 5), 6)]) for i in range(400)]
+    rows += [(1000 + i, [3e6 + i, -4e6, 5e5, 0.0, 1.0, 2e6]) for i in range(20)]
+    rows += [(2000, [1e15, 0.0, 0.0, 0.0, 0.0, 0.25]), (2001, [0.001, 0.0, 0.0, 0.0, 0.0, 0.25])]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows if i != 300]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    # products with the largest row would pass 64 bits, so it meets small queries only
+    asked = df.where("vec_id % 100 = 0 and vec_id <> 2000 and vec_id <> 1000")
+    small = [r for r in rows if r[0] != 2000]
+    got = {}
+    for r in bitsliced.top_k(df.where("vec_id <> 2000"), asked, 10, row_block=64, query_block=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == {q: v for q, v in brute_top(small, 10).items() if q != 1000}
+    one = bitsliced.top_k(df, df.where("vec_id = 2001"), 3).orderBy("rank").collect()
+    ints = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    want = sorted((-sum(a * b for a, b in zip(ints[2001], v)), i) for i, v in ints.items() if i != 2001)[:3]
+    assert [(r.vec_id, r.score) for r in one] == [(i, -s) for s, i in want] and one[0].vec_id == 2000
+    with pytest.raises(Exception, match="64 bits"):
+        bitsliced.top_k(df, df.where("vec_id = 1001"), 3).collect()
+
+
 def test_block_kernel_against_matrix_product():
     rng = np.random.default_rng(0)
     for _ in range(200):
