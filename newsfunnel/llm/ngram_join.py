@@ -109,12 +109,21 @@ def features(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
 
 
 def _dealt(df: DataFrame, key: str, count: str, member: str, everywhere: str | None = None) -> DataFrame:
-    """Rows of each group, dealt into parts of BLOCK members by column ``part``; rows
-    with ``everywhere`` go to all parts of their group."""
+    """Rows of each group, dealt into parts of BLOCK members by column ``part``.  With
+    ``everywhere``, how many rows of the group have ``outside``, these are dealt into parts
+    of BLOCK too, and each of their parts meets each part of the group."""
     n = F.ceil(F.col(count) / BLOCK)
     own = F.pmod(F.xxhash64(member), n)
     if everywhere:
-        df = df.withColumn("part", F.explode(F.when(F.col(everywhere), F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array(own))))
+        k = F.ceil(F.col(everywhere) / BLOCK)
+
+        def upto(count: F.Column) -> F.Column:
+            return F.sequence(F.lit(0).cast("long"), count - 1)
+
+        member_of = F.transform(upto(k), lambda j: own * k + j)
+        outer = F.pmod(F.xxhash64(F.col(member), F.lit("outside")), k)
+        df = df.withColumn("part", F.explode(F.when(F.col("outside"), F.array_union(member_of, F.transform(upto(n), lambda i: i * k + outer)))
+                                             .otherwise(member_of)))
     else:
         df = df.withColumn("part", own)
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -192,9 +201,15 @@ def possible_links(sets: DataFrame, percent: int) -> DataFrame:
             if len(leaves) > 1:
                 yield _pairs([(nodes[i], nodes[j]) for i, j in spanning_links(build(leaves), len(leaves), percent, lambda i, j: True)])
 
-    ups = found.where(F.col("token").isNotNull()).withColumn("part", F.lit(0))
+    # many summaries are dealt into parts too: every part meets every other in a task of its own
+    ups = found.where(F.col("token").isNotNull())
+    many = materialize(ups.groupBy(F.col("token").alias("m_token")).agg(F.ceil(F.count("*") / BLOCK).alias("m")), "ngram-summaries")
+    own, m = F.pmod(F.xxhash64("a"), F.col("m")), F.col("m")
+    other = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), m - 1), lambda j: (m == 1) | (j != own)))
+    ups = (ups.join(many, F.col("token") == F.col("m_token")).withColumn("other", other)
+           .withColumn("part", F.least(own, "other") * m + F.greatest(own, "other")).drop("m_token", "other", "m"))
     n = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    links = ups.repartition(n, "token").sortWithinPartitions("token").mapInArrow(across, "a long, b long")
+    links = ups.repartition(n, "token", "part").sortWithinPartitions("token", "part").mapInArrow(across, "a long, b long")
     return found.where(F.col("token").isNull()).select("a", "b").unionByName(links)
 
 
@@ -253,10 +268,11 @@ def cluster_links(rows: DataFrame, percent: int) -> DataFrame:
     two = materialize(exact_links(_dealt(heads, "comp", "heads", "node"), percent), "ngram-links")
     now = materialize(grouped(one.union(two)), "ngram-large")
     sizes = now.groupBy("comp", "group").agg(F.count("*").alias("size"))
-    main = materialize(sizes.groupBy(F.col("comp").alias("m_comp")).agg(F.max_by("group", F.struct("size", "group")).alias("main"), F.count("*").alias("left")),
+    main = materialize(sizes.groupBy(F.col("comp").alias("m_comp")).agg(F.max_by("group", F.struct("size", "group")).alias("main"), F.count("*").alias("left"),
+                                                                                 (F.sum("size") - F.max("size")).alias("others")),
                        "ngram-main")
     open_ = now.join(main, F.col("comp") == F.col("m_comp")).where("left > 1").withColumn("outside", F.col("group") != F.col("main"))
-    three = materialize(exact_links(_dealt(open_, "comp", "c", "node", "outside"), percent), "ngram-links")
+    three = materialize(exact_links(_dealt(open_, "comp", "c", "node", "others"), percent), "ngram-links")
     return one.union(two).union(three)
 
 

@@ -69,12 +69,14 @@ class Node:
                     bits |= b
                     shared = max(shared, s)
             else:
-                bits, w = self.forms[self.width][0], self.width
+                (bits, shared), w = self.forms[self.width], self.width
                 while w > width:
                     w >>= 1
-                    bits = bits & ((1 << w) - 1) | bits >> w
-                # a set's tokens that share a bit; for a summary all of them may, once it is folded
-                shared = self.low - bits.bit_count() if self.low == self.high else self.high
+                    left, right = bits & ((1 << w) - 1), bits >> w
+                    # bits that meet; those of a summary's sets are among them
+                    shared += (left & right).bit_count()
+                    bits = left | right
+                shared = min(shared, self.high)
             form = self.forms[width] = bits, shared
         return form
 

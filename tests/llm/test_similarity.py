@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from llm_helpers import AWKWARD, brute_components, docs_frame, edited, prose, word_set
 
 from newsfunnel.functions import components
@@ -66,6 +67,29 @@ def test_summary_bound_never_prunes_a_link():
             assert sigtree.possible(*ups, 80)
 
 
+def test_summary_of_equal_sizes_against_a_narrower_signature():
+    """A word changed in each of ten copies keeps the size; the text cut to 126 shingles has half the width."""
+    rng = np.random.default_rng(15)
+
+    def tokens(words):
+        return np.unique([xxhash.xxh3_64_intdigest(" ".join(map(str, words[i:i + 3]))) for i in range(len(words) - 2)]).astype(np.uint64)
+
+    for _ in range(200):
+        words = rng.integers(0, 10 ** 6, 132).tolist()
+        copies = []
+        for i in rng.integers(3, 129, 10).tolist():
+            copies.append(tokens([*words[:i], 10 ** 6 + i, *words[i + 1:]]))
+        cut = tokens(words[:128])
+        assert {len(c) for c in copies} == {130} and len(cut) == 126
+        assert any(100 * len(np.intersect1d(c, cut)) >= 90 * len(np.union1d(c, cut)) for c in copies)
+        leaves = [sigtree.Node(i, len(c), sigtree.signature(c)) for i, c in enumerate(copies)]
+        g = sigtree.Groups(10)
+        for i in range(1, 10):
+            g.join(0, i)
+        (up,) = (sigtree.Node.summary(0, *x[1:]) for x in sigtree.summaries(leaves, g))
+        assert sigtree.possible(up, sigtree.Node(1, 126, sigtree.signature(cut)), 90)
+
+
 def test_tree_bound_never_prunes_a_link():
     rng = np.random.default_rng(3)
     for _ in range(300):
