@@ -10,7 +10,8 @@ until no two share a replacement and none equals an entity that occurs
 
 Kept of each entity: length, letter case and punctuation, an e-mail's top
 domain, a phone's country code, an IBAN's country, a card's first digit with a
-valid check digit, a name's title, gender (from the title) and script.
+valid check digit, a name's title, particles, gender (from the title) and script;
+of an initial's replacement the first letter is written.
 
 Shuffled are the mentions, the entity table and the documents that have
 entities; all others pass by.
@@ -37,7 +38,13 @@ TITLES = {
     "n": ("Dr", "Prof"),
 }
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True)) + r")\.?"
-_NAME = r"\p{Lu}[\p{L}’'-]+"
+# Words inside names that are no names themselves, and what follows a name.
+_PARTICLE = "(?:von|van|vom|zu|zur|zum|der|den|de|del|della|di|da|das|do|dos|du|des|la|le|las|los|ter|ten|af|av|bin|ibn|al|el|y)"
+_AFTER = r"(?:Jr|Sr|II|III|IV)(?![\p{L}\p{N}])"
+_INITIALS = r"(?:\p{Lu}\.-?)++"
+#: a name, initials, or one letter before a name; not the next person's title
+_NAME = rf"(?!{_TITLE} |{_AFTER})(?:\p{{Lu}}[\p{{L}}’'-]++|{_INITIALS}|\p{{Lu}}(?= \p{{Lu}}[\p{{L}}’'. -]))"
+_NAMES = rf"(?:{_PARTICLE} )*+{_NAME}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: type -> pattern; of several that match at a place the first counts
 PATTERNS = {
@@ -47,7 +54,7 @@ PATTERNS = {
     "card": r"(?<![\w.-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w.])(?:\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?![\w])",
-    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_NAME}(?: {_NAME})?",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_NAMES}(?: {_NAMES})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 EXTRA_FROM = 6  # draws after which a replacement gets longer, so that full formats cannot stall
@@ -105,12 +112,14 @@ def segments(m: Column) -> Column:
     title = F.regexp_extract(m, f"^{_TITLE} ", 0)
     bare = F.regexp_replace(title, r"[. ]", "")
     gender = reduce(lambda w, g: w.when(bare.isin(*TITLES[g]), F.lit(g)), ("f", "m"), F.when(F.lit(False), F.lit("n"))).otherwise(F.lit("n"))
-    words = F.split(F.substr(m, F.length(title) + 1), " ")
+    rest = F.substr(m, F.length(title) + 1)
+    pattern = F.lit(f"((?:{_PARTICLE} )*+)({_NAME})")
+    kept, words = F.regexp_extract_all(rest, pattern, F.lit(1)), F.regexp_extract_all(rest, pattern, F.lit(2))
     script = F.when(F.element_at(words, 1).rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
-    family = F.concat(F.lit("family_"), script)
-    name = F.when(F.size(words) == 1, F.array(one(title, family, F.element_at(words, 1)))).otherwise(
-        F.array(one(title, F.concat(F.lit("given_"), script, F.lit("_"), gender), F.element_at(words, 1)),
-                one(F.lit(" "), family, F.element_at(words, -1))))
+    # the last word is the family's, those before it are given names
+    name = F.transform(words, lambda w, i: one(
+        F.concat(F.when(i == 0, title).otherwise(F.lit(" ")), F.get(kept, i)),
+        F.when(i == F.size(words) - 1, F.concat(F.lit("family_"), script)).otherwise(F.concat(F.lit("given_"), script, F.lit("_"), gender)), w))
     out = F.when(m.rlike(f"^(?:{PATTERNS['name']})$"), name)
     for kind in ("email", "iban", "ip", "card", "ssn"):
         out = out.when(m.rlike(f"^(?:{PATTERNS[kind]})$"), F.array(one(F.lit(""), kind, m)))
@@ -172,7 +181,9 @@ def written(kind: Column, piece: Column, made: Column) -> Column:
     chars = F.split(piece, "(?!^)(?!$)")
     places = F.transform(chars, lambda c, i: F.when(
         c.rlike("[0-9]"), F.substr(made, F.length(F.regexp_replace(F.substr(piece, F.lit(1), i + 1), "[^0-9]", "")), F.lit(1))).otherwise(c))
-    cased = F.when((F.upper(piece) == piece) & (F.lower(piece) != piece), F.upper(made)).when(
+    initials = F.array_join(F.transform(chars, lambda c, i: F.when(
+        c.rlike(r"\p{Lu}"), F.upper(F.substr(made, i % F.length(made) + 1, F.lit(1)))).otherwise(c)), "")
+    cased = F.when(kind.rlike("^(given|family)") & piece.rlike(rf"^(?:\p{{Lu}}|{_INITIALS})$"), initials).when((F.upper(piece) == piece) & (F.lower(piece) != piece), F.upper(made)).when(
         kind.rlike("^(given|family)"), F.concat(F.upper(F.substring(made, 1, 1)), F.substr(made, F.lit(2)))).otherwise(made)
     return F.when(kind.isin("card", "ssn", "phone"), F.array_join(places, "")).when(kind.isin("ip", "iban"), made).otherwise(cased)
 

@@ -230,6 +230,24 @@ def test_pii_surrogates(spark):
     assert pii.replace_entities(docs_frame(spark, []), "key").count() == 0
 
 
+def test_titled_names_of_any_number_of_words(spark):
+    rows = [(1, "Dr Martin Luther King spoke, Dr King left"), (2, "Mr J. Smith met Mr Smith and Mr J.R.R. Smith"),
+            (3, "Herr Otto von der Heide saw Frau Heide"), (4, "Mr John F Kennedy Jr. came. Mr Smith I know, Mrs Ann Mary Lou Smith too"),
+            (5, "Mr Smith Mrs Heide"), (6, "Dr Smith of King and Prof. Dr. King")]
+    got = {r.doc_id: r for r in pii.replace_entities(docs_frame(spark, rows), "key").collect()}
+    assert [got[i].n_entities for i in range(1, 7)] == [2, 3, 2, 3, 2, 2]
+    w = r"([A-Z][a-z]+)"
+    a = re.fullmatch(rf"Dr {w} {w} {w} spoke, Dr {w} left", got[1].text)
+    assert a and a[3] == a[4] and not {"Martin", "Luther", "King"} & set(a.groups())
+    b = re.fullmatch(rf"Mr [A-Z]\. {w} met Mr {w} and Mr [A-Z]\.[A-Z]\.[A-Z]\. {w}", got[2].text)
+    assert b and b[1] == b[2] == b[3] != "Smith"
+    c = re.fullmatch(rf"Herr {w} von der {w} saw Frau {w}", got[3].text)
+    assert c and c[2] == c[3] != "Heide" and c[1] != "Otto"
+    d = re.fullmatch(rf"Mr {w} [A-Z] {w} Jr\. came\. Mr {w} I know, Mrs {w} {w} {w} {w} too", got[4].text)
+    assert d and d[3] == d[7] == b[1] and not {"John", "Kennedy", "Ann", "Mary", "Lou"} & set(d.groups())
+    assert re.fullmatch(rf"Mr {b[1]} Mrs {c[2]}", got[5].text) and got[6].text == f"Dr {b[1]} of King and Prof. Dr. {a[3]}"
+
+
 def test_pii_replacements_stay_distinct(spark):
     # one-letter mailboxes: 26 of one format, so draws must collide and grow
     rows = [(n, f"{chr(97 + n)}@m.com") for n in range(26)]
