@@ -10,18 +10,22 @@ from pyspark.sql import DataFrame
 from newsfunnel.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, label: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as parquet under ``spark.checkpoint.dir`` and read it back.
 
     One job, columnar, survives executor loss (the files live in the shared
     folder the cluster names), and later stages read only the columns they
     need.  Unlike an eager ``checkpoint()`` of an unpersisted DataFrame, the
-    plan is computed once.
+    plan is computed once.  With ``partition_by`` each value has its own folder;
+    the given schema is used to read it back, so an empty table keeps its columns.
     """
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def with_columns_once(df: DataFrame, cols: dict) -> DataFrame:
