@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsfunnel.llm import bitsliced, bpe, decontam, licenses, linedup, ngram_join, pii, secrets, toxicity
+from newsfunnel.llm import bitsliced, bpe, decontam, dialogue, filteraudit, kdshards, licenses, linedup, ngram_join, pii, secrets, toxicity
 from newsfunnel.llm.common import documents, sha256_ints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,54 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op7_pii_surrogates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(documents(spark, sf_dir, "doc_id", "text"), PII_KEY).select("doc_id", "n_entities", "text")
+
+
+@_register("op11_structure_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return dialogue.repair_audit(dialogue.damage(turns))
+
+
+@_register("op12_filter_audit", """
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS a,
+             min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+q AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+f AS (
+  SELECT w.part, coalesce(q.good, 0) AS good, coalesce(q.toxic, 0) AS toxic,
+         CASE WHEN len(a) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(a)) < 80 * len(a) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * len(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN w.doc_id > first THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN q ON w.doc_id = q.doc_id),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+x AS (SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(x)),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE a.x <> b.x AND a.x <> c.x AND a.x <> d.x AND a.x <> e.x AND b.x <> c.x AND b.x <> d.x AND b.x <> e.x
+        AND c.x <> d.x AND c.x <> e.x AND d.x <> e.x),
+s AS (SELECT filter_order, CAST(k AS INTEGER) AS step, substr(filter_order, CAST(k AS INTEGER), 1) AS x,
+             substr(filter_order, 1, CAST(k AS INTEGER) - 1) AS before FROM o, range(1, 6) r(k)),
+r AS (
+  SELECT c.part, s.filter_order, s.step, s.x,
+    sum(CASE WHEN translate(fails, before || x, '') = fails THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN contains(fails, x) AND translate(fails, before, '') = fails THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(fails, x) AND translate(fails, before, '') <> fails THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = x THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(fails, x) AND translate(fails, before, '') = fails THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(fails, x) AND translate(fails, before, '') = fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return filteraudit.interaction_audit(documents(spark, sf_dir, "doc_id", "text", "lang"), labels)
+
+
+@_register("op13_kd_shards")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kdshards.shard_documents(documents(spark, sf_dir), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

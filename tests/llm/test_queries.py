@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_sql_queries_match_duckdb():
-    names = ["op1_ngram_join", "op8_topk_search"]
+    names = ["op1_ngram_join", "op8_topk_search", "op12_filter_audit"]
     out = subprocess.run([sys.executable, os.path.join(ROOT, "tools", "oracle_check.py"), "--sf", SF, *names], capture_output=True, text=True, timeout=900)
     assert "FAIL" not in out.stdout and "passed" in out.stdout, out.stdout + out.stderr[-2000:]
 
@@ -18,7 +18,7 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as E
 
     names = E.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == [] and "pipeline" in names
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == [] and "pipeline" in names
 
 
 def test_pipeline_stages(spark, tmp_path):
