@@ -111,6 +111,14 @@ def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 1 << 20) -> Iterato
         at = end
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A short table of numbers and letters written into the plan itself: no Python worker makes its rows."""
+    names = [f.split()[0] for f in schema.split(",")]
+    types = [f.split()[1] for f in schema.split(",")]
+    said = ", ".join("(" + ", ".join(f"cast('{v}' as {t})" for v, t in zip(r, types)) + ")" for r in rows)
+    return spark.sql(f"select * from values {said} as t({', '.join(names)})")
+
+
 def bit_marks(bits: DataFrame, size: int) -> np.ndarray:
     """Bitmap (bytes, low bit first) of ``size`` bits with those of column ``bit`` set.
 

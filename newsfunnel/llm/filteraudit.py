@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.lineage import materialize
+from newsfunnel.llm.common import literal_rows
 
 HOT_SHARE = 1000  # a digest of more than 1/1000 of all rows is hot; so there are fewer than 1,000 of them
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -131,7 +132,7 @@ def interaction_audit(docs: DataFrame, labels: DataFrame, filters: str = "ABCDE"
     spark = docs.sparkSession
     # the orders are the filters' own: f! rows of f steps, whatever the data
     orders = [("".join(o), k + 1, f, "".join(sorted(o[:k]))) for o in permutations(filters) for k, f in enumerate(o)]
-    steps = F.broadcast(spark.createDataFrame(orders, "filter_order string, step int, filter string, before string"))
+    steps = F.broadcast(literal_rows(spark, orders, "filter_order string, step int, filter string, before string"))
     sets = [(s, f) for k in range(len(filters)) for s in map("".join, combinations(filters, k)) for f in filters if f not in s]
     weight = {s: factorial(len(s)) * factorial(len(filters) - 1 - len(s)) for s, _ in sets}
     parts = facts.groupBy("part").agg(F.count("*").alias("total"))
@@ -149,7 +150,7 @@ def interaction_audit(docs: DataFrame, labels: DataFrame, filters: str = "ABCDE"
         F.sum(F.col("n") * F.col("orders")).alias("shapley"))
     # survivors of a set: what its letters remove one after the other in ascending order
     path = {s: [(s[:k], s[k]) for k in range(len(s))] for s in {"".join(sorted(s + f)) for s, f in sets}}
-    hops = F.broadcast(spark.createDataFrame([(t, b, f) for t, hop in path.items() for b, f in hop], "after string, before string, filter string"))
+    hops = F.broadcast(literal_rows(spark, [(t, b, f) for t, hop in path.items() for b, f in hop], "after string, before string, filter string"))
     gone = cells.join(hops, ["before", "filter"]).groupBy("part", "after").agg(F.sum("n").alias("gone"))
     row = cells.join(steps, ["before", "filter"]).withColumn("after", F.array_join(F.array_sort(F.split(F.concat("before", "filter"), "")), ""))
     return (row.join(whole, ["part", "filter"]).join(gone, ["part", "after"])

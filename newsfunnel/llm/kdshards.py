@@ -38,10 +38,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.lineage import materialize
+from newsfunnel.llm.common import literal_rows
 
 COORD_BITS = 20
 TIE_BITS = 40
-BINS = 4096
+BINS = 512  # of a node and pass; the only rows that one task orders
 BLOCK_ROWS = 1 << 17  # rows of one numbering task
 ROW_BYTES = 8
 
@@ -95,7 +96,7 @@ def _placed(rows: DataFrame, done: list[list[Node]], dims: list[str]) -> DataFra
         cuts = [(n.first, n.dim, n.cut, n.first + n.leaves // 2) for n in level if n.cut is not None]
         if not cuts:
             continue
-        table = F.broadcast(rows.sparkSession.createDataFrame(cuts, "_node int, _dim int, _cut long, _right int"))
+        table = F.broadcast(literal_rows(rows.sparkSession, cuts, "_node int, _dim int, _cut long, _right int"))
         out = out.join(table, "_node", "left").withColumn(
             "_node", F.when(F.col("_cut").isNotNull() & (_key(F.col("_dim"), dims) >= F.col("_cut")), F.col("_right")).otherwise(F.col("_node"))
         ).drop("_dim", "_cut", "_right")
@@ -122,7 +123,7 @@ def _narrow(placed: DataFrame, seeking: dict[int, Node], dims: list[str]) -> Non
     """One pass: the interval of each seeking node shrinks to the bin in which its target falls."""
     spark = placed.sparkSession
     asked = [(n.first, n.dim, n.low, n.high, max(1, (n.high - n.low) // BINS + 1), n.before, n.weight * (n.leaves // 2), n.leaves) for n in seeking.values()]
-    table = F.broadcast(spark.createDataFrame(asked, "_node int, _dim int, _low long, _high long, _step long, _before long, _goal long, _leaves int"))
+    table = F.broadcast(literal_rows(spark, asked, "_node int, _dim int, _low long, _high long, _step long, _before long, _goal long, _leaves int"))
     keyed = placed.join(table, "_node").withColumn("_key", _key(F.col("_dim"), dims)).where("_key between _low and _high")
     bins = keyed.groupBy("_node", "_goal", "_before", "_leaves", F.expr("(_key - _low) div _step").alias("_bin")).agg(
         F.sum("_w").alias("w"), F.min("_key").alias("least"), F.max("_key").alias("most"))
