@@ -11,13 +11,12 @@ Distributed plan (exact):
 
 1. normalise titles; collapse identical (language, title) pairs into
    representatives (one partial aggregate);
-2. candidate pairs of representatives by an equi-join on (language, length)
-   against the length band ``min/max >= t/(2-t)`` (lossless: 2M/T <= 2 min/T),
-   then the character-multiset bound ``2*overlap/T >= t`` computed natively
-   (lossless: matched characters are a sub-multiset of both titles);
-3. exact ratios in both directions for survivors only (Arrow UDF): a
-   bit-parallel LCS bound first (lossless: matching blocks are a common
-   subsequence), difflib only for pairs that pass it;
+2. representatives are dealt into blocks of one language and a band of lengths; two
+   blocks meet where ``min/max >= t/(2-t)`` is possible (lossless: 2M/T <= 2 min/T);
+3. in a group of two blocks, on arrays: the character-multiset bound
+   ``2*overlap/T >= t`` and the bigrams that so many common characters leave in common;
+   then per pair a bit-parallel LCS (lossless: matching blocks are a common
+   subsequence) and, for pairs that pass all, difflib in both directions;
 4. connected components of the ``ratio >= t`` graph (smallest label and pointer
    jumping, until nothing changes; each round is a written table);
 5. a greedy decision only involves pairs inside one component, so components
@@ -32,7 +31,9 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,9 @@ from newsfunnel.functions.text import pystrip
 from newsfunnel.operators.urldedup import quality_score
 
 THRESHOLD = 0.85
-SALT_TITLES = 512  # titles of one (language, length) key that one task takes
+BAND = 8  # lengths of a block
+BLOCK_TITLES = 1024  # titles of a block; a group holds two
+FOLD = 64  # counters of a title's characters
 
 
 def strip_source_suffix(col: Column | str) -> Column:
@@ -70,109 +73,115 @@ def lcs_length(a: str, b: str) -> int:
     return len(b) - v.bit_count()
 
 
-def _make_ratios(threshold: float):
-    def ratios(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        """Exact Ratcliff/Obershelp ratio in both argument orders (it is asymmetric).
-
-        Matching blocks form a common subsequence, so 2*LCS/T bounds both
-        ratios; pairs below the threshold on that bound skip difflib (their
-        ratios are reported as the bound, which is < threshold)."""
-        from difflib import SequenceMatcher
-
-        ab, ba = [], []
-        for x, y in zip(a, b):
-            total = len(x) + len(y)
-            bound = 2.0 * lcs_length(x, y) / total if total else 1.0
-            if bound < threshold:
-                ab.append(bound)
-                ba.append(bound)
-                continue
-            ab.append(SequenceMatcher(None, x, y).ratio())
-            ba.append(SequenceMatcher(None, y, x).ratio())
-        return pd.DataFrame({"r_ab": ab, "r_ba": ba})
-
-    return ratios
-
-
-def _pair_ratios(a: Column | str, b: Column | str, threshold: float = THRESHOLD) -> Column:
-    # Non-deterministic on purpose: it stops Catalyst from inlining the UDF into
-    # the edge filter below the repartition (which would run it twice, the
-    # first time on the skewed join partitions).
-    return F.pandas_udf(_make_ratios(threshold), "struct<r_ab:double,r_ba:double>").asNondeterministic()(a, b)
-
-
-def _code_points(c: Column) -> Column:
-    return F.array_sort(F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.ascii(x).cast("long")))
-
-
-def _char_tags(cps: Column) -> Column:
-    """Sorted code points tagged with their occurrence number (multiset -> set
-    of longs): ``codepoint * 2^20 + k`` for the k-th occurrence, so
-    ``array_intersect`` counts the multiset overlap on primitive longs.
-    ``cps`` must be a column reference (it is used inside the lambda)."""
-    return F.transform(cps, lambda x, i: x * F.lit(1 << 20) + (i - F.array_position(cps, x) + 1))
-
-
 def representatives(df: DataFrame, lang: str = "language", title: str = "title", order: str = "ord") -> DataFrame:
     """One row per distinct (language, normalised title) with a stable id."""
-    keyed = df.select(F.col(lang).alias("lang"), title_key(title).alias("tkey"), F.col(order).alias("ord"))
+    keyed = df.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), title_key(title).alias("tkey"), F.col(order).alias("ord"))
     return keyed.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id"))
 
 
+def _bounds(a: list[str], b: list[str]) -> np.ndarray:
+    """Most characters that each title of ``a`` can match in each of ``b``: the overlap of their
+    character counts.  Characters are folded into ``FOLD`` counters, which only raises it."""
+    x, y = _counts(a, 1, FOLD), _counts(b, 1, FOLD)
+    out = np.empty((len(a), len(b)), np.int32)
+    for at in range(0, len(a), 32):
+        out[at:at + 32] = np.minimum(x[at:at + 32, None, :], y[None, :, :]).sum(axis=2, dtype=np.int32)
+    return out
+
+
+def _counts(titles: list[str], q: int, width: int) -> np.ndarray:
+    """Folded counts of the q-grams of each title."""
+    lens = np.fromiter(map(len, titles), np.int64, len(titles))
+    points = np.frombuffer("".join(titles).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    kind = np.uint8 if (lens.max(initial=0)) < 256 else np.int32
+    if q == 2:
+        grams = points[:-1] * 31 + points[1:] if len(points) else points
+        row = np.repeat(np.arange(len(titles)), lens)
+        inside = row[:-1] == row[1:] if len(row) else row.astype(bool)
+        grams, row = grams[inside], row[:-1][inside] if len(row) else row
+    else:
+        grams, row = points, np.repeat(np.arange(len(titles)), lens)
+    flat = np.bincount(row * width + grams % width, minlength=len(titles) * width)
+    return flat.reshape(len(titles), width).astype(kind)
+
+
+def _block_pairs(ids_a, a: list[str], ids_b, b: list[str], same: bool, threshold: float):
+    """(a, b, r_ab, r_ba) of the pairs of two blocks that reach the threshold either way, a < b."""
+    from difflib import SequenceMatcher
+
+    na, nb = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    total = na[:, None] + nb[None, :]
+    # difflib's own comparison, with the most that can match
+    may = (2.0 * _bounds(a, b) / np.maximum(total, 1) >= threshold) | (total == 0)
+    if same:
+        may &= np.triu(np.ones_like(may), 1)
+    i, j = np.nonzero(may)
+    # L characters in common leave 3 L - (n + m) - 1 bigrams in common, whatever the edits between
+    ga, gb = _counts(a, 2, 4 * FOLD), _counts(b, 2, 4 * FOLD)
+    keep = np.zeros(len(i), bool)
+    for at in range(0, len(i), 4096):
+        p, q = i[at:at + 4096], j[at:at + 4096]
+        t = na[p] + nb[q]
+        need = 3 * np.ceil(threshold * t / 2.0 - 1e-9).astype(np.int64) - t - 1
+        keep[at:at + 4096] = np.minimum(ga[p], gb[q]).sum(axis=1, dtype=np.int64) >= need
+    for p, q in zip(i[keep].tolist(), j[keep].tolist()):
+        x, y, m, n = a[p], b[q], ids_a[p], ids_b[q]
+        if m > n:
+            x, y, m, n = y, x, n, m
+        t = len(x) + len(y)
+        if t and 2.0 * lcs_length(x, y) / t < threshold:
+            continue
+        r_ab, r_ba = SequenceMatcher(None, x, y).ratio(), SequenceMatcher(None, y, x).ratio()
+        if r_ab >= threshold or r_ba >= threshold:
+            yield m, n, r_ab, r_ba
+
+
+_PAIR_SCHEMA = "lang string, a long, b long, r_ab double, r_ba double"
+
+
+def _make_compare(threshold: float):
+    def compare(block: pa.Table) -> pa.Table:
+        side = np.asarray(block.column("side").to_numpy())
+        ids, keys = block.column("rep_id").to_pylist(), block.column("tkey").to_pylist()
+        first, second = np.nonzero(side != 2)[0].tolist(), np.nonzero(side != 1)[0].tolist()
+        same = bool(len(side)) and side[0] == 0
+        rows = list(_block_pairs([ids[k] for k in first], [keys[k] for k in first], [ids[k] for k in second], [keys[k] for k in second], same, threshold))
+        lang = block.column("lang")[0].as_py()
+        cols = list(zip(*rows)) or [[], [], [], []]
+        return pa.table({"lang": pa.array([lang] * len(rows), pa.string()), "a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64()),
+                         "r_ab": pa.array(cols[2], pa.float64()), "r_ba": pa.array(cols[3], pa.float64())})
+
+    return compare
+
+
 def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs (a < b by rep_id) of distinct titles in a language with
     ``max(ratio(a,b), ratio(b,a)) >= threshold`` and both directed ratios.
 
-    The candidate join is keyed on (language, partner length, salt): the probe
-    side carries one salt per title, the home side is replicated over all
-    salts of its key, so each pair meets exactly once while a hot (language,
-    length) key is spread over tasks of SALT_TITLES titles.  Both sides are repartitioned by number —
-    the join is CPU-heavy but small in bytes, and AQE must not coalesce it
-    into a handful of tasks.
+    Titles are dealt into blocks of one language, a band of ``BAND`` lengths and about
+    ``BLOCK_TITLES`` titles; a hot band is many blocks.  Two blocks meet in one group when
+    some of their lengths can reach the threshold, so a group holds two blocks at most and
+    each pair meets once.  Within a group character counts, then bigram counts, then the
+    longest common subsequence bound the ratio from above; ``difflib`` decides the rest.
     """
     spark = reps.sparkSession
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism * 4)
-
-    def reaches(matched: Column, other: Column) -> Column:
-        """difflib's own comparison with ``matched`` of the characters matched (same double arithmetic)."""
-        return F.coalesce(F.try_divide(F.lit(2.0) * matched, F.col("n") + other) >= F.lit(threshold), F.lit(False))
-
-    r = (reps.select("lang", "tkey", "rep_id", F.length("tkey").alias("n"), _code_points(F.col("tkey")).alias("cps"))
-         .select("lang", "tkey", "rep_id", "n", _char_tags(F.col("cps")).alias("tags")))
-    # probe side: every partner length m with n*band <= m <= n (partner no longer than self)
-    probe = r.select(
-        "lang", "tkey", "rep_id", "n", "tags",
-        # the arithmetic bound may round either way: one length more, then the exact comparison
-        F.explode(F.sequence(F.greatest(F.lit(0), F.floor(F.col("n") * F.lit(threshold / (2.0 - threshold))).cast("int") - 1), F.col("n"))).alias("m"),
-    ).where(reaches(F.col("m"), F.col("m")) | ((F.col("n") == 0) & (F.col("m") == 0)))
-    # a (language, length) key is dealt over as many salts as its size asks for
-    sizes = materialize(r.groupBy(F.col("lang").alias("lang0"), F.col("n").alias("n0")).agg(
-        F.ceil(F.count("*") / F.lit(SALT_TITLES)).cast("int").alias("salts")), "title-lengths")
-    probe = probe.join(sizes, (probe.lang == sizes.lang0) & (probe.m == sizes.n0)).select(
-        "lang", "tkey", "rep_id", "n", "tags", "m", F.pmod(F.xxhash64("rep_id"), F.col("salts")).cast("int").alias("salt"),
-    ).repartition(n_parts, "lang", "m", "salt")
-    home = r.join(sizes, (r.lang == sizes.lang0) & (r.n == sizes.n0)).select(
-        F.col("lang").alias("lang2"), F.col("tkey").alias("tkey2"), F.col("rep_id").alias("rep2"),
-        F.col("n").alias("m2"), F.col("tags").alias("tags2"),
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt2"),
-    ).repartition(n_parts, "lang2", "m2", "salt2")
-    cand = probe.join(home, (probe.lang == home.lang2) & (probe.m == home.m2) & (probe.salt == home.salt2)).where(
-        (F.col("m2") < F.col("n")) | (F.col("rep2") < F.col("rep_id"))
-    )
-    overlap = F.size(F.array_intersect(F.col("tags"), F.col("tags2")))
-    cand = cand.where(reaches(overlap, F.col("m2")) | (F.col("n") + F.col("m2") == 0))
-    # exact ratios are CPU-bound Python work on small rows: spread them over a
-    # fixed number of partitions (a by-number repartition is not coalesced by AQE)
-    scored = cand.select(
-        "lang",
-        F.least("rep_id", "rep2").alias("a"),
-        F.greatest("rep_id", "rep2").alias("b"),
-        F.when(F.col("rep_id") < F.col("rep2"), F.col("tkey")).otherwise(F.col("tkey2")).alias("ta"),
-        F.when(F.col("rep_id") < F.col("rep2"), F.col("tkey2")).otherwise(F.col("tkey")).alias("tb"),
-    ).repartition(n_parts).withColumn("r", _pair_ratios("ta", "tb", threshold))
-    return scored.select(
-        "lang", "a", "b", F.col("r.r_ab").alias("r_ab"), F.col("r.r_ba").alias("r_ba")
-    ).where((F.col("r_ab") >= threshold) | (F.col("r_ba") >= threshold))
+    r = reps.select("lang", "tkey", "rep_id", F.floor(F.length("tkey") / BAND).cast("int").alias("band"))
+    cells = materialize(r.groupBy("lang", "band").agg(F.ceil(F.count("*") / F.lit(BLOCK_TITLES)).cast("int").alias("salts")), "title-cells")
+    blocks = cells.select("lang", "band", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    # the shortest partner of a band's shortest title, one character less for the rounding
+    least = F.greatest(F.lit(0), F.floor((F.floor(F.col("band") * BAND * F.lit(threshold / (2.0 - threshold))) - 1) / BAND)).cast("int")
+    met = (blocks.select("lang", "band", "salt", F.explode(F.sequence(least, F.col("band"))).alias("band2"))
+           .join(blocks.select("lang", F.col("band").alias("band2"), F.col("salt").alias("salt2")), ["lang", "band2"])
+           .where((F.col("band2") < F.col("band")) | (F.col("salt") <= F.col("salt2"))))
+    met = materialize(met.withColumn("pair", F.monotonically_increasing_id()), "title-blocks")
+    dealt = r.join(cells, ["lang", "band"]).select("lang", "tkey", "rep_id", "band", F.pmod(F.xxhash64("rep_id"), F.col("salts")).cast("int").alias("salt"))
+    own = (F.col("band") == F.col("band2")) & (F.col("salt") == F.col("salt2"))
+    first = met.select("lang", "band", "salt", "pair", F.when(own, 0).otherwise(1).alias("side"))
+    second = met.where(~own).select("lang", F.col("band2").alias("band"), F.col("salt2").alias("salt"), "pair", F.lit(2).alias("side"))
+    sent = dealt.join(first.unionByName(second), ["lang", "band", "salt"]).select("pair", "side", "lang", "rep_id", "tkey")
+    # by number: AQE must not coalesce CPU-bound groups that are small in bytes
+    return sent.repartition(n_parts, "pair").groupBy("pair").applyInArrow(_make_compare(threshold), _PAIR_SCHEMA)
 
 
 _REPLAY_SCHEMA = "comp long, ord long, keep_ord long"
@@ -219,7 +228,7 @@ def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "lan
     """Exact near-duplicate title dedup; survivors keep their columns and take
     the slot position (the founder's ``order``)."""
     base = materialize(df.select(
-        F.col(order).alias("ord"), F.col(lang).alias("lang"), title_key(title).alias("tkey"),
+        F.col(order).alias("ord"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), title_key(title).alias("tkey"),
         quality_score().alias("quality"),
     ), "title-base")
     reps = materialize(base.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id")), "title-reps")
