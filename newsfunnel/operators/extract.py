@@ -1,40 +1,19 @@
-"""Page text extraction and cleaning (E1-E10) as native column expressions.
-
-One narrow, whole-stage-codegen stage: no shuffle, no Python.  Every page is
-processed independently, so the work scales linearly with partitions.
-
-E1 contract (a documented, deterministic stand-in for a main-content
-extractor): comments, scripts, styles and the head are removed; the
-*precision* pass takes all ``<article>`` containers (else ``<main>``)
-without tables, navigation, asides, headers, footers and forms; if that yields
-no text the *recall* pass takes the body minus navigation, asides, headers,
-footers and forms (tables kept).  Block tags become line breaks, other tags
-are dropped, entities are decoded, each line is space-normalised and blank
-lines are removed.
+"""Page text extraction and cleaning.
+
+One narrow stage without a shuffle: every page is processed independently, so the
+work scales linearly with partitions.  E1 matches nested containers, which needs a stack; it is
+an Arrow-fed helper (``functions.html``, where its contract stands), linear in the page.
+Everything after it is native column expressions.
 """
 
 from __future__ import annotations
 
-import json
-from html.entities import html5
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsfunnel.functions.html import main_texts, title_texts
 from newsfunnel.functions.text import PY_SPACE, pystrip
 
-_BLOCK = ("p|div|br|h[1-6]|li|ul|ol|tr|td|th|table|thead|tbody|section|article|main|blockquote|pre|"
-          "header|footer|nav|aside|figure|figcaption|dd|dt|dl|hr|form|title")
-
-# Named HTML entities decoded by the extractor (&amp; last).
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
-    ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&amp;", "&"),
-]
-
 # Boilerplate phrases (case-insensitive substrings).
 BOILERPLATE_PHRASES = [
     "download app",
@@ -80,120 +59,18 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _drop_blocks(h: Column, tags: str) -> Column:
-    # one tag at a time, in the given order (scripts first: they may hold tag-like strings)
-    for tag in tags.split("|"):
-        h = F.regexp_replace(h, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    return h
-
-
-def decode_entities(c: Column) -> Column:
-    """Decimal/hex numeric entities, then the named ones from the fixed table.
-
-    The input is referenced once (one split, an indexed transform), so an
-    upstream expression chain is never duplicated in the plan."""
-
-    def dec(p: Column, i: Column) -> Column:
-        # any number of digits; leading zeros do not count
-        dnum = F.regexp_extract(p, r"^0*([0-9]+);", 1)
-        hnum = F.regexp_extract(p, r"^[xX]0*([0-9A-Fa-f]+);", 1)
-        cp = F.when((dnum != "") & (F.length(dnum) <= 7), dnum.cast("long")).when(
-            (hnum != "") & (F.length(hnum) <= 6), F.conv(hnum, 16, 10).cast("long"))
-        ok = cp.isNotNull() & (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
-        ch = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-        tail = F.regexp_replace(p, r"^(?:[0-9]+|[xX][0-9A-Fa-f]+);", "")
-        return F.when(i == 0, p).when(ok, F.concat(ch, tail)).otherwise(F.concat(F.lit("&#"), p))
-
-    out = F.array_join(F.transform(F.split(c, "&#"), dec), "")
-    for ent, ch in ENTITIES[:-1]:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.replace(_decode_rare(out), F.lit("&amp;"), F.lit("&"))
-
-
-def _decode_rare(c: Column) -> Column:
-    """The other named entities of HTML, looked up in Python's own table."""
-    table = {k[:-1]: v for k, v in html5.items() if k.endswith(";") and f"&{k}" not in dict(ENTITIES)}
-    names = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
-
-    def dec(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1)
-        ch = F.when(name.isin("", "amp"), F.lit(None)).otherwise(F.try_element_at(names, name))
-        return F.when((i == 0) | ch.isNull(), F.when(i == 0, p).otherwise(F.concat(F.lit("&"), p))).otherwise(
-            F.concat(ch, F.substr(p, F.length(name) + 2)))
-
-    # texts without such an entity skip the lookup
-    return F.when(c.rlike("&[A-Za-z][A-Za-z0-9]{1,31};"), F.array_join(F.transform(F.split(c, "&"), dec), "")).otherwise(c)
-
-
-def html_to_text(h: Column) -> Column:
-    """Block tags -> newline, drop other tags, decode entities, tidy lines."""
-    t = F.regexp_replace(h, rf"(?i)</?(?:{_BLOCK})\b[^>]*>", "\n")
-    t = F.regexp_replace(t, r"(?s)<[^>]*>", "")
-    t = decode_entities(t)
-    t = F.regexp_replace(t, r"[ \t\x{0b}\f\r\x{1c}-\x{1f}\x{85}\p{Z}]+", " ")
-    t = F.regexp_replace(t, r"(?m) *\n *", "\n")
-    t = F.regexp_replace(t, r"\n{2,}", "\n")
-    t = F.btrim(t, F.lit(" \n"))
-    return F.nullif(t, F.lit(""))
-
-
-def _strip_noise(html: Column) -> Column:
-    h = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    h = _drop_blocks(h, "script|style|noscript|template|svg|head")
-    return h
-
-
-_OPEN, _CLOSE = "\x01", "\x02"
-
-
-def _articles(h: Column) -> Column:
-    """Contents of all outermost ``<article>`` elements, one after the other; NULL if there are none.
-
-    Article tags become single marks; one pass over the pieces between them
-    keeps the nesting depth, so inner articles belong to their outer one and an
-    article that is never closed reaches to the end."""
-    marked = F.translate(h, _OPEN + _CLOSE, "")
-    marked = F.regexp_replace(F.regexp_replace(marked, r"(?i)<article\b[^>]*>", _OPEN), r"(?i)</article\s*>", _CLOSE)
-
-    def step(acc, piece):
-        opens, closes = piece.startswith(_OPEN), piece.startswith(_CLOSE)
-        depth = F.when(opens, acc["depth"] + 1).when(closes, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"])
-        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(acc["kept"], F.array(F.substr(piece, F.lit(2)))))
-                        .otherwise(acc["kept"]).alias("kept"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
-    kept = F.aggregate(F.split(marked, f"(?=[{_OPEN}{_CLOSE}])"), start, step, lambda acc: F.array_join(acc["kept"], "\n"))
-    return F.nullif(kept, F.lit(""))
-
-
-def precision_text(html: Column | str) -> Column:
-    h = _strip_noise(_c(html))
-    main = F.regexp_extract(h, r"(?is)<main\b[^>]*>(.*?)</main\s*>", 1)
-    box = _drop_blocks(F.coalesce(_articles(h), main), "table|nav|aside|header|footer|form")
-    return html_to_text(box)
-
-
-def recall_text(html: Column | str) -> Column:
-    h = _strip_noise(_c(html))
-    # the body, or the whole document when there is no <body> element
-    body = F.regexp_replace(h, r"(?is)^.*?<body\b[^>]*>(.*)</body\s*>.*$", "$1")
-    body = _drop_blocks(body, "nav|aside|header|footer|form")
-    return html_to_text(body)
-
-
 def main_text(html: Column | str) -> Column:
-    """Precision pass, recall pass only when the first yields nothing."""
-    return F.coalesce(precision_text(html), recall_text(html))
+    """Precision pass, recall pass only when the first yields nothing; NULL without text."""
+    return F.pandas_udf(main_texts, "string")(_c(html))
 
 
 def page_title(html: Column | str) -> Column:
-    t = F.regexp_extract(_c(html), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
-    t = pystrip(F.regexp_replace(decode_entities(F.regexp_replace(t, r"(?s)<[^>]*>", "")), rf"{S}+", " "))
-    return F.nullif(t, F.lit(""))
+    """Text of the first ``<title>`` on one line; NULL without text."""
+    return F.pandas_udf(title_texts, "string")(_c(html))
 
 
 # --------------------------------------------------------------- cleaning
-# Unbounded group repetitions are possessive: java.util.regex then loops instead of
+# The cleaning patterns.  Unbounded group repetitions are possessive: java.util.regex then loops instead of
 # recursing once a line.  The first two breadcrumbs stay open to backtracking, which
 # decides only whether there are two.
 _CRUMB = rf"(?:{S}*-{S}+.{{1,50}}\n)"
@@ -213,24 +90,19 @@ def paragraph_dedup(c: Column | str) -> Column:
     """Split on blank lines, drop empty and repeated paragraphs (key = stripped,
     lower-cased), keep first occurrences in order.
 
-    Sort by (key, position); one ``aggregate`` pass keeps an element when its
-    key differs from the previous one; restore position order.  The input is
-    referenced exactly once (Spark would otherwise re-evaluate an upstream
-    cleaning chain per reference), and no lambda refers to an outer array.
+    Sort by (key, position), keep each key's first, restore position order: O(k log k) in
+    the number of paragraphs.  The sorted array is bound to a lambda variable, so
+    looking at the element before costs one step; the input is referenced exactly once
+    (Spark would otherwise re-evaluate an upstream cleaning chain per reference).
     """
     s = F.array_sort(F.transform(F.split(_c(c), "\n\n"), lambda p, i: F.struct(
         F.lower(pystrip(p)).alias("k"), i.alias("i"), p.alias("p"))))
-    init = F.struct(F.lit(None).cast("string").alias("pk"),
-                    F.array().cast("array<struct<i:int,p:string>>").alias("out"))
 
-    def step(acc, x):
-        keep = (x["k"] != "") & (acc["pk"].isNull() | (acc["pk"] != x["k"]))
-        out = F.when(keep, F.concat(acc["out"], F.array(F.struct(x["i"].alias("i"), x["p"].alias("p"))))).otherwise(
-            acc["out"])
-        return F.struct(x["k"].alias("pk"), out.alias("out"))
+    def firsts(a: Column) -> Column:
+        first = F.filter(a, lambda x, j: (x["k"] != "") & ((j == 0) | (F.get(a, j - 1)["k"] != x["k"])))
+        return F.transform(F.array_sort(F.transform(first, lambda x: F.struct(x["i"].alias("i"), x["p"].alias("p")))), lambda x: x["p"])
 
-    kept = F.aggregate(s, init, step, lambda acc: acc["out"])
-    return F.array_join(F.transform(F.array_sort(kept), lambda x: x["p"]), "\n\n")
+    return F.array_join(F.element_at(F.transform(F.array(s), firsts), 1), "\n\n")
 
 
 def clean_text(c: Column | str) -> Column:

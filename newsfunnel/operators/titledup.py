@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from newsfunnel.functions.components import components
 from newsfunnel.functions.lineage import materialize
 from newsfunnel.functions.text import pystrip
+from newsfunnel.functions.workers import ship_by_value
 from newsfunnel.operators.urldedup import quality_score
 
 THRESHOLD = 0.85
@@ -261,18 +262,4 @@ def dedup_by_title(df: DataFrame, threshold: float = THRESHOLD, lang: str = "lan
     return out.withColumn(order, F.col("_slot")).drop("_slot")
 
 
-def _ship_by_value() -> None:
-    """Pickle this module's functions by value: the Arrow UDF and the replay
-    closures then carry their helpers to the Python workers, which need not
-    have this package installed (no --py-files required)."""
-    import sys
-
-    try:
-        from pyspark import cloudpickle
-
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # noqa: BLE001 - older cloudpickle: fall back to by-reference
-        pass
-
-
-_ship_by_value()
+ship_by_value(__name__)

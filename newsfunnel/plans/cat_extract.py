@@ -15,6 +15,12 @@ def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# The oracle's own tables: tags that end a line and the entities that the pages hold.
+_LINE_TAGS = ("address|article|aside|blockquote|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|"
+              "table|tbody|td|th|thead|title|tr|ul")
+_NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": " ", "&eacute;": "é", "&copy;": "©", "&euro;": "€", "&mdash;": "—"}
+
+
 def d_drop(x: str, tags: str) -> str:
     for t in tags.split("|"):
         x = f"regexp_replace({x}, '(?is)<{t}\\b[^>]*>.*?</{t}\\s*>', '', 'g')"
@@ -35,13 +41,13 @@ def d_decode(x: str) -> str:
            f"THEN chr({hexv}::INTEGER) || regexp_replace(p, '^[xX][0-9A-Fa-f]{{1,6}};', '') "
            f"ELSE '&#' || p END)")
     out = f"CASE WHEN strpos({x}, '&#') > 0 THEN string_split({x}, '&#')[1] || array_to_string({num}, '') ELSE {x} END"
-    for ent, ch in X.ENTITIES:
+    for ent, ch in [*_NAMED.items(), ("&amp;", "&")]:
         out = f"replace({out}, {_sq(ent)}, {_sq(ch)})"
     return out
 
 
 def d_html_to_text(x: str) -> str:
-    t = f"regexp_replace({x}, '(?i)</?(?:{X._BLOCK})\\b[^>]*>', chr(10), 'g')"
+    t = f"regexp_replace({x}, '(?i)</?(?:{_LINE_TAGS})\\b[^>]*>', chr(10), 'g')"
     t = f"regexp_replace({t}, '(?s)<[^>]*>', '', 'g')"
     t = d_decode(t)
     t = f"regexp_replace({t}, '[ \\t\\x{{0b}}\\f\\r\\x{{1c}}-\\x{{1f}}\\x{{85}}\\p{{Z}}]+', ' ', 'g')"
@@ -62,8 +68,8 @@ SELECT page_id, coalesce(prec, rec) AS main_text FROM (
     {d_html_to_text(d_drop("CASE WHEN body <> '' THEN body ELSE h END", "nav|aside|header|footer|form"))} AS rec
   FROM (
     SELECT page_id, h,
-      regexp_extract(h, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1) AS art,
-      regexp_extract(h, '(?is)<main\\b[^>]*>(.*?)</main\\s*>', 1) AS mn,
+      array_to_string(regexp_extract_all(h, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1), chr(10)) AS art,
+      array_to_string(regexp_extract_all(h, '(?is)<main\\b[^>]*>(.*?)</main\\s*>', 1), chr(10)) AS mn,
       regexp_extract(h, '(?is)<body\\b[^>]*>(.*)</body\\s*>', 1) AS body
     FROM (SELECT page_id, {d_noise('html')} AS h FROM pages)))"""
 
@@ -74,6 +80,33 @@ def q_page_main_text(spark, sf):
     return p.select("page_id", X.main_text("html").alias("main_text"))
 
 
+def _forms_v(spark, sf):
+    """Pages of every awkward form around the documents' own lines: nested tables and navigation, two articles,
+    two mains, containers that are never closed, each kind of character reference."""
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    k, t = F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))
+    esc = F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&#60;"))
+    body = F.replace(esc, F.lit("\n"), F.lit("<br>"))
+    tail = F.lit("&#38;lt;b &#x26;amp; caf&eacute; &#128;5 &copy 2024 &amp;quot;")
+    junk = F.lit("<table><tr><td>x<table><tr><td>y</table>OUTER TAIL</table><nav>a<nav>b</nav>c</nav><!-- no --><script>if (a </b) '<p>';</script>")
+    art = F.concat(F.lit("<article class='a'><p>"), body, F.lit("</p>"), junk, F.lit("</article>"))
+    second = F.concat(F.lit("<article><div>"), tail, F.lit("</div></article>"))
+    page = (F.when(k % 5 == 0, F.concat(art, F.lit("<p>between</p>"), second))
+            .when(k % 5 == 1, F.concat(F.lit("<MAIN><p>"), body, F.lit("</p></MAIN><p>out</p><main>"), tail, F.lit("</main>")))
+            .when(k % 5 == 2, F.concat(F.lit("<article><p>"), body, F.lit("</p><article>"), tail, F.lit("</article>"), junk))
+            .when(k % 5 == 3, F.concat(F.lit("<nav>menu<nav>sub</nav>more</nav><div>"), body, F.lit("</div><aside>side</aside><p>"), tail, F.lit("</p><footer>f</footer>")))
+            .otherwise(F.concat(F.lit("<article><header>h</header><form><input></form> </article><p>"), body, F.lit("<section>"), tail)))
+    return d.select(k.alias("doc_id"), F.concat(F.lit("<html><head><title>t</title><style>p{}</style></head><body>"), page, F.lit("</body></html>")).alias("html"))
+
+
+@register("page_main_text_forms", f"""
+SELECT doc_id, nullif(array_to_string(list_filter(list_transform(string_split(coalesce(text, '') || chr(10)
+    || '&lt;b &amp; café €5 © 2024 &quot;', chr(10)), lambda x: trim(regexp_replace(x, '[^\\S\\n]+|\\p{{Z}}+|[\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}]+', ' ', 'g'))),
+    lambda x: x <> ''), chr(10)), '') AS main_text FROM documents""")
+def q_page_main_text_forms(spark, sf):
+    return _forms_v(spark, sf).select("doc_id", X.main_text("html").alias("main_text"))
+
+
 @register("page_title", (f"""
 SELECT page_id, nullif({d_strip(f"regexp_replace({d_decode(chr(32).join(['regexp_replace(t,', repr('(?s)<[^>]*>'), ',', repr(''), ',', repr('g') + ')']))}, '{D_SPACE}+', ' ', 'g')")}, '') AS title
 FROM (SELECT page_id, regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1) AS t FROM pages)"""))

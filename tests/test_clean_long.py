@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsfunnel.operators.extract import BREADCRUMB_RE, RECOMMENDED_RE, clean_text
 
+# The two patterns as Python writes them, the model for these tests.
 CRUMB = re.compile(r"^(?:\s*-\s+.{1,50}\n){2,}", re.MULTILINE)
 RELATED = re.compile(r"(?:^.*(?:recommended|related\s+(?:news|articles|stories)|संबंधित\s+खबरें|સંબંધિત\s+સમાચાર).*\n)(?:.+\n?){2,}$", re.MULTILINE | re.IGNORECASE)
 

@@ -70,8 +70,78 @@ def test_all_articles_nested_ones_and_entities(spark):
         "<article>outer <article>inner</article> tail</article> rest": "outer\ninner\ntail",
         "<article>a</article></article><p>b</p><article>c": "a\nc",
         "<main>m</main>": "m",
-        "<article>caf&eacute; &euro;5 &#00000039;q&#x000027; &amp;lt; &notanentity; &ngE; &#9999999999;</article>": "café €5 'q' &lt; &notanentity; ≧̸ &#9999999999;",
+        "<main>m</main>x<main>n</main>": "m\nn",
+        "<article>caf&eacute; &euro;5 &#00000039;q&#x000027; &amp;lt; &zznope; &ngE;</article>": "café €5 'q' &lt; &zznope; ≧̸",
+        # one pass over the references, by HTML's own table
+        "<article>&#38;lt;b &#x26;amp; &#128; &copy x &#9999999999;</article>": "&lt;b &amp; € © x \ufffd",
+        "<article>a<table>x<table>y</table>OUTER TAIL</table>b</article>": "a\nb",
+        "<body>a<nav>n<nav>i</nav>t</nav>b</body>": "a\nb",
+        "<p>a<nav>open <p>b": "a\nopen\nb",
+        "<p>3 < 4 and 5 > 2</p>": "3 < 4 and 5 > 2",
+        "<div>a<script>if (x </p>) </script>b<!-- <article>no</article> --></div>": "ab",
+        "": None,
     }
     df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
     got = {r.i: r.t for r in df.select("i", main_text("h").alias("t")).collect()}
     assert [got[i] for i in range(len(pages))] == list(pages.values())
+
+
+def test_bad_markup_is_linear():
+    """Twenty thousand of anything takes about as long as reading it."""
+    import time
+
+    from newsfunnel.functions.html import main_text, title_text
+
+    for junk in ("<nav>", "<nav ", "<!--", "<script>", "<article>x", "</nav>", "<" * 10, "&" * 10, "<table></nav>", "<title>", "<body>"):
+        began = time.perf_counter()
+        main_text(junk * 20_000)
+        title_text(junk * 20_000)
+        assert time.perf_counter() - began < 3, junk
+    assert main_text("<table>" * 20_000 + "x" + "</table>" * 20_000 + "y") == "x\ny"
+    assert main_text("<nav>" * 20_000 + "x" + "</nav>" * 20_000 + "y") == "y"
+
+
+def test_containers_against_a_tree():
+    """Random nesting, well formed: the text outside the removed containers, by a plain recursive walk."""
+    import random
+
+    from newsfunnel.functions.html import main_text
+
+    rnd = random.Random(17)
+
+    def node(depth):
+        if depth == 0 or rnd.random() < 0.3:
+            return f" w{rnd.randrange(1000)} "
+        return (rnd.choice(["div", "nav", "p", "table", "aside", "span", "article", "main"]), [node(depth - 1) for _ in range(rnd.randrange(4))])
+
+    def markup(n):
+        return n if isinstance(n, str) else f"<{n[0]} x='1'>" + "".join(map(markup, n[1])) + f"</{n[0].upper()} >"
+
+    def words(n, drop):
+        return [n.strip()] if isinstance(n, str) else [] if n[0] in drop else [w for c in n[1] for w in words(c, drop)]
+
+    def boxes(n, tag):
+        return [] if isinstance(n, str) else [n] if n[0] == tag else [b for c in n[1] for b in boxes(c, tag)]
+
+    for _ in range(400):
+        top = ("body", [node(5) for _ in range(3)])
+        want = []
+        for tag in ("article", "main"):
+            found = boxes(top, tag)
+            if found:
+                want = [w for b in found for c in b[1] for w in words(c, {"table", "nav", "aside"})]
+                break
+        if not want:
+            want = [w for c in top[1] for w in words(c, {"nav", "aside"})]
+        assert (main_text(markup(top)) or "").split() == want
+
+
+def test_two_hundred_thousand_paragraphs(spark):
+    import time
+
+    texts = ["\n\n".join(f"Para {i % 90_000}" for i in range(200_000)), "\n\n".join(["same"] * 200_000), "\n\n".join(f" P{i} " for i in range(50_000)) + "\n\n\n\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    began = time.perf_counter()
+    got = {r.i: r.d for r in df.select("i", X.paragraph_dedup("t").alias("d")).collect()}
+    assert time.perf_counter() - began < 30
+    assert got == {0: "\n\n".join(f"Para {i}" for i in range(90_000)), 1: "same", 2: "\n\n".join(f" P{i} " for i in range(50_000))}
