@@ -10,9 +10,10 @@ of word k-grams.  The way to the linked groups:
    that order.  Linked sets share a k-gram of their prefixes.
 3. Equal sets fall together (by fingerprint).  Prefix k-grams held by two or
    more different sets are the blocks.
-4. Each block is a signature tree, traversed against itself; the traversal
-   returns possible links that connect all possibly linked sets (never all
-   pairs).  Their components are clusters: no link leaves a cluster.
+4. Each block is a signature tree, traversed against itself; what the traversal
+   connects is returned as a star to its smallest node (never all pairs), so
+   blocks that see the same group return the same links.  The components of all
+   links are clusters: no link leaves a cluster.
 5. Only the sets of cluster members are made again and shipped, once per
    member; the tree of each cluster is traversed with exact comparison, and
    the links found connect everything that is linked.
@@ -37,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsfunnel.functions.components import components
 from newsfunnel.functions.lineage import materialize
 from newsfunnel.llm.common import bit_marks, int_lists, map_batches, marked, ship, slices, text_arrays
+from newsfunnel.llm.linkgroups import link_components
 from newsfunnel.llm.sigtree import Groups, Node, build, signature, spanning_links, summaries
 from newsfunnel.llm.words import Words, mix, shingles
 
@@ -156,8 +157,27 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([a for a, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.int64())], schema=_PAIR)
 
 
+def _centres(nodes: list[int], groups: Groups) -> dict[int, int]:
+    """node -> smallest node of its group."""
+    least: dict[int, int] = {}
+    for i, node in enumerate(nodes):
+        r = groups.find(i)
+        least[r] = min(node, least.get(r, node))
+    return {node: least[groups.find(i)] for i, node in enumerate(nodes)}
+
+
+def _news(centre: dict[int, int], told: set) -> list[tuple[int, int]]:
+    """The stars' links that the task has not returned lately."""
+    if len(told) > 200_000:
+        told.clear()
+    new = [(a, b) for a, b in centre.items() if a != b and (a, b) not in told]
+    told.update(new)
+    return new
+
+
 def possible_links(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): possible links that connect all possibly linked sets of each block.
+    """(a, b): possible links that connect all possibly linked sets of each block,
+    a star for each connected group.
 
     A block is taken in parts, each by its own tree.  What a part connects becomes
     one summary node; the tree over a block's summaries, one level up, connects
@@ -172,17 +192,18 @@ def possible_links(sets: DataFrame, percent: int) -> DataFrame:
 
     def parts(batches):
         """Links of each part (token null), and the summaries of parts of larger blocks."""
-        out = []
+        out, told = [], set()
         for g in _groups(batches, ["token", "part"]):
             nodes, sizes, sigs = (g.column(c).to_pylist() for c in ("node", "n", "sig"))
             leaves = [Node(i, n, s) for i, (n, s) in enumerate(zip(sizes, sigs))]
             groups = Groups(len(leaves))
             if len(leaves) > 1:
-                out += [(None, nodes[i], nodes[j], None, None, None, None)
-                        for i, j in spanning_links(build(leaves), len(leaves), percent, lambda i, j: True, groups)]
+                spanning_links(build(leaves), len(leaves), percent, lambda i, j: True, groups)
+            centre = _centres(nodes, groups)
+            out += [(None, a, b, None, None, None, None) for a, b in _news(centre, told)]
             if g.column("c")[0].as_py() > BLOCK:
                 token = g.column("token")[0].as_py()
-                out += [(token, nodes[i], None, low, high, sig, shared) for i, low, high, sig, shared in summaries(leaves, groups)]
+                out += [(token, centre[nodes[i]], None, low, high, sig, shared) for i, low, high, sig, shared in summaries(leaves, groups)]
             if len(out) > 10_000:
                 yield from _rows(out, schema)
                 out = []
@@ -195,11 +216,14 @@ def possible_links(sets: DataFrame, percent: int) -> DataFrame:
 
     def across(batches):
         """Links between the summaries of a block."""
+        told = set()
         for g in _groups(batches, ["token", "part"]):
             nodes = g.column("a").to_pylist()
             leaves = [Node.summary(i, *x) for i, x in enumerate(zip(*(g.column(c).to_pylist() for c in ("low", "high", "sig", "shared"))))]
             if len(leaves) > 1:
-                yield _pairs([(nodes[i], nodes[j]) for i, j in spanning_links(build(leaves), len(leaves), percent, lambda i, j: True)])
+                groups = Groups(len(leaves))
+                spanning_links(build(leaves), len(leaves), percent, lambda i, j: True, groups)
+                yield _pairs(_news(_centres(nodes, groups), told))
 
     # many summaries are dealt into parts too: every part meets every other in a task of its own
     ups = found.where(F.col("token").isNotNull())
@@ -258,7 +282,7 @@ def cluster_links(rows: DataFrame, percent: int) -> DataFrame:
         return one
 
     def grouped(links: DataFrame) -> DataFrame:
-        known = components(links).select("node", F.col("comp").alias("known"))
+        known = link_components(links).select("node", F.col("comp").alias("known"))
         return large.join(known, "node", "left").withColumn("group", F.coalesce("known", "node")).drop("known")
 
     now = grouped(one)
@@ -305,12 +329,12 @@ def linked_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFram
     sets = materialize(every.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node")
                        .agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig")),
                        "ngram-sets")
-    clusters = components(possible_links(sets, percent))
+    clusters = link_components(possible_links(sets, percent))
     members = materialize(clusters.join(sets.select("node", "low", "n", "sig"), "node"), "ngram-members")
     sizes = materialize(members.groupBy(F.col("comp").alias("c_comp")).agg(F.count("*").alias("c")), "ngram-clusters")
     tokens = materialize(member_sets(docs, members.select("node", "low"), k), "ngram-tokens")
     rows = members.join(sizes, F.col("comp") == F.col("c_comp")).drop("c_comp").join(tokens, "node")
-    comps = components(cluster_links(rows, percent))
+    comps = link_components(cluster_links(rows, percent))
     # the smallest document of each component, and that of each set
     low = sets.select("node", "low")
     least = materialize(comps.join(low, "node").groupBy("comp").agg(F.min("low").alias("least")), "ngram-least")

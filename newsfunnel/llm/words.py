@@ -3,9 +3,11 @@
 Every function works on the flat UTF-8 bytes of a slice of rows, so a row
 costs a few array operations and no Python loop over words.
 
-Hashes are 64-bit polynomial hashes over randomised bytes, finished by an
-avalanche step; two different words or shingles share one with probability
-about 2**-64.
+A span's hash is the sum of its 8-byte pieces, each mixed (all bits, not linearly) with a key
+of its place, and mixed once more with the span's length.  So no arithmetic relation
+between bytes carries over to hashes, as it does for polynomials modulo 2**64, under which
+the Thue-Morse words of 1,024 letters are equal.  Two different words or shingles share a hash with
+probability about 2**-64.
 """
 
 from __future__ import annotations
@@ -26,9 +28,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 _BASE = 0x9E3779B97F4A7C55 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
+_PLACE = _U(0x9E3779B97F4A7C15)
+_LENGTH = _U(0x2545F4914F6CDD1D)
+_HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes of a piece
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -79,15 +83,24 @@ class Words:
         self.first = np.searchsorted(self.start, offs)  # words of row r: first[r] .. first[r + 1]
         self.count = np.diff(self.first)
         self.row = np.repeat(np.arange(len(offs) - 1), self.count)
-        self._sums: np.ndarray | None = None
+        self._pieces: np.ndarray | None = None
 
     def raw_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of byte spans."""
-        p, inv = powers(len(self.data) + 1)
-        if self._sums is None:
-            self._sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(_BYTE[self.data] * p[:-1], out=self._sums[1:])
-        return mix((self._sums[end] - self._sums[start]) * inv[start] + (end - start).astype(np.uint64))
+        """Hash of byte spans of one byte or more."""
+        if self._pieces is None:
+            padded = np.zeros(len(self.data) + 8, np.uint8)
+            padded[:len(self.data)] = self.data
+            self._pieces = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        size = end - start
+        count = (size + 7) >> 3
+        first = np.cumsum(count) - count
+        nth = np.arange(first[-1] + count[-1]) - np.repeat(first, count)
+        at = np.repeat(start, count) + 8 * nth
+        piece = self._pieces[at] & _HEAD[np.minimum(np.repeat(end, count) - at, 8)]
+        keys = mix(np.arange(1, int(count.max()) + 1, dtype=np.uint64) * _PLACE)
+        return mix(np.add.reduceat(mix(piece ^ keys[nth]), first) + size.astype(np.uint64) * _LENGTH)
 
     def hashes(self) -> np.ndarray:
         return self.raw_hash(self.start, self.end)

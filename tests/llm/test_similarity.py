@@ -5,8 +5,8 @@ import pytest
 import xxhash
 from llm_helpers import AWKWARD, brute_components, docs_frame, edited, prose, word_set
 
-from newsfunnel.functions import components
-from newsfunnel.llm import bitsliced, ngram_join, sigtree
+from newsfunnel.llm import bitsliced, linkgroups, ngram_join, sigtree
+from newsfunnel.llm.words import Words
 
 
 def groups(rnd):
@@ -114,10 +114,50 @@ def test_tree_bound_never_prunes_a_link():
             assert all((g.find(i) == g.find(j)) == (h.find(i) == h.find(j)) for i in range(len(sets)) for j in range(i))
 
 
-def test_components_of_a_long_chain(spark):
-    links = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
-    got = components.components(links).collect()
-    assert len(got) == 301 and {r.comp for r in got} == {0}
+def test_components_of_chains_and_hubs(spark, monkeypatch):
+    rnd = random.Random(6)
+    pairs = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 400)] + [(5000 + i, 5000 + rnd.randrange(900)) for i in range(700)]
+    pairs += pairs[:50] + [(7, 7)]
+    rnd.shuffle(pairs)
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        p, q = find(a), find(b)
+        up[max(p, q)] = min(p, q)
+    want = {x: find(x) for x in list(up)}
+    links = spark.createDataFrame([(-a, -b) for a, b in pairs], "a long, b long").selectExpr("-a AS a", "-b AS b")
+    for size in (1 << 17, 40):
+        monkeypatch.setattr(linkgroups, "TASK_LINKS", size)
+        got = linkgroups.link_components(links).collect()
+        assert len(got) == len(want) and {r.node: r.comp for r in got} == want
+    assert linkgroups.link_components(links.limit(0)).count() == 0
+
+
+def test_words_that_polynomials_confuse(spark):
+    """The Thue-Morse words of 1,024 letters are equal modulo 2**64 under every base."""
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - x for x in bits]
+    one, other = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    got = ngram_join.linked_documents(docs_frame(spark, [(1, one), (2, other), (3, one)])).orderBy("doc_id").collect()
+    assert [r.component_id for r in got] == [1, 2, 1]
+
+
+def test_span_hashes_depend_on_every_byte_and_nothing_else():
+    rnd = random.Random(9)
+    words = sorted({bytes(rnd.choice(b"abz") for _ in range(rnd.randint(1, 40))) for _ in range(3000)})
+    text = b" ".join(words)
+    w = Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    hashes = w.hashes().tolist()
+    assert len(set(hashes)) == len(words)
+    again = b"  ".join(reversed(words))
+    assert Words(np.frombuffer(again, np.uint8), np.array([0, len(again)])).hashes().tolist() == hashes[::-1]
+    assert len(Words(np.zeros(0, np.uint8), np.array([0])).hashes()) == 0
 
 
 def test_shingle_sets():
