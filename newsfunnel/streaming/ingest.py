@@ -88,7 +88,7 @@ def start_best_quality_ingest(spark: SparkSession, src_dir: str, table_dir: str,
         dates = [r[0] for r in touched.distinct().collect()]  # as many as there are days
         merged = b.unionByName(table_dates(spark, table_dir, dates, b.schema).select(*b.columns)) if path_exists(spark, table_dir) else b
         # the partitions that are read are rewritten: the result is written elsewhere first
-        best = materialize(dedup_by_url(merged), "stream-merge")
+        best = materialize(dedup_by_url(merged).dropDuplicates(["norm_url"]), "stream-merge")  # a batch run again meets its own rows
         best.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("out_date").parquet(table_dir)
         left = {r[0] for r in best.select("out_date").distinct().collect()}
         for d in set(dates) - left:

@@ -97,3 +97,15 @@ def test_title_chain_longer_than_a_hundred(spark):
     got = sorted((r.ord, int(r.url[1:])) for r in dedup_by_title(spark.createDataFrame(rows, SCHEMA)).collect())
     cols = ["ord", "title", "url", "source", "date", "language", "state", "district", "search_term", "full_text"]
     assert got == greedy_title_dedup([dict(zip(cols, r)) for r in rows])
+
+
+def test_url_dedup_plan_and_extreme_positions(spark):
+    rows = [art(2 ** 62, "a", "https://e.com/x", "tt"), art(-2 ** 62, "b", "https://www.e.com/x/", "tt"), art(0, "c", "https://e.com/x#f", "t" * 100_000),
+            art(5, "d", None, "t"), art(6, "e", "https://e.com/y")]
+    out = dedup_by_url(spark.createDataFrame(rows, SCHEMA))
+    got = sorted((r.ord, r.title) for r in out.collect())
+    assert (-2 ** 62, "c") in got and (6, "e") in got and len(got) in (2, 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan and "max_by" not in plan
+    same = [art(k, f"t{k}", "https://e.com/same", "same text") for k in range(50)]
+    assert [(r.ord, r.title) for r in dedup_by_url(spark.createDataFrame(same, SCHEMA)).collect()] == [(0, "t0")]
