@@ -86,13 +86,17 @@ def q_dedup_and_filter(spark, sf):
     return dedup_and_filter(articles_v(spark, sf), fx_df(spark, "terms_fx"), fx_df(spark, "patterns_fx"))
 
 
+def article_pages(a):
+    """Each article's text as a landed page."""
+    body = F.replace(F.replace(F.col("full_text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return a.select("url", F.concat(F.lit("<html><body><nav>Home</nav><article>"), F.replace(body, F.lit("\n"), F.lit("<br>")),
+                                    F.lit("</article></body></html>")).alias("html")).where(F.col("html").isNotNull())
+
+
 @register("article_funnel")
 def q_article_funnel(spark, sf):
     """The batch chain over the article refs, each with its text as a landed page."""
     a = articles_v(spark, sf)
-    body = F.replace(F.replace(F.col("full_text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    pages = a.select("url", F.concat(F.lit("<html><body><nav>Home</nav><article>"), F.replace(body, F.lit("\n"), F.lit("<br>")),
-                                     F.lit("</article></body></html>")).alias("html")).where(F.col("html").isNotNull())
     one = votes_v(spark, sf).where(F.col("voter") == "v1")
-    return article_funnel(a.drop("full_text"), pages, fx_df(spark, "terms_fx"), fx_df(spark, "patterns_fx"), fx_df(spark, "gazetteer_fx"),
+    return article_funnel(a.drop("full_text"), article_pages(a), fx_df(spark, "terms_fx"), fx_df(spark, "patterns_fx"), fx_df(spark, "gazetteer_fx"),
                           verdicts=one, answers=answers_v(spark, sf), max_articles=None)

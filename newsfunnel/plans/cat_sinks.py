@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.text import slugify
@@ -9,6 +12,7 @@ from newsfunnel.operators.audit import failure_streaks, rolling_quota
 from newsfunnel.plans.catalog import register
 from newsfunnel.plans.fixtures import ARTICLE_COLS, articles_v, sql_with
 from newsfunnel.plans.oracle_sql import d_strip
+from newsfunnel.session import ensure_checkpoint_dir
 from newsfunnel.sources import sinks as W
 from newsfunnel.sources.tables import read_table
 
@@ -35,10 +39,36 @@ def q_output_groups(spark, sf):
     return W.output_groups(articles_v(spark, sf))
 
 
-@register("json_envelope")
+_ISO_SQL = ("strftime(date, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(date) % 1000000 <> 0 THEN '.' || "
+            "lpad(CAST(microsecond(date) % 1000000 AS VARCHAR), 6, '0') ELSE '' END || '+05:30'")
+
+
+def _d_field(c: str) -> str:
+    value = {"date": f"CAST(to_json({_ISO_SQL}) AS VARCHAR)", "relevance_score": "'0.0'"}.get(c, f"coalesce(CAST(to_json({c}) AS VARCHAR), 'null')")
+    return f"'      \"{c}\": ' || {value}"
+
+
+_ARTICLE_SQL = "'    {' || chr(10) || " + " || ',' || chr(10) || ".join(_d_field(c) for c in W.ARTICLE_FIELDS) + " || chr(10) || '    }'"
+
+
+@register("json_envelope", sql_with(f"""
+SELECT state_slug, out_date, district_slug, '{{' || chr(10) || '  "state": ' || to_json(arg_min(state, ord)) || ',' || chr(10) || '  "district": '
+    || coalesce(CAST(to_json(arg_min(CASE WHEN district <> '' THEN district END, ord)) AS VARCHAR), 'null') || ',' || chr(10) || '  "date": "' || out_date || '",' || chr(10)
+    || '  "article_count": ' || count(*) || ',' || chr(10) || '  "articles": [' || chr(10)
+    || string_agg(article, ',' || chr(10) ORDER BY ord) || chr(10) || '  ]' || chr(10) || '}}' AS envelope
+FROM (SELECT *, {_KEYS}, {_ARTICLE_SQL} AS article FROM articles_v) GROUP BY state_slug, out_date, district_slug""", articles=True))
 def q_json_envelope(spark, sf):
-    a = W.with_output_keys(articles_v(spark, sf).withColumn("relevance_score", F.lit(0.0)))
-    return a.select("state_slug", "out_date", "district_slug", "ord", W.article_json(a).alias("json"))
+    """Written as files, one document a group, and read back."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "envelopes", uuid.uuid4().hex)
+    W.write_envelopes(articles_v(spark, sf).withColumn("relevance_score", F.lit(0.0)), root)
+    return W.read_envelopes(spark, root)
+
+
+@register("article_json", sql_with(f"""
+SELECT ord, {{}} AS json FROM articles_v""".replace("{}", "'{' || " + " || ',' || ".join(_d_field(c).replace("'      ", "'").replace('": ', '":') for c in W.ARTICLE_FIELDS) + " || '}'"), articles=True))
+def q_article_json(spark, sf):
+    a = articles_v(spark, sf).withColumn("relevance_score", F.lit(0.0))
+    return a.select("ord", W.article_json(a).alias("json"))
 
 
 @register("csv_lines", sql_with(f"""

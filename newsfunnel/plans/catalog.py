@@ -25,7 +25,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load_all() -> None:
     # importing registers the queries
-    from newsfunnel.plans import cat_dedup, cat_extract, cat_filters, cat_landed, cat_query, cat_sinks, cat_sources, cat_stream, cat_tagging  # noqa: F401
+    from newsfunnel.plans import cat_dedup, cat_extract, cat_filters, cat_funnel, cat_landed, cat_query, cat_sinks, cat_sources, cat_stream, cat_tagging  # noqa: F401
 
 
 _load_all()

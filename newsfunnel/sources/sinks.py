@@ -4,7 +4,9 @@ Output layout is ``<root>/state_slug=<s>/date=<yyyy-MM-dd>/district_slug=<d>``
 written by one partitioned write (each task writes its own rows; no group is
 ever collected into one task or the driver).  A group's envelope header
 (first member's labels and the count) is an aggregate, written next to the
-article lines.  CSV rows follow Python ``csv`` minimal quoting with CRLF line
+article lines.  ``write_envelopes`` writes one JSON document a group (header, articles,
+trailer): its rows are sorted, given their line's text by a running row number and
+streamed by the text writer, so a group passes one task but is never held.  CSV rows follow Python ``csv`` minimal quoting with CRLF line
 ends (``csv_line``); a large group is dealt over several files by its row
 count, each with the CSV writer's own header.
 """
@@ -13,7 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.lineage import materialize
@@ -60,6 +62,47 @@ def article_json(df: DataFrame) -> Column:
     return F.to_json(st, {"ignoreNullFields": "false"})
 
 
+def json_text(c: Column) -> Column:
+    """A value as JSON text (null kept)."""
+    t = F.to_json(F.array(c), {"ignoreNullFields": "false"})
+    return F.substr(t, F.lit(2), F.length(t) - 2)
+
+
+def _json_block(fields: dict[str, Column], indent: str) -> Column:
+    """``{...}`` over several lines, a field each."""
+    parts = [F.lit(indent + "{\n")]
+    for k, (name, value) in enumerate(fields.items()):
+        parts += [F.lit(f'{indent}  "{name}": '), value, F.lit("\n" if k + 1 == len(fields) else ",\n")]
+    return F.concat(*parts, F.lit(indent + "}"))
+
+
+def write_envelopes(df: DataFrame, root: str, order: str = "ord") -> None:
+    """One indented JSON document a group, as one text file in the group's folder: state, district
+    (null at state level) and date of the group, article_count, and the articles by ``order``.
+
+    One exchange by group; the count is joined in from the groups' aggregate, the
+    external sort may spill, and the writer streams.  Overwrites the groups it writes only."""
+    parts = ["state_slug", "out_date", "district_slug"]
+    keyed = with_output_keys(df)
+    head = output_groups(df, order).select(*[F.col(p).alias(f"_{p}") for p in parts], F.col("state").alias("_state"), F.col("district").alias("_district"), "article_count")
+    same = reduce(lambda a, b: a & b, (F.col(p).eqNullSafe(F.col(f"_{p}")) for p in parts))
+    nth = F.row_number().over(Window.partitionBy(*parts).orderBy(order))
+    rows = keyed.join(head, same).withColumn("_nth", nth)
+    first = F.concat(F.lit('{\n  "state": '), json_text(F.col("_state")), F.lit(',\n  "district": '), json_text(F.col("_district")),
+                     F.lit(',\n  "date": '), json_text(F.col("out_date")), F.lit(',\n  "article_count": '), F.col("article_count").cast("string"), F.lit(',\n  "articles": [\n'))
+    article = _json_block({c: json_text(iso_ist("date") if c == "date" else F.col(c)) for c in ARTICLE_FIELDS}, "    ")
+    line = F.concat(F.when(F.col("_nth") == 1, first).otherwise(F.lit("")), article,
+                    F.when(F.col("_nth") == F.col("article_count"), F.lit("\n  ]\n}")).otherwise(F.lit(",")))
+    (rows.select(*parts, line.alias("value")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).text(root))
+
+
+def read_envelopes(spark: SparkSession, root: str) -> DataFrame:
+    """(state_slug, out_date, district_slug, envelope): each group's document."""
+    schema = "value string, state_slug string, out_date string, district_slug string"
+    return spark.read.option("wholetext", "true").schema(schema).format("text").load(root).select(
+        "state_slug", "out_date", "district_slug", F.rtrim("value", F.lit("\n")).alias("envelope"))
+
+
 def csv_field(c: Column) -> Column:
     """Python csv QUOTE_MINIMAL: quote when the field holds ',', '"', CR or LF."""
     s = F.coalesce(c.cast("string"), F.lit(""))
@@ -78,8 +121,8 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "",
 
 def write_output(df: DataFrame, root: str, metadata: DataFrame | None = None, rows_per_file: int = 100_000,
                  order: str = "ord") -> None:
-    """One partitioned JSON-lines write, one partitioned CSV write, the group
-    headers and the run metadata.
+    """One partitioned JSON-lines write, one partitioned CSV write, the groups' JSON
+    documents and headers, and the run metadata.
 
     The input is evaluated once (a written table).  A group is dealt over as
     many tasks as its row count asks for, by a hash of ``order``; every CSV file
@@ -97,6 +140,7 @@ def write_output(df: DataFrame, root: str, metadata: DataFrame | None = None, ro
      .write.mode("overwrite").options(**options).partitionBy(*parts).text(f"{root}/articles_json"))
     (dealt.select(*parts, *[(iso_ist("date") if c == "date" else F.col(c)).alias(c) for c in ARTICLE_FIELDS])
      .write.mode("overwrite").options(**options, **CSV_OPTIONS).partitionBy(*parts).csv(f"{root}/articles_csv"))
+    write_envelopes(keyed, f"{root}/envelopes", order)
     output_groups(keyed, order).write.mode("overwrite").options(**options).partitionBy(*parts).json(f"{root}/groups")
     if metadata is not None:
         metadata.coalesce(1).write.mode("overwrite").json(f"{root}/_metadata")

@@ -62,3 +62,31 @@ def test_one_header_a_file_in_a_large_group(spark, tmpdir_path):
     W.write_output(spark.createDataFrame(rows, SCHEMA), tmpdir_path, rows_per_file=100)  # a retry changes nothing
     again = glob.glob(os.path.join(tmpdir_path, "articles_csv", "state_slug=bihar", "*", "*", "*.csv"))
     assert sum(len(list(csv.DictReader(open(f, newline="", encoding="utf-8")))) for f in again) == 1000
+
+
+def test_envelopes_are_the_json_documents(spark, tmpdir_path):
+    """File by file against json.dumps; a second write replaces its own groups only."""
+    when = dt.datetime(2026, 7, 5, 10, 30)
+    texts = ['said "hot"', "two\nlines", None, "", "back\\slash / \t tab", "हिन्दी \U0001F600", "x" * 5000]
+    rows = [(n, f"t{n}", f"https://a/{n}", "s", when + dt.timedelta(days=n % 2, microseconds=n % 3), "en", ["Tamil Nadu", "Bihar"][n % 2],
+             [None, "", "Salem & Co"][n % 3], "heat", texts[n % len(texts)], 0.1 * n) for n in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    root = os.path.join(tmpdir_path, "env")
+    W.write_envelopes(df, root)
+    W.write_envelopes(df.where("state = 'Bihar'"), root)
+    got = {(r.state_slug, r.out_date, r.district_slug): r.envelope for r in W.read_envelopes(spark, root).collect()}
+    want = {}
+    for r in rows:
+        key = (r[6].lower().replace(" ", "-"), r[4].strftime("%Y-%m-%d"), "salem-and-co" if r[7] else None)
+        want.setdefault(key, []).append(r)
+    assert set(got) == set(want)
+    for key, members in want.items():
+        articles = []
+        for r in members:
+            a = dict(zip(["ord", *W.ARTICLE_FIELDS], r))
+            del a["ord"]
+            a["date"] = r[4].isoformat() + "+05:30"
+            articles.append(a)
+        doc = {"state": members[0][6], "district": members[0][7] or None, "date": key[1], "article_count": len(members), "articles": articles}
+        assert got[key] == json.dumps(doc, indent=2, ensure_ascii=False), key
+    assert len(glob.glob(os.path.join(root, "state_slug=*", "*", "*", "part-*"))) == len(want)
