@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from newsfunnel.llm.common import int_lists, map_batches, ship, slices, without
-from newsfunnel.llm.prefix_bpe import BORDER_ENTRIES, PrefixBPE, PrefixCounts, read_ranks
+from newsfunnel.llm.prefix_bpe import BORDER_ENTRIES, PrefixBPE, PrefixCounts, exact_counts, read_ranks
 
 SLICE = 3 << 20  # bytes of text that are encoded together
 MEMO = 150_000  # default bound of the chunks that a worker remembers, about 200 bytes each
@@ -69,10 +69,44 @@ class _Ids(dict):
 
 
 class _Counts(_Ids):
-    """Space-led chunk -> its number of tokens."""
+    """Space-led chunk -> the token counts of all its prefixes (of 1, 2, ... characters), as bytes
+    where they are small, else as an array; the last is the chunk's own."""
 
-    def value(self, ids: list[int]) -> int:
-        return len(ids)
+    def value(self, counts):
+        return bytes(list(counts)) if len(counts) < 256 else array("I", counts)
+
+    def of(self, text: str):
+        return self.value(exact_counts(self.bpe, text)) if text else b"\0"
+
+    def prepare(self, texts: list[list[str] | None], entries: int) -> None:
+        """Count all new chunks of a slice together, in byte order: each table goes on from the one before."""
+        seen = set()
+        self.entries, self.bpe.border_entries = entries, max(BORDER_ENTRIES, entries // 2)
+        for chunks in texts:
+            if chunks:
+                seen.update(chunks[1:])
+        if len(self) + len(seen) > self.entries:
+            kept = {c: self[c] for c in seen if c in self}
+            self.clear()
+            self.update(kept)
+        before, last, table, tokens = b"", [], self.bpe.table, self.bpe.tokens
+        for c in sorted(c for c in seen if c not in self):
+            if not (c.isascii() and c.isalpha()):
+                self[c] = self.of(" " + c)
+                continue
+            raw = b" " + c.encode()  # plain letters are one pre-token
+            k = 0
+            for x, y in zip(before, raw):
+                if x != y:
+                    break
+                k += 1
+            del last[k:]
+            n: list[int] = []
+            for i, t in enumerate(table(raw, last)):
+                back = i - len(tokens[t])
+                n.append(1 + (n[back] if back >= 0 else 0))
+            self[c] = self.value(n)
+            before = raw
 
 
 def _tables(vocab: Broadcast) -> tuple[PrefixBPE, _Ids, _Counts]:
@@ -232,25 +266,46 @@ def reencode(df: DataFrame, vocab: Broadcast, text_col: str, table_col: str, sta
     return map_batches(df, run, schema)
 
 
-def _fit(bpe: PrefixBPE, text: str, chunks: list[str] | None, counts: list[int], limit: int) -> int:
-    """Longest prefix (code points) of at most ``limit`` tokens, counting again only around the border."""
-    if chunks is None:
-        return PrefixCounts(bpe, text).cut(limit)
-    ends = np.cumsum(counts)
-    k = int(np.searchsorted(ends, limit, "right"))  # first chunk that goes beyond
-    if k >= len(ends):
-        return len(text)
-    lo = max(0, k - 2)
-    start = sum(map(len, chunks[:lo])) + max(0, lo - 1)
-    window = (" " if lo else "") + " ".join(chunks[lo:k + 2])
-    return start + PrefixCounts(bpe, window).cut(limit - (int(ends[lo - 1]) if lo else 0))
+def _fit(bpe: PrefixBPE, chunks: list[str], counts: list, limit: int) -> int:
+    """Longest prefix (code points) of at most ``limit`` tokens, from the counts stored for each chunk's prefixes."""
+    ends = np.cumsum([c[-1] for c in counts])
+    k = int(np.searchsorted(ends, limit, "right"))  # the first chunk that goes beyond; no place in a later chunk is within
+    start = sum(map(len, chunks[:k])) + max(0, k - 1)  # where chunk k starts, its space included
+    base = int(ends[k - 1]) if k else 0
+
+    def with_space(i: int) -> int | None:
+        """Tokens up to the space after chunk i, where white space before joins it."""
+        c = chunks[i]
+        if not c or not c[-1].isspace():
+            return None
+        text = c.rstrip() if c.strip() else ""
+        led, text = ("", text) if i == 0 else (" ", text)
+        shown = len(led + text)
+        head = counts[i][shown - 1] if shown else 0
+        return (int(ends[i - 1]) if i else 0) + head + len(bpe.encode(c[len(text):] + " "))
+
+    if k + 1 < len(chunks):
+        joined = with_space(k)
+        if joined is not None and joined <= limit:
+            return start + len(chunks[k]) + (k > 0) + 1
+    inner = np.frombuffer(counts[k], np.uint8 if isinstance(counts[k], bytes) else np.uint32).astype(np.int64) + base
+    if not chunks[k]:
+        inner = inner[:0]
+    if k and len(inner):
+        joined = with_space(k - 1)
+        inner[0] = inner[0] if joined is None else joined
+    fit = np.flatnonzero(inner <= limit)
+    return start + (int(fit[-1]) + 1 if len(fit) else 0)
 
 
 def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "text", bytes_col: str = "n_bytes",
                  tokens_col: str = "n_tokens", over_col: str = "over_limit", fit_col: str = "fit_chars",
                  memo: int = MEMO) -> DataFrame:
     """Add the UTF-8 length, the token count, whether it is over ``limit``, and the
-    length in code points of the longest prefix within the limit."""
+    length in code points of the longest prefix within the limit.
+
+    All three come from stored counts of prefixes: those of each space-led chunk (remembered
+    by the worker) and, for texts with wide white space or special strings, of the whole text."""
     df = without(df, bytes_col, tokens_col, over_col, fit_col)
     schema = _added(df, (bytes_col, T.LongType()), (tokens_col, T.LongType()), (over_col, T.BooleanType()), (fit_col, T.LongType()))
     names = schema.names
@@ -264,13 +319,16 @@ def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "t
             cache.prepare(split, memo)
             for text, chunks in zip(texts, split):
                 if chunks is None:
-                    counts = [cache.of(text)]
+                    whole = PrefixCounts(bpe, text)
+                    n = whole.total
+                    fits = whole.cut(limit)
                 else:
                     counts = [cache.of(chunks[0]), *map(cache.__getitem__, chunks[1:])]
-                n = sum(counts)
+                    n = sum([c[-1] for c in counts])
+                    fits = len(text) if n <= limit else _fit(bpe, chunks, counts, limit)
                 size.append(len(text.encode()))
                 total.append(n)
-                fit.append(len(text) if n <= limit else _fit(bpe, text, chunks, counts, limit))
+                fit.append(fits)
             arrs = (pa.array(size, pa.int64()), pa.array(total, pa.int64()), pa.array([n > limit for n in total], pa.bool_()),
                     pa.array(fit, pa.int64()))
             yield pa.RecordBatch.from_arrays(_with(part, *arrs), names=names)

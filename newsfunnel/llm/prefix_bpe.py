@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import base64
 import json
-from bisect import bisect_right
+from array import array
 
+import numpy as np
 import regex
 
 BORDER_ENTRIES = 150_000  # default bound of the table of known token borders
@@ -237,50 +238,90 @@ class PrefixBPE:
         return after, out
 
 
+def _ends(text: str, raw: bytes) -> list[int]:
+    """Byte end of every character."""
+    if len(raw) == len(text):
+        return list(range(1, len(raw) + 1))
+    out, at = [], 0
+    for c in text:
+        p = ord(c)
+        at += 1 if p < 0x80 else 2 if p < 0x800 else 3 if p < 0x10000 else 4
+        out.append(at)
+    return out
+
+
+def exact_counts(bpe: PrefixBPE, text: str, known: dict[str, list[int]] | None = None) -> array:
+    """Token count of every prefix ``text[:1]``, ``text[:2]``, ... of a text without special strings.
+
+    Inside a pre-token the count is read from its prefix table, ``n[end] = 1 + n[end - len(last
+    token)]``, since a prefix of a run of letters, digits or signs is a pre-token of its own.  Two
+    kinds of places differ when the text is cut there: white space at the end is one
+    pre-token, whatever it was split into (its table is continued over the whole run), and a
+    contraction that is not complete falls into its characters.  ``known``: tables made before.
+    """
+    out, base, at = array("I"), 0, 0
+    run_base, run_raw, run_last = 0, b"", []  # the white space that ends at ``at``
+    for piece in bpe.pattern.findall(text):
+        raw = piece.encode()
+        last = known.get(piece) if known else None
+        last = bpe.table(raw) if last is None else last
+        n, ends = bpe.counts(last), _ends(piece, raw)
+        if piece.isspace():
+            if run_raw:
+                run_raw += raw
+                bpe.table(run_raw, run_last)
+                whole, shift = bpe.counts(run_last), len(run_raw) - len(raw)
+                out.extend(run_base + whole[shift + e - 1] for e in ends)
+            else:
+                run_base, run_raw, run_last = base, raw, list(last)
+                out.extend(base + n[e - 1] for e in ends)
+        else:
+            values = [base + n[e - 1] for e in ends]
+            if piece[0].isspace() and run_raw:
+                run_raw += piece[0].encode()
+                values[0] = run_base + len(bpe.walk(bpe.table(run_raw, run_last)))
+            elif piece[0] == "'" and 1 < len(piece) <= 3:
+                for j in range(1, len(piece)):
+                    values[j - 1] = base + len(bpe.encode(piece[:j]))
+            out.extend(values)
+            run_raw = b""
+        base += n[-1]
+        at += len(piece)
+    return out
+
+
 class PrefixCounts:
-    """Exact token count of every prefix of one text.
+    """Exact token count of every prefix of one text, stored at every place; all
+    questions are look-ups.
 
-    Borders of pre-tokens carry running counts; a count inside a pre-token
-    splits again only the last two pre-tokens before it, since text cut there
-    can join or shorten them, and reads the rest from their prefix tables.
+    A special string that is cut is plain text and can join the text before it, so a
+    stretch of text is counted together with all but the last character of the special
+    string after it.
     """
 
     def __init__(self, bpe: PrefixBPE, text: str):
-        self.bpe, self.text = bpe, text
-        self.starts: list[int] = []
-        self.before: list[int] = []
-        self.section: list[int] = []
-        n = 0
-        for s, e, sid in bpe.sections(text):
-            if sid is not None:
-                self.starts.append(s), self.before.append(n), self.section.append(-1)
-                n += 1
-                continue
-            for m in bpe.pattern.finditer(text[s:e]):  # a section ends like a text
-                self.starts.append(s + m.start()), self.before.append(n), self.section.append(s)
-                n += len(bpe.piece_ids(m.group()))
-        self.total = n
+        self.upto = array("I", [0])  # by number of characters
+        sections = list(bpe.sections(text))
+        base, k = 0, 0
+        while k < len(sections):
+            s, e, sid = sections[k]
+            stop = s if sid is not None else e
+            after = sections[k] if sid is not None else sections[k + 1] if k + 1 < len(sections) else None
+            cut = after[1] - 1 if after else stop
+            n = exact_counts(bpe, text[s:cut])
+            self.upto.extend(base + x for x in n)
+            base += n[stop - s - 1] if stop > s else 0
+            if after:
+                base += 1
+                self.upto.append(base)
+            k += 1 if sid is not None or not after else 2
+        self.total = base
 
     def count(self, end: int) -> int:
         """Tokens of ``text[:end]``."""
-        if end >= len(self.text):
-            return self.total
-        if end <= 0:
-            return 0
-        k = bisect_right(self.starts, end - 1) - 1
-        back = k
-        while back > 0 and (k - back < 1 or self.section[back] == -1) and self.section[back - 1] != -1:
-            back -= 1
-        return self.before[back] + len(self.bpe.encode(self.text[self.starts[back]:end]))
+        return self.upto[max(0, min(end, len(self.upto) - 1))]
 
     def cut(self, limit: int) -> int:
         """Length of the longest prefix of at most ``limit`` tokens."""
-        if self.total <= limit:
-            return len(self.text)
-        k = bisect_right(self.before, limit) - 1  # text before pre-token k fits
-        # a cut may join or shorten the last pre-tokens, so those next to the border are tried too
-        hi = self.starts[min(k + 3, len(self.starts) - 1)] if k + 3 < len(self.starts) else len(self.text) - 1
-        for end in range(hi, self.starts[k], -1):
-            if self.count(end) <= limit:
-                return end
-        return self.starts[k]
+        fit = np.flatnonzero(np.frombuffer(self.upto, np.uint32) <= limit)
+        return int(fit[-1]) if len(fit) else 0

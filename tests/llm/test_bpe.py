@@ -102,3 +102,38 @@ def test_counts_and_budget(spark):
     ends = docs_frame(spark, [(1, "it's  two\nlines <|endoftext|> x")]).withColumn("ends", F.array(*map(F.lit, range(0, 40))))
     got = bpe.prefix_counts(ends, vocab, "ends").first()
     assert list(got.counts) == [n(got.text[:e]) for e in range(40)]
+
+
+def test_limits_around_every_kind_of_border(spark):
+    """The longest prefix within every small limit, on texts that are cut at each kind of border."""
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    vocab = bpe.vocabulary(spark, P.path("byte_bpe_50k.json"), P.PATTERN)
+    rnd = random.Random(15)
+    rows = [(k, "".join(rnd.choice(ALPHABET + [" ", " the", "\n ", "\n\n", " it's", " they've"]) for _ in range(rnd.randint(0, 14)))) for k in range(400)]
+    rows += [(1000 + k, t) for k, t in enumerate(["a\n b", "a\n\n b c", "\n\n b", "we'll go", "x<|endoftext|>", "!!<|endoftext|> y", "a  <|endoftext|><|endoftext|>b", "<|endoftext", "l'l", "'re 're"])]
+    df = docs_frame(spark, rows)
+    for limit in (0, 1, 2, 3, 5, 8):
+        for r in bpe.token_counts(df, vocab, limit).collect():
+            t = r.text or ""
+            counts = [len(lib.encode(t[:e], add_special_tokens=False).ids) for e in range(len(t) + 1)]
+            assert r.n_tokens == counts[-1] and r.over_limit == (counts[-1] > limit), t
+            assert r.fit_chars == max(e for e, n in enumerate(counts) if n <= limit), (t, limit)
+
+
+def test_a_megabyte_without_a_space(spark):
+    """Time in proportion to the length, for one unbroken run of each kind."""
+    import time
+
+    plain, enc, special, lib = models()
+    rnd = random.Random(16)
+    letters = "".join(rnd.choice("etaoinshrdlucm") for _ in range(1 << 20))
+    kinds = {"letters": letters, "one": "a" * (1 << 20), "signs": "=-" * (1 << 19), "blanks": "\n" * (1 << 18) + " x", "special": "!" * (1 << 18) + "<|endoftext|>" * 50}
+    vocab = bpe.vocabulary(spark, P.path("byte_bpe_50k.json"), P.PATTERN)
+    df = docs_frame(spark, list(enumerate(kinds.values())))
+    began = time.perf_counter()
+    got = {r.doc_id: r for r in bpe.token_counts(df, vocab, 1024).collect()}
+    assert time.perf_counter() - began < 60
+    for k, t in enumerate(kinds.values()):
+        small = lib.encode(t[:got[k].fit_chars + 40], add_special_tokens=False).ids
+        assert got[k].over_limit and len(lib.encode(t[:got[k].fit_chars], add_special_tokens=False).ids) <= 1024 < len(small) + 1
+        assert got[k].n_tokens == len(lib.encode(t, add_special_tokens=False).ids)
