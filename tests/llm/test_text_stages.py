@@ -258,3 +258,50 @@ def test_pii_replacements_stay_distinct(spark):
 def test_pii_runs_no_python(spark):
     plan = pii.replace_entities(docs_frame(spark, PII_ROWS), "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_pii_full_formats_end_and_stay_distinct(spark):
+    """Every string of a format occurs: the rounds end, nothing keeps its own, no two share one."""
+    rows = [("phone", f"{n:04d}") for n in range(10_000)] + [("ssn", f"{n:03d}") for n in range(1000)] + [("card", f"4{n:04d}") for n in range(10_000)]
+    rows += [("ip", f"10.{a}.0.255") for a in range(256)] + [("email", f"{a}@{b}.com") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("phone", f"{n:07d}") for n in range(0, 10 ** 7, 997)] + [("iban", f"DE{c}37040044053201300{n}") for c in (89, 12) for n in range(10)]
+    rows += [("given_latin_f", f"name{n}") for n in range(3000)] + [("email", "_@-.com"), ("ip", "0.0.255.0")]
+    got = pii.mapping(spark.createDataFrame(rows, "type string, core string"), "k").collect()
+    made = {(r.type, r.core): r.made for r in got}
+    assert len(made) == len(got) == len(rows) and len({(t, m) for (t, _), m in made.items()}) == len(rows)
+    assert not [k for k, m in made.items() if m == k[1]]
+    for (t, c), m in made.items():
+        if t in ("phone", "ssn", "card"):
+            assert len(m) == len(c) and m.isdigit()
+        if t == "ip":
+            assert all(0 < int(o) < 255 for o in m.split("."))
+        if t == "card":
+            assert m[0] == c[0] and luhn(m) == luhn(c)
+        if t == "iban":
+            assert m[:2] == "DE" and len(m) == len(c) and iban_holds(m) == iban_holds(c)
+        if t == "phone" and len(c) == 7:
+            assert ("phone", m) not in made  # room enough: no real number is given out
+    again = {(r.type, r.core): r.made for r in pii.mapping(spark.createDataFrame(rows[::-1], "type string, core string"), "k").collect()}
+    assert again == made
+
+
+def iban_holds(x):
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
+def test_pii_spaced_ibans_names_with_marks_and_slavic_endings(spark):
+    rows = [(1, "pay DE89 3704 0044 0532 0130 00 or DE89370400440532013000 now"), (2, "Mr. O'Brien-Lee met Mr O'BRIEN-LEE"), (3, "GB29 NWBK 6016 1331 9268 19 THE END"),
+            (4, "г-н Иванов, г-жа Иванова и г-жа Шевченко"), (5, "FR14 2004 1010 0505 0001 3M02 606 ok"), (6, "card 4111 1111 1111 1111 and 4111-1111-1111-1112")]
+    got = {r.doc_id: r for r in pii.replace_entities(docs_frame(spark, rows), "key").collect()}
+    a = re.fullmatch(r"pay (DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d) or (DE\d{20}) now", got[1].text)
+    assert a and a[1].replace(" ", "") == a[2] != "DE89370400440532013000" and iban_holds(a[2])
+    b = re.fullmatch(r"Mr\. (\w)'([A-Z]\w+)-([A-Z]\w+) met Mr (\w)'(\w+)-(\w+)", got[2].text)
+    assert b and (b[1] + b[2] + b[3]).upper() == b[4] + b[5] + b[6] and "BRIEN" not in got[2].text.upper()
+    c = re.fullmatch(r"(GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d) THE END", got[3].text)
+    assert c and iban_holds(c[1].replace(" ", "")) and "NWBK" not in got[3].text
+    d = re.fullmatch(r"г-н (\w+), г-жа (\w+) и г-жа (\w+)", got[4].text)
+    assert d and d[1] + "а" == d[2] and d[1] != "Иванов" and re.search("(ов|ев|ин)$", d[1]) and not d[3].endswith("ова")
+    e = re.fullmatch(r"(FR\d\d \d{4} \d{4} \d{4} \d{4} \d[A-Z]\d\d \d{3}) ok", got[5].text)
+    assert e and iban_holds(e[1].replace(" ", ""))
+    f = re.fullmatch(r"card (\d{4} \d{4} \d{4} \d{4}) and (\d{4}-\d{4}-\d{4}-\d{4})", got[6].text)
+    assert f and luhn(f[1].replace(" ", "")) and not luhn(f[2].replace("-", "")) and f[1][0] == f[2][0] == "4"
