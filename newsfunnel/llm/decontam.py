@@ -1,16 +1,24 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
-Seeds are the word n-grams of the benchmark items; those that many items share
-are left out unless an item has no other.  A bitmap of fixed size marks the
-hashes of all seeds and is broadcast; one pass over the documents keeps the
-places where a marked n-gram stands, and cuts passages around them, wide
-enough for the longest item.  Passages are joined to items by seed (a Spark
-join, whatever the number of items), and each pair is aligned word by word;
-the score is the alignment's share of the score of a whole copy.
+An alignment that scores ``least`` of a whole copy can pay for ``budget = 2 L (1 - least)`` of
+edits, L the item's words.  An inserted word costs 1 and breaks at most s - 1 of the item's
+s-grams; a changed or dropped word costs 3 and breaks s, one cut from an end costs 2 and
+breaks 1.  So at least ``L - s + 1 - (s - 1) budget`` s-grams of the item stay whole, each within
+``L + budget`` words of the others.  Every item takes the longest s up to ``N`` for which that is 1 or
+more, and any document whose hits reach that number within the span is aligned: no
+item that the score accepts is missed, whatever was edited, and common n-grams cost joins,
+never results.
+
+1. A bitmap of fixed size marks the hashes of all seeds and is broadcast; one narrow pass
+   over the documents keeps the places of marked n-grams.
+2. Hits are joined to items by seed (a Spark join, whatever the number of items) and chained
+   per document and item; chains of too few different seeds go.
+3. Only documents with a chain are read again (by a bitmap of their keys); the words around each
+   chain are cut out, as wide as its own item asks for, and aligned word by word.  The
+   score is the alignment's share of the score of a whole copy.
 
 Defined results: a null or empty text holds no item; items without words are
-never found; an item shorter than n words has its whole sequence as its one
-seed; repeated rows give the same rows again (rows equal in id and text are
+never found; an item of one or two words must stand whole; repeated rows give the same rows again (rows equal in id and text are
 one document); an empty benchmark or table gives no rows; null ids are
 reported as null.
 """
@@ -19,16 +27,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsfunnel.functions.lineage import materialize
 from newsfunnel.llm.common import bit_marks, int_lists, map_batches, marked, ship, slices, text_arrays
 from newsfunnel.llm.words import Words, ngrams
 
-N = 5  # words of a seed
+N = 3  # words of a seed, at most
 SCORE = 0.8  # least share of a whole copy's alignment score
-COMMON = 20  # seeds of more items than this are not rare
 BITMAP_BITS = 1 << 24  # 2 MB, whatever the size of the benchmark
 MATCH, MISMATCH, GAP = 2, -1, -1
 # ASCII other than letters and digits separates words
@@ -39,35 +46,36 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def item_seeds(items: DataFrame, n: int) -> DataFrame:
-    """(item_id, words, size, seeds) of every item that has words; ``size`` is the
-    number of words of its seeds."""
+def seed_rule(words: int, n: int = N, least: float = SCORE) -> tuple[int, int, int]:
+    """(seed size, seeds that must be hit, span in words) of an item of ``words`` words."""
+    budget = int(MATCH * words * (1 - least) + 1e-9)
+    for s in range(min(n, words), 0, -1):
+        need = words - s + 1 - (s - 1) * budget
+        if need >= 1:
+            return s, need, words + budget
+    raise ValueError("an item has a word")
+
+
+def item_seeds(items: DataFrame, n: int, least: float) -> DataFrame:
+    """(item_id, words, size, need, span, seeds) of every item that has words."""
 
     def run(batch):
         w = Words(*text_arrays(batch.column("text")), _SEP)
         h = w.hashes()
-        seeds, lens = [], []
+        seeds, lens, rules = [], [], []
         for r in range(batch.num_rows):
             own = h[w.first[r]:w.first[r + 1]]
-            got = ngrams(own, min(n, len(own)))
-            seeds.append(got)
-            lens.append(len(got))
+            rules.append(seed_rule(len(own), n, least) if len(own) else (1, 1, 1))
+            seeds.append(ngrams(own, rules[-1][0]))
+            lens.append(len(seeds[-1]))
+        size, need, span = (pa.array(list(x), pa.int32()) for x in (zip(*rules) if rules else ((), (), ())))
         return pa.RecordBatch.from_arrays(
-            [batch.column("item_id"), int_lists(_signed(h), w.count), pa.array(np.minimum(w.count, n), pa.int32()),
+            [batch.column("item_id"), int_lists(_signed(h), w.count), size, need, span,
              int_lists(_signed(np.concatenate(seeds)) if seeds else np.zeros(0, np.int64), np.array(lens, np.int64))],
-            names=["item_id", "words", "size", "seeds"])
+            names=["item_id", "words", "size", "need", "span", "seeds"])
 
     return map_batches(items.select("item_id", "text"), run,
-                       "item_id long, words array<long>, size int, seeds array<long>").where(F.size("words") > 0)
-
-
-def rare_seeds(items: DataFrame, common: int) -> DataFrame:
-    """(seed, item_id): the seeds to look for."""
-    each = items.select("item_id", F.explode(F.array_distinct("seeds")).alias("seed"))
-    shared = each.join(each.groupBy("seed").agg(F.count("*").alias("shared")), "seed")
-    # an item of common seeds only keeps its rarest
-    least = shared.groupBy("item_id").agg(F.min("shared").alias("least"))
-    return shared.join(least, "item_id").where((F.col("shared") <= common) | (F.col("shared") == F.col("least"))).select("seed", "item_id")
+                       "item_id long, words array<long>, size int, need int, span int, seeds array<long>").where(F.size("words") > 0)
 
 
 def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,9 +91,13 @@ def seed_bitmap(seeds: DataFrame) -> np.ndarray:
                      BITMAP_BITS)
 
 
-def passages(docs: DataFrame, bitmap, sizes: list[int], longest: int) -> DataFrame:
-    """(doc_id, first, words, seeds): cut-outs around the marked n-grams.  Places closer
-    than the longest item share a passage, which reaches that far beyond them."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, text): rows equal in id and text have one key."""
+    return docs.select(F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text").alias("key"), "doc_id", "text")
+
+
+def hits(docs: DataFrame, bitmap, sizes: list[int]) -> DataFrame:
+    """(key, at, seed): places (word numbers) of marked n-grams."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batch):
@@ -93,29 +105,67 @@ def passages(docs: DataFrame, bitmap, sizes: list[int], longest: int) -> DataFra
         for part in slices(batch, "text"):
             w = Words(*text_arrays(part.column("text")), _SEP)
             h = w.hashes()
-            rows, ats, seeds = [], [], []
+            keys, ats, seeds = [], [], []
+            own = part.column("key").to_numpy()
             for k in sizes:
                 grams = ngrams(h, k)
                 one, two = _bits(grams)
                 hit = np.flatnonzero(marked(marks, one))
                 hit = hit[marked(marks, two[hit])]
-                hit = hit[w.row[hit] == w.row[hit + k - 1]]
-                rows.append(w.row[hit])
-                ats.append(hit)
-                seeds.append(grams[hit])
-            row, at, seed = (np.concatenate(x) for x in (rows, ats, seeds))
-            order = np.argsort(at, kind="stable")
-            row, at, seed = row[order], at[order], seed[order]
-            new = np.flatnonzero(np.concatenate([[len(at) > 0], (row[1:] != row[:-1]) | (at[1:] - at[:-1] > longest)]))
-            ends = np.concatenate([new[1:], [len(at)]]).astype(np.int64)[:len(new)]
-            lo = np.maximum(w.first[row[new]], at[new] - longest)
-            hi = np.minimum(w.first[row[new] + 1], at[ends - 1] + sizes[-1] + longest)
-            words = np.concatenate([h[a:b] for a, b in zip(lo, hi)]) if len(new) else h[:0]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(row[new])), pa.array(lo - w.first[row[new]], pa.int64()),
-                 int_lists(_signed(words), hi - lo), int_lists(_signed(seed), ends - new)], names=["doc_id", "first", "words", "seeds"])
-
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, first long, words array<long>, seeds array<long>")
+                row = w.row[hit]
+                inside = row == w.row[hit + k - 1]
+                hit, row = hit[inside], row[inside]
+                keys.append(own[row])
+                ats.append(hit - w.first[row])
+                seeds.append(_signed(grams[hit]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, ats, seeds)], names=["key", "at", "seed"])
+
+    return map_batches(docs.select("key", "text"), run, "key long, at long, seed long")
+
+
+def chains(found: DataFrame, table: DataFrame) -> DataFrame:
+    """(key, item_id, low, high): stretches of a document where an item's seeds stand close enough and in
+    the number that an accepted alignment leaves, widened to what it can cover."""
+    seeds = table.select("item_id", "need", "span", F.explode("seeds").alias("seed")).groupBy("item_id", "need", "span", "seed").agg(F.count("*").alias("times"))
+    place = Window.partitionBy("key", "item_id").orderBy("at")
+    steps = found.join(seeds, "seed").withColumn("apart", F.col("at") - F.lag("at").over(place))
+    linked = steps.withColumn("chain", F.sum((F.col("apart") > F.col("span")).cast("int")).over(place))
+    # each seed counts as often as the item has it
+    each = linked.groupBy("key", "item_id", "need", "span", F.coalesce("chain", F.lit(0)).alias("chain"), "seed").agg(
+        F.first("times").alias("times"), F.min("at").alias("low"), F.max("at").alias("high"))
+    whole = each.groupBy("key", "item_id", "need", "span", "chain").agg(F.sum("times").alias("hit"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return whole.where("hit >= need").select("key", "item_id", F.greatest(F.col("low") - F.col("span"), F.lit(0)).alias("low"),
+                                             (F.col("high") + F.col("span") + N).alias("high"))
+
+
+def passages(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, item_id, first, p_words): the words of each chain.  Only rows whose key's bit is set are split."""
+    def bit(c):
+        return F.pmod(F.col(c), F.lit(BITMAP_BITS)).alias("bit")
+
+    shared = docs.sparkSession.sparkContext.broadcast(bit_marks(wanted.select(bit("key")), BITMAP_BITS))
+
+    def held(batch):
+        yield batch.filter(pa.array(marked(shared.value, batch.column("bit").to_numpy()))).select(["key", "doc_id", "text"])
+
+    some = map_batches(docs.select("key", "doc_id", "text", bit("key")), held, "key long, doc_id long, text string")
+    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("item_id", "low", "high")).alias("want"))
+    told = some.dropDuplicates(["key"]).join(lists, "key").select("doc_id", "text", "want.item_id", "want.low", "want.high")
+
+    def run(batch):
+        for part in slices(batch, "text"):
+            w = Words(*text_arrays(part.column("text")), _SEP)
+            h = _signed(w.hashes())
+            for r in range(part.num_rows):
+                own = h[w.first[r]:w.first[r + 1]]
+                item, low, high = (part.column(c)[r].values for c in ("item_id", "low", "high"))
+                for k in range(0, len(item), 256):
+                    a, b = low.to_numpy()[k:k + 256], np.minimum(high.to_numpy()[k:k + 256], len(own))
+                    words = np.concatenate([own[x:y] for x, y in zip(a, b)])
+                    yield pa.RecordBatch.from_arrays([pa.array([part.column("doc_id")[r].as_py()] * len(a), pa.int64()), item.slice(k, 256), pa.array(a, pa.int64()),
+                                                      int_lists(words, b - a)], names=["doc_id", "item_id", "first", "p_words"])
+
+    return map_batches(told, run, "doc_id long, item_id long, first long, p_words array<long>")
 
 
 def align(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -171,18 +221,15 @@ def aligned(pairs: DataFrame) -> DataFrame:
                        "doc_id long, item_id long, score double, end_word long")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, n: int = N, least: float = SCORE, common: int = COMMON) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, n: int = N, least: float = SCORE) -> DataFrame:
     """(doc_id, item_id, score, end_word): documents that hold an item whole, edited or
     paraphrased, with the best alignment and the word after which it ends."""
     ship(docs.sparkSession)
-    table = materialize(item_seeds(items, n), "bench-items")
-    longest = table.agg(F.max(F.size("words"))).first()[0] or 0
+    table = materialize(item_seeds(items, n, least), "bench-items")
     sizes = sorted(r[0] for r in table.select("size").distinct().collect()) or [n]  # n numbers at most
-    seeds = materialize(rare_seeds(table, common), "bench-seeds")
-    cut = materialize(passages(docs, seed_bitmap(seeds), sizes, longest)
-                      .withColumn("pid", F.xxhash64("doc_id", "first", "words")), "bench-passages")
-    found = (cut.select("pid", F.explode("seeds").alias("seed")).join(seeds, "seed").select("pid", "item_id").distinct())
-    pairs = (found.join(cut.select("pid", "doc_id", "first", F.col("words").alias("p_words")), "pid")
-             .join(table.select("item_id", F.col("words").alias("i_words")), "item_id"))
+    keyed = _keyed(docs)
+    found = materialize(hits(keyed, seed_bitmap(table.select(F.explode("seeds").alias("seed"))), sizes), "bench-hits")
+    wanted = materialize(chains(found, table), "bench-chains")
+    pairs = passages(keyed, wanted).join(table.select("item_id", F.col("words").alias("i_words")), "item_id")
     return (aligned(pairs).where(F.col("score") >= least).groupBy("doc_id", "item_id")
             .agg(F.max("score").alias("score"), F.max_by("end_word", F.struct("score", F.col("end_word"))).alias("end_word")))

@@ -134,6 +134,65 @@ def test_items_of_common_seeds_only_are_still_found(spark):
     assert {r.item_id for r in got} == set(range(30))
 
 
+def test_every_item_that_the_score_accepts_is_found(spark):
+    """Edited copies of short, template and long items against the full matrix of every document and item."""
+    rnd = random.Random(33)
+    template = prose(rnd, 25)
+    texts = [prose(rnd, n) for n in (1, 2, 3, 4, 5, 8, 8, 9, 10, 11, 12, 12, 13, 20, 31, 60)] + [template + " " + prose(rnd, 6) for _ in range(25)] + ["go go go go go go go go stop"]
+    items = list(enumerate(texts))
+
+    def edit(words, share):
+        out, budget = [], share * len(words)
+        places = sorted(rnd.sample(range(len(words)), min(len(words), int(budget) + 1)))
+        kind = rnd.choice(["insert", "change", "drop", "ends", "mixed"])
+        for i, w in enumerate(words):
+            k = rnd.choice(["insert", "change", "drop"]) if kind == "mixed" else kind
+            if i in places and budget >= (1 if k == "insert" else 3) and k != "ends":
+                budget -= 1 if k == "insert" else 3
+                out += [w, f"z{rnd.randrange(10 ** 6)}"] if k == "insert" else [f"y{rnd.randrange(10 ** 6)}"] if k == "change" else []
+            else:
+                out.append(w)
+        return out[int(budget / 4):len(out) - int(budget / 4)] if kind == "ends" else out
+
+    every4 = [w for i, w in enumerate(texts[13].split(" ")) for w in ([w, "zz"] if i % 4 == 3 else [w])]
+    rows = [(0, " ".join(every4)), (1, " ".join([*prose(rnd, 9).split(" "), *texts[6].split(" ")[:3], "other", *texts[6].split(" ")[4:]]))]
+    for n in range(2, 150):
+        k = rnd.randrange(len(texts))
+        rows.append((n, " ".join([*prose(rnd, rnd.randint(0, 90)).split(" "), *edit(texts[k].split(" "), rnd.choice([0.2, 0.4, 0.45])), *prose(rnd, rnd.randint(0, 9)).split(" ")])))
+    want = {}
+    for i, t in rows:
+        for k, x in items:
+            score = smith_waterman([w for w in t.split(" ") if w], x.split(" ")) / (2 * len(x.split(" ")))
+            if score >= decontam.SCORE:
+                want[i, k] = score
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs_frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    assert (0, 13) in got and (1, 6) in got and len(got) > 100  # recall 1 on all of them
+
+
+def test_seed_rule_against_all_edits():
+    """No cheapest set of insertions, changes, drops and cuts leaves fewer seeds than the rule says."""
+    from functools import cache
+
+    for size in range(1, 26):
+        s, need, _ = decontam.seed_rule(size)
+        budget = int(0.4 * size + 1e-9)
+
+        @cache
+        def fewest(i, run, left):
+            """Least whole seeds from item word i on; ``run``: whole words before it, up to s - 1."""
+            if i == size:
+                return 0
+            out = fewest(i + 1, min(run + 1, s), left) + (run + 1 >= s)
+            if left >= 1 and run:
+                out = min(out, fewest(i + 1, 1, left - 1) + (s == 1))
+            if left >= 2:
+                out = min(out, fewest(i + 1, 0, left - (2 if i == 0 or i == size - 1 else 3)) if left >= (2 if i == 0 or i == size - 1 else 3) else out)
+            return out
+
+        assert fewest(0, 0, budget) >= need >= 1
+
+
 INSULTS = ("dolt", "cretin", "wretch")
 
 
