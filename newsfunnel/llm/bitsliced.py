@@ -8,10 +8,11 @@ bit-sliced sum of all rows at once.  The k-th largest sum is found from the
 most significant slice downward; rows whose sum is within the quantisation
 error of it are the boundary, and their inner products are computed exactly.
 
-Blocks: rows and queries are dealt into blocks of bounded size by a hash of
-their id, every row block meets every query block through an equi-join on the
-block numbers, each meeting returns k rows per query, and a window with a
-per-group limit keeps the best k.  No block grows with the data.
+Blocks: rows are dealt into blocks of bounded size by a hash, each row once; the queries
+travel, one copy to each block.  A block's rows come first in its task, its slices are built
+once, and the queries stream past them in batches; each batch returns k rows per
+query, and a window with a per-group limit keeps the best k.  No block grows with the data, and
+a block of more rows makes fewer copies of the queries.
 
 Blocks whose sums could pass 64 bits are compared by double products with an
 error bound, and the rows that can be among the best again in Python's integers.
@@ -19,8 +20,8 @@ error bound, and the rows that can be among the best again in Python's integers.
 Defined results: vectors that are null, hold a null or non-finite component, or
 have a null id take no part; a score beyond 64 bits among the results is an
 error, as in SQL; a
-shorter vector counts as padded with zeros; rows equal in id and vector count
-once; a query is not compared with rows of its own id; equal scores are
+shorter vector counts as padded with zeros; repeated rows count as often as they
+stand, as candidates and as queries (the k best pairs of a query id are returned); a query is not compared with rows of its own id; equal scores are
 ordered by the smaller id; fewer candidates than k give fewer rows; an empty
 table gives an empty table.
 """
@@ -29,13 +30,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsfunnel.llm.common import ship
 
-ROW_BLOCK = 4096
-QUERY_BLOCK = 256
+LEAST_BLOCK, MOST_BLOCK = 4096, 1 << 16  # rows of a block
+BLOCK_CELLS = 1 << 23  # components of a block, at most
+QUERY_BATCH = 256
 BITS = 6  # bits of each component kept as slices; only speed depends on it
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -54,13 +57,15 @@ def quantised(df: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame
 
 
 def _matrix(col: pa.ChunkedArray, dims: int) -> np.ndarray:
-    """Lists of whole numbers as a matrix, zero-padded to ``dims`` columns."""
+    """Lists of whole numbers as a matrix of ``dims`` columns, padded with zeros; what lies beyond meets nothing."""
     arr = col.combine_chunks()
     lens = arr.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat = arr.flatten().to_numpy(zero_copy_only=False)
     out = np.zeros((len(lens), dims))
     row = np.repeat(np.arange(len(lens)), lens)
-    out[row, np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)] = flat
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
+    inside = place < dims
+    out[row[inside], place[inside]] = flat[inside]
     return out
 
 
@@ -152,9 +157,9 @@ def at_least(total: list[np.ndarray], take: np.ndarray, least: np.ndarray) -> np
     return higher | equal
 
 
-def top_of_block(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, x: np.ndarray, k: int, bits: int = BITS):
-    """The k best rows of a block for each query: arrays (query_id, vec_id, score)."""
-    slices, low, drop = slice_rows(x, bits)
+def top_of_block(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, x: np.ndarray, k: int, bits: int = BITS, built=None):
+    """The k best rows of a block for each query: arrays (query_id, vec_id, score).  ``built``: the block's ``slice_rows``."""
+    slices, _, drop = built or slice_rows(x, bits)
     own = qid[:, None] == rid[None, :]
     take = _bitmap(~own)
     total = add_weighted(slices, q)
@@ -181,10 +186,9 @@ def top_of_block(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, x: np.ndarray,
     return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_s)
 
 
-def fits(q: np.ndarray, x: np.ndarray) -> bool:
+def fits(q: np.ndarray, most_x: float, dims: int) -> bool:
     """Whether no sum of ``top_of_block`` can pass 64 bits."""
-    most = [max(least, float(np.abs(m).max(initial=0))) for m, least in ((q, 1.0), (x, float(1 << BITS)))]
-    return x.shape[1] * most[0] * most[1] < float(1 << 60)
+    return dims * max(1.0, float(np.abs(q).max(initial=0))) * max(float(1 << BITS), most_x) < float(1 << 60)
 
 
 def top_of_wide_block(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, x: np.ndarray, k: int):
@@ -215,52 +219,69 @@ def top_of_wide_block(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, x: np.nda
     return out_q, out_r, out_s
 
 
-def _unique(t: pa.Table) -> pa.Table:
-    """Rows equal in id and vector once."""
-    first, keep = set(), []
-    for i, key in enumerate(zip(t.column("vec_id").to_pylist(), map(tuple, t.column("v").to_pylist()))):
-        if key not in first:
-            first.add(key)
-            keep.append(i)
-    return t if len(keep) == t.num_rows else t.take(pa.array(keep))
+class _Block:
+    """The rows of one block, as integers and slices once a query needs them."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(parts)
+        self.ids = t.column("vec_id").to_numpy()
+        vectors = t.column("v")
+        self.dims = max(1, pa.compute.max(pa.compute.list_value_length(vectors)).as_py() or 0)
+        self.x = _matrix(vectors, self.dims)
+        self.most = float(np.abs(self.x).max(initial=0))
+        self.whole = self.built = None
+
+    def meet(self, batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
+        qid, q = batch.column("vec_id").to_numpy(), _matrix(pa.chunked_array([batch.column("v")]), self.dims)
+        if fits(q, self.most, self.dims):
+            if self.whole is None:
+                self.whole = self.x.astype(np.int64)
+                self.built = slice_rows(self.whole, BITS)
+            got = top_of_block(qid, q.astype(np.int64), self.ids, self.whole, k, built=self.built)
+            return pa.RecordBatch.from_arrays([*(pa.array(a) for a in got), pa.array(np.zeros(len(got[0]), np.int32))], schema=_FOUND)
+        qids, rids, scores = top_of_wide_block(qid, q, self.ids, self.x, k)
+        beyond = [(s >= 1 << 63) - (s < -(1 << 63)) for s in scores]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((qids, rids, [0 if b else s for s, b in zip(scores, beyond)], beyond), _FOUND)], schema=_FOUND)
+
+
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("beyond", pa.int32())])
 
 
 def top_k(df: DataFrame, queries: DataFrame, k: int, scale: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding",
-          row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+          row_block: int | None = None, query_block: int = QUERY_BATCH) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of ``df`` with the largest inner
     product for each row of ``queries``."""
     ship(df.sparkSession)
     rows, qs = quantised(df, scale, id_col, vec_col), quantised(queries, scale, id_col, vec_col)
-    n_rb = max(1, -(-rows.count() // row_block))
-    n_qb = max(1, -(-qs.count() // query_block))
+    n, dims = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-
-    def dealt(d: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return d.select("*", F.pmod(F.xxhash64("vec_id", F.lit(own)), F.lit(n_own)).alias(own),
-                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other)
-                        ).repartition(parts, "rb", "qb")
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("beyond", pa.int32())])
-        if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        left, right = _unique(left), _unique(right)
-        dims = max(max(map(len, t.column("v").to_pylist())) for t in (left, right))
-        if not dims:
-            x, q = np.zeros((left.num_rows, 1)), np.zeros((right.num_rows, 1))
-        else:
-            x, q = _matrix(left.column("v"), dims), _matrix(right.column("v"), dims)
-        qid, rid = right.column("vec_id").to_numpy(), left.column("vec_id").to_numpy()
-        if fits(q, x):
-            got = top_of_block(qid, q.astype(np.int64), rid, x.astype(np.int64), k)
-            return pa.table([*(pa.array(a) for a in got), pa.array(np.zeros(len(got[0]), np.int32))], schema=schema)
-        qids, rids, scores = top_of_wide_block(qid, q, rid, x, k)
-        beyond = [(s >= 1 << 63) - (s < -(1 << 63)) for s in scores]
-        return pa.table([qids, rids, [0 if b else s for s, b in zip(scores, beyond)], beyond], schema=schema)
-
-    best = (dealt(rows, "rb", n_rb, "qb", n_qb).groupBy("rb", "qb")
-            .cogroup(dealt(qs, "qb", n_qb, "rb", n_rb).groupBy("rb", "qb"))
-            .applyInArrow(meet, "query_id long, vec_id long, score long, beyond int"))
+    most = max(1, min(MOST_BLOCK, BLOCK_CELLS // max(1, dims)))
+    # as few blocks as their size allows, but enough to keep the tasks busy while blocks are not small
+    blocks = max(1, -(-n // (row_block or most)), 0 if row_block else min(parts, n // LEAST_BLOCK))
+
+    own = rows.select(F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).alias("rb"), F.lit(0).alias("kind"), "vec_id", "v")
+    sent = qs.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("rb"), F.lit(1).alias("kind"), "vec_id", "v")
+
+    def run(batches):
+        at, held, block = None, [], None
+        for b in batches:
+            rb, kind = b.column("rb").to_numpy(), b.column("kind").to_numpy()
+            cuts = [0, *(np.flatnonzero((rb[1:] != rb[:-1]) | (kind[1:] != kind[:-1])) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
+                    continue
+                if rb[lo] != at:
+                    at, held, block = rb[lo], [], None
+                if kind[lo] == 0:
+                    held.append(b.slice(lo, hi - lo))
+                elif held or block:
+                    if block is None:
+                        block, held = _Block(held), []
+                    for a in range(lo, hi, query_block):
+                        yield block.meet(b.slice(a, min(query_block, hi - a)), k)
+
+    best = (own.unionByName(sent).repartition(min(parts, blocks) if blocks < parts else parts, "rb").sortWithinPartitions("rb", "kind")
+            .mapInArrow(run, "query_id long, vec_id long, score long, beyond int"))
     w = Window.partitionBy("query_id").orderBy(F.col("beyond").desc(), F.col("score").desc(), F.col("vec_id"))
     score = F.when(F.col("beyond") == 0, F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit into 64 bits")).cast("long"))
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))

@@ -170,13 +170,14 @@ def test_shingle_sets():
 
 
 def brute_top(rows, k):
-    ok = {(i, tuple(v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    # repeated rows count as often as they stand, as in the query's SQL
+    ok = [(i, tuple(v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     ints = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in ok]
     out = {}
     for q, v in ints:
         if q % 100 == 0:
             scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ints if i != q)
-            out[q] = [(i, -s) for s, i in scored[:k]]
+            out[q] = [(i, -s) for s, i in sorted([(-s, i) for i, s in out.get(q, [])] + scored)[:k]]
     return out
 
 
