@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Dimension inputs (term dictionaries, gazetteers, pattern lists) are small by
 # nature; these limits are the proof obligation before we broadcast them.
 MAX_BROADCAST_ROWS = 200_000
-MAX_COLLECT_ROWS = 10_000
+MAX_COLLECT_ROWS = 1_000_000  # terms or patterns: what a driver holds with ease
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, payload: DataFrame | None = None) -> DataFrame:
@@ -28,15 +28,3 @@ def bounded_collect(df: DataFrame, max_rows: int = MAX_COLLECT_ROWS) -> list:
     if len(rows) > max_rows:
         raise ValueError(f"configuration table exceeds {max_rows} rows; refusing to collect")
     return rows
-
-
-def dictionary_map(df: DataFrame, key: str, value: str, max_rows: int = MAX_BROADCAST_ROWS, payload: DataFrame | None = None):
-    """A bounded dimension table as one ``map<key, value>`` scalar-subquery column.
-
-    The subquery runs once per query and its single value is shipped to the
-    tasks like a broadcast; the size check is the bound that makes this safe.
-    """
-    n = (df if payload is None else payload).limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"dimension table exceeds {max_rows} rows; pass it as a join input instead")
-    return df.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value))))).scalar()

@@ -1,24 +1,25 @@
 """Dictionary relevance score (D7) and the exclusion filter.
 
-Plan: one row per article all the way.  The term dictionary is reduced to one
-``map<language, array<term>>`` value (bounded by the dictionary, not the data,
-and size-checked) that enters the plan as an uncorrelated scalar subquery —
-evaluated once, no join, so the article text is never fanned out.  Matching
-runs inside a higher-order ``filter`` with a cheap ``contains`` guard before
-the boundary regex; everything stays in generated JVM code.
+Plan: one row per article all the way, one narrow stage, the text read once.  Each language's
+terms are one prefix trie, written into the plan as a literal regular expression.  It
+matches empty at every place where a term may start and captures the longest one
+there, so terms that overlap are all found; those that are whole-word beginnings of a longer one
+follow from the dictionary (``_within``).  No expression is compiled per row.
 """
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsfunnel.functions.bounded import bounded_collect, dictionary_map
+from newsfunnel.functions.bounded import bounded_collect
 from newsfunnel.functions.lineage import with_columns_once
 from newsfunnel.functions.pyregex import alternation
-from newsfunnel.functions.text import WORD
-
-_ARR = "array<struct<lt:string,cat:string,pat:string>>"
+from newsfunnel.functions.text import WORD, java_regex_literal, trie_alternation
 
 
 def combined_text(title: str = "title", text: str = "full_text") -> Column:
@@ -33,18 +34,47 @@ def combined_text(title: str = "title", text: str = "full_text") -> Column:
     )
 
 
-def _term_arrays(terms: DataFrame) -> DataFrame:
-    lt = F.lower(F.col("term"))
-    pat = F.concat(F.lit(f"(?<!{WORD})"), _regex_quote(lt), F.lit(f"(?!{WORD})"))
-    return terms.groupBy("lang").agg(
-        F.array_sort(F.collect_list(F.struct(lt.alias("lt"), F.col("category").alias("cat"), pat.alias("pat"))))
-        .cast(_ARR).alias("terms")
-    )
+TRIE_TERMS = 5_000  # terms of one pattern; a larger dictionary takes several
+
+
+def _languages(terms: DataFrame) -> dict[str, dict[str, set[str]]]:
+    """language -> lower-cased term -> categories."""
+    out: dict[str, dict[str, set[str]]] = {}
+    for r in bounded_collect(terms.select("lang", F.lower(F.col("term")).alias("lt"), "category").distinct()):
+        if r["lt"]:
+            out.setdefault(r["lang"], {}).setdefault(r["lt"], set()).add(r["category"])
+    return out
+
+
+_WORD_CHAR = regex.compile(WORD)
+
 
+def _within(term: str, known: dict[str, set[str]]) -> list[str]:
+    """The terms that stand where ``term`` does: itself and its beginnings that end with a word."""
+    return [term[:n] for n in range(1, len(term) + 1)
+            if term[:n] in known and (n == len(term) or not _WORD_CHAR.match(term[n]))]
 
-def _regex_quote(c: Column) -> Column:
-    # escape ASCII punctuation so the term is matched literally by java.util.regex
-    return F.regexp_replace(c, r"([\p{Punct}&&\p{ASCII}])", r"\\$1")
+
+_HIT = "struct<lt:string,cat:string>"
+
+
+def _anywhere(words: list[str]) -> str:
+    """Matches empty where one of ``words`` starts and captures the longest; a class of first
+    letters turns most places away before anything else is looked at."""
+    first = "".join(java_regex_literal(c) for c in sorted({w[0] for w in words}))
+    return f"(?=[{first}])(?<!{WORD})(?=({trie_alternation(words)})(?!{WORD}))"
+
+
+def _hits(text: Column, known: dict[str, set[str]]) -> Column:
+    """The terms of ``known`` in ``text`` with no word character on either side, as array of (term, category)."""
+    words = sorted(known)
+    if not words:
+        return F.array().cast(f"array<{_HIT}>")
+    found = [F.regexp_extract_all(text, F.lit(_anywhere(words[k:k + TRIE_TERMS])), F.lit(1)) for k in range(0, len(words), TRIE_TERMS)]
+    stand = {w: [{"lt": t, "cat": c} for t in _within(w, known) for c in sorted(known[t])] for w in words}
+    table = F.from_json(F.lit(json.dumps(stand)), f"map<string,array<{_HIT}>>")  # folded into a literal
+    longest = F.array_distinct(F.concat(*found))
+    return F.array_distinct(F.flatten(F.transform(longest, lambda w: F.try_element_at(table, w))))
 
 
 def score_relevance(df: DataFrame, terms: DataFrame, out: str = "relevance_score",
@@ -57,17 +87,13 @@ def score_relevance(df: DataFrame, terms: DataFrame, out: str = "relevance_score
     + 0.2 if a matched term is a plain substring of the lower title; with NULL
     text and a title hit the score is at least 0.3; capped at 1.
     """
-    term_map = dictionary_map(_term_arrays(terms), "lang", "terms", payload=terms)
-    empty = F.array().cast(_ARR)
-    lang = F.col(language)
-    tm = F.col("_tm")
-    en_terms = F.coalesce(F.element_at(tm, F.lit("en")), empty)
-    cand = F.when(lang.isNull() | (lang == "") | (lang == "en"), en_terms).otherwise(
-        F.concat(F.coalesce(F.try_element_at(tm, lang), empty), en_terms)
-    )
-    j = df.withColumn("_tm", term_map)
+    known = _languages(terms)
+    english = known.get("en", {})
     txt = combined_text(title, text)
-    matched = F.filter(F.col("_cand"), lambda t: (F.instr(F.col("_txt"), t["lt"]) > 0) & F.regexp_like(F.col("_txt"), t["pat"]))
+    matched = F.when(F.lit(False), F.array().cast(f"array<{_HIT}>"))
+    for lang, own in sorted((k, v) for k, v in known.items() if k not in ("en", None, "")):
+        matched = matched.when(F.col(language) == lang, _hits(F.col("_txt"), {t: own.get(t, set()) | english.get(t, set()) for t in {*own, *english}}))
+    matched = matched.otherwise(_hits(F.col("_txt"), english))
     n = F.size(F.array_distinct(F.transform(F.col("_m"), lambda t: t["lt"])))
     c = F.size(F.array_distinct(F.transform(F.col("_m"), lambda t: t["cat"])))
     low_title = F.lower(F.coalesce(F.col(title), F.lit("")))
@@ -79,16 +105,17 @@ def score_relevance(df: DataFrame, terms: DataFrame, out: str = "relevance_score
     )
     raw = F.when(F.col(text).isNull() & title_hit, F.greatest(raw, F.lit(0.3))).otherwise(raw)
     score = F.when(n == 0, F.lit(0.0)).otherwise(F.least(raw, F.lit(1.0)))
-    j = j.withColumn("_cand", cand).withColumn("_txt", txt)
-    return with_columns_once(j, {"_m": matched}).withColumn(out, score).drop("_tm", "_cand", "_txt", "_m")
+    j = with_columns_once(with_columns_once(df, {"_txt": txt}), {"_m": matched})
+    return j.withColumn(out, score).drop("_txt", "_m")
+
+
+PATTERNS_AT_ONCE = 2_000
 
 
-def exclusion_regex(patterns: DataFrame | list[str], col: str = "pattern") -> str | None:
-    """One Java alternation of all exclusion patterns (Python syntax, IGNORECASE)."""
+def exclusion_regex(patterns: DataFrame | list[str], col: str = "pattern") -> list[str]:
+    """Java alternations of the exclusion patterns (Python syntax, IGNORECASE); one unless there are thousands."""
     pats = patterns if isinstance(patterns, list) else [r[col] for r in bounded_collect(patterns.select(col))]
-    if not pats:
-        return None
-    return alternation(pats)
+    return [alternation(pats[k:k + PATTERNS_AT_ONCE]) for k in range(0, len(pats), PATTERNS_AT_ONCE)]
 
 
 def filter_excluded(df: DataFrame, terms: DataFrame, patterns: DataFrame | list[str],
@@ -99,8 +126,8 @@ def filter_excluded(df: DataFrame, terms: DataFrame, patterns: DataFrame | list[
     so the filter only re-derives cheap arithmetic from it, and the exclusion
     regex runs only for rows under the threshold (short-circuit AND)."""
     scored = score_relevance(df, terms, out=score)
-    rx = exclusion_regex(patterns)
-    if rx is None:
+    found = [combined_text().rlike(rx) for rx in exclusion_regex(patterns)]
+    if not found:
         return scored
-    return scored.where(~((F.col(score) < threshold) & combined_text().rlike(rx)))
+    return scored.where(~((F.col(score) < threshold) & reduce(lambda a, b: a | b, found)))
 

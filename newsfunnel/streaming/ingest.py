@@ -7,9 +7,9 @@ consumed, dedup state) lives in the query's checkpoint, so a restarted or
 re-triggered job resumes where it stopped (``trigger(availableNow=True)`` for
 daily batch-style runs).
 
-``dropDuplicatesWithinWatermark`` keeps the *first* row per URL; the batch
-rule keeps the best quality.  ``start_best_quality_ingest`` reproduces the
-batch rule across micro-batches with ``foreachBatch``: each batch is deduped
+``dropDuplicatesWithinWatermark`` keeps the *first* row per URL and drops rows behind the watermark
+(``rows_behind_watermark`` counts them); the batch rule keeps the best quality.  ``start_best_quality_ingest`` has no watermark, takes
+late rows like any other and reproduces the batch rule across micro-batches with ``foreachBatch``: each batch is deduped
 with the batch operator and merged into the date partitions it touches and
 those that hold copies of its URLs.
 """
@@ -63,6 +63,11 @@ def start_ingest(spark: SparkSession, src_dir: str, out_dir: str, name: str = "r
     return w.start(out_dir)
 
 
+def rows_behind_watermark(query: StreamingQuery) -> int:
+    """Rows that the finished run of ``query`` dropped because they were later than the watermark."""
+    return sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
+
+
 def start_best_quality_ingest(spark: SparkSession, src_dir: str, table_dir: str, name: str = "ref_ingest_best",
                               available_now: bool = True, fmt: str = "parquet",
                               checkpoint: str | None = None) -> StreamingQuery:
