@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -34,19 +35,29 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED[key] = path
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers are reused, and what one stage has freed counts against the next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]],
                 schema: T.StructType | str) -> DataFrame:
     """``fn`` over Arrow batches; ``fn`` may also be a generator of batches."""
     ship(df.sparkSession)
 
     def run(batches):
+        give_back()
         for b in batches:
             out = fn(b)
             if isinstance(out, pa.RecordBatch):
                 yield out
             else:
                 yield from out
-        pa.default_memory_pool().release_unused()  # reused workers give back what a task has needed
+        give_back()
 
     return df.mapInArrow(run, schema)
 
