@@ -26,7 +26,7 @@ from newsfunnel.llm.common import int_lists, map_batches, ship, slices, without
 from newsfunnel.llm.prefix_bpe import BORDER_ENTRIES, PrefixBPE, PrefixCounts, exact_counts, read_ranks
 
 SLICE = 1 << 20  # bytes of text that are encoded together
-MEMO = 150_000  # default bound of the chunks that a worker remembers, about 200 bytes each
+MEMO = 80_000  # default bound of the chunks that a worker remembers, about 200 bytes each
 _WORKER: dict = {}  # per worker process: tables by vocabulary
 _ODD_SPACE = re.compile(r" \s|[ ]\Z")
 

@@ -19,7 +19,7 @@ from array import array
 import numpy as np
 import regex
 
-BORDER_ENTRIES = 150_000  # default bound of the table of known token borders
+BORDER_ENTRIES = 80_000  # default bound of the table of known token borders
 
 
 def read_ranks(path: str) -> tuple[list[bytes], list[int], dict[str, int]]:
