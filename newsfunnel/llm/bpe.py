@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from newsfunnel.llm.common import int_lists, map_batches, ship, slices, without
 from newsfunnel.llm.prefix_bpe import BORDER_ENTRIES, PrefixBPE, PrefixCounts, exact_counts, read_ranks
 
-SLICE = 1 << 20  # bytes of text that are encoded together
+SLICE = 3 << 20  # bytes of text that are encoded together
 MEMO = 80_000  # default bound of the chunks that a worker remembers, about 200 bytes each
 _WORKER: dict = {}  # per worker process: tables by vocabulary
 _ODD_SPACE = re.compile(r" \s|[ ]\Z")
@@ -137,12 +137,12 @@ def _with(batch: pa.RecordBatch, *arrays: pa.Array) -> list[pa.Array]:
     return [*batch.columns, *arrays]
 
 
-def _encoder(vocab: Broadcast, text_col: str, table: bool, names: list[str], keep: list[str], memo: int):
+def _encoder(vocab: Broadcast, text_col: str, table: bool, names: list[str], keep: list[str], memo: int, part_bytes: int = SLICE):
     """Batch function: the columns ``keep`` with the ids (and the table) of ``text_col``."""
 
     def run(batch):
         bpe, cache, _ = _tables(vocab)
-        for part in slices(batch, text_col, SLICE):
+        for part in slices(batch, text_col, part_bytes):
             flats, counts, tabs = [], [], []
             texts = [t or "" for t in part.column(text_col).to_pylist()]
             split = [_chunks(bpe, t) for t in texts]
@@ -224,13 +224,13 @@ def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str
 
 
 def encode_decode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str = "ids",
-                  bytes_col: str = "decoded", memo: int = MEMO) -> DataFrame:
+                  bytes_col: str = "decoded", memo: int = MEMO, part_bytes: int = SLICE) -> DataFrame:
     """Replace the text by its token ids and the bytes that these decode to, in one pass."""
     df = without(df, ids_col, bytes_col)
     fields = [f for f in df.schema.fields if f.name != text_col]
     keep = [f.name for f in fields]
     schema = T.StructType([*fields, T.StructField(ids_col, _INTS), T.StructField(bytes_col, T.BinaryType())])
-    code, back = _encoder(vocab, text_col, False, [*keep, ids_col], keep, memo), _decoder(vocab, ids_col, schema.names)
+    code, back = _encoder(vocab, text_col, False, [*keep, ids_col], keep, memo, part_bytes), _decoder(vocab, ids_col, schema.names)
 
     def run(batch):
         for coded in code(batch):
