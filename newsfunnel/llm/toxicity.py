@@ -8,7 +8,11 @@ and whom it is aimed at) can count for more than both alone.
 
 Fitting uses a bounded sample of labelled rows (``Bounds``): the labels with
 the smallest hashes of their ids, of each kind.  The sample's ids (a bounded
-table) are broadcast to the scan, so no text is shuffled.  Scoring is one
+table) are broadcast to the scan, so no text is shuffled.  The machine first
+learns the buckets that tell the kinds apart alone.  What it leaves unexplained
+is then tested against every pair of buckets at once (``telling_pairs``: signed
+random groups of all buckets, whose products are bounded in size whatever the
+texts are); buckets of telling pairs join, and the machine is learned again.  Scoring is one
 narrow pass over all rows with the model (bounded by its buckets) broadcast.
 
 Defined results: a null or empty text has no terms and scores the bias alone;
@@ -36,6 +40,7 @@ THRESHOLD = 0.7
 # everything of ASCII that is not a letter or digit separates words
 _SEP = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _BEGINNINGS = (4, 5, 6)
+DIVISIONS = 3
 
 
 @dataclass(frozen=True)
@@ -48,6 +53,9 @@ class Bounds:
     terms: int = 1_024  # buckets that the model keeps: those that tell the kinds apart best
     least_rows: int = 3  # rows of the sample that must hold a kept bucket
     least_chi: float = 11.0  # chi-square of bucket against label that a kept bucket must reach
+    pair_terms: int = 1_024  # further buckets that the model keeps, neutral alone: those of the most telling pairs
+    groups: int = 2_048  # signed random groups of buckets whose products are tested, in each of three divisions
+    least_z: float = 6.5  # deviations from no effect that a pair must show in every division
     factors: int = 6
     steps: int = 200
 
@@ -120,12 +128,87 @@ def fit(docs: DataFrame, labels: DataFrame, bounds: Bounds = Bounds()) -> Model:
     if toxic in (0, total):
         return Model(bounds, slot, np.inf if toxic else -np.inf)
     best = telling_buckets(rows, total, toxic, bounds)
-    slot[best] = np.arange(len(best))
+    model = learned(rows, best, bounds)
+    more = np.setdiff1d(telling_pairs([group_sums(rows, model, d) for d in range(DIVISIONS)], bounds), best)
+    return learned(rows, np.concatenate([best, more]), bounds) if len(more) else model
+
+
+def learned(rows: DataFrame, kept: np.ndarray, bounds: Bounds) -> Model:
+    """The machine of the kept buckets."""
+    slot = np.full(bounds.buckets, -1, np.int32)
+    slot[kept] = np.arange(len(kept))
     got = kept_slots(rows, slot).toArrow()  # bounded: a few slots of each row of the sample
     lists = got.column("slots").combine_chunks()
-    row = np.repeat(np.arange(total), lists.value_lengths().to_numpy())
-    bias, w, v = train(row, lists.flatten().to_numpy(), got.column("toxic").to_numpy().astype(float), len(best), bounds)
-    return Model(bounds, slot, bias, w, v)
+    row = np.repeat(np.arange(got.num_rows), lists.value_lengths().to_numpy())
+    return Model(bounds, slot, *train(row, lists.flatten().to_numpy(), got.column("toxic").to_numpy().astype(float), len(kept), bounds))
+
+
+def division(bucket: np.ndarray, d: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Group and sign of each bucket in the ``d``-th random division of all buckets."""
+    h = mix(bucket.astype(np.uint64) * np.uint64(DIVISIONS) + np.uint64(d + 1))
+    return (h % np.uint64(groups)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0)
+
+
+def group_sums(rows: DataFrame, model: Model, d: int) -> pa.Table:
+    """(error, chance, sums): what the model leaves of each row's label, and the signed count of each group.
+
+    Bounded: ``groups`` bytes a row of the sample, however long its text.
+    """
+    shared, groups = rows.sparkSession.sparkContext.broadcast(model), model.bounds.groups
+
+    def run(batch):
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            lists, n = part.column("terms"), part.num_rows
+            row, bucket = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+            chance = sigmoid(logits_of(shared.value, row, bucket, n))
+            group, sign = division(bucket, d, groups)
+            sums = np.bincount(row * groups + group, weights=sign, minlength=n * groups).clip(-127, 127).astype(np.int8)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.column("toxic").to_numpy() - chance), pa.array(chance), pa.array([r.tobytes() for r in sums.reshape(n, groups)], pa.binary())],
+                names=["error", "chance", "sums"])
+
+    return map_batches(rows.select("toxic", "terms"), run, "error double, chance double, sums binary").toArrow()
+
+
+def group_scores(table: pa.Table, groups: int) -> np.ndarray:
+    """Score test of each pair of groups: the errors' sum over the product of their counts, in standard deviations."""
+    n = table.num_rows
+    error, chance = (table.column(c).to_numpy() for c in ("error", "chance"))
+    error = error - error.mean()
+    prod, var = np.zeros((groups, groups), np.float32), np.zeros((groups, groups), np.float32)
+    pull, mean = np.zeros(groups), np.zeros(groups)
+    sums = table.column("sums")
+    for at in range(0, n, 2048):
+        x = np.frombuffer(b"".join(sums.slice(at, 2048).to_pylist()), np.int8).reshape(-1, groups).astype(np.float32)
+        e, c = error[at:at + 2048].astype(np.float32)[:, None], chance[at:at + 2048].astype(np.float32)[:, None]
+        weighed = x * e
+        prod += weighed.T @ x
+        x2 = x * x
+        var += (x2 * np.maximum(c * (1 - c), e * e)).T @ x2
+        pull += weighed.sum(0)
+        mean += x.sum(0) / n
+    prod -= np.outer(mean, pull) + np.outer(pull, mean)
+    return prod / np.sqrt(var + 1.0)
+
+
+def telling_pairs(tables: list[pa.Table], bounds: Bounds) -> np.ndarray:
+    """The buckets of pairs whose groups score ``least_z`` in every division, the strongest pairs first."""
+    groups = bounds.groups
+    scores = [np.abs(group_scores(t, groups)) for t in tables]
+    buckets = np.arange(bounds.buckets)
+    at = [division(buckets, d, groups)[0] for d in range(DIVISIONS)]
+    members = np.split(np.argsort(at[0], kind="stable"), np.cumsum(np.bincount(at[0], minlength=groups))[:-1])
+    g, h = np.nonzero(np.triu(scores[0] >= bounds.least_z, 1))
+    found: dict[int, None] = {}
+    for k in np.argsort(-scores[0][g, h], kind="stable"):
+        a, b = members[g[k]][:, None], members[h[k]][None, :]
+        least = np.minimum.reduce([scores[d][at[d][a], at[d][b]] * (at[d][a] != at[d][b]) for d in range(1, DIVISIONS)])
+        for i, j in np.argwhere(least >= bounds.least_z):
+            found.update({int(a[i, 0]): None, int(b[0, j]): None})
+        if len(found) >= bounds.pair_terms:
+            break
+    return np.array(list(found)[:bounds.pair_terms], np.int64)
 
 
 def telling_buckets(rows: DataFrame, total: int, toxic: int, bounds: Bounds) -> np.ndarray:
@@ -191,8 +274,11 @@ def sigmoid(x):
 
 
 def logits(model: Model, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    n = len(offs) - 1
-    row, bucket = row_terms(data, offs, model.bounds.buckets)
+    return logits_of(model, *row_terms(data, offs, model.bounds.buckets), len(offs) - 1)
+
+
+def logits_of(model: Model, row: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
+    """The logits of ``n`` rows from their terms (row, bucket)."""
     feat = model.slot[bucket]
     hit = feat >= 0
     row, feat = row[hit], feat[hit]

@@ -1,7 +1,10 @@
+import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from llm_helpers import AWKWARD, docs_frame, edited, prose
 
 from newsfunnel.llm import decontam, linedup, pii, toxicity
@@ -240,6 +243,42 @@ def test_pairs_of_terms_count_more_than_their_sum():
     assert ((logit > 0) == (y > 0)).mean() > 0.97
 
 
+def one_of_two(rnd, n, words, vocab):
+    """Rows with words of their own; those with exactly one of two words, each neutral alone, are toxic."""
+    rows, labels = [], []
+    for i in range(n):
+        text, has = prose(rnd, words, vocab).split(" "), [rnd.random() < 0.5, rnd.random() < 0.5]
+        text[3:3] = [w for w, h in zip(("harbour", "lantern"), has) if h]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(sum(has) == 1)))
+    return rows, labels
+
+
+@pytest.mark.parametrize("n, words, vocab", [(1200, 12, 300), (2400, 40, 2000)])
+def test_pairs_of_neutral_terms_are_learned_from_texts(spark, n, words, vocab):
+    rows, labels = one_of_two(random.Random(n), n, words, vocab)
+    docs = docs_frame(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    held = toxicity.score(docs, model).where(toxicity.held_out()).collect()
+    truth = dict(labels)
+    good, bad = ([r.score for r in held if truth[r.doc_id] == k] for k in (0, 1))
+    assert sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / len(bad) / len(good) > 0.95
+
+
+def test_score_is_the_quadratic_sum_of_its_terms(spark):
+    """Against a plain double loop over the pairs of terms."""
+    rnd = random.Random(9)
+    rows, labels = toxic_rows(rnd, 300)
+    docs = docs_frame(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    for r in toxicity.score(docs.limit(40), model).collect():
+        kept = [model.slot[t] for t in toxicity.row_terms(*toxicity.text_arrays(pa.array([r.text])), model.bounds.buckets)[1]]
+        kept = [k for k in kept if k >= 0]
+        z = model.bias + sum(model.weight[k] for k in kept)
+        z += sum(float(model.vector[a] @ model.vector[b]) for n, a in enumerate(kept) for b in kept[:n])
+        assert abs(r.score - 1 / (1 + math.exp(-z))) < 1e-9
+
+
 def test_scores_ignore_ids_and_sources(spark):
     rnd = random.Random(4)
     rows, labels = toxic_rows(rnd, 200)
