@@ -22,12 +22,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from newsfunnel.llm.common import int_lists, map_batches, ship, slices, without
+from newsfunnel.llm.common import held, int_lists, map_batches, ship, slices, without
 from newsfunnel.llm.prefix_bpe import BORDER_ENTRIES, PrefixBPE, PrefixCounts, exact_counts, read_ranks
 
 SLICE = 3 << 20  # bytes of text that are encoded together
 MEMO = 80_000  # default bound of the chunks that a worker remembers, about 200 bytes each
-_WORKER: dict = {}  # per worker process: tables by vocabulary
+_OWNER = "bpe"  # of the tables by vocabulary that a worker holds
 _ODD_SPACE = re.compile(r" \s|[ ]\Z")
 
 
@@ -112,10 +112,11 @@ class _Counts(_Ids):
 def _tables(vocab: Broadcast) -> tuple[PrefixBPE, _Ids, _Counts]:
     path, pattern, tokens, ids, special = vocab.value
     key = (path, pattern, len(tokens))
-    if key not in _WORKER:
+    tables = held(_OWNER)
+    if key not in tables:
         bpe = PrefixBPE(tokens, ids, pattern, special)
-        _WORKER[key] = bpe, _Ids(bpe), _Counts(bpe)
-    return _WORKER[key]
+        tables[key] = bpe, _Ids(bpe), _Counts(bpe)
+    return tables[key]
 
 
 def _chunks(bpe: PrefixBPE, text: str) -> list[str] | None:
@@ -168,13 +169,14 @@ def _byte_table(vocab: Broadcast) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes of all ids in a row, start, length) by id."""
     path, _, tokens, ids, special = vocab.value
     key = ("bytes", path, len(tokens))
-    if key not in _WORKER:
+    tables = held(_OWNER)
+    if key not in tables:
         by_id = dict(zip(ids, tokens)) | {i: s.encode() for s, i in special.items()}
         top = max(by_id) + 1
         size = np.array([len(by_id.get(i, b"")) for i in range(top)], np.int64)
-        _WORKER[key] = (np.frombuffer(b"".join(by_id.get(i, b"") for i in range(top)), np.uint8),
-                        np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-    return _WORKER[key]
+        tables[key] = (np.frombuffer(b"".join(by_id.get(i, b"") for i in range(top)), np.uint8),
+                       np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+    return tables[key]
 
 
 def _decoder(vocab: Broadcast, ids_col: str, names: list[str]):
@@ -212,7 +214,7 @@ def encode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str
     special strings)."""
     df = without(df, ids_col, table_col)
     schema = _added(df, (ids_col, _INTS), *([(table_col, _INTS)] if table_col else []))
-    return map_batches(df, _encoder(vocab, text_col, bool(table_col), schema.names, df.columns, memo), schema)
+    return map_batches(df, _encoder(vocab, text_col, bool(table_col), schema.names, df.columns, memo), schema, _OWNER)
 
 
 def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -220,7 +222,7 @@ def decode(df: DataFrame, vocab: Broadcast, ids_col: str = "ids", bytes_col: str
     An id outside the vocabulary raises ``ValueError``."""
     df = without(df, bytes_col)
     schema = _added(df, (bytes_col, T.BinaryType()))
-    return map_batches(df, _decoder(vocab, ids_col, schema.names), schema)
+    return map_batches(df, _decoder(vocab, ids_col, schema.names), schema, _OWNER)
 
 
 def encode_decode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_col: str = "ids",
@@ -236,7 +238,7 @@ def encode_decode(df: DataFrame, vocab: Broadcast, text_col: str = "text", ids_c
         for coded in code(batch):
             yield from back(coded)
 
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, _OWNER)
 
 
 def reencode(df: DataFrame, vocab: Broadcast, text_col: str, table_col: str, start_col: str, stop_col: str, new_col: str,
@@ -263,7 +265,7 @@ def reencode(df: DataFrame, vocab: Broadcast, text_col: str, table_col: str, sta
         ints = pa.list_(pa.int32())
         return pa.RecordBatch.from_arrays(_with(batch, pa.array(texts, pa.string()), pa.array(ids, ints), pa.array(tabs, ints)), names=names)
 
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, _OWNER)
 
 
 def _fit(bpe: PrefixBPE, chunks: list[str], counts: list, limit: int) -> int:
@@ -333,7 +335,7 @@ def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "t
                     pa.array(fit, pa.int64()))
             yield pa.RecordBatch.from_arrays(_with(part, *arrs), names=names)
 
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, _OWNER)
 
 
 def prefix_counts(df: DataFrame, vocab: Broadcast, ends_col: str, text_col: str = "text", counts_col: str = "counts") -> DataFrame:
@@ -351,4 +353,4 @@ def prefix_counts(df: DataFrame, vocab: Broadcast, ends_col: str, text_col: str
             out.append([pc.count(e) for e in ends or []])
         return pa.RecordBatch.from_arrays(_with(batch, pa.array(out, pa.list_(pa.int64()))), names=names)
 
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, _OWNER)

@@ -44,12 +44,30 @@ def give_back() -> None:
         pass  # another C library
 
 
+_HELD: dict[str, dict] = {}
+
+
+def held(owner: str) -> dict:
+    """What an operator keeps in a worker between tasks."""
+    return _HELD.setdefault(owner, {})
+
+
+def forget_others(owner: str) -> None:
+    """Workers serve all operators of a session: tables of others go when a task of another begins."""
+    for other in [o for o in _HELD if o != owner]:
+        del _HELD[other]
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]],
-                schema: T.StructType | str) -> DataFrame:
-    """``fn`` over Arrow batches; ``fn`` may also be a generator of batches."""
+                schema: T.StructType | str, owner: str = "") -> DataFrame:
+    """``fn`` over Arrow batches; ``fn`` may also be a generator of batches.
+
+    ``owner`` names the tables (``held``) that stay in the worker between tasks.
+    """
     ship(df.sparkSession)
 
     def run(batches):
+        forget_others(owner)
         give_back()
         for b in batches:
             out = fn(b)

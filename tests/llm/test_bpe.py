@@ -137,3 +137,18 @@ def test_a_megabyte_without_a_space(spark):
         small = lib.encode(t[:got[k].fit_chars + 40], add_special_tokens=False).ids
         assert got[k].over_limit and len(lib.encode(t[:got[k].fit_chars], add_special_tokens=False).ids) <= 1024 < len(small) + 1
         assert got[k].n_tokens == len(lib.encode(t, add_special_tokens=False).ids)
+
+
+def test_workers_drop_the_tables_of_other_operators(spark):
+    """One worker at a time: its tables stay for tasks of their owner and go when another operator begins."""
+    from newsfunnel.llm import common
+
+    vocab = bpe.vocabulary(spark, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    one = spark.range(1).selectExpr("'some words' AS text").coalesce(1)
+    tables = bpe._tables(vocab)
+    assert bpe._tables(vocab) is tables
+    common.forget_others("bpe")
+    assert bpe._tables(vocab) is tables
+    common.forget_others("")
+    assert not common.held("bpe")
+    assert bpe.encode(one, vocab).first().ids
