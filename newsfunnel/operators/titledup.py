@@ -14,9 +14,9 @@ Distributed plan (exact):
 2. representatives are dealt into blocks of one language and a band of lengths; two
    blocks meet where ``min/max >= t/(2-t)`` is possible (lossless: 2M/T <= 2 min/T);
 3. in a group of two blocks, on arrays: the character-multiset bound
-   ``2*overlap/T >= t`` and the bigrams that so many common characters leave in common;
-   then per pair a bit-parallel LCS (lossless: matching blocks are a common
-   subsequence) and, for pairs that pass all, difflib in both directions;
+   ``2*overlap/T >= t`` and the bigrams that so many common characters leave in common (counts
+   as bits, so a pair costs a few words), then a bit-parallel LCS of thousands of pairs at once (lossless:
+   matching blocks are a common subsequence); for pairs that pass all, difflib in both directions;
 4. connected components of the ``ratio >= t`` graph (smallest label and pointer
    jumping, until nothing changes; each round is a written table);
 5. a greedy decision only involves pairs inside one component, so components
@@ -44,9 +44,17 @@ from newsfunnel.functions.workers import ship_by_value
 from newsfunnel.operators.urldedup import quality_score
 
 THRESHOLD = 0.85
-BAND = 8  # lengths of a block
-BLOCK_TITLES = 1024  # titles of a block; a group holds two
+BAND = 8  # lengths of a band up to EVEN characters; bands of longer titles grow by STEP
+EVEN, STEP = 160, 1.05
+BLOCK_TITLES = 4096  # titles of a block; a group holds two
+BLOCK_CHARS = 4 << 20  # characters of a block, about
+TILE = 1024  # titles of a side that are compared at once
 FOLD = 64  # counters of a title's characters
+GRAMS = 1024  # counters of a long title's bigrams
+MOST_BITS = 64 * 48  # levels of counts that are compared as bits
+CODES = 128  # codes of characters in common subsequences
+LCS_CHARS = 1024  # titles up to this length are compared many at once
+PAIRS_AT_ONCE = 8192
 
 
 def strip_source_suffix(col: Column | str) -> Column:
@@ -80,16 +88,6 @@ def representatives(df: DataFrame, lang: str = "language", title: str = "title",
     return keyed.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id"))
 
 
-def _bounds(a: list[str], b: list[str]) -> np.ndarray:
-    """Most characters that each title of ``a`` can match in each of ``b``: the overlap of their
-    character counts.  Characters are folded into ``FOLD`` counters, which only raises it."""
-    x, y = _counts(a, 1, FOLD), _counts(b, 1, FOLD)
-    out = np.empty((len(a), len(b)), np.int32)
-    for at in range(0, len(a), 32):
-        out[at:at + 32] = np.minimum(x[at:at + 32, None, :], y[None, :, :]).sum(axis=2, dtype=np.int32)
-    return out
-
-
 def _counts(titles: list[str], q: int, width: int) -> np.ndarray:
     """Folded counts of the q-grams of each title."""
     lens = np.fromiter(map(len, titles), np.int64, len(titles))
@@ -106,31 +104,160 @@ def _counts(titles: list[str], q: int, width: int) -> np.ndarray:
     return flat.reshape(len(titles), width).astype(kind)
 
 
+def _levels(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Counts as bits: one for each level of each counter that titles on both sides reach, in 64-bit
+    words.  Two titles have as many bits in common as their counts overlap.  None if that were too many words."""
+    top = np.minimum(x.max(axis=0, initial=0), y.max(axis=0, initial=0)).astype(np.int64)
+    if top.sum() > MOST_BITS:
+        return None
+    at = np.repeat(np.arange(len(top)), top)
+    level = np.arange(len(at)) - np.repeat(np.cumsum(top) - top, top) + 1
+
+    def bits(c):
+        packed = np.packbits(c[:, at] >= level, axis=1)
+        whole = np.zeros((len(c), max(1, -(-len(at) // 64)) * 8), np.uint8)
+        whole[:, :packed.shape[1]] = packed
+        return np.ascontiguousarray(whole.view(np.uint64).T)
+
+    return bits(x), bits(y)
+
+
+def _reaching(a: list[str], b: list[str], na: np.ndarray, nb: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs whose character counts overlap enough.  Characters are folded into
+    ``FOLD`` counters, which only raises the overlap."""
+    x, y = _counts(a, 1, FOLD), _counts(b, 1, FOLD)
+    levels = _levels(x, y)
+    found = []
+    for at in range(0, len(a), 64):
+        if levels is None:
+            both = np.concatenate([np.minimum(x[k, None, :], y).sum(axis=1, dtype=np.int32)[None] for k in range(at, min(at + 64, len(a)))])
+        else:
+            both = np.zeros((len(x[at:at + 64]), len(b)), np.int16)
+            for p, q in zip(*levels):
+                both += np.bitwise_count(p[at:at + 64, None] & q[None, :])
+        total = na[at:at + 64, None] + nb[None, :]
+        # difflib's own comparison, with the most that can match
+        i, j = np.nonzero((2.0 * both / np.maximum(total, 1) >= threshold) | (total == 0))
+        found.append((i + at, j))
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+
+def _gram_overlap(a: list[str], b: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Most bigrams that each pair has in common, folded like the characters."""
+    wide = GRAMS if max(map(len, a + b)) > 2 * FOLD else 4 * FOLD
+    x, y = _counts(a, 2, wide), _counts(b, 2, wide)
+    levels = _levels(x, y)
+    out = np.zeros(len(i), np.int64)
+    if levels is not None:
+        for p, q in zip(*levels):
+            out += np.bitwise_count(p[i] & q[j])
+        return out
+    for at in range(0, len(i), 256):
+        out[at:at + 256] = np.minimum(x[i[at:at + 256]], y[j[at:at + 256]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _coded(titles: list[str], known: np.ndarray) -> np.ndarray:
+    """Character codes 1 to ``CODES`` - 1, a row a title, 0 behind its end.  Characters beyond the known
+    ones share codes, which only lengthens common subsequences."""
+    points = np.frombuffer("".join(titles).encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.minimum(np.searchsorted(known, points), len(known) - 1)
+    codes = np.where(known[at] == points, at, points % len(known)) + 1
+    lens = np.fromiter(map(len, titles), np.int64, len(titles))
+    out = np.zeros((len(titles), int(lens.max(initial=0))), np.uint8)
+    out[np.arange(out.shape[1]) < lens[:, None]] = codes
+    return out
+
+
+def lcs_lengths(a: list[str], b: list[str], i: np.ndarray, j: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """``lcs_length`` of ``a[i]`` and ``b[j]`` for all pairs at once, on arrays of 64-bit words; 0 or less than it
+    where it is below ``least``.  More than ``CODES`` characters share codes, which only raises a length.
+
+    So many characters in common leave few without a partner: a character's partner is that many places
+    off at most, so only the words around the diagonal are looked at, and a pair whose beginnings leave more
+    without a partner goes at once."""
+    out = np.zeros(len(i), np.int64)
+    points = np.frombuffer("".join(a + b).encode("utf-32-le", "surrogatepass"), np.uint32)
+    if not len(i) or not len(points):
+        return out
+    kinds, often = np.unique(points, return_counts=True)
+    known = np.sort(kinds[np.argsort(-often, kind="stable")[:CODES - 1]])
+    x, y = _coded(a, known), _coded(b, known)
+    words = max(1, -(-y.shape[1] // 64))
+    row, col = np.nonzero(y)
+    masks = np.zeros((words, len(b) * CODES), np.uint64)  # word, title and code -> where the title has the code
+    np.add.at(masks.ravel(), (col >> 6) * masks.shape[1] + row * CODES + y[row, col], np.uint64(1) << (col & 63).astype(np.uint64))
+    na, nb = np.count_nonzero(x, axis=1), np.count_nonzero(y, axis=1)
+    order = np.argsort(na[i], kind="stable")
+    x = x.T.astype(np.int64)
+    for at in range(0, len(i), PAIRS_AT_ONCE):
+        some = order[at:at + PAIRS_AT_ONCE]
+        p, q = i[some], j[some] * CODES
+        alone = na[p] - least[some]  # characters of a title that may have no partner
+        back, ahead = int(alone.max()), int((nb[j[some]] - least[some]).max())
+        v = np.full((words, len(some)), ~np.uint64(0), np.uint64)
+        for k in range(int(na[p].max())):
+            place = q + x[k][p]
+            carry, top = None, min(words, ((k + ahead) >> 6) + 1)
+            for w in range(max(0, k - back) >> 6, top):
+                own = v[w]
+                u = own & masks[w][place]
+                if w + 1 == top and (k + ahead) >> 6 == w and (k + ahead) & 63 < 63:
+                    u &= np.uint64((2 << ((k + ahead) & 63)) - 1)
+                s = own + u
+                if w + 1 < top:
+                    over = s < own
+                if carry is not None:
+                    s += carry
+                    if w + 1 < top:
+                        over |= s < carry
+                if w + 1 < top:
+                    carry = over.astype(np.uint64)
+                v[w] = s | (own ^ u)
+            if k % 16 == 15:
+                go_on = 64 * words - np.bitwise_count(v).sum(axis=0, dtype=np.int64) >= np.minimum(k + 1, na[p]) - alone
+                if 4 * np.count_nonzero(go_on) < 3 * len(some):
+                    some, p, q, alone, v = some[go_on], p[go_on], q[go_on], alone[go_on], np.ascontiguousarray(v[:, go_on])
+                    if not len(some):
+                        break
+        out[some] = 64 * words - np.bitwise_count(v).sum(axis=0, dtype=np.int64)
+    return out
+
+
 def _block_pairs(ids_a, a: list[str], ids_b, b: list[str], same: bool, threshold: float):
     """(a, b, r_ab, r_ba) of the pairs of two blocks that reach the threshold either way, a < b."""
+    for s in range(0, len(a), TILE):
+        for t in range(s if same else 0, len(b), TILE):
+            yield from _tile_pairs(ids_a[s:s + TILE], a[s:s + TILE], ids_b[t:t + TILE], b[t:t + TILE], same and s == t, threshold)
+
+
+def _tile_pairs(ids_a, a: list[str], ids_b, b: list[str], same: bool, threshold: float):
     from difflib import SequenceMatcher
 
     na, nb = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-    total = na[:, None] + nb[None, :]
-    # difflib's own comparison, with the most that can match
-    may = (2.0 * _bounds(a, b) / np.maximum(total, 1) >= threshold) | (total == 0)
+    i, j = _reaching(a, b, na, nb, threshold)
     if same:
-        may &= np.triu(np.ones_like(may), 1)
-    i, j = np.nonzero(may)
+        i, j = i[i < j], j[i < j]
+    if not len(i):
+        return
     # L characters in common leave 3 L - (n + m) - 1 bigrams in common, whatever the edits between
-    ga, gb = _counts(a, 2, 4 * FOLD), _counts(b, 2, 4 * FOLD)
-    keep = np.zeros(len(i), bool)
-    for at in range(0, len(i), 4096):
-        p, q = i[at:at + 4096], j[at:at + 4096]
-        t = na[p] + nb[q]
-        need = 3 * np.ceil(threshold * t / 2.0 - 1e-9).astype(np.int64) - t - 1
-        keep[at:at + 4096] = np.minimum(ga[p], gb[q]).sum(axis=1, dtype=np.int64) >= need
-    for p, q in zip(i[keep].tolist(), j[keep].tolist()):
+    t = na[i] + nb[j]
+    least = np.ceil(threshold * t / 2.0 - 1e-9).astype(np.int64)
+    keep = np.flatnonzero(3 * least - t - 1 <= _gram_overlap(a, b, i, j))
+    i, j, t, least = i[keep], j[keep], t[keep], least[keep]
+    # few words: all pairs at once; long titles one by one, where Python's own integers are as fast
+    few = (na[i] <= LCS_CHARS) & (nb[j] <= LCS_CHARS)
+    common = np.full(len(i), -1, np.int64)
+    if few.any():
+        short_a, short_b = ([x if len(x) <= LCS_CHARS else "" for x in xs] for xs in (a, b))
+        common[few] = lcs_lengths(short_a, short_b, i[few], j[few], least[few])
+    go_on = ~few | (common >= least)
+    for p, q, one_by_one in zip(i[go_on].tolist(), j[go_on].tolist(), (~few)[go_on].tolist()):
         x, y, m, n = a[p], b[q], ids_a[p], ids_b[q]
         if m > n:
             x, y, m, n = y, x, n, m
         t = len(x) + len(y)
-        if t and 2.0 * lcs_length(x, y) / t < threshold:
+        if one_by_one and t and 2.0 * lcs_length(x, y) / t < threshold:
             continue
         r_ab, r_ba = SequenceMatcher(None, x, y).ratio(), SequenceMatcher(None, y, x).ratio()
         if r_ab >= threshold or r_ba >= threshold:
@@ -155,25 +282,34 @@ def _make_compare(threshold: float):
     return compare
 
 
+def _band(n: str) -> Column:
+    """Band of a length: ``BAND`` lengths each, then bands that grow by ``STEP``."""
+    grown = F.floor(F.log(F.col(n) / F.lit(EVEN)) / F.log(F.lit(STEP))) + EVEN // BAND
+    return F.when(F.col(n) < EVEN, F.floor(F.col(n) / BAND)).otherwise(grown).cast("int")
+
+
 def similar_pairs(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs (a < b by rep_id) of distinct titles in a language with
     ``max(ratio(a,b), ratio(b,a)) >= threshold`` and both directed ratios.
 
-    Titles are dealt into blocks of one language, a band of ``BAND`` lengths and about
-    ``BLOCK_TITLES`` titles; a hot band is many blocks.  Two blocks meet in one group when
-    some of their lengths can reach the threshold, so a group holds two blocks at most and
+    Titles are dealt into blocks of one language, a band of lengths and at most about
+    ``BLOCK_TITLES`` titles and ``BLOCK_CHARS`` characters; a hot band is many blocks.  Two blocks meet
+    in one group when some of their lengths can reach the threshold, so a group holds two blocks at most and
     each pair meets once.  Within a group character counts, then bigram counts, then the
-    longest common subsequence bound the ratio from above; ``difflib`` decides the rest.
+    longest common subsequence bound the ratio from above, many pairs at once; ``difflib`` decides the rest.
     """
     spark = reps.sparkSession
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism * 4)
-    r = reps.select("lang", "tkey", "rep_id", F.floor(F.length("tkey") / BAND).cast("int").alias("band"))
-    cells = materialize(r.groupBy("lang", "band").agg(F.ceil(F.count("*") / F.lit(BLOCK_TITLES)).cast("int").alias("salts")), "title-cells")
-    blocks = cells.select("lang", "band", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    r = reps.select("lang", "tkey", "rep_id", F.length("tkey").alias("n")).withColumn("band", _band("n"))
+    cells = materialize(r.groupBy("lang", "band").agg(
+        F.ceil(F.greatest(F.lit(1), F.count("*") / F.lit(BLOCK_TITLES), F.sum("n") / F.lit(BLOCK_CHARS))).cast("int").alias("salts"),
+        F.min("n").alias("shortest"), F.max("n").alias("longest")), "title-cells")
     # the shortest partner of a band's shortest title, one character less for the rounding
-    least = F.greatest(F.lit(0), F.floor((F.floor(F.col("band") * BAND * F.lit(threshold / (2.0 - threshold))) - 1) / BAND)).cast("int")
-    met = (blocks.select("lang", "band", "salt", F.explode(F.sequence(least, F.col("band"))).alias("band2"))
-           .join(blocks.select("lang", F.col("band").alias("band2"), F.col("salt").alias("salt2")), ["lang", "band2"])
+    least = F.floor(F.col("shortest") * F.lit(threshold / (2.0 - threshold))) - 1
+    others = cells.select("lang", F.col("band").alias("band2"), F.col("salts").alias("salts2"), F.col("longest").alias("longest2"))
+    met = (cells.join(others, "lang").where((F.col("band2") <= F.col("band")) & (F.col("longest2") >= least))
+           .select("lang", "band", "band2", "salts2", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+           .select("lang", "band", "band2", "salt", F.explode(F.sequence(F.lit(0), F.col("salts2") - 1)).alias("salt2"))
            .where((F.col("band2") < F.col("band")) | (F.col("salt") <= F.col("salt2"))))
     met = materialize(met.withColumn("pair", F.monotonically_increasing_id()), "title-blocks")
     dealt = r.join(cells, ["lang", "band"]).select("lang", "tkey", "rep_id", "band", F.pmod(F.xxhash64("rep_id"), F.col("salts")).cast("int").alias("salt"))

@@ -109,3 +109,29 @@ def test_url_dedup_plan_and_extreme_positions(spark):
     assert "SortAggregate" not in plan and "HashAggregate" in plan and "max_by" not in plan
     same = [art(k, f"t{k}", "https://e.com/same", "same text") for k in range(50)]
     assert [(r.ord, r.title) for r in dedup_by_url(spark.createDataFrame(same, SCHEMA)).collect()] == [(0, "t0")]
+
+
+def test_titles_are_bounded_many_at_once(monkeypatch):
+    """Titles of one make-up pass the counts; their common subsequences are found on arrays, not pair by pair."""
+    import numpy as np
+    from newsfunnel.operators import titledup as T
+
+    rnd = random.Random(12)
+    titles = ["".join(rnd.choice("abcdefgh éß中") for _ in range(rnd.choice((63, 64, 65, 150, 160)))) for _ in range(60)]
+    for t in titles[:40]:
+        x = list(t)
+        for _ in range(len(x) // rnd.choice((6, 12, 20))):
+            x[rnd.randrange(len(x))] = rnd.choice("abcdefgh xyz")
+        titles.append("".join(x))
+    i, j = np.nonzero(np.triu(np.ones((100, 100)), 1))
+    want = [T.lcs_length(titles[p], titles[q]) for p, q in zip(i, j)]
+    assert T.lcs_lengths(titles, titles, i, j, np.zeros(len(i), np.int64)).tolist() == want
+    ids = list(range(100))
+    found = list(T._block_pairs(ids, titles, ids, titles, True, 0.85))
+    from difflib import SequenceMatcher
+
+    brute = {(p, q) for p, q in zip(i.tolist(), j.tolist())
+             if max(SequenceMatcher(None, titles[p], titles[q]).ratio(), SequenceMatcher(None, titles[q], titles[p]).ratio()) >= 0.85}
+    assert {(a, b) for a, b, _, _ in found} == brute and brute
+    monkeypatch.setattr(T, "lcs_length", lambda *_: 1 / 0)
+    assert list(T._block_pairs(ids, titles, ids, titles, True, 0.85)) == found
