@@ -145,3 +145,17 @@ def test_two_hundred_thousand_paragraphs(spark):
     got = {r.i: r.d for r in df.select("i", X.paragraph_dedup("t").alias("d")).collect()}
     assert time.perf_counter() - began < 30
     assert got == {0: "\n\n".join(f"Para {i}" for i in range(90_000)), 1: "same", 2: "\n\n".join(f" P{i} " for i in range(50_000))}
+
+
+def test_pages_of_a_batch_are_read_in_parts(monkeypatch):
+    """A batch of any size: the worker makes strings of about one part of it at a time."""
+    import pyarrow as pa
+    from newsfunnel.functions import html
+
+    pages = [None, "", *(f"<article>{k} {'x' * k}</article>" for k in range(200)), "<main>" + "y" * 5000 + "</main>", None]
+    monkeypatch.setattr(html, "PART", 1000)
+    parts = [p for p in html._parts(pa.array(pages))]
+    assert [x for p in parts for x in p.to_pylist()] == pages
+    assert all(len(p) == 1 or sum(len(x or "") for x in p.to_pylist()) <= 1000 for p in parts) and len(parts) > 20
+    assert html.main_texts(pa.array(pages)).to_pylist() == [None if p is None else html.main_text(p) for p in pages]
+    assert html.title_texts(pa.array([], pa.string())).to_pylist() == []
