@@ -52,10 +52,14 @@ def line_hashes(lines: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(x.encode()) for x in lines), np.uint64, len(lines))
 
 
-def boundaries(lines: list[str], hashes: np.ndarray) -> list[int]:
+def word_counts(lines: list[str]) -> np.ndarray:
+    return np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
+
+
+def boundaries(lines: list[str], hashes: np.ndarray, counts: np.ndarray) -> list[int]:
     """Index after the last line of each chunk."""
     n = len(lines)
-    long = [len(x) >= 2 * LONG_LINE - 1 and len(x.split()) >= LONG_LINE for x in lines]
+    long = (counts >= LONG_LINE).tolist()
     rolled = hashes.copy()
     for j in range(1, WINDOW):
         rolled[j:] += mix(hashes[:n - j] + np.uint64(j))
@@ -74,25 +78,32 @@ def boundaries(lines: list[str], hashes: np.ndarray) -> list[int]:
     return out
 
 
-def chunks(text: str) -> list[tuple[int, int, str]]:
-    """(place of the first line, number of lines, bytes as text) of the chunks that may be removed."""
+def measured(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Lines, their hashes and their numbers of words: read once for chunks and runs."""
     lines = text.split("\n")
-    hashes = line_hashes(lines)
+    return lines, line_hashes(lines), word_counts(lines)
+
+
+def chunks(text: str, known=None) -> list[tuple[int, int, str]]:
+    """(place of the first line, number of lines, bytes as text) of the chunks that may be removed;
+    ``known`` is what ``measured`` says of the text."""
+    lines, hashes, counts = known or measured(text)
+    upto = np.concatenate([[0], np.cumsum(counts)]).tolist()
     out, at = [], 0
-    for end in boundaries(lines, hashes):
-        body = "\n".join(lines[at:end])
-        if body.strip() and (end - at > 1 or len(body.split()) >= LONG_LINE):
-            out.append((at, end - at, body))
+    for end in boundaries(lines, hashes, counts):
+        words = upto[end] - upto[at]
+        if words and (end - at > 1 or words >= LONG_LINE):
+            out.append((at, end - at, "\n".join(lines[at:end])))
         at = end
     return out
 
 
-def runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(lines: list[str], hashes: np.ndarray | None = None, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First line, line after the last one, and hash of the shortest runs of ``LONG_LINE``
     words: one from each line forward, one from each line backward."""
-    counts = np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
+    counts = word_counts(lines) if counts is None else counts
     upto = np.concatenate([[0], np.cumsum(counts)])
-    n = len(lines)
+    n = len(counts)
     if upto[-1] < LONG_LINE:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     ends = np.searchsorted(upto, upto[:n] + LONG_LINE)
@@ -101,7 +112,7 @@ def runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     both = np.unique(np.concatenate([fore * (n + 1) + ends[fore], starts[back] * (n + 1) + back + 1]))
     at, end = both // (n + 1), both % (n + 1)
     power, inverse = powers(n)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(line_hashes(lines)) * power)])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(line_hashes(lines) if hashes is None else hashes) * power)])
     h = mix((sums[end] - sums[at]) * inverse[at] + mix((end - at).astype(np.uint64)))
     return at, end, h.view(np.int64)
 
@@ -131,21 +142,22 @@ def run_digests(lines: list[str], spans: list[tuple[int, int]]) -> dict[tuple[in
 
 def piece_hashes(text: str) -> np.ndarray:
     """Hashes of what may be removed, chunks and runs."""
-    own = [xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for _, _, body in chunks(text)]
-    return np.concatenate([np.array(own, np.int64), runs(text.split("\n"))[2]])
+    known = measured(text)
+    own = [xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for _, _, body in chunks(text, known)]
+    return np.concatenate([np.array(own, np.int64), runs(*known)[2]])
 
 
 def pieces(text: str, wanted) -> list[tuple[int, int, int, bytes]]:
     """(place of the first line, number of lines, hash, identity) of the chunks and runs whose
     hashes are ``wanted``; the identity is a chunk's bytes or the digest of a run's."""
     out = []
-    cut = chunks(text)
+    known = measured(text)
+    lines, cut = known[0], chunks(text, known)
     own = np.array([xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for _, _, body in cut], np.int64)
     for k in np.flatnonzero(wanted(own)).tolist():
         at, n, body = cut[k]
         out.append((at, n, int(own[k]), b"=" + body.encode()))
-    lines = text.split("\n")
-    at, end, hashes = runs(lines)
+    at, end, hashes = runs(*known)
     chosen = np.flatnonzero(wanted(hashes))
     if len(chosen):
         spans = list(zip(at[chosen].tolist(), end[chosen].tolist()))

@@ -403,3 +403,15 @@ def test_pii_spaced_ibans_names_with_marks_and_slavic_endings(spark):
     assert e and iban_holds(e[1].replace(" ", ""))
     f = re.fullmatch(r"card (\d{4} \d{4} \d{4} \d{4}) and (\d{4}-\d{4}-\d{4}-\d{4})", got[6].text)
     assert f and luhn(f[1].replace(" ", "")) and not luhn(f[2].replace("-", "")) and f[1][0] == f[2][0] == "4"
+
+
+def test_lines_are_read_once_for_chunks_and_runs(monkeypatch):
+    """One reading of a text's lines serves both, with the results that each has alone."""
+    rnd = random.Random(41)
+    text = "\n".join(" ".join(rnd.choice("ab cd ef".split()) for _ in range(rnd.randint(0, 70))) for _ in range(60))
+    alone = [h for _, _, h in zip(*linedup.runs(text.split("\n")))]
+    calls = []
+    hashes = linedup.line_hashes
+    monkeypatch.setattr(linedup, "line_hashes", lambda lines: calls.append(1) or hashes(lines))
+    found = linedup.piece_hashes(text).tolist()
+    assert len(calls) == 1 and found[len(found) - len(alone):] == alone and len(found) == len(linedup.chunks(text)) + len(alone)
