@@ -30,6 +30,7 @@ from newsfunnel.llm.common import documents, free_name
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
+TOKEN_MEMO = 30_000  # chunks that a worker of the token stage remembers
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +64,8 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     sha = free_name(docs, "_sha")
     named = docs.select("doc_id", "lang", "source", "n_chars", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias(sha))
-    back = bpe.encode_decode(named, vocab, part_bytes=1 << 20)  # small parts: the session holds all stages' memory
+    # small parts and tables: the session holds all stages' memory
+    back = bpe.encode_decode(named, vocab, memo=TOKEN_MEMO, part_bytes=1 << 18)
     return back.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        (F.sha2("decoded", 256) == F.col(sha)).alias("round_trip"))
 

@@ -53,7 +53,7 @@ class _Ids(dict):
     def prepare(self, texts: list[list[str] | None], entries: int) -> None:
         """Encode all new chunks of a slice together, in byte order of their pre-tokens."""
         findall, seen = self.bpe.pattern.findall, set()
-        self.entries, self.bpe.border_entries = entries, max(BORDER_ENTRIES, entries // 2)
+        self.entries, self.bpe.border_entries = entries, max(min(BORDER_ENTRIES, entries), entries // 2)
         for chunks in texts:
             if chunks:
                 seen.update(chunks[1:])
@@ -81,7 +81,7 @@ class _Counts(_Ids):
     def prepare(self, texts: list[list[str] | None], entries: int) -> None:
         """Count all new chunks of a slice together, in byte order: each table goes on from the one before."""
         seen = set()
-        self.entries, self.bpe.border_entries = entries, max(BORDER_ENTRIES, entries // 2)
+        self.entries, self.bpe.border_entries = entries, max(min(BORDER_ENTRIES, entries), entries // 2)
         for chunks in texts:
             if chunks:
                 seen.update(chunks[1:])

@@ -75,7 +75,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | I
                 yield out
             else:
                 yield from out
-        give_back()
+            del b, out
+            give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -110,6 +111,14 @@ def text_arrays(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
+def text_offsets(col: pa.Array) -> np.ndarray:
+    """Byte offsets of a string column; the text is not copied."""
+    wide = pa.types.is_large_string(col.type)
+    if not wide and not pa.types.is_string(col.type):
+        return text_arrays(col)[1]
+    return np.frombuffer(col.buffers()[1], np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1]
+
+
 def int_lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     """A list column from flat values and the length of each list."""
     offs = np.zeros(len(counts) + 1, np.int32)
@@ -132,7 +141,7 @@ def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 1 << 20) -> Iterato
     n = batch.num_rows
     if not n:
         return
-    _, offs = text_arrays(batch.column(batch.schema.get_field_index(col)))
+    offs = text_offsets(batch.column(batch.schema.get_field_index(col)))
     at = 0
     while at < n:
         end = max(at + 1, int(np.searchsorted(offs, offs[at] + max_bytes, "right")) - 1)
