@@ -67,8 +67,9 @@ def title_key(col: Column | str) -> Column:
     return F.lower(pystrip(strip_source_suffix(col)))
 
 
-def lcs_length(a: str, b: str) -> int:
-    """Longest common subsequence length, bit-parallel over ``b`` (Hyyro 2004)."""
+def lcs_length(a: str, b: str, least: int = 0) -> int:
+    """Longest common subsequence length, bit-parallel over ``b`` (Hyyro 2004); with ``least``,
+    0 as soon as it is known to be below."""
     if not a or not b:
         return 0
     pm: dict[str, int] = {}
@@ -76,7 +77,9 @@ def lcs_length(a: str, b: str) -> int:
         pm[ch] = pm.get(ch, 0) | (1 << j)
     mask = (1 << len(b)) - 1
     v = mask
-    for ch in a:
+    for k, ch in enumerate(a):
+        if k % 64 == 63 and len(b) - v.bit_count() < k - (len(a) - least):
+            return 0  # more characters of ``a`` than that have no partner
         u = v & pm.get(ch, 0)
         v = ((v + u) | (v - u)) & mask
     return len(b) - v.bit_count()
@@ -252,12 +255,12 @@ def _tile_pairs(ids_a, a: list[str], ids_b, b: list[str], same: bool, threshold:
         short_a, short_b = ([x if len(x) <= LCS_CHARS else "" for x in xs] for xs in (a, b))
         common[few] = lcs_lengths(short_a, short_b, i[few], j[few], least[few])
     go_on = ~few | (common >= least)
-    for p, q, one_by_one in zip(i[go_on].tolist(), j[go_on].tolist(), (~few)[go_on].tolist()):
+    for p, q, one_by_one, need in zip(i[go_on].tolist(), j[go_on].tolist(), (~few)[go_on].tolist(), least[go_on].tolist()):
         x, y, m, n = a[p], b[q], ids_a[p], ids_b[q]
         if m > n:
             x, y, m, n = y, x, n, m
         t = len(x) + len(y)
-        if one_by_one and t and 2.0 * lcs_length(x, y) / t < threshold:
+        if one_by_one and t and 2.0 * lcs_length(x, y, need) / t < threshold:
             continue
         r_ab, r_ba = SequenceMatcher(None, x, y).ratio(), SequenceMatcher(None, y, x).ratio()
         if r_ab >= threshold or r_ba >= threshold:

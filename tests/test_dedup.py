@@ -135,3 +135,31 @@ def test_titles_are_bounded_many_at_once(monkeypatch):
     assert {(a, b) for a, b, _, _ in found} == brute and brute
     monkeypatch.setattr(T, "lcs_length", lambda *_: 1 / 0)
     assert list(T._block_pairs(ids, titles, ids, titles, True, 0.85)) == found
+
+
+def test_a_hopeless_pair_is_left_at_its_beginning():
+    """With ``least`` the common subsequence of long titles is not followed to their ends; blocks of other lengths agree with brute force."""
+    from difflib import SequenceMatcher
+    from newsfunnel.operators import titledup as T
+
+    class Counted(str):
+        read = 0
+
+        def __iter__(self):
+            for c in str.__iter__(self):
+                Counted.read += 1
+                yield c
+
+    rnd = random.Random(21)
+    a, b = (Counted("".join(rnd.choice("abcdefghijklmnop") for _ in range(4000))) for _ in range(2))
+    assert T.lcs_length(a, b, 3400) == 0 and Counted.read < 4000 + 2500
+    assert T.lcs_length(a, a, 3400) == 4000 and T.lcs_length(a, a[:3500], 3400) == 3500
+    titles = ["", "a"] + ["".join(rnd.choice("abcdé中 ") for _ in range(n)) for n in (5, 9, 40, 63, 126, 127, 300, 1023, 1030, 1100) for _ in range(4)]
+    titles += [t[:len(t) // 2] + "zz" + t[len(t) // 2 + len(t) // 9:] for t in titles[2:]]
+    ids = list(range(len(titles)))
+    found = {(p, q) for p, q, _, _ in T._block_pairs(ids[1::2], titles[1::2], ids[::2], titles[::2], False, 0.85)}
+    found |= {(p, q) for k in (0, 1) for p, q, _, _ in T._block_pairs(ids[k::2], titles[k::2], ids[k::2], titles[k::2], True, 0.85)}
+    want = {(p, q) for p in ids for q in ids[p + 1:]
+            if 2.3 * min(len(titles[p]), len(titles[q])) >= 0.85 * (len(titles[p]) + len(titles[q]))
+            and max(SequenceMatcher(None, titles[x], titles[y]).ratio() for x, y in ((p, q), (q, p))) >= 0.85}
+    assert found == want and len(want) > 12
