@@ -26,9 +26,11 @@ from newsfunnel.llm.common import held, int_lists, map_batches, ship, slices, wi
 from newsfunnel.llm.prefix_bpe import BORDER_ENTRIES, PrefixBPE, PrefixCounts, exact_counts, read_ranks
 
 SLICE = 3 << 20  # bytes of text that are encoded together
+COUNT_SLICE = 6 << 20  # bytes of text that are counted together: no ids are held
 MEMO = 80_000  # default bound of the chunks that a worker remembers, about 200 bytes each
 _OWNER = "bpe"  # of the tables by vocabulary that a worker holds
 _ODD_SPACE = re.compile(r" \s|[ ]\Z")
+_JOINED = re.compile(r"\s\s|'")  # where counts of prefixes can differ from those inside the pre-tokens
 
 
 def vocabulary(spark: SparkSession, path: str, pattern: str) -> Broadcast:
@@ -79,8 +81,8 @@ class _Counts(_Ids):
         return self.value(exact_counts(self.bpe, text)) if text else b"\0"
 
     def prepare(self, texts: list[list[str] | None], entries: int) -> None:
-        """Count all new chunks of a slice together, in byte order: each table goes on from the one before."""
-        seen = set()
+        """Count all new chunks of a slice together, each distinct pre-token once."""
+        findall, seen = self.bpe.pattern.findall, set()
         self.entries, self.bpe.border_entries = entries, max(min(BORDER_ENTRIES, entries), entries // 2)
         for chunks in texts:
             if chunks:
@@ -89,24 +91,25 @@ class _Counts(_Ids):
             kept = {c: self[c] for c in seen if c in self}
             self.clear()
             self.update(kept)
-        before, last, table, tokens = b"", [], self.bpe.table, self.bpe.tokens
-        for c in sorted(c for c in seen if c not in self):
-            if not (c.isascii() and c.isalpha()):
-                self[c] = self.of(" " + c)
+        split = []
+        for c in seen:
+            if c in self:
                 continue
-            raw = b" " + c.encode()  # plain letters are one pre-token
-            k = 0
-            for x, y in zip(before, raw):
-                if x != y:
-                    break
-                k += 1
-            del last[k:]
-            n: list[int] = []
-            for i, t in enumerate(table(raw, last)):
-                back = i - len(tokens[t])
-                n.append(1 + (n[back] if back >= 0 else 0))
-            self[c] = self.value(n)
-            before = raw
+            if _JOINED.search(c):
+                self[c] = self.of(" " + c)
+            else:  # plain letters are one pre-token; the pattern splits the rest
+                split.append((c, [" " + c] if c.isascii() and c.isalpha() else findall(" " + c)))
+        # what a chunk of one pre-token was counted for serves the others that begin with it
+        known = {p: self[p[1:]] for _, ps in split for p in ps if p[0] == " " and p[1:] in self}
+        known |= self.bpe.count_pieces({p for _, ps in split for p in ps if p not in known})
+        for c, ps in split:
+            counts = known[ps[0]]
+            if len(ps) > 1:
+                counts = list(counts)
+                for p in ps[1:]:
+                    base = counts[-1]
+                    counts += [base + n for n in known[p]]
+            self[c] = self.value(counts)
 
 
 def _tables(vocab: Broadcast) -> tuple[PrefixBPE, _Ids, _Counts]:
@@ -314,7 +317,7 @@ def token_counts(df: DataFrame, vocab: Broadcast, limit: int, text_col: str = "t
 
     def run(batch):
         bpe, _, cache = _tables(vocab)
-        for part in slices(batch, text_col, SLICE):
+        for part in slices(batch, text_col, COUNT_SLICE):
             size, total, fit = [], [], []
             texts = [t or "" for t in part.column(text_col).to_pylist()]
             split = [_chunks(bpe, t) for t in texts]

@@ -153,10 +153,11 @@ class PrefixBPE:
         ids = self.ids
         return [ids[t] for t in self.walk(self.table(piece.encode()))]
 
-    def encode_pieces(self, pieces) -> dict[str, list[int]]:
-        """Ids of distinct pre-tokens, taken in byte order: each goes on from the
-        table of the prefix that it shares with the one before."""
-        ids, tokens, before, last, out = self.ids, self.tokens, b"", [], {}
+    def tables(self, pieces):
+        """(piece, bytes shared with the one before, last tokens of its byte prefixes) of distinct
+        pre-tokens in byte order: each goes on from the table of the prefix that it shares.  A table
+        holds until the next one is asked for."""
+        before, last = b"", []
         for raw, piece in sorted([(p.encode(), p) for p in pieces]):
             n = 0
             for x, y in zip(before, raw):
@@ -164,15 +165,31 @@ class PrefixBPE:
                     break
                 n += 1
             del last[n:]
-            self.table(raw, last)
-            got, pos = [], len(raw)
+            yield piece, n, self.table(raw, last)
+            before = raw
+
+    def encode_pieces(self, pieces) -> dict[str, list[int]]:
+        """Ids of distinct pre-tokens."""
+        ids, tokens, out = self.ids, self.tokens, {}
+        for piece, _, last in self.tables(pieces):
+            got, pos = [], len(last)
             while pos:
                 t = last[pos - 1]
                 got.append(ids[t])
                 pos -= len(tokens[t])
             got.reverse()
             out[piece] = got
-            before = raw
+        return out
+
+    def count_pieces(self, pieces) -> dict[str, list[int]]:
+        """Token counts of all prefixes (of 1, 2, ... characters) of distinct pre-tokens."""
+        tokens, out, n = self.tokens, {}, []
+        for piece, shared, last in self.tables(pieces):
+            del n[shared:]
+            for i in range(shared, len(last)):
+                before = i - len(tokens[last[i]])
+                n.append(1 + (n[before] if before >= 0 else 0))
+            out[piece] = n[:] if len(n) == len(piece) else [n[e - 1] for e in _ends(piece, piece.encode())]
         return out
 
     def sections(self, text: str):

@@ -152,3 +152,27 @@ def test_workers_drop_the_tables_of_other_operators(spark):
     common.forget_others("")
     assert not common.held("bpe")
     assert bpe.encode(one, vocab).first().ids
+
+
+def test_each_pre_token_is_counted_once(monkeypatch):
+    """Chunks that share a pre-token share its table, and have the counts that each has alone."""
+    from newsfunnel.llm.prefix_bpe import exact_counts
+
+    special = models()[2]
+    rnd = random.Random(27)
+    words = ["undchtz", "ofthing", "the", "éçmenten", "中😀ß", "12½"]
+    chunks = [a + b + c for a in words for b in ("", ",", ".\n", "\n\n", "'s ".strip(), "!?'re", "\x1c", "\x85　") for c in ("", "Does")]
+    chunks += ["".join(rnd.choice([x for x in ALPHABET if " " not in x]) for _ in range(rnd.randint(1, 9))) for _ in range(400)]
+    chunks = [c for c in chunks if bpe._chunks(special, "x " + c)]
+    want = {c: list(exact_counts(special, " " + c)) for c in chunks}
+    cache = bpe._Counts(special)
+    cache.prepare([["x", *chunks[:40]]], 900_000)
+    cache.prepare([["x", *chunks]], 900_000)
+    assert {c: list(cache[c]) for c in chunks} == want
+    made = []
+    table = special.table
+    monkeypatch.setattr(special, "table", lambda piece, last=None: made.append(piece) or table(piece, last))
+    cache = bpe._Counts(special)
+    cache.prepare([["x", "undchtz"]], 900_000)
+    cache.prepare([["x", "undchtz,", "undchtz.", "undchtz.\nDoes", "undchtz,,"]], 900_000)
+    assert made.count(b" undchtz") == 1 and len(made) == len(set(made))
