@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsfunnel.functions.lineage import materialize
-from newsfunnel.llm.common import bit_marks, free_name, map_batches, marked, slices, without
-from newsfunnel.llm.words import mix, powers
+from newsfunnel.llm.common import bit_marks, free_name, map_batches, marked, slices, text_arrays, without
+from newsfunnel.llm.words import mix, powers, separators
 
 WINDOW = 2  # lines that a boundary depends on
 DIVISOR = 2  # a line in so many ends a chunk, on average
@@ -48,73 +48,129 @@ MOST_LINES = 64  # a chunk is closed here at the latest
 MARK_BITS = 1 << 25  # 4 MB, whatever the input; more repeated chunks only let more single ones be looked at
 
 
-def line_hashes(lines: list[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(x.encode()) for x in lines), np.uint64, len(lines))
-
-
-def word_counts(lines: list[str]) -> np.ndarray:
-    return np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
-
-
-def boundaries(lines: list[str], hashes: np.ndarray, counts: np.ndarray) -> list[int]:
-    """Index after the last line of each chunk."""
-    n = len(lines)
-    long = (counts >= LONG_LINE).tolist()
-    rolled = hashes.copy()
-    for j in range(1, WINDOW):
-        rolled[j:] += mix(hashes[:n - j] + np.uint64(j))
-    closes = (mix(rolled) % np.uint64(DIVISOR) == 0).tolist()
-    out, size = [], 0
-    for i in range(n):
-        size += 1
-        # a window that reaches before the chunk's first line would depend on the chunk before
-        if long[i] or i + 1 < n and long[i + 1] or closes[i] and size >= WINDOW or size >= MOST_LINES:
-            out.append(i + 1)
-            size = 0
-    if size == 1 and out and not long[n - 1] and not long[out[-1] - 1]:
-        out[-1] = n  # a single last line joins the chunk before it
-    elif size:
-        out.append(n)
-    return out
+def line_hashes(lines: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
 
 
-def measured(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Lines, their hashes and their numbers of words: read once for chunks and runs."""
-    lines = text.split("\n")
-    return lines, line_hashes(lines), word_counts(lines)
-
-
-def chunks(text: str, known=None) -> list[tuple[int, int, str]]:
-    """(place of the first line, number of lines, bytes as text) of the chunks that may be removed;
-    ``known`` is what ``measured`` says of the text."""
-    lines, hashes, counts = known or measured(text)
-    upto = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    out, at = [], 0
-    for end in boundaries(lines, hashes, counts):
-        words = upto[end] - upto[at]
-        if words and (end - at > 1 or words >= LONG_LINE):
-            out.append((at, end - at, "\n".join(lines[at:end])))
-        at = end
+_BLANK = separators(bytes([*range(0x09, 0x0E), *range(0x1C, 0x21)]))
+_WIDE_LEAD = separators(b"\xc2\xe1\xe2\xe3")
+_WIDE = np.array([0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
+def blank_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 belong to white space, as ``str.split`` sees it."""
+    out = _BLANK[data]
+    at = np.flatnonzero(_WIDE_LEAD[data])
+    if len(at):
+        lead, second, third = (data[np.minimum(at + k, len(data) - 1)].astype(np.int64) for k in range(3))
+        two = lead == 0xC2
+        wide = np.isin(np.where(two, second, (lead & 15) << 12 | (second & 63) << 6 | third & 63), _WIDE)
+        at, two = at[wide], two[wide]
+        out[at] = out[at + 1] = True
+        out[at[~two] + 2] = True
     return out
 
 
-def runs(lines: list[str], hashes: np.ndarray | None = None, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First line, line after the last one, and hash of the shortest runs of ``LONG_LINE``
-    words: one from each line forward, one from each line backward."""
-    counts = word_counts(lines) if counts is None else counts
-    upto = np.concatenate([[0], np.cumsum(counts)])
-    n = len(counts)
-    if upto[-1] < LONG_LINE:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ends = np.searchsorted(upto, upto[:n] + LONG_LINE)
-    starts = np.searchsorted(upto, upto[1:] - LONG_LINE, "right") - 1
-    fore, back = np.flatnonzero(ends <= n), np.flatnonzero(starts >= 0)
-    both = np.unique(np.concatenate([fore * (n + 1) + ends[fore], starts[back] * (n + 1) + back + 1]))
-    at, end = both // (n + 1), both % (n + 1)
-    power, inverse = powers(n)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(line_hashes(lines) if hashes is None else hashes) * power)])
-    h = mix((sums[end] - sums[at]) * inverse[at] + mix((end - at).astype(np.uint64)))
-    return at, end, h.view(np.int64)
+class Lines:
+    """The lines of several texts, numbered throughout: ``first`` line of each text, byte ``start``
+    and ``end``, hash and number of words of each line; read once for chunks and runs."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray):
+        self.data = data.tobytes()
+        breaks = np.flatnonzero(data == 10)
+        self.first = np.concatenate([[0], np.cumsum(1 + np.diff(np.searchsorted(breaks, offs)))])
+        n = int(self.first[-1])
+        self.opens = np.zeros(n, bool)  # first line of its text
+        self.opens[self.first[:-1]] = True
+        self.ends = np.zeros(n, bool)
+        self.ends[self.first[1:] - 1] = True
+        self.start, self.end = np.empty(n, np.int64), np.empty(n, np.int64)
+        self.start[self.opens], self.start[~self.opens] = offs[:-1], breaks + 1
+        self.end[self.ends], self.end[~self.ends] = offs[1:], breaks
+        blank = blank_bytes(data)
+        before = np.ones(len(data), bool)
+        before[1:] = blank[:-1]
+        before[offs[:-1][offs[:-1] < len(data)]] = True
+        words = np.flatnonzero(~blank & before)
+        self.words = np.searchsorted(words, self.end) - np.searchsorted(words, self.start)
+        self.upto = np.concatenate([[0], np.cumsum(self.words)])
+        self.hashes = line_hashes([self.data[s:e] for s, e in zip(self.start.tolist(), self.end.tolist())])
+
+    def body(self, at: int, end: int) -> bytes:
+        """Bytes of the lines ``at`` to ``end`` - 1 of one text."""
+        return self.data[self.start[at]:self.end[end - 1]]
+
+    def row(self, at: np.ndarray) -> np.ndarray:
+        """Text of each line."""
+        return np.searchsorted(self.first, at, "right") - 1
+
+    def boundaries(self) -> list[int]:
+        """Line after the last one of each chunk."""
+        n = len(self.hashes)
+        long = self.words >= LONG_LINE
+        alone = long.copy()
+        alone[:-1] |= long[1:] & ~self.opens[1:]
+        rolled, nth = self.hashes.copy(), np.arange(n) - np.repeat(self.first[:-1], np.diff(self.first))
+        for j in range(1, min(WINDOW, n)):
+            rolled[j:] += np.where(nth[j:] >= j, mix(self.hashes[:n - j] + np.uint64(j)), np.uint64(0))
+        closes = (mix(rolled) % np.uint64(DIVISOR) == 0).tolist()
+        long, alone, first = long.tolist(), alone.tolist(), self.first.tolist()
+        out: list[int] = []
+        for s, e in zip(first, first[1:]):
+            size, before = 0, len(out)
+            for i in range(s, e):
+                size += 1
+                # a window that reaches before the chunk's first line would depend on the chunk before
+                if alone[i] or closes[i] and size >= WINDOW or size >= MOST_LINES:
+                    out.append(i + 1)
+                    size = 0
+            if size == 1 and len(out) > before and not long[e - 1] and not long[out[-1] - 1]:
+                out[-1] = e  # a single last line joins the chunk before it
+            elif size:
+                out.append(e)
+        return out
+
+    def chunks(self) -> tuple[np.ndarray, np.ndarray]:
+        """First line and line after the last one of the chunks that may be removed."""
+        end = np.array(self.boundaries(), np.int64)
+        at = np.concatenate([np.zeros(min(1, len(end)), np.int64), end[:-1]])
+        words = self.upto[end] - self.upto[at]
+        keep = (words > 0) & ((end - at > 1) | (words >= LONG_LINE))
+        return at[keep], end[keep]
+
+    def chunk_hashes(self, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return np.array([xxhash.xxh3_64_intdigest(self.body(a, e)) - (1 << 63) for a, e in zip(at.tolist(), end.tolist())], np.int64)
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First line, line after the last one, and hash of the shortest runs of ``LONG_LINE``
+        words: one from each line forward, one from each line backward, inside its text."""
+        upto, n = self.upto, len(self.hashes)
+        sizes = np.diff(self.first)
+        ends = np.searchsorted(upto, upto[:n] + LONG_LINE)
+        starts = np.searchsorted(upto, upto[1:] - LONG_LINE, "right") - 1
+        fore = np.flatnonzero(ends <= np.repeat(self.first[1:], sizes))
+        back = np.flatnonzero(starts >= np.repeat(self.first[:-1], sizes))
+        both = np.unique(np.concatenate([fore * (n + 1) + ends[fore], starts[back] * (n + 1) + back + 1]))
+        at, end = both // (n + 1), both % (n + 1)
+        power, inverse = powers(n)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.hashes) * power)])
+        h = mix((sums[end] - sums[at]) * inverse[at] + mix((end - at).astype(np.uint64)))
+        return at, end, h.view(np.int64)
+
+
+def lines_of(*texts: str) -> Lines:
+    return Lines(*text_arrays(pa.array(texts, pa.large_string())))
+
+
+def chunks(text: str) -> list[tuple[int, int, str]]:
+    """(place of the first line, number of lines, bytes as text) of the chunks that may be removed."""
+    lines = lines_of(text)
+    return [(a, e - a, lines.body(a, e).decode()) for a, e in zip(*(x.tolist() for x in lines.chunks()))]
+
+
+def runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of one text, given by its lines."""
+    return lines_of("\n".join(lines)).runs()
 
 
 def run_digests(lines: list[str], spans: list[tuple[int, int]]) -> dict[tuple[int, int], bytes]:
@@ -140,30 +196,36 @@ def run_digests(lines: list[str], spans: list[tuple[int, int]]) -> dict[tuple[in
     return done
 
 
-def piece_hashes(text: str) -> np.ndarray:
+def piece_hashes(*texts: str) -> np.ndarray:
     """Hashes of what may be removed, chunks and runs."""
-    known = measured(text)
-    own = [xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for _, _, body in chunks(text, known)]
-    return np.concatenate([np.array(own, np.int64), runs(*known)[2]])
+    return _piece_hashes(lines_of(*texts))
 
 
-def pieces(text: str, wanted) -> list[tuple[int, int, int, bytes]]:
-    """(place of the first line, number of lines, hash, identity) of the chunks and runs whose
+def _piece_hashes(lines: Lines) -> np.ndarray:
+    return np.concatenate([lines.chunk_hashes(*lines.chunks()), lines.runs()[2]])
+
+
+def pieces(lines: Lines, wanted) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Text, place of the first line, number of lines, hash and identity of the chunks and runs whose
     hashes are ``wanted``; the identity is a chunk's bytes or the digest of a run's."""
-    out = []
-    known = measured(text)
-    lines, cut = known[0], chunks(text, known)
-    own = np.array([xxhash.xxh3_64_intdigest(body.encode()) - (1 << 63) for _, _, body in cut], np.int64)
-    for k in np.flatnonzero(wanted(own)).tolist():
-        at, n, body = cut[k]
-        out.append((at, n, int(own[k]), b"=" + body.encode()))
-    at, end, hashes = runs(*known)
-    chosen = np.flatnonzero(wanted(hashes))
-    if len(chosen):
-        spans = list(zip(at[chosen].tolist(), end[chosen].tolist()))
-        digests = run_digests(lines, spans)
-        out += [(a, e - a, h, b"#" + digests[a, e]) for (a, e), h in zip(spans, hashes[chosen].tolist())]
-    return out
+    cut, end = lines.chunks()
+    own = lines.chunk_hashes(cut, end)
+    chosen = wanted(own)
+    cut, end, own = cut[chosen], end[chosen], own[chosen]
+    bodies = [b"=" + lines.body(a, e) for a, e in zip(cut.tolist(), end.tolist())]
+    at, stop, hashes = lines.runs()
+    chosen = wanted(hashes)
+    at, stop, hashes = at[chosen], stop[chosen], hashes[chosen]
+    rows = lines.row(at)  # in order, as runs are
+    for r in np.unique(rows).tolist():
+        s, e = lines.first[r:r + 2].tolist()
+        k, m = np.searchsorted(rows, [r, r + 1]).tolist()
+        spans = list(zip((at[k:m] - s).tolist(), (stop[k:m] - s).tolist()))
+        digests = run_digests(lines.body(s, e).decode().split("\n"), spans)
+        bodies += [b"#" + digests[x] for x in spans]
+    first, size = np.concatenate([cut, at]), np.concatenate([end - cut, stop - at])
+    rows = lines.row(first)
+    return rows, first - lines.first[rows], size, np.concatenate([own, hashes]), bodies
 
 
 def _bit(h: np.ndarray) -> np.ndarray:
@@ -175,7 +237,7 @@ def _explode_chunks(df: DataFrame, repeated=None) -> DataFrame:
     at, n, h, body) of the marked ones.  ``df`` has id, th and text."""
     if repeated is None:
         def hashes(batch):
-            hs = [piece_hashes(t) for t in batch.column("text").to_pylist() if t]
+            hs = [_piece_hashes(Lines(*text_arrays(part.column("text")))) for part in slices(batch, "text")]
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *hs]))], names=["h"])
 
         return map_batches(df.select("text"), hashes, "h long")
@@ -184,11 +246,10 @@ def _explode_chunks(df: DataFrame, repeated=None) -> DataFrame:
     def run(batch):
         marks = shared.value
         for part in slices(batch, "text"):
-            rows = [(i, th, *piece) for i, th, text in zip(*(part.column(c).to_pylist() for c in ("id", "th", "text"))) if text
-                    for piece in pieces(text, lambda h: marked(marks, _bit(h)))]
-            cols = list(zip(*rows)) or [()] * 6
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "th", "at", "n", "h", "body"])
+            rows, at, n, h, bodies = pieces(Lines(*text_arrays(part.column("text"))), lambda h: marked(marks, _bit(h)))
+            cols = [part.column("id").take(pa.array(rows)), part.column("th").take(pa.array(rows)), pa.array(at, pa.int32()),
+                    pa.array(n, pa.int32()), pa.array(h), pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "at", "n", "h", "body"])
 
     return map_batches(df, run, "id long, th long, at int, n int, h long, body binary")
 

@@ -415,3 +415,23 @@ def test_lines_are_read_once_for_chunks_and_runs(monkeypatch):
     monkeypatch.setattr(linedup, "line_hashes", lambda lines: calls.append(1) or hashes(lines))
     found = linedup.piece_hashes(text).tolist()
     assert len(calls) == 1 and found[len(found) - len(alone):] == alone and len(found) == len(linedup.chunks(text)) + len(alone)
+
+
+def test_lines_of_many_texts_are_read_together(monkeypatch):
+    """All texts of a slice take one reading, with the results that each has alone; blanks are those of ``str.split``."""
+    rnd = random.Random(43)
+    odd = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\u3001\xa1\u1681 é中😀"
+    texts = ["", "\n", "x\n", "\n\nx", odd, *odd, "\u3000", "a\u2028", "\xa0b", "\n".join(["w " * 60] * 3), "", "w " * 60]
+    texts += ["\n".join("".join(rnd.choice(["ab", "c", " ", *odd]) for _ in range(rnd.choice((0, 1, 9, 300)))) for _ in range(rnd.randint(0, 200))) for _ in range(40)]
+    together = linedup.lines_of(*texts)
+    lines = [x for t in texts for x in t.split("\n")]
+    assert together.words.tolist() == [len(x.split()) for x in lines]
+    assert [together.body(k, k + 1) for k in range(len(lines))] == [x.encode() for x in lines]
+    alone = sorted(h for t in texts for h in linedup.piece_hashes(t).tolist())
+    found = [(k, *c) for k, t in enumerate(texts) for c in linedup.chunks(t)]
+    calls, hashes = [], linedup.line_hashes
+    monkeypatch.setattr(linedup, "line_hashes", lambda x: calls.append(1) or hashes(x))
+    assert sorted(linedup.piece_hashes(*texts).tolist()) == alone and len(calls) == 1
+    rows, at, n, _, bodies = linedup.pieces(together, lambda h: np.ones(len(h), bool))
+    assert [(r, a, m, b[1:].decode()) for r, a, m, b in zip(rows.tolist(), at.tolist(), n.tolist(), bodies) if b[:1] == b"="] == found
+    assert all("\n".join(texts[r].split("\n")[a:a + m]) == b for r, a, m, b in found) and linedup.piece_hashes().tolist() == []
