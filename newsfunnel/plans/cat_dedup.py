@@ -40,6 +40,7 @@ def q_url_dedup(spark, sf):
 from newsfunnel.operators.titledup import dedup_by_title, representatives, similar_pairs, strip_source_suffix  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from newsfunnel.functions.lineage import materialize  # noqa: E402
 from newsfunnel.plans.fixtures import answers_v, fx_df, votes_v  # noqa: E402
 from newsfunnel.plans.pipeline import article_funnel, dedup_and_filter  # noqa: E402
 
@@ -73,7 +74,7 @@ def q_title_dedup_exact(spark, sf):
 
 @register("title_similar_pairs")
 def q_title_similar_pairs(spark, sf):
-    return similar_pairs(representatives(articles_v(spark, sf)))
+    return similar_pairs(materialize(representatives(articles_v(spark, sf)), "title-reps"))
 
 
 @register("title_dedup")

@@ -163,3 +163,69 @@ def test_a_hopeless_pair_is_left_at_its_beginning():
             if 2.3 * min(len(titles[p]), len(titles[q])) >= 0.85 * (len(titles[p]) + len(titles[q]))
             and max(SequenceMatcher(None, titles[x], titles[y]).ratio() for x, y in ((p, q), (q, p))) >= 0.85}
     assert found == want and len(want) > 12
+
+
+def test_ratios_of_titles_are_found_on_bits(monkeypatch):
+    """The ratio is difflib's, whatever repeats or is tied, but below 200 characters not from its loop over places."""
+    import difflib
+
+    from newsfunnel.operators import titledup as T
+
+    rnd, pairs = random.Random(31), [("", ""), ("a", ""), ("", "a"), ("tide", "diet"), ("diet", "tide")]
+    for n in (1, 7, 8, 9, 63, 64, 65, 150, 198, 199, 200, 230):
+        for letters in ("ab", "abc é中", "abcdefghijklmnop "):
+            x = [rnd.choice(letters) for _ in range(n)]
+            y = list(x)
+            for _ in range(n // 8 + 1):
+                y[rnd.randrange(n)] = rnd.choice(letters + "z")
+            y[n // 3:n // 2] = []
+            pairs += [("".join(x), "".join(y)), ("".join(y), "".join(x)), ("".join(x), "".join(reversed(y)))]
+    want = [difflib.SequenceMatcher(None, x, y).ratio() for x, y in pairs]
+    titles = sorted({t for p in pairs for t in p if 7 <= len(t) < 200})
+    ids = list(range(len(titles)))
+    brute = {(p, q): (difflib.SequenceMatcher(None, titles[p], titles[q]).ratio(), difflib.SequenceMatcher(None, titles[q], titles[p]).ratio())
+             for p in ids for q in ids[p + 1:]}
+    brute = {(p, q, *r) for (p, q), r in brute.items() if max(r) >= 0.85}
+    with monkeypatch.context() as m:
+        m.setattr(difflib, "SequenceMatcher", None)
+        assert set(T._block_pairs(ids, titles, ids, titles, True, 0.85)) == brute and len(brute) > 4
+    assert [T.matching_ratio(x, y) for x, y in pairs] == want
+
+
+def test_long_titles_of_the_same_words_are_left_by_their_grams(monkeypatch):
+    """Titles of 200 characters or more have few matching blocks, as difflib leaves out popular characters: those of the same
+    words in other orders go before any common subsequence is sought."""
+    from difflib import SequenceMatcher
+    from newsfunnel.operators import titledup as T
+
+    rnd = random.Random(33)
+    words = ["".join(rnd.choice("aeinorst") for _ in range(rnd.randint(2, 9))) for _ in range(50)]
+    titles = [" ".join(rnd.sample(words, 50)) for _ in range(30)]
+    assert min(map(len, titles)) >= 200
+    ids = list(range(30))
+    with monkeypatch.context() as m:
+        m.setattr(T, "_coded", lambda *_: 1 / 0)
+        assert list(T._block_pairs(ids, titles, ids, titles, True, 0.85)) == []
+    # on both sides of 200 characters, with few and many popular characters, long repeats and far counts
+    titles += [titles[0][:n] for n in (185, 199, 200, 201)] + ["es " * 70, "es " * 66, "es " * 90, "x" + "es " * 70, "se " * 70]
+    for t in list(titles[:12]) + ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789 éß中") for _ in range(n)) for n in (190, 199, 205, 400, 1100)]:
+        for _ in range(3):
+            x = list(t)
+            for _ in range(rnd.choice((2, len(x) // 12, len(x) // 7))):
+                k = rnd.randrange(len(x))
+                x[k:k + rnd.randrange(3)] = rnd.choice(("", "q", "es "))
+            titles += [t, "".join(x)]
+    titles = sorted(set(titles), key=lambda _: rnd.random())
+    ids = list(range(len(titles)))
+    ratio = lambda p, q: SequenceMatcher(None, titles[p], titles[q]).ratio()
+    brute = {(p, q, ratio(p, q), ratio(q, p)) for p in ids for q in ids[p + 1:]
+             if 2.3 * min(len(titles[p]), len(titles[q])) >= 0.85 * (len(titles[p]) + len(titles[q])) and max(ratio(p, q), ratio(q, p)) >= 0.85}
+    assert set(T._block_pairs(ids, titles, ids, titles, True, 0.85)) == brute and len(brute) > 15
+
+
+def test_titles_are_read_once_for_their_pairs(spark):
+    """The pairs read written titles: neither the documents nor their join is in the plan again."""
+    from newsfunnel.plans.catalog import QUERIES
+
+    plan = QUERIES["title_similar_pairs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "split_part" not in plan and "event_id" not in plan
