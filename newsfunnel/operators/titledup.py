@@ -30,7 +30,6 @@ Distributed plan (exact):
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -97,6 +96,12 @@ def representatives(df: DataFrame, lang: str = "language", title: str = "title",
     return keyed.groupBy("lang", "tkey").agg(F.min("ord").alias("rep_id"))
 
 
+def _points(titles: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of all titles one after the other, and the title of each."""
+    points = np.frombuffer("".join(titles).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return points, np.repeat(np.arange(len(titles)), np.fromiter(map(len, titles), np.int64, len(titles)))
+
+
 def _counts(titles: list[str], q: int, width: int) -> np.ndarray:
     """Folded counts of the q-grams of each title."""
     most = max(map(len, titles), default=0)
@@ -104,8 +109,8 @@ def _counts(titles: list[str], q: int, width: int) -> np.ndarray:
     some = max(1, COUNTS_AT_ONCE // width)
     for at in range(0, len(titles), some):
         part = titles[at:at + some]
-        points = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        row = np.repeat(np.arange(len(part)), np.fromiter(map(len, part), np.int64, len(part)))
+        points, row = _points(part)
+        points = points.astype(np.uint64)
         n = max(0, len(points) - q + 1)
         grams = np.zeros(n, np.uint64)
         for k in range(q):
@@ -201,22 +206,28 @@ class _Reaching:
         return i + rows.start, j + cols.start
 
 
-def _seeds(title: str) -> int:
-    """Characters at which ``difflib`` starts a matching block if ``title`` is its second string: those that
-    are not popular, from 200 characters on."""
-    most = len(title) // 100 + 1
-    return sum(n for n in Counter(title).values() if n <= most)
+def _seeds(titles: list[str]) -> np.ndarray:
+    """Characters at which ``difflib`` starts a matching block if a title is its second string: those that
+    are not popular, from ``AUTOJUNK`` characters on."""
+    out, some = np.zeros(len(titles), np.int64), 512
+    for at in range(0, len(titles), some):
+        part = titles[at:at + some]
+        points, row = _points(part)
+        often = np.bincount(points)
+        kinds = np.count_nonzero(often)
+        code = np.cumsum(often > 0) - 1
+        counts = np.bincount(row * kinds + code[points], minlength=len(part) * kinds).reshape(len(part), kinds)
+        most = np.fromiter((len(t) // 100 + 1 for t in part), np.int64, len(part))[:, None]
+        out[at:at + some] = np.where(counts <= most, counts, 0).sum(axis=1)
+    return out
 
 
-def _coded(titles: list[str], known: np.ndarray) -> np.ndarray:
-    """Character codes 1 to ``CODES`` - 1, a row a title, 0 behind its end.  Characters beyond the known
-    ones share codes, which only lengthens common subsequences."""
-    points = np.frombuffer("".join(titles).encode("utf-32-le", "surrogatepass"), np.uint32)
-    at = np.minimum(np.searchsorted(known, points), len(known) - 1)
-    codes = np.where(known[at] == points, at, points % len(known)) + 1
+def _coded(titles: list[str], codes: np.ndarray) -> np.ndarray:
+    """``codes`` of the titles' characters, a row a title, 0 behind its end."""
+    points, _ = _points(titles)
     lens = np.fromiter(map(len, titles), np.int64, len(titles))
     out = np.zeros((len(titles), int(lens.max(initial=0))), np.uint8)
-    out[np.arange(out.shape[1]) < lens[:, None]] = codes
+    out[np.arange(out.shape[1]) < lens[:, None]] = codes[points]
     return out
 
 
@@ -247,21 +258,23 @@ class _Subsequences:
     have in common, wherever that of ``b`` ends, and all the rest together are too few."""
 
     def __init__(self, a: list[str], b: list[str]):
-        points = np.frombuffer("".join(a if a is b else a + b).encode("utf-32-le", "surrogatepass"), np.uint32)
-        kinds, often = np.unique(points, return_counts=True)
-        known = np.sort(kinds[np.argsort(-often, kind="stable")[:CODES - 1]])
-        if not len(known):
-            known = np.zeros(1, np.uint32)
-        x = _coded(a, known)
-        y = x if a is b else _coded(b, known)
+        often = np.bincount(_points(a if a is b else a + b)[0])
+        # codes 1 to ``CODES`` - 1 for the most frequent characters; the others share them
+        codes = np.arange(len(often)) % (CODES - 1) + 1
+        kinds = np.argsort(-often, kind="stable")[:min(CODES - 1, np.count_nonzero(often))]
+        codes[kinds] = np.arange(len(kinds)) + 1
+        n_codes = CODES if np.count_nonzero(often) > len(kinds) else len(kinds) + 1
+        codes = codes.astype(np.uint8)
+        x = _coded(a, codes)
+        y = x if a is b else _coded(b, codes)
         self.na, self.nb = np.count_nonzero(x, axis=1), np.count_nonzero(y, axis=1)
         self.x = x.T.astype(np.int64) * len(b)  # place, title -> where the masks of the code begin
         self.words = max(1, -(-y.shape[1] // 64))
         # word, code and title -> where the title has the code
-        self.masks = np.zeros((self.words, len(known) + 1, len(b)), np.uint64)
+        self.masks = np.zeros((self.words, n_codes, len(b)), np.uint64)
         row, col = np.nonzero(y)
         self.masks = self.masks.reshape(self.words, -1)
-        np.add.at(self.masks.reshape(-1), ((col >> 6) * (len(known) + 1) + y[row, col]) * len(b) + row, np.uint64(1) << (col & 63).astype(np.uint64))
+        np.add.at(self.masks.reshape(-1), ((col >> 6) * n_codes + y[row, col]) * len(b) + row, np.uint64(1) << (col & 63).astype(np.uint64))
 
     def lengths(self, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> np.ndarray:
         """``lcs_length`` of each pair; 0 or less than it where it is below ``least``."""
@@ -410,8 +423,8 @@ class _Bounds:
 
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
         if 0 not in self.made:
-            x = np.array([_seeds(t) if len(t) >= AUTOJUNK else 0 for t in self.a], np.int64)
-            self.made[0] = x, x if self.a is self.b else np.array([_seeds(t) if len(t) >= AUTOJUNK else 0 for t in self.b], np.int64)
+            x = _seeds(self.a)
+            self.made[0] = x, x if self.a is self.b else _seeds(self.b)
         return self.made[0]
 
     def enough(self, i: np.ndarray, j: np.ndarray, q: int) -> np.ndarray:
