@@ -14,9 +14,9 @@ Distributed plan (exact):
 2. representatives are dealt into blocks of one language and a band of lengths; two
    blocks meet where ``min/max >= t/(2-t)`` is possible (lossless: 2M/T <= 2 min/T);
 3. in a group of two blocks, on arrays: the character-multiset bound
-   ``2*overlap/T >= t`` and the bigrams that so many common characters leave in common (counts
-   as bits, so a pair costs a few words), then a bit-parallel LCS of thousands of pairs at once (lossless:
-   matching blocks are a common subsequence); for pairs that pass all, difflib in both directions;
+   ``2*overlap/T >= t`` as a matrix product, the bigrams (from 200 characters on also 5-grams) that so many
+   common characters leave in common (counts as bits, so a pair costs a few words), then a bit-parallel LCS of thousands of
+   pairs at once (lossless: matching blocks are a common subsequence); for pairs that pass all, difflib's ratio in both directions;
 4. connected components of the ``ratio >= t`` graph (smallest label and pointer
    jumping, until nothing changes; each round is a written table);
 5. a greedy decision only involves pairs inside one component, so components
